@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from ohmbridge.llm import bpe
+from ohmbridge.llm import bpe, gbdt, linededup, robust
 
 QUERIES = {
+    "op5_quality": gbdt.op5_quality,
     "op7_bpe": bpe.op7_bpe,
+    "op9_line_dedup": linededup.op9_line_dedup,
+    "op10_outliers": robust.op10_outliers,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_line_dedup": linededup.OP9_SQL,
+}
