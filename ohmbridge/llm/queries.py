@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ohmbridge.llm import bpe, gbdt, linededup, robust
+from ohmbridge.llm import bpe, gbdt, langid, linededup, robust
 
 QUERIES = {
     "op5_quality": gbdt.op5_quality,
     "op7_bpe": bpe.op7_bpe,
+    "op8_language": langid.op8_language,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_outliers": robust.op10_outliers,
 }
