@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ohmbridge.llm import bpe, gbdt, langid, linededup, robust
+from ohmbridge.llm import bpe, gbdt, langid, linededup, neardup, robust
 
 QUERIES = {
+    "op1_near_duplicates": neardup.op1_near_duplicates,
     "op5_quality": gbdt.op5_quality,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": langid.op8_language,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_duplicates": neardup.OP1_SQL,
     "op9_line_dedup": linededup.OP9_SQL,
 }
