@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ohmbridge.llm import bpe, gbdt, langid, linededup, neardup, robust
+from ohmbridge.llm import bpe, gbdt, hmm, langid, linededup, neardup, robust
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
     "op5_quality": gbdt.op5_quality,
+    "op6_language_model": hmm.op6_language_model,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": langid.op8_language,
     "op9_line_dedup": linededup.op9_line_dedup,
