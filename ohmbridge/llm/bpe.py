@@ -2,7 +2,8 @@
 
 The last token of the encoding of a word's prefix depends on that prefix alone.
 So the distinct words go into a trie, and one depth-first walk keeps the last
-token of each node on the path: of the tokens that end at a node, the one holds
+token of each node on the path: of the tokens that end at a node (an automaton
+of all tokens lists them), the one holds
 whose start is the root, or follows the last token of the node it starts at
 without a merge across the boundary that byte-pair encoding would have made
 earlier. Each prefix that several words share is computed once. A word's ids are
@@ -28,7 +29,7 @@ from ohmbridge.llm import common
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of a worker's caches; they are emptied when full.
-CACHE = 400_000
+CACHE = 700_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -66,7 +67,7 @@ class TrieBpe:
             self.merged[a, b] = rank
             if made not in self.halves:
                 self.halves[made], self.age[made] = (a, b), rank
-        self.longest = max(map(len, self.ids))
+        self._suffix_automaton()
         self.joins: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
@@ -105,59 +106,90 @@ class TrieBpe:
         self.joins[key] = ok
         return ok
 
-    def encode_words(self, found: list[bytes]) -> list[list[int]]:
-        """The ids of each word, over one trie of all of them."""
-        child: dict[int, int] = {}
-        ends: dict[int, list[int]] = {}
-        below: list[list[tuple[int, int]]] = [[]]
-        for n, word in enumerate(found):
-            node = 0
+    def _suffix_automaton(self) -> None:
+        """States are prefixes of tokens; ``tails[state]``: (token, length) of each token that ends there."""
+        goto, fail, tails = {}, [0], [()]
+        depth_first = []
+        for word, token in self.ids.items():
+            if not self.whole(token):
+                continue
+            state = 0
             for byte in word:
-                step = node << 8 | byte
-                nxt = child.get(step)
+                key = state << 8 | byte
+                nxt = goto.get(key)
                 if nxt is None:
-                    nxt = child[step] = len(below)
-                    below.append([])
-                    below[node].append((byte, nxt))
-                node = nxt
-            ends.setdefault(node, []).append(n)
+                    nxt = goto[key] = len(fail)
+                    fail.append(0)
+                    tails.append(())
+                    depth_first.append((len(fail) - 1, state, byte))
+                state = nxt
+            tails[state] = ((token, len(word)),)
+        depth = [0] * len(fail)
+        for state, parent, _ in depth_first:
+            depth[state] = depth[parent] + 1
+        for state, parent, byte in sorted(depth_first, key=lambda x: depth[x[0]]):
+            if parent:
+                at = fail[parent]
+                while at and (at << 8 | byte) not in goto:
+                    at = fail[at]
+                fail[state] = goto.get(at << 8 | byte, 0)
+            tails[state] += tails[fail[state]]
+        self.goto, self.fail, self.tails = goto, fail, tails
+
+    def _step(self, state: int, byte: int) -> int:
+        """The next state, by failure links; kept, so that each is followed once."""
+        at = state
+        while at and (at << 8 | byte) not in self.goto:
+            at = self.fail[at]
+        out = self.goto.get(at << 8 | byte, 0)
+        self.goto[state << 8 | byte] = out
+        return out
+
+    def encode_words(self, found: list[bytes]) -> list[list[int]]:
+        """The ids of each of the distinct words, over one trie of all of them.
+
+        Inserted in sorted order, words are a depth-first walk of their trie: what
+        a word shares with the one before is the path that stays, and the rest are
+        new nodes. ``last`` and ``states`` hold the path's last tokens and states
+        of the automaton that knows the tokens ending at a node.
+        """
         out: list[list[int]] = [[] for _ in found]
-        path = bytearray()
-        last: list[int] = [-1]
-        ids, stands, longest, bytes_of = self.ids, self.stands, self.longest, self.bytes_of
-        stack = [(0, 0, b) for b in reversed(below[0])]
-        if 0 in ends:
-            for n in ends[0]:
-                out[n] = []
-        while stack:
-            depth, _, (byte, node) = stack.pop()
-            del path[depth:]
+        last, states = [-1], [0]
+        goto, tails, joins, bytes_of = self.goto, self.tails, self.joins, self.bytes_of
+        before = b""
+        for n in sorted(range(len(found)), key=found.__getitem__):
+            word = found[n]
+            depth = 0
+            for x, y in zip(before, word, strict=False):
+                if x != y:
+                    break
+                depth += 1
             del last[depth + 1 :]
-            path.append(byte)
-            depth += 1
-            whole = bytes(path[-longest:])
-            room = len(whole)
-            for size in range(room, 0, -1):
-                token = ids.get(whole[room - size :])
-                if token is not None:
-                    before = last[depth - size]
-                    if before == -1 and depth == size:
-                        # a prefix that is one token: its own merges made it
-                        if self.whole(token):
-                            last.append(token)
-                            break
-                    elif depth > size and before >= 0 and stands(before, token) and self.whole(token):
-                        last.append(token)
+            del states[depth + 1 :]
+            state = states[depth]
+            for byte in word[depth:]:
+                depth += 1
+                nxt = goto.get(state << 8 | byte)
+                state = self._step(state, byte) if nxt is None else nxt
+                for token, size in tails[state]:
+                    if size == depth:
                         break
-            else:
-                raise ValueError("no token ends here; the vocabulary lacks a byte")
-            for n in ends.get(node, ()):
-                got, at = [], depth
-                while at:
-                    got.append(last[at])
-                    at -= len(bytes_of[last[at]])
-                out[n] = got[::-1]
-            stack += [(depth, 0, b) for b in below[node]]
+                    pair = (last[depth - size], token)
+                    ok = joins.get(pair)
+                    if self.stands(*pair) if ok is None else ok:
+                        break
+                else:
+                    raise ValueError("no token ends here; the vocabulary lacks a byte")
+                last.append(token)
+                states.append(state)
+            before = word
+            got, at = [], depth
+            while at:
+                token = last[at]
+                got.append(token)
+                at -= len(bytes_of[token])
+            got.reverse()
+            out[n] = got
         return out
 
     @lru_cache(maxsize=None)
