@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ohmbridge.llm import bpe, gbdt, hmm, langid, linededup, neardup, robust, secrets
+from ohmbridge.llm import bpe, gbdt, hmm, jpeg, langid, linededup, neardup, robust, secrets
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
+    "op3_media": jpeg.op3_media,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": gbdt.op5_quality,
     "op6_language_model": hmm.op6_language_model,
