@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ohmbridge.llm import bpe, gbdt, hmm, jpeg, langid, linededup, neardup, robust, secrets
+from ohmbridge.llm import bpe, gbdt, hmm, jpeg, langid, linededup, mixing, neardup, robust, secrets
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
+    "op2_mixing": mixing.op2_mixing,
     "op3_media": jpeg.op3_media,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": gbdt.op5_quality,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_near_duplicates": neardup.OP1_SQL,
+    "op2_mixing": mixing.OP2_SQL,
     "op9_line_dedup": linededup.OP9_SQL,
 }
