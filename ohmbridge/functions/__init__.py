@@ -1 +1 @@
-"""functions of the engine."""
+"""Column expressions that the operators share."""
