@@ -32,7 +32,7 @@ SAMPLE = 3000
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
-TOGETHER = 1_500_000
+TOGETHER = 600_000
 _LOW = np.arange(256, dtype=np.int64)
 _LOW[65:91] += 32
 
@@ -76,9 +76,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             first[inv] = cls
             held.append(pd.DataFrame({"h": uniq.view(np.int64), "class": first, "n": np.bincount(inv, minlength=len(uniq))}))
             size += len(uniq)
-            if size > 1_500_000:
+            if size > 700_000:
                 held = [reduce()]
-                size = len(held[0]) if len(held[0]) < 750_000 else 0
+                size = len(held[0]) if len(held[0]) < 350_000 else 0
                 if not size:
                     yield pa.RecordBatch.from_pandas(held.pop(), preserve_index=False)
         if held:
@@ -232,7 +232,7 @@ def _batches(column: pa.Array, vocabulary: Vocabulary):
 
 
 #: Texts gathered from several Arrow batches before a recursion: few long texts then cost few short steps.
-GATHER = 4000
+GATHER = 2000
 
 
 def _gathered(batches):
@@ -248,19 +248,15 @@ def _gathered(batches):
 
 
 def vocabulary(counts: DataFrame, texts: int, kept: int = KEPT, emitted: int = EMITTED) -> Vocabulary:
+    # how many words occur n times; counts above a million are one
+    top = 1 << 20
+    often = np.array([tuple(r) for r in counts.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count("*")).orderBy("n").collect()], np.int64).reshape(-1, 2)
+    at_least = often[::-1, 1].cumsum()[::-1]
+
     def least(most: int) -> int:
-        n = 1
-        while counts.where(F.col("n") >= n).count() > most:
-            n *= 2
-        # between the last two powers of two
-        low = n // 2
-        while n - low > 1:
-            mid = (n + low) // 2
-            if counts.where(F.col("n") >= mid).count() > most:
-                low = mid
-            else:
-                n = mid
-        return n
+        """The least n that at most ``most`` words reach."""
+        fits = np.flatnonzero(at_least <= most)
+        return int(often[fits[0], 0]) if len(fits) else top + 1
 
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     few = least(emitted) if distinct > emitted else 1
