@@ -6,12 +6,12 @@
 2. Texts of equal shingle sets are one class, with its least doc_id for it.
 3. Within a bucket each class meets the first and the one before it (one sorted
    pass, nothing is gathered). For buckets that then still hold classes of
-   several components, further rounds pair each class with the second to fourth,
-   the fifth to sixteenth, and so on, until all pairs of unlike components have
+   several components, further rounds pair each class with the second and third,
+   the fourth to fifteenth, and so on, until all pairs of unlike components have
    been met: a family of thousands of copies falls together after a linear number
    of pairs, and nothing is capped.
 4. A pair whose sketches differ in so many bits that the estimate lies below
-   ``SKETCH_LEAST`` is dropped: at similarity 0.75 that takes six standard
+   ``SKETCH_LEAST`` is dropped: at similarity 0.75 that takes four standard
    deviations. All others are confirmed on full shingle sets.
 5. Confirmed links give connected components.
 
@@ -37,7 +37,7 @@ SAMPLES = BANDS * ROWS
 BITS = 1024
 #: Confirmed where 100 * intersection >= PERCENT * union.
 PERCENT = 75
-SKETCH_LEAST = 0.5
+SKETCH_LEAST = 0.58
 _U = np.uint64
 _rng = np.random.default_rng(424243)
 _XOR = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64) * _U(2) + _rng.integers(0, 2, SAMPLES, dtype=np.uint64)
@@ -170,19 +170,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     comp = common.materialize(components(found), "near-components")
     lo, hi = 2, 4
     active = members.select("key", "id", "n", "r")
+    whole = Window.partitionBy("key")
     while True:
-        # buckets that still hold several components and more classes than have met all others
-        named = active.join(comp, "id", "left").select("key", "id", "n", "r", F.coalesce("component", "id").alias("c"))
-        mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("r").alias("last")).where(F.col("c0") < F.col("c1")).where(F.col("last") > lo + 1 if lo == 2 else F.col("last") > lo).select("key")
-        active = common.materialize(named.join(mixed, "key", "left_semi"), "near-active")
+        # classes below rank ``lo`` have met all others; of the rest, buckets that hold several components
+        named = active.where(F.col("r") >= lo).join(comp, "id", "left").select("key", "id", "n", "r", F.coalesce("component", "id").alias("c"))
+        marked = named.withColumns({"c0": F.min("c").over(whole), "c1": F.max("c").over(whole), "last": F.max("r").over(whole)})
+        active = common.materialize(marked.where((F.col("c0") < F.col("c1")) & (F.col("last") > lo + 1)).drop("c0", "c1", "last"), "near-active")
         if active.isEmpty():
             break
-        hub = active.where((F.col("r") >= lo) & (F.col("r") < hi)).select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("r").alias("ra"), F.col("c").alias("ca"))
+        hub = active.where(F.col("r") < hi).select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("r").alias("ra"), F.col("c").alias("ca"))
         pairs = active.join(hub, "key").where("r > ra + 1 and c <> ca and id <> a").where(near(F.col("n"), F.col("na"))).select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
         more = links(pairs, "near-links")
         active = active.select("key", "id", "n", "r")
         if not more.isEmpty():
-            found = common.materialize(found.unionByName(more), "near-links")
             comp = common.materialize(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)), "near-components")
         lo, hi = hi, hi * 4
     name = classes.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("component"))
