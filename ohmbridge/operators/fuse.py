@@ -34,6 +34,11 @@ def _dtype(df: DataFrame, path: str) -> str:
     return df.select(F.col(path)).dtypes[0][1]
 
 
+def _first_texts(kinds: Column, winner: Column, seen: Column) -> Column:
+    """Of each value other than the winner, the text of its first carrier."""
+    return F.transform(F.filter(kinds, lambda k: k != winner), lambda k: F.filter(seen, lambda x: x["cmp"] == k)[0]["v"])
+
+
 def fuse(members: DataFrame, group: str, fields: list[str], compat_rank: bool = False) -> DataFrame:
     """One row for each ``group``: the best member's columns with the fields' winners in place.
 
@@ -55,7 +60,7 @@ def fuse(members: DataFrame, group: str, fields: list[str], compat_rank: bool =
         clash = F.size(kinds) > 1
         winner = comparable(F.col(f"__w{i}"), _dtype(members, path))
         # of each other value, the first carrier's text
-        rejected = F.transform(F.filter(kinds, lambda k, w=winner: k != w), lambda k, s=seen: F.filter(s, lambda x: x["cmp"] == k)[0]["v"])
+        rejected = _first_texts(kinds, winner, seen)
         conflicts.append(F.when(clash, F.struct(F.lit(path).alias("field"), F.col(f"__w{i}").cast("string").alias("chosen"), rejected.alias("rejected"), F.lit("survivorship").alias("rule"))))
         chosen[path] = F.when(clash, F.col(f"__w{i}")).otherwise(F.col(f"__best.{path}"))
     cols = []

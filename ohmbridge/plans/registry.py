@@ -1,6 +1,492 @@
-"""The queries over the star-schema tables and their SQL."""
+"""Queries over the star-schema tables: each applies one operator, with its SQL.
+
+Roles: events are sessions (user_id is the charger, value the energy, props.k
+minutes of duration, 'error' a fault, 'purchase' a repair); part, supplier and
+nation are registries; orders are slow activity; documents and pages are text.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ohmbridge import config
+from ohmbridge.functions import geo, text, time
+from ohmbridge.operators import anomalies, dedup, extract, fuse, graph, kpis, matching, rules, standardise
+from ohmbridge.sources import files, sinks
+from ohmbridge.storage import shared_dir
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_id").alias("idx"), "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+# --- rules and scores ---------------------------------------------------------------
+
+CUSTOMER_RULES = config.merged(config.DEFAULT, {
+    "enums": {"c_mktsegment": ["AUTOMOBILE", "BUILDING", "MACHINERY"]},
+    "required": {"customer": ["c_name", "c_mktsegment"]},
+    "rules": [
+        {"code": "required", "check": "required", "severity": "MAJOR"},
+        {"code": "bad_balance", "check": "numeric", "severity": "MAJOR", "field": "c_acctbal"},
+        {"code": "negative_balance", "check": "range", "severity": "MAJOR", "field": "c_acctbal", "min": 0},
+        {"code": "large_balance", "check": "range", "severity": "INFO", "field": "c_acctbal", "max": 9000},
+        {"code": "first_nation", "check": "range", "severity": "MINOR", "field": "c_nationkey", "min": 1},
+        {"code": "other_segment", "check": "enum", "severity": "MINOR", "field": "c_mktsegment"},
+    ],
+})
+_ISSUES_SQL = """list_filter([CASE WHEN c_name IS NULL THEN 'missing_c_name' END, CASE WHEN c_mktsegment IS NULL THEN 'missing_c_mktsegment' END,
+    CASE WHEN c_acctbal < 0 THEN 'negative_balance' END, CASE WHEN c_acctbal > 9000 THEN 'large_balance' END, CASE WHEN c_nationkey < 1 THEN 'first_nation' END,
+    CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') THEN 'other_segment' END], lambda x: x IS NOT NULL)"""
+_SCORE_SQL = """round(greatest(0, least(1, 1 - list_sum(list_concat([0.0::DOUBLE], [CASE WHEN x IN ('negative_balance', 'missing_c_name', 'missing_c_mktsegment') THEN 0.25::DOUBLE WHEN x = 'large_balance' THEN 0.02 ELSE 0.1 END FOR x IN issues])))), 4)"""
+
+
+def _judged(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer").withColumn("issues", rules.issues(CUSTOMER_RULES, "customer"))
+    return c.withColumn("score", rules.score(F.col("issues"), F.lit(None).cast("double"), CUSTOMER_RULES))
+
+
+@query(f"SELECT c_custkey, array_to_string(issues, ',') AS issues FROM (SELECT c_custkey, {_ISSUES_SQL} AS issues FROM customer)")
+def rule_engine(spark, sf_dir):
+    return _judged(spark, sf_dir).select("c_custkey", F.array_join("issues", ",").alias("issues"))
+
+
+@query(f"SELECT c_custkey, {_SCORE_SQL}::DOUBLE AS score, {_SCORE_SQL} < 0.4 AS quarantined FROM (SELECT c_custkey, {_ISSUES_SQL} AS issues FROM customer)")
+def quality_score(spark, sf_dir):
+    return _judged(spark, sf_dir).select("c_custkey", "score", rules.quarantined(F.col("score"), CUSTOMER_RULES).alias("quarantined"))
+
+
+@query(f"""WITH j AS (SELECT c_mktsegment AS source, issues, {_SCORE_SQL} AS score FROM (SELECT *, {_ISSUES_SQL} AS issues FROM customer))
+SELECT source, NULL::VARCHAR AS issue, count(*) AS n, round(avg(score), 4) AS avg_score FROM j GROUP BY source
+UNION ALL SELECT source, issue, count(*), NULL FROM (SELECT source, unnest(issues) AS issue FROM j) GROUP BY GROUPING SETS ((source, issue), (issue))""")
+def issue_histogram(spark, sf_dir):
+    return standardise.validation_report(_judged(spark, sf_dir).select(F.col("c_mktsegment").alias("source"), "score", "issues"))
+
+
+def _shipments(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_custkey")
+    ship = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"))
+    return ship.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+ORDER_RULES = config.merged(config.DEFAULT, {"rules": [
+    {"code": "ship_before_order", "check": "order", "severity": "MAJOR", "earlier": "o_orderdate", "later": "l_shipdate", "as": "timestamp"},
+    {"code": "stale_report", "check": "stale", "severity": "MINOR", "happened": "o_orderdate", "seen": "l_shipdate", "as": "timestamp"},
+]})
+
+
+@query("""SELECT l_linenumber, count(*) FILTER (WHERE l_shipdate <= o_orderdate) AS ship_before_order,
+    count(*) FILTER (WHERE epoch_us(l_shipdate::TIMESTAMP) - epoch_us(o_orderdate::TIMESTAMP) > 7 * 86400000000) AS stale_report
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_linenumber""")
+def rule_order_and_stale(spark, sf_dir):
+    found = _shipments(spark, sf_dir).withColumn("issues", rules.issues(ORDER_RULES, "shipment"))
+    has = lambda c: F.count_if(F.array_contains("issues", c)).alias(c)
+    return found.groupBy("l_linenumber").agg(has("ship_before_order"), has("stale_report"))
+
+
+def _places(spark, sf_dir) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("idx"), (33.0 + (F.col("s_suppkey") * 37 % 400) / 100.0).alias("lat"), (-84.0 + (F.col("s_suppkey") * 91 % 900) / 100.0).alias("lon"), "s_name", "s_nationkey")
+
+
+_PLACES_SQL = "(SELECT s_suppkey AS idx, (33.0::DOUBLE + (s_suppkey * 37 % 400) / 100.0::DOUBLE) AS lat, (-84.0::DOUBLE + (s_suppkey * 91 % 900) / 100.0::DOUBLE) AS lon FROM supplier)"
+
+
+@query(f"SELECT idx, CASE WHEN NOT (lat BETWEEN 33.7 AND 36.6 AND lon BETWEEN -84.4 AND -75.4) THEN 'outside_territory' ELSE '' END AS issues FROM {_PLACES_SQL}")
+def rule_bbox(spark, sf_dir):
+    cat = config.merged(config.DEFAULT, {"rules": [{"code": "outside_territory", "check": "bbox", "severity": "MAJOR"}]})
+    return _places(spark, sf_dir).select("idx", F.array_join(rules.issues(cat, "charger"), ",").alias("issues"))
+
+
+# --- standardisation ------------------------------------------------------------------
+
+@query("""SELECT l_returnflag, count(*) FILTER (WHERE l_extendedprice > 50000) AS repaired,
+    round(sum(CASE WHEN l_extendedprice > 50000 AND l_extendedprice <= 400000 THEN l_extendedprice / 1000.0 ELSE l_extendedprice END), 2) AS total FROM lineitem GROUP BY l_returnflag""")
+def unit_repair(spark, sf_dir):
+    unit = {"above": 50_000, "most": 400_000}
+    v = standardise.repair_unit(F.col("l_extendedprice"), unit)
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count_if(v != F.col("l_extendedprice")).alias("repaired"), F.round(F.sum(v), 2).alias("total"))
+
+
+@query("SELECT CASE WHEN p_size <= 10 THEN 'L1' WHEN p_size <= 30 THEN 'L2' ELSE 'DCFC' END AS level, count(*) AS n FROM part GROUP BY 1")
+def derive_level(spark, sf_dir):
+    level = standardise.level_of(F.col("p_size").cast("double"), {"level_kw": {"L1": 10, "L2": 30}})
+    return table(spark, sf_dir, "part").groupBy(level.alias("level")).agg(F.count("*").alias("n"))
+
+
+PRIORITY_WORDS = {"SAFETY": ["urgent"], "MAJOR": ["high", "1-urgent"], "MINOR": ["medium", "low"], "INFO": ["not specified"]}
+
+
+@query(r"""SELECT o_orderpriority, CASE WHEN regexp_matches(lower(o_orderpriority), '(^|[^a-z0-9])(urgent)([^a-z0-9]|$)') THEN 'SAFETY'
+    WHEN regexp_matches(lower(o_orderpriority), '(^|[^a-z0-9])(1-urgent|high)([^a-z0-9]|$)') THEN 'MAJOR' WHEN regexp_matches(lower(o_orderpriority), '(^|[^a-z0-9])(medium|low)([^a-z0-9]|$)') THEN 'MINOR'
+    WHEN regexp_matches(lower(o_orderpriority), '(^|[^a-z0-9])(not specified)([^a-z0-9]|$)') THEN 'INFO' ELSE 'OTHER' END AS severity, count(*) AS n FROM orders GROUP BY 1, 2""")
+def enum_synonyms(spark, sf_dir):
+    found = F.coalesce(standardise.match_enum(F.col("o_orderpriority"), PRIORITY_WORDS), F.lit("OTHER"))
+    return table(spark, sf_dir, "orders").groupBy("o_orderpriority", found.alias("severity")).agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT c_custkey, trim(regexp_replace(lower(c_name), '[^a-z0-9]+', ' ', 'g')) AS norm, trim(regexp_replace('  ' || c_name || '  x ', '\s+', ' ', 'g')) AS collapsed,
+    lpad((c_custkey % 100000)::VARCHAR, 5, '0') AS zip, CASE c_nationkey % 3 WHEN 0 THEN 'NC' WHEN 1 THEN 'NY' ELSE 'Nowhere' END AS state FROM customer""")
+def text_normal_forms(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    messy_zip = F.concat(F.lit("zip "), F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0"), F.lit("-1234"))
+    messy_state = F.when(F.col("c_nationkey") % 3 == 0, F.lit(" North  Carolina ")).when(F.col("c_nationkey") % 3 == 1, F.lit("ny")).otherwise(F.lit("Nowhere"))
+    return c.select("c_custkey", text.normal(F.col("c_name")).alias("norm"), text.collapse(F.concat(F.lit("  "), "c_name", F.lit("  x "))).alias("collapsed"), standardise.zip5(messy_zip).alias("zip"), standardise.state_code(messy_state).alias("state"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T14:05:00-' || CASE WHEN o_orderdate::TIMESTAMP < TIMESTAMP '1900-01-01' THEN '05:00'
+      WHEN (o_orderdate::DATE + INTERVAL 14 HOUR + INTERVAL 5 MINUTE) AT TIME ZONE 'America/New_York' = (o_orderdate::DATE + INTERVAL 18 HOUR + INTERVAL 5 MINUTE) AT TIME ZONE 'UTC' THEN '04:00' ELSE '05:00' END
+    ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00' END AS iso FROM orders""")
+def lenient_dates(spark, sf_dir):
+    """Order dates written in five ways, read back."""
+    d, k = F.col("o_orderdate").cast("timestamp_ntz"), F.col("o_orderkey") % 5
+    said = F.when(k == 0, F.date_format(d, "dd.MM.yyyy")).when(k == 1, F.date_format(d, "M/d/yyyy")).when(k == 2, F.date_format(d, "yyyy-MM-dd")).when(k == 3, F.date_format(d, "yyyy/M/d")).otherwise(F.concat(F.date_format(d, "M/d/yyyy"), F.lit(" 2:05 PM")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", time.lenient(said, "America/New_York").alias("iso"))
+
+
+@query("""SELECT event_id, (props->>'$.k')::BIGINT AS minutes, CASE WHEN (props->>'$.k')::BIGINT > 0 THEN round((epoch_us(ts::TIMESTAMP + to_minutes((props->>'$.k')::BIGINT)) - epoch_us(ts::TIMESTAMP)) / 60000000.0::DOUBLE, 2) END AS duration_min FROM events""")
+def json_duration(spark, sf_dir):
+    s = sessions(spark, sf_dir)
+    end = F.timestamp_micros(F.unix_micros("ts") + F.col("k") * 60_000_000)
+    return s.select(F.col("idx").alias("event_id"), F.col("k").alias("minutes"), F.when(end > F.col("ts"), F.round(time.minutes_between(F.col("ts"), end), 2)).alias("duration_min"))
+
+
+# --- text extraction and ids ------------------------------------------------------------
+
+@query(r"""SELECT page_id, nullif(trim(regexp_extract(coalesce(html, ''), '<title>([^<]*)</title>', 1)), '') AS title,
+    CASE WHEN regexp_matches(coalesce(html, ''), '(?i)safety|urgent') THEN 'SAFETY' WHEN regexp_matches(coalesce(html, ''), '(?i)major') THEN 'MAJOR' WHEN regexp_matches(coalesce(html, ''), '(?i)minor') THEN 'MINOR'
+    WHEN regexp_matches(coalesce(html, ''), '(?i)fyi|routine|info') THEN 'INFO' END AS severity FROM pages""")
+def page_extract(spark, sf_dir):
+    html = F.coalesce("html", F.lit(""))
+    return table(spark, sf_dir, "pages").select("page_id", text.first_match(html, "<title>([^<]*)</title>").alias("title"), extract.severity(html).alias("severity"))
+
+
+@query("""WITH r AS (SELECT s_suppkey AS k, 'fault digest for ' || s_name || chr(10) || 'period ending: ' || (1 + s_suppkey % 28) || '/' || (1 + s_suppkey % 12) || '/2024' AS head FROM supplier)
+SELECT 'f' || k || '.txt' AS file, i AS index, 'maint-' || left(sha1('f' || k || '.txt#' || i || '#Station ' || (k + i)), 12) AS event_id, (1 + k % 28) || '/' || (1 + k % 12) || '/2024' AS event_date,
+    CASE WHEN (k + i) % 2 = 0 THEN 'SAFETY' ELSE 'MAJOR' END AS severity, 'Station ' || (k + i) AS station_name, 'breaker trip ' || i AS description, (k % 7)::VARCHAR AS n, 0.95::DOUBLE AS confidence
+FROM r, (SELECT unnest([0, 1]) AS i)""")
+def digest_events(spark, sf_dir):
+    """Two-entry fault digests, written out and read back as events."""
+    k = F.col("s_suppkey")
+    entry = lambda i: F.concat(F.lit("\n Station "), k + i, F.lit(f" :: breaker trip {i} :: count="), k % 7, F.lit(" :: sev="), F.when((k + i) % 2 == 0, F.lit("urgent-safety!")).otherwise(F.lit("major")))
+    body = F.concat(F.lit("fault digest for "), "s_name", F.lit("\nperiod ending: "), 1 + k % 28, F.lit("/"), 1 + k % 12, F.lit("/2024"), *(entry(i) for i in (0, 1)), F.lit("\n"))
+    body = F.regexp_replace(body, "urgent-safety!", "urgent")
+    found = extract.events(table(spark, sf_dir, "supplier").select(F.concat(F.lit("f"), k, F.lit(".txt")).alias("file"), body.alias("text")))
+    return found.select("file", "index", "event_id", "event_date", "severity", "station_name", "description", F.try_element_at("extracted_fields", F.lit("count")).alias("n"), F.col("confidence").cast("double").alias("confidence"))
+
+
+@query("""SELECT c_custkey, 'chg-' || left(sha256('cid:' || lower(c_name)), 20) AS golden_id, 'cary-' || left(sha1('customers.csv:' || c_custkey), 12) AS session_id FROM customer""")
+def stable_ids(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", text.sha256_id("chg-", F.concat(F.lit("cid:"), F.lower("c_name"))).alias("golden_id"), text.sha1_id("cary-", F.lit("customers.csv"), F.col("c_custkey").cast("string")).alias("session_id"))
+
+
+# --- matching -------------------------------------------------------------------------
+
+_NAME3 = r"""array_to_string(string_split(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), ' ')[1:3], ' ')"""
+
+
+def _parts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("idx"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"))
+
+
+def _part_pairs(spark, sf_dir) -> DataFrame:
+    p = _parts(spark, sf_dir)
+    key = F.array(F.concat(F.lit("name3:"), F.array_join(F.slice(text.tokens(F.col("name")), 1, 3), " "), F.lit("|"), "brand", F.lit("|"), "kind"))
+    pairs = matching.blocked_pairs(p, keys=key)
+    x, y = p.select(F.col("idx").alias("a"), F.concat_ws(" ", "name", "kind").alias("na")), p.select(F.col("idx").alias("b"), F.concat_ws(" ", "name", "kind").alias("nb"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", F.round(text.token_dice(F.col("na"), F.col("nb")), 6).alias("dice"))
+
+
+_TOK = r"list_distinct(list_filter(string_split(trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: t <> ''))"
+_PAIRS_SQL = f"""p AS (SELECT p_partkey AS idx, {_NAME3} || '|' || p_brand || '|' || p_type AS k, {_TOK.format("p_name || ' ' || p_type")} AS t FROM part),
+pairs AS (SELECT x.idx AS a, y.idx AS b, round(CASE WHEN len(x.t) + len(y.t) = 0 THEN 1.0 ELSE 2.0 * len(list_intersect(x.t, y.t)) / (len(x.t) + len(y.t)) END, 6)::DOUBLE AS dice FROM p x JOIN p y ON x.k = y.k AND x.idx < y.idx)"""
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT a, b, dice FROM pairs")
+def blocking_pairs_dice(spark, sf_dir):
+    return _part_pairs(spark, sf_dir)
+
+
+@query(f"""WITH RECURSIVE {_PAIRS_SQL}, e AS (SELECT a, b FROM pairs WHERE dice >= 0.6 UNION SELECT b, a FROM pairs WHERE dice >= 0.6),
+reach AS (SELECT p_partkey AS id, p_partkey AS top FROM part UNION SELECT e.b, reach.top FROM reach JOIN e ON e.a = reach.id WHERE reach.top < e.b)
+SELECT id AS idx, min(top) AS component FROM reach GROUP BY id""")
+def connected_components(spark, sf_dir):
+    return graph.with_components(_parts(spark, sf_dir).select("idx"), _part_pairs(spark, sf_dir).where("dice >= 0.6").select("a", "b"), "idx").select("idx", "component")
+
+
+_HAV = "2 * 6371.0088 * asin(sqrt(least(pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2), 1.0)))"
+
+
+@query(f"WITH p AS {_PLACES_SQL} SELECT x.idx AS a, y.idx AS b, round({_HAV}, 4) AS km FROM p x JOIN p y ON x.idx < y.idx AND abs(x.lat - y.lat) <= 0.25 AND abs(x.lon - y.lon) <= 0.25 AND {_HAV} <= 20")
+def haversine_pairs(spark, sf_dir):
+    """Pairs within 20 km and a quarter degree: places meet in quarter-degree cells and their neighbours."""
+    p = _places(spark, sf_dir).withColumns({"cx": F.floor(F.col("lat") * 4), "cy": F.floor(F.col("lon") * 4)})
+    near = F.array(*(F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    x = p.select(F.col("idx").alias("a"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"), F.explode(near).alias("c")).select("a", "lat1", "lon1", "c.cx", "c.cy")
+    y = p.select(F.col("idx").alias("b"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "cx", "cy")
+    km = geo.haversine_km(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
+    close = (F.abs(F.col("lat1") - F.col("lat2")) <= 0.25) & (F.abs(F.col("lon1") - F.col("lon2")) <= 0.25)
+    return x.join(y, ["cx", "cy"]).where("a < b").where(close & (km <= 20)).select("a", "b", F.round(km, 4).alias("km"))
+
+
+@query("""WITH m AS (SELECT c_custkey, s_suppkey, CASE WHEN abs(c_acctbal - s_acctbal) <= 100 THEN 2 ELSE 1 END AS class, round(1 / (1 + abs(c_acctbal - s_acctbal)), 9) AS sim FROM customer JOIN supplier ON c_nationkey = s_nationkey)
+SELECT c_custkey, s_suppkey, class::INTEGER AS class FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY class DESC, sim DESC, s_suppkey) AS r FROM m) WHERE r = 1""")
+def best_association(spark, sf_dir):
+    """The best supplier of a customer's nation: class, then closeness, then the first."""
+    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    gap = F.abs(F.col("c_acctbal") - F.col("s_acctbal"))
+    m = c.select("c_custkey", "c_nationkey", "c_acctbal").join(s.select("s_suppkey", "s_nationkey", "s_acctbal"), F.col("c_nationkey") == F.col("s_nationkey"))
+    best = F.max(F.struct(F.when(gap <= 100, 2).otherwise(1).alias("class"), F.round(1 / (1 + gap), 9).alias("sim"), (-F.col("s_suppkey")).alias("k"))).alias("m")
+    return m.groupBy("c_custkey").agg(best).select("c_custkey", (-F.col("m.k")).alias("s_suppkey"), F.col("m.class").alias("class"))
+
+
+@query("""SELECT source, CASE WHEN contains(source, '1') THEN 0 WHEN contains(source, '2') THEN 1 ELSE 3 END AS rank, count(*) AS n FROM (SELECT coalesce(source, '') AS source FROM documents) GROUP BY 1, 2""")
+def source_ranks(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("source"))
+    named = F.when(F.col("source").contains("1"), F.concat(F.lit("NYC_DOT "), "source")).when(F.col("source").contains("2"), F.concat(F.lit("Town of Cary "), "source")).otherwise(F.lit("elsewhere"))
+    return d.groupBy("source", matching.source_rank(named).alias("rank")).agg(F.count("*").alias("n"))
+
+
+# --- duplicates and fusion --------------------------------------------------------------
+
+@query("""WITH g AS (SELECT sha256(coalesce(text, '')) AS h, min(doc_id) AS first_id, count(*) AS copies, count(DISTINCT source) AS sources FROM documents GROUP BY 1 HAVING count(*) > 1) SELECT first_id, copies, sources FROM g""")
+def exact_duplicates(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.count_distinct("source").alias("sources")).where("copies > 1").drop("h")
+
+
+@query("""SELECT x.event_id AS a, y.event_id AS b FROM events x JOIN events y ON x.user_id = y.user_id AND x.event_id < y.event_id
+WHERE abs(epoch_us(x.ts::TIMESTAMP) - epoch_us(y.ts::TIMESTAMP)) <= 3600 * 1000000::BIGINT AND abs(x.value - y.value) <= greatest(0.25, 0.04 * greatest(x.value, y.value))""")
+def session_duplicates(spark, sf_dir):
+    """Events of a user within an hour, of near-equal value."""
+    s = sessions(spark, sf_dir).select("idx", "user_id", (F.unix_micros("ts") / 1e6).alias("at_s"), F.col("value").alias("e"))
+    none = F.lit(None).cast("double")
+    return dedup.close_pairs(s, ["user_id"], "at_s", 3600.0, dedup.close_values(F.col("x_e"), F.col("y_e"), none, none), ["e"])
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_totalprice DESC, o_orderdate DESC, o_orderkey) AS r FROM orders) WHERE r = 1""")
+def survivors(spark, sf_dir):
+    w = Window.partitionBy("o_custkey").orderBy("o_orderpriority", F.col("o_totalprice").desc(), F.col("o_orderdate").desc(), "o_orderkey")
+    return table(spark, sf_dir, "orders").withColumn("r", F.row_number().over(w)).where("r = 1").select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+def _order_members(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    source = F.when(F.col("o_orderstatus") == "F", F.lit("afdc")).when(F.col("o_orderstatus") == "O", F.lit("cary")).otherwise(F.lit("contractor"))
+    prov = F.struct(source.alias("source"), F.col("o_orderkey").cast("string").alias("raw_ref"), F.date_format(F.col("o_orderdate").cast("timestamp_ntz"), "yyyy-MM-dd").alias("ingested_at"))
+    return o.select(F.col("o_orderkey").alias("idx"), F.col("o_custkey").alias("cust"), prov.alias("provenance"), F.struct(F.lit(1.0).alias("score")).alias("quality"), F.col("o_orderpriority").alias("priority"), F.round("o_totalprice", 2).alias("price"))
+
+
+@query("""WITH o AS (SELECT o_custkey AS cust, o_orderkey AS idx, o_orderpriority AS priority, round(o_totalprice, 2) AS price,
+    CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS rk, strftime(o_orderdate, '%Y-%m-%d') AS seen FROM orders),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cust ORDER BY rk, seen DESC, idx DESC) AS r FROM o) WHERE r = 1),
+g AS (SELECT cust, count(*) AS members, count(DISTINCT priority) AS np, count(DISTINCT price) AS nv FROM o GROUP BY cust)
+SELECT g.cust, b.priority, b.price, g.members, (np > 1)::BIGINT + (nv > 1)::BIGINT AS conflicts, (CASE WHEN np > 1 THEN np - 1 ELSE 0 END + CASE WHEN nv > 1 THEN nv - 1 ELSE 0 END)::BIGINT AS rejected FROM g JOIN b ON g.cust = b.cust""")
+def fused_records(spark, sf_dir):
+    """Orders of a customer as members of one entity: the most trusted, latest one wins each field."""
+    g = fuse.fuse(_order_members(spark, sf_dir), "cust", ["priority", "price"])
+    return g.select("cust", "priority", "price", "members", F.size("conflicts_resolved").cast("long").alias("conflicts"), F.aggregate("conflicts_resolved", F.lit(0).cast("long"), lambda a, x: a + F.size(x["rejected"])).alias("rejected"))
+
+
+@query("""SELECT sum(n - 1)::BIGINT AS duplicates_removed, count(*) AS groups FROM (SELECT count(*) AS n FROM documents GROUP BY sha256(coalesce(text, '')))""")
+def duplicates_removed(spark, sf_dir):
+    g = table(spark, sf_dir, "documents").groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).agg(F.count("*").alias("n"))
+    return g.agg(F.sum(F.col("n") - 1).alias("duplicates_removed"), F.count("*").alias("groups"))
+
+
+# --- anomalies and health ---------------------------------------------------------------
+
+_FENCE = """f AS (SELECT user_id, list_sort(list(value)) AS v FROM events WHERE value IS NOT NULL GROUP BY user_id HAVING count(*) >= 5),
+q AS (SELECT user_id, v[len(v) // 4 + 1] AS q1, v[3 * len(v) // 4 + 1] AS q3, v[len(v) // 2 + 1] AS med, 1.4826 * list_sort([abs(x - v[len(v) // 2 + 1]) FOR x IN v])[len(v) // 2 + 1] AS mad FROM f),
+fence AS (SELECT user_id, CASE WHEN q3 > q1 THEN q3 + 3 * (q3 - q1) WHEN mad > 0 THEN med + 5 * mad END AS fence FROM q)"""
+
+
+@query(f"WITH {_FENCE} SELECT event_id, round(value, 6) AS value, round(fence, 6) AS fence FROM events JOIN fence USING (user_id) WHERE value > fence")
+def energy_outliers(spark, sf_dir):
+    s = sessions(spark, sf_dir)
+    return s.join(anomalies.fences(s, "user_id", "value"), "user_id").where("value > fence").select(F.col("idx").alias("event_id"), F.round("value", 6).alias("value"), F.round("fence", 6).alias("fence"))
+
+
+@query("SELECT user_id, count(*) AS n, array_to_string(list(event_id ORDER BY event_id), ',') AS items FROM events WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 2")
+def repeated_faults(spark, sf_dir):
+    s = sessions(spark, sf_dir).where("event_type = 'error'").withColumn("code", F.col("event_type"))
+    return anomalies.repeated(s, "user_id", "code", "idx", "idx").select("user_id", "n", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
+@query("""WITH p AS (SELECT max(o_orderdate::TIMESTAMP) AS p FROM orders) SELECT o_custkey, count(*) AS n, round((epoch_us(any_value(p)) - epoch_us(max(o_orderdate::TIMESTAMP))) / 86400000000.0::DOUBLE, 6) AS silent_days FROM orders, p
+GROUP BY o_custkey HAVING count(*) >= 3 AND (epoch_us(any_value(p)) - epoch_us(max(o_orderdate::TIMESTAMP))) / 86400000000.0::DOUBLE >= 180""")
+def utilization_cliffs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("at"))
+    end = o.agg(F.max("at")).first()[0]
+    return anomalies.silent_groups(o, "o_custkey", "at", F.lit(end), days=180.0).select("o_custkey", "n", F.round("silent_days", 6).alias("silent_days"))
+
+
+@query("""WITH s AS (SELECT event_id AS idx, user_id, value, ts::TIMESTAMP AS st, ts::TIMESTAMP + to_minutes((props->>'$.k')::BIGINT) AS et FROM events)
+SELECT x.idx AS a, y.idx AS b FROM s x JOIN s y ON x.user_id = y.user_id AND x.idx < y.idx AND x.st < y.et AND y.st < x.et WHERE coalesce(x.value, 0) >= 0.5 OR coalesce(y.value, 0) >= 0.5""")
+def concurrent_sessions(spark, sf_dir):
+    s = sessions(spark, sf_dir).withColumns({"st": F.col("ts"), "et": F.timestamp_micros(F.unix_micros("ts") + F.col("k") * 60_000_000)})
+    floor = (F.coalesce("x_value", F.lit(0.0)) >= 0.5) | (F.coalesce("y_value", F.lit(0.0)) >= 0.5)
+    return anomalies.overlaps(s, "user_id", "idx", "st", "et", ["value"], floor).select(F.col("x_idx").alias("a"), F.col("y_idx").alias("b"))
+
+
+@query("SELECT e.event_id FROM events e WHERE e.event_type = 'error' AND NOT EXISTS (SELECT 1 FROM events r WHERE r.event_type = 'purchase' AND r.user_id = e.user_id AND r.ts >= e.ts)")
+def unresolved_events(spark, sf_dir):
+    """Errors without a later purchase. The last purchase of a user decides, so no pairs arise."""
+    s = sessions(spark, sf_dir)
+    repairs = s.where("event_type = 'purchase'").groupBy("user_id").agg(F.max("ts").alias("ts"))
+    return anomalies.unresolved(s.where("event_type = 'error'"), repairs, "user_id", "ts").select(F.col("idx").alias("event_id"))
+
+
+@query("SELECT p_brand, count(*) AS n, round(max(l_extendedprice / l_quantity / p_retailprice), 6) AS worst FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_extendedprice / l_quantity > p_retailprice * 1.1 GROUP BY p_brand")
+def power_over_rated(spark, sf_dir):
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    j = table(spark, sf_dir, "lineitem").select("l_partkey", "l_extendedprice", "l_quantity").join(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    return j.where(unit > F.col("p_retailprice") * config.ANOMALY["over_rated"]).groupBy("p_brand").agg(F.count("*").alias("n"), F.round(F.max(unit / F.col("p_retailprice")), 6).alias("worst"))
+
+
+_STATE_SQL = """u AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS errors, max(ts::TIMESTAMP) AS last_at FROM events GROUP BY user_id),
+h AS (SELECT user_id, CASE WHEN errors >= 20 THEN 'SAFETY_REVIEW' WHEN last_at < TIMESTAMP '2024-01-30' THEN 'SUSPECT_OUTAGE' WHEN errors >= 14 THEN 'DEGRADED' ELSE 'HEALTHY' END AS state FROM u)"""
+
+
+def _states(spark, sf_dir) -> DataFrame:
+    u = sessions(spark, sf_dir).groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("errors"), F.max("ts").alias("last_at"))
+    types = F.array_compact(F.array(F.when(F.col("errors") >= 20, F.lit("unresolved_safety_event")), F.when(F.unix_micros("last_at") < 1_706_572_800_000_000, F.lit("utilization_cliff")), F.when(F.col("errors") >= 14, F.lit("repeated_fault_code"))))
+    return u.withColumn("state", anomalies.health_state(types, F.lit(None).cast("double")))
+
+
+@query(f"WITH {_STATE_SQL} SELECT user_id, state FROM h")
+def health_states(spark, sf_dir):
+    return _states(spark, sf_dir).select("user_id", "state")
+
+
+@query(f"WITH {_STATE_SQL} SELECT user_id, state, row_number() OVER (ORDER BY list_position(['SAFETY_REVIEW', 'SUSPECT_OUTAGE', 'DEGRADED', 'HEALTHY'], state), user_id) AS place FROM h QUALIFY place <= 50")
+def triage_order(spark, sf_dir):
+    """The first fifty of the triage list: each task keeps its own fifty before they meet."""
+    top = kpis.triage(_states(spark, sf_dir).select("user_id", "state"), "state", "user_id").limit(50)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(kpis.rank_in(F.col("state"), config.HEALTH_ORDER), "user_id")).cast("long"))
+
+
+@query("""WITH l AS (SELECT c_nationkey, greatest(0, (epoch_us(l_shipdate::TIMESTAMP) - epoch_us(o_orderdate::TIMESTAMP)) / 86400000000.0::DOUBLE) AS lag FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+g AS (SELECT c_nationkey, list_sort(list(lag)) AS v FROM l GROUP BY c_nationkey)
+SELECT c_nationkey, round(v[greatest(1, least(len(v), round_even(0.5 * len(v), 0)::BIGINT))], 6) AS p50, round(v[greatest(1, least(len(v), round_even(0.95 * len(v), 0)::BIGINT))], 6) AS p95 FROM g""")
+def lag_percentiles(spark, sf_dir):
+    j = _shipments(spark, sf_dir).join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    out = anomalies.lag_percentiles(j.withColumn("lag", time.lag_days(F.col("l_shipdate"), F.col("o_orderdate"))), "c_nationkey", "lag")
+    return out.select("c_nationkey", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
+
+
+@query("SELECT min(t) AS period_start, max(t) AS period_end, ((epoch_us(max(t)) - epoch_us(min(t))) // 86400000000 + 1)::BIGINT AS days FROM (SELECT o_orderdate::TIMESTAMP AS t FROM orders UNION ALL SELECT l_shipdate::TIMESTAMP FROM lineitem)")
+def observation_period(spark, sf_dir):
+    parts = [table(spark, sf_dir, n).select(F.col(c).cast("timestamp").alias("t")).agg(F.min("t").alias("a"), F.max("t").alias("b")) for n, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+    both = parts[0].unionByName(parts[1]).agg(F.min("a").alias("period_start"), F.max("b").alias("period_end"))
+    days = F.floor((F.unix_micros("period_end") - F.unix_micros("period_start")) / F.lit(86_400_000_000.0)) + 1
+    return both.select(F.col("period_start").cast("timestamp_ntz").alias("period_start"), F.col("period_end").cast("timestamp_ntz").alias("period_end"), days.cast("long").alias("days"))
+
+
+# --- reports ------------------------------------------------------------------------------
+
+@query(f"""WITH {_STATE_SQL}, e AS (SELECT count(*) AS sessions_count, count(*) FILTER (WHERE value IS NULL) AS sessions_missing_energy, round(sum(value), 2) AS energy_delivered_kwh FROM events),
+c AS (SELECT count(*) AS chargers_deployed, count(*) FILTER (WHERE state = 'HEALTHY') AS active_chargers FROM h), m AS (SELECT max(errors) AS max_fault_recurrence, count(*) FILTER (WHERE errors >= 3) AS chronic_failure_sites FROM u)
+SELECT chargers_deployed, active_chargers, chargers_deployed - active_chargers AS inactive_chargers, sessions_count, sessions_missing_energy, energy_delivered_kwh, max_fault_recurrence, chronic_failure_sites FROM c, e, m""")
+def fleet_kpis(spark, sf_dir):
+    """The fleet figures, with users as chargers and events as sessions."""
+    none = F.array().cast("array<struct<type:string>>")
+    chargers = _states(spark, sf_dir).select(F.when(F.col("state") == "HEALTHY", F.lit("ACTIVE")).otherwise(F.lit("INACTIVE")).alias("status"), F.struct(F.lit(None).cast("double").alias("est_uptime_pct"), F.col("errors").alias("fault_recurrence_count")).alias("metrics"), none.alias("anomalies"), F.struct(F.lit(1.0).alias("score")).alias("quality"))
+    s = sessions(spark, sf_dir).select(F.col("value").alias("energy_kwh"), none.alias("anomalies"), F.struct(F.lit(None).cast("double").alias("score")).alias("quality"))
+    out = kpis.fleet_kpis(chargers, s, spark.createDataFrame([], "severity string"))
+    return out.select("chargers_deployed", "active_chargers", "inactive_chargers", "sessions_count", "sessions_missing_energy", "energy_delivered_kwh", "max_fault_recurrence", "chronic_failure_sites")
+
+
+@query("""WITH s AS (SELECT c_custkey, n_name, c_acctbal FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0),
+a AS (SELECT coalesce(n_name, 'Unknown location') AS city, count(*) AS sites, round(avg(c_acctbal), 4) AS mean_uptime FROM s GROUP BY 1),
+b AS (SELECT coalesce(n_name, 'Unknown location') AS city, count(*) AS activities, round(sum(o_totalprice), 2) AS amount FROM orders LEFT JOIN s ON o_custkey = c_custkey GROUP BY 1)
+SELECT coalesce(a.city, b.city) AS city, coalesce(sites, 0)::BIGINT AS sites, mean_uptime, coalesce(activities, 0)::BIGINT AS activities, coalesce(amount, 0)::DOUBLE AS amount FROM a FULL JOIN b ON a.city = b.city""")
+def city_rollup(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select("n_nationkey", "n_name")
+    sites = table(spark, sf_dir, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(F.col("c_custkey").alias("site"), "n_name", "c_acctbal")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("site"), "o_totalprice")
+    out = kpis.city_rollup(sites, o, "site", "n_name", "c_acctbal", "o_totalprice")
+    return out.select("city", F.col("sites").cast("long").alias("sites"), F.round("mean_uptime", 4).alias("mean_uptime"), F.col("activities").cast("long").alias("activities"), F.round("amount", 2).alias("amount"))
+
+
+@query("""SELECT c_mktsegment, avg_score, row_number() OVER (ORDER BY coalesce(avg_score, -1) DESC, c_mktsegment) AS place FROM (SELECT c_mktsegment, round(avg(CASE WHEN c_acctbal > 0 THEN c_acctbal END), 4) AS avg_score FROM customer GROUP BY 1)""")
+def league_table(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.round(F.avg(F.when(F.col("c_acctbal") > 0, F.col("c_acctbal"))), 4).alias("avg_score"))
+    return kpis.league(c).withColumn("place", F.row_number().over(Window.orderBy(F.coalesce("avg_score", F.lit(-1.0)).desc(), "c_mktsegment")).cast("long"))
+
+
+@query("SELECT user_id, count(*) AS faults FROM events WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 3")
+def chronic_sites(spark, sf_dir):
+    return sessions(spark, sf_dir).where("event_type = 'error'").groupBy("user_id").agg(F.count("*").alias("faults")).where(F.col("faults") >= config.CHRONIC_FAULTS)
+
+
+@query("""WITH c AS (SELECT count(*) AS n, sum(o_totalprice) AS t FROM orders), p AS (SELECT count(*) AS n, sum(o_totalprice) AS t FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')
+SELECT 'Orders' AS metric, p.n::DOUBLE AS prior, c.n::DOUBLE AS current, (c.n - p.n)::DOUBLE AS delta FROM c, p UNION ALL SELECT 'Total', round(p.t, 2), round(c.t, 2), round(c.t - p.t, 2) FROM c, p""")
+def restatement_delta(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    both = [d.agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("t")) for d in (o, o.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")))]
+    out = kpis.restatement(both[0], both[1], [("n", "Orders", False), ("t", "Total", False)])
+    return out.select("metric", *(F.round(c, 2).alias(c) for c in ("prior", "current", "delta")))
+
+
+@query("""SELECT 'orders' AS section, 'records' AS metric, count(*)::VARCHAR AS value FROM orders UNION ALL SELECT 'orders', 'customers', count(DISTINCT o_custkey)::VARCHAR FROM orders
+UNION ALL SELECT 'events', 'records', count(*)::VARCHAR FROM events UNION ALL SELECT 'events', 'kinds', count(DISTINCT event_type)::VARCHAR FROM events""")
+def lineage_rows(spark, sf_dir):
+    o, e = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
+    return kpis.lineage({"orders": o.agg(F.count("*").alias("records"), F.count_distinct("o_custkey").alias("customers")), "events": e.agg(F.count("*").alias("records"), F.count_distinct("event_type").alias("kinds"))})
+
+
+@query(f"""WITH p AS {_PLACES_SQL}, b AS (SELECT min(lat) - greatest(0.05, (max(lat) - min(lat)) * 0.08) AS a, max(lat) + greatest(0.05, (max(lat) - min(lat)) * 0.08) AS z, min(lon) - greatest(0.05, (max(lon) - min(lon)) * 0.08) AS l, max(lon) + greatest(0.05, (max(lon) - min(lon)) * 0.08) AS r FROM p)
+SELECT idx, round((lon - l) / (r - l) * 820 + 20, 6) AS x, round((z - lat) / (z - a) * 500 + 20, 6) AS y FROM p, b""")
+def map_projection(spark, sf_dir):
+    return kpis.map_points(_places(spark, sf_dir), "lat", "lon").select("idx", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@query("""SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type""")
+def jsonl_round_trip(spark, sf_dir):
+    """Events written as JSON lines and read back by a set schema."""
+    path = f"{shared_dir(spark)}/ohmbridge/round-trip-jsonl"
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    sinks.as_json(e).write.mode("overwrite").text(path)
+    return files.read_jsonl(spark, path, e.schema).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("""SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'signup' GROUP BY user_id""")
+def first_per_key(spark, sf_dir):
+    s = sessions(spark, sf_dir).where("event_type = 'signup'")
+    return s.groupBy("user_id").agg(F.min_by("idx", F.struct("ts", "idx")).alias("event_id"))
+
+
+@query("""SELECT o_orderkey, coalesce(n_name, 'Unknown location') AS city FROM orders LEFT JOIN (SELECT c_nationkey AS nk, arg_max(c_mktsegment, c_custkey) AS n_name FROM customer GROUP BY 1) ON o_custkey % 30 = nk""")
+def activity_city(spark, sf_dir):
+    """Lookup of a site by a key that repeats: the last one holds, so nothing fans out."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("site"), F.col("c_mktsegment").alias("city"), "c_custkey")
+    last = kpis.last_site(c, "site", "c_custkey").select(F.col("site").alias("k"), "city")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 30).alias("site"))
+    return o.join(last, F.col("site").eqNullSafe(F.col("k")), "left").select("o_orderkey", F.coalesce("city", F.lit("Unknown location")).alias("city"))
+
+
+@query("""SELECT count(*) AS records_in, count(*) FILTER (WHERE c_acctbal < 0) AS flagged, round(avg(c_acctbal), 4) AS mean FROM customer""")
+def pipeline_totals(spark, sf_dir):
+    return table(spark, sf_dir, "customer").agg(F.count("*").alias("records_in"), F.count_if(F.col("c_acctbal") < 0).alias("flagged"), F.round(F.avg("c_acctbal"), 4).alias("mean"))
+
+
