@@ -4,12 +4,16 @@
    five samples become bucket keys; all samples fold into an odd sketch, a bitmap
    of the parity of how many samples fall on each of 1024 positions.
 2. Texts of equal shingle sets are one class, with its least doc_id for it.
-3. Within a bucket each class meets the first and the one before it (one sorted
-   pass, nothing is gathered). For buckets that then still hold classes of
-   several components, further rounds pair each class with the second and third,
-   the fourth to fifteenth, and so on, until all pairs of unlike components have
-   been met: a family of thousands of copies falls together after a linear number
-   of pairs, and nothing is capped.
+3. Each class of a bucket meets the bucket's hub, the class with the most
+   bucket-mates in all: for edited copies, that is the text they come from.
+   What links a family is found here, by one pair for each class and hub.
+   Links between classes of one hub that are still in different components are
+   then found without pairing the classes. With x' and y' the parts of x and y
+   outside the hub b, |x & y| <= min(|x & b|, |y & b|) + |x' & y'|, and a link
+   needs |x & y| >= 3/7 (|x| + |y|). So either the first term alone is enough,
+   which asks for y smaller than the hub, or x and y share a shingle outside it:
+   an equi-join on (hub, shingle), of only as many shingles of each class as must
+   hold a common one (prefix filtering). Nothing is capped and no link is lost.
 4. A pair whose sketches differ in so many bits that the estimate lies below
    ``SKETCH_LEAST`` is dropped: at similarity 0.75 that takes four standard
    deviations. All others are confirmed on full shingle sets.
@@ -134,6 +138,46 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def _across(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one hub and different components that may be linked.
+
+    ``named``: hub, id, n (set size), c (component), up (more central hubs). A
+    pair is sought under the most central hub that both have.
+    """
+    rows = named.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("x")), "hub").join(sets.select("id", F.col("shingles").alias("y")), "id").select("hub", "id", "n", "c", "up", "x", "y")
+
+    def run(batches):
+        for batch in batches:
+            both, own = [], []
+            for hub, mine in zip(batch.column(5), batch.column(6), strict=True):
+                x, y = np.frombuffer(hub.as_buffer(), np.uint64), np.frombuffer(mine.as_buffer(), np.uint64)
+                inside = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+                k = int(np.count_nonzero(inside))
+                # a partner has at least percent of this set, and shares so many shingles outside the hub
+                least = max(1, -(-percent * len(y) // 100) - k)
+                out = y[~inside]
+                both.append(k)
+                own.append(out[: max(0, len(out) - least + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(both, pa.int64()), pa.array(own, pa.list_(pa.int64()))], names=["hub", "id", "n", "c", "up", "k", "own"])
+
+    cut = common.materialize(rows.mapInArrow(run, "hub bigint, id bigint, n bigint, c bigint, up array<bigint>, k bigint, own array<bigint>"), "near-outside")
+    ordered = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+    near = F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")
+    first_hub = ~F.arrays_overlap("x.up", "y.up")
+    # a shared shingle outside the hub
+    own = cut.select("hub", "id", "n", "c", "up", F.explode("own").alias("g"))
+    open_ = own.groupBy("hub", "g").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("hub", "g")
+    own = common.materialize(own.join(open_, ["hub", "g"]), "near-shared")
+    by_own = own.alias("x").join(own.alias("y"), ["hub", "g"]).where(F.col("x.id") < F.col("y.id")).where((F.col("x.c") != F.col("y.c")) & near & first_hub).select(*ordered).distinct()
+    # or enough within the hub: sizes that a link allows lie in the same bin of logarithms or the next
+    width = math.log(100 / percent)
+    sized = cut.select("hub", "id", "n", "c", "up", "k", F.floor(F.log(F.col("n").cast("double")) / width).alias("bin"))
+    spread = sized.withColumn("at", F.explode(F.array("bin", F.col("bin") + 1)))
+    need = F.lit(100 + percent) * F.least("x.k", "y.k") >= F.lit(percent) * (F.col("x.n") + F.col("y.n"))
+    by_hub = spread.alias("x").join(sized.alias("y"), (F.col("x.hub") == F.col("y.hub")) & (F.col("x.at") == F.col("y.bin")) & (F.col("x.c") != F.col("y.c")) & need & near & first_hub & (F.col("x.id") != F.col("y.id"))).select(*ordered).distinct()
+    return by_own.unionByName(by_hub).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id reachable), kept.
 
@@ -150,13 +194,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = some.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "s1", "s2"), ["doc_id", "n_shingles", "s1", "s2"], "left_semi").select("doc_id", "n_shingles", "bands", "odd")
     rows = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     w = Window.partitionBy("key").orderBy("id")
-    placed = rows.select("key", "id", "n", F.row_number().over(w).alias("r"), F.first("id").over(w).alias("first"), F.first("n").over(w).alias("first_n"), F.lag("id").over(w).alias("prev"), F.lag("n").over(w).alias("prev_n"), F.lead("id").over(w).alias("next"))
-    members = common.materialize(placed.where("prev is not null or next is not null").drop("next"), "near-buckets")
-    near = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
-    ids = members.select("id").distinct()
+    placed = rows.select("key", "id", "n", F.lag("id").over(w).alias("prev"), F.lead("id").over(w).alias("next"))
+    shared = common.materialize(placed.where("prev is not null or next is not null").select("key", "id", "n"), "near-buckets")
+    mates = shared.join(shared.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("id").agg(F.sum("size").alias("mates"))
+    central = Window.partitionBy("key").orderBy(F.desc("mates"), "id")
+    placed = shared.join(mates, "id").select("key", "id", "n", F.first("id").over(central).alias("hub"), F.first("n").over(central).alias("hub_n"), F.first("mates").over(central).alias("hub_mates"))
+    placed = common.materialize(placed, "near-hubs")
+    ids = shared.select("id").distinct()
     sets = common.materialize(shingle_sets(docs.where("doc_id is not null").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
     odd = common.materialize(reps.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "odd"), "near-sketches")
     most = sketch_distance(SKETCH_LEAST)
+    near = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         both = pairs.join(odd.select(F.col("id").alias("a"), F.col("odd").alias("x")), "a").join(odd.select(F.col("id").alias("b"), F.col("odd").alias("y")), "b")
@@ -164,27 +212,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         close = common.materialize(both.where(differing <= most).select("a", "b"), name + "-close")
         return common.materialize(_confirm(close, sets, percent), name)
 
-    first = members.where("id <> first").where(near(F.col("n"), F.col("first_n"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
-    chain = members.where("prev <> first and id <> prev").where(near(F.col("n"), F.col("prev_n"))).select(F.col("prev").alias("a"), F.col("id").alias("b"))
-    found = links(first.unionByName(chain).distinct(), "near-links")
+    members = placed.where("id <> hub")
+    star = members.where(near(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    found = links(star.distinct(), "near-links")
     comp = common.materialize(components(found), "near-components")
-    lo, hi = 2, 4
-    active = members.select("key", "id", "n", "r")
-    whole = Window.partitionBy("key")
-    while True:
-        # classes below rank ``lo`` have met all others; of the rest, buckets that hold several components
-        named = active.where(F.col("r") >= lo).join(comp, "id", "left").select("key", "id", "n", "r", F.coalesce("component", "id").alias("c"))
-        marked = named.withColumns({"c0": F.min("c").over(whole), "c1": F.max("c").over(whole), "last": F.max("r").over(whole)})
-        active = common.materialize(marked.where((F.col("c0") < F.col("c1")) & (F.col("last") > lo + 1)).drop("c0", "c1", "last"), "near-active")
-        if active.isEmpty():
-            break
-        hub = active.where(F.col("r") < hi).select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("r").alias("ra"), F.col("c").alias("ca"))
-        pairs = active.join(hub, "key").where("r > ra + 1 and c <> ca and id <> a").where(near(F.col("n"), F.col("na"))).select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        more = links(pairs, "near-links")
-        active = active.select("key", "id", "n", "r")
-        if not more.isEmpty():
-            comp = common.materialize(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)), "near-components")
-        lo, hi = hi, hi * 4
+    # only buckets that hold classes of several components beside the hub can still have links
+    named = members.join(comp.select("id", "component"), "id", "left").select("key", "hub", "hub_mates", "id", "n", F.coalesce("component", "id").alias("c"))
+    named = common.materialize(named, "near-named")
+    mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("key")
+    open_ = named.join(mixed, "key").select("hub", "hub_mates", "id", "n", "c").distinct()
+    # a class has at most BANDS hubs; ``up`` lists those of its hubs that are more central than the row's
+    above = Window.partitionBy("id").orderBy(F.desc("hub_mates"), "hub").rowsBetween(Window.unboundedPreceding, -1)
+    named = open_.withColumn("up", F.collect_list("hub").over(above)).drop("hub_mates")
+    pairs = common.materialize(_across(named, sets, percent), "near-pairs")
+    more = links(pairs, "near-links")
+    if not more.isEmpty():
+        comp = common.materialize(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)), "near-components")
     name = classes.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = sig.select("doc_id", "n_shingles", "s1", "s2").join(name, ["n_shingles", "s1", "s2"], "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
