@@ -26,11 +26,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document of which no line is left goes; n_chars is that of the text left.
     """
-    rows = linededup.dedup_lines(docs)
-    rows = rows.where((F.col("n_dropped") == 0) | (F.length("kept") > 0))
-    changed = {"text": F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.col("kept"))}
+    kept, dropped = F.col("__kept"), F.col("__dropped")
+    rows = linededup.LineDedup.of(docs).apply(docs, ("__kept", "__lines", "__dropped"))
+    rows = rows.where((dropped == 0) | (F.length(kept) > 0))
+    changed = {"text": F.when(dropped == 0, F.col("text")).otherwise(kept)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.length("kept")).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(dropped == 0, F.col("n_chars")).otherwise(F.length(kept)).cast(docs.schema["n_chars"].dataType)
     return rows.withColumns(changed).select(*docs.columns)
 
 

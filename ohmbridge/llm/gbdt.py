@@ -164,21 +164,21 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fore
     return Forest.fit(x, table.column("quality").to_numpy().astype(np.float64))
 
 
-def _scorer(forest: Forest, make):
+def _scorer(forest: Forest, make, name: str = "score"):
     def run(batches):
         for batch in batches:
             score = forest.score(make(batch.column(batch.num_columns - 1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*batch.schema.names[:-1], name])
 
     return run
 
 
-def score_documents(docs: DataFrame, forest: Forest) -> DataFrame:
-    """``docs`` with ``score`` (double, 0 to 1) added, from whole texts alone."""
+def score_documents(docs: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
+    """``docs`` with ``name`` (double, 0 to 1) added, from whole texts alone; a column of that name is replaced."""
     common.tune(docs.sparkSession)
-    names = docs.columns
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "score double"])
-    return docs.select(*names, F.col("text").alias("__text")).mapInArrow(_scorer(forest, statistics), schema)
+    keep = [f for f in docs.schema.fields if f.name != name]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"`{name}` double"])
+    return docs.select(*(f"`{f.name}`" for f in keep), F.col("text").alias("__text")).mapInArrow(_scorer(forest, statistics, name), schema)
 
 
 def score_statistics(stats: DataFrame, forest: Forest) -> DataFrame:
@@ -192,9 +192,9 @@ def score_statistics(stats: DataFrame, forest: Forest) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score at least ``least`` by a model fitted on ``docs`` and ``labels``."""
+    """The rows of ``docs``, all their columns, that score at least ``least`` by a model fitted on ``docs`` and ``labels``."""
     stats = with_statistics(docs.where("doc_id is not null").join(labels.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
-    return score_documents(docs, fit(stats, labels)).where(F.col("score") >= least).select(*docs.columns)
+    return score_documents(docs, fit(stats, labels), "__score").where(F.col("__score") >= least).select(*docs.columns)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -239,12 +239,13 @@ class LineDedup:
         found = self.hits().join(self.live.select("h", "max_doc"), "h").where("doc_id < max_doc")
         return found.groupBy("doc_id").agg(F.collect_set("h").alias("drops"))
 
-    def apply(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``kept`` (the text left), n_lines and n_dropped added."""
+    def apply(self, docs: DataFrame, added: tuple[str, str, str] = ("kept", "n_lines", "n_dropped")) -> DataFrame:
+        """``docs`` with the text left, its lines before and the lines dropped added, under three names; columns of those names are replaced."""
+        docs = docs.drop(*added)
         drops = self.drops().select(F.col("doc_id").alias("__id"), F.col("drops").alias("__drops"))
         names = docs.columns
         rows = docs.join(drops, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "kept string, n_lines bigint, n_dropped bigint"])
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{added[0]}` string, `{added[1]}` bigint, `{added[2]}` bigint"])
         at_text = names.index("text")
 
         def run(batches):
@@ -261,7 +262,7 @@ class LineDedup:
                     else:
                         kept.append(text or "")
                         dropped.append(0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, "kept", "n_lines", "n_dropped"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, *added])
 
         return rows.mapInArrow(run, schema)
 
@@ -270,8 +271,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Drop repeated lines over all of ``docs``.
 
     Adds kept (string), n_lines and n_dropped (long) to the columns of ``docs``;
-    columns of those names and names that begin with two underscores must not be
-    there. A null or empty text is one empty line and stays empty. A row without
+    columns of those names are replaced, and names that begin with two underscores
+    must not be there. A null or empty text is one empty line and stays empty. A row without
     a doc_id counts for no key and loses no line. Rows that repeat a doc_id count
     once and keep or lose lines alike.
     """

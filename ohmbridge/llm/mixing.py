@@ -115,11 +115,11 @@ def _small(leaves: DataFrame) -> DataFrame:
 
 
 def with_copies(docs: DataFrame, domain: Column, made: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with __domain, __lang, __source, __tokens and ``copies``: how often the mixture takes each row."""
+    """``docs`` with __domain, __lang, __source, __tokens and __copies: how often the mixture takes each row."""
     leaf = _small(made.select(F.col("domain").alias("__domain"), F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.col("full").alias("__full"), F.col("last_key").alias("__last")))
     rows = with_leaves(docs, domain).join(leaf, ["__domain", "__lang", "__source"])
     more = F.coalesce(order_key(F.col("__full") + 1, seed) <= F.col("__last"), F.lit(False)).cast("long")
-    return rows.withColumn("copies", F.col("__full") + more).drop("__full", "__last")
+    return rows.withColumn("__copies", F.col("__full") + more).drop("__full", "__last")
 
 
 def mix(docs: DataFrame, budget: float, weights: dict[str, dict[str, float]], domain: Column | None = None, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
@@ -129,12 +129,12 @@ def mix(docs: DataFrame, budget: float, weights: dict[str, dict[str, float]], do
     a doc_id is ordered as if its id were empty. Rows of one id and leaf are
     taken together. Rows without words cost nothing and come and go with their
     place in the order; a leaf without words, like an empty table, gives nothing.
-    Columns named copies or beginning with two underscores must not be there.
+    Columns whose names begin with two underscores must not be there.
     """
     domain = domain_of(F.col("source")) if domain is None else domain
-    rows = with_copies(docs, domain, plan(docs, domain, budget, weights, epochs, seed), seed).where("copies > 0")
+    rows = with_copies(docs, domain, plan(docs, domain, budget, weights, epochs, seed), seed).where("__copies > 0")
     if epochs > 1:
-        rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
     return rows.select(*docs.columns)
 
 
@@ -145,7 +145,7 @@ def op2_mixing(spark, sf_dir) -> DataFrame:
     docs = common.documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
     domain = domain_of(F.col("source"))
     rows = with_copies(docs, domain, plan(docs, domain, 1.0, WEIGHTS))
-    return rows.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), F.col("__tokens").alias("n_tokens"), "copies")
+    return rows.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), F.col("__tokens").alias("n_tokens"), F.col("__copies").alias("copies"))
 
 
 def _share_sql(nodes: str, parent: str, child: str, name: str) -> str:
