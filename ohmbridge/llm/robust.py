@@ -167,7 +167,8 @@ def robust_outliers(stats: DataFrame, group: tuple[str, str] = ("lang", "source"
     ``stats``: what base_statistics gives, with the two group columns. Rows that
     base_failed() rejects take no part in the estimates. Null groups are groups
     of their own; groups too small for an estimate use a wider one; without
-    MIN_ROWS rows in all, nothing is an outlier and distances are null.
+    MIN_ROWS rows in all, and in groups none of whose rows pass, nothing is an
+    outlier and distances are null.
     """
     a, b = group
     rows = vectors(stats)
@@ -183,11 +184,11 @@ def robust_outliers(stats: DataFrame, group: tuple[str, str] = ("lang", "source"
         F.when(F.col("__n") >= MIN_ROWS, key(a, b)).when(F.col("__na") >= MIN_ROWS, key(a)).otherwise(F.lit("")).alias("__g"),
     )
     # a group's rows feed its own estimate, its language's and the one of all, as far as some group needs them
-    wide = {r[0] for r in own.select(F.when(F.col("__g") == "", 2).when(F.col("__g").contains("\u0001"), 0).otherwise(1)).distinct().collect()} | {2}
-    levels = F.array(*([key(a, b)] if 0 in wide else []), *([key(a)] if 1 in wide else []), F.lit(""))
+    wide = {r[0] for r in own.select(F.when(F.col("__g") == "", 2).when(F.col("__g").contains("\u0001"), 0).otherwise(1)).distinct().collect()}
+    levels = F.array(*([key(a, b)] if 0 in wide else []), *([key(a)] if 1 in wide else []), *([F.lit("")] if 2 in wide else []))
     feed = common.materialize(good.select(F.explode(levels).alias("__g"), *FEATURES), "mcd-rows")
     est = _steps(feed)
-    placed = rows.join(own, rows[a].eqNullSafe(F.col("__a")) & rows[b].eqNullSafe(F.col("__b")), "left").drop("__a", "__b").withColumn("__g", F.coalesce("__g", F.lit("")))
+    placed = rows.join(own, rows[a].eqNullSafe(F.col("__a")) & rows[b].eqNullSafe(F.col("__b")), "left").drop("__a", "__b")
     far = _distance(placed.join(est, "__g", "left"))
     drop = ["__g", "d2", *(f"m_{i}" for i in range(5)), *(f"z_{i}" for i in range(5)), *(f"l_{i}_{j}" for i in range(5) for j in range(i + 1))]
     return far.withColumns({"distance": F.col("d2"), "outlier": F.coalesce(F.col("d2") > CUT, F.lit(False))}).drop(*drop)
