@@ -11,7 +11,8 @@ EARTH_KM = 6371.0088
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance; infinite if a coordinate is missing."""
     half = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return F.coalesce(2 * EARTH_KM * F.asin(F.sqrt(F.least(half, F.lit(1.0)))), F.lit(float("inf")))
+    # least() would skip a null
+    return F.when(half.isNull(), F.lit(float("inf"))).otherwise(2 * EARTH_KM * F.asin(F.sqrt(F.least(half, F.lit(1.0)))))
 
 
 def in_box(lat: Column, lon: Column, box: dict) -> Column:

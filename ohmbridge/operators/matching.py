@@ -64,7 +64,7 @@ def blocking_keys() -> Column:
     """The keys of a reference, in order of strength."""
     words = F.split("name_norm", " ")
     named = F.col("name_norm") != ""
-    one = lambda c: F.format_number(c, "0.0")
+    one = lambda c: F.format_string("%.1f", c)
     keys = F.array(
         F.concat(F.lit("chg:"), "cid"), F.concat(F.lit("sid:"), "sid"),
         F.when((F.col("city_norm") != "") & (F.col("zip_norm") != ""), F.concat(F.lit("cityzip:"), "city_norm", F.lit("|"), "zip_norm")),
