@@ -29,7 +29,7 @@ from ohmbridge.llm import common
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of a worker's caches; they are emptied when full.
-CACHE = 700_000
+CACHE = 300_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -134,15 +134,18 @@ class TrieBpe:
                     at = fail[at]
                 fail[state] = goto.get(at << 8 | byte, 0)
             tails[state] += tails[fail[state]]
-        self.goto, self.fail, self.tails = goto, fail, tails
+        self.goto, self.fail, self.tails, self.steps = goto, fail, tails, dict(goto)
 
     def _step(self, state: int, byte: int) -> int:
-        """The next state, by failure links; kept, so that each is followed once."""
+        """The next state, by failure links; kept for a while, so that most are followed once."""
         at = state
         while at and (at << 8 | byte) not in self.goto:
             at = self.fail[at]
         out = self.goto.get(at << 8 | byte, 0)
-        self.goto[state << 8 | byte] = out
+        if len(self.steps) > len(self.goto) + CACHE:
+            self.steps.clear()
+            self.steps.update(self.goto)
+        self.steps[state << 8 | byte] = out
         return out
 
     def encode_words(self, found: list[bytes]) -> list[list[int]]:
@@ -155,7 +158,7 @@ class TrieBpe:
         """
         out: list[list[int]] = [[] for _ in found]
         last, states = [-1], [0]
-        goto, tails, joins, bytes_of = self.goto, self.tails, self.joins, self.bytes_of
+        steps, tails, joins, bytes_of = self.steps, self.tails, self.joins, self.bytes_of
         before = b""
         for n in sorted(range(len(found)), key=found.__getitem__):
             word = found[n]
@@ -169,7 +172,7 @@ class TrieBpe:
             state = states[depth]
             for byte in word[depth:]:
                 depth += 1
-                nxt = goto.get(state << 8 | byte)
+                nxt = steps.get(state << 8 | byte)
                 state = self._step(state, byte) if nxt is None else nxt
                 for token, size in tails[state]:
                     if size == depth:
