@@ -25,15 +25,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-FEATURES = ("word_length", "symbol_rate", "line_repeat", "word_repeat", "length")
+FEATURES = ("word_length", "symbol_rate", "line_repeat", "word_repeat", "variety", "length")
 #: Least standard deviation of each transformed statistic: narrower spreads of clean text are no reason to reject.
-FLOOR = {"word_length": 0.12, "symbol_rate": 0.08, "line_repeat": 0.08, "word_repeat": 0.08, "length": 0.8}
+FLOOR = {"word_length": 0.12, "symbol_rate": 0.04, "line_repeat": 0.2, "word_repeat": 0.15, "variety": 0.06, "length": 1.5}
 H = 0.75
 STEPS = 4
 #: Groups of fewer rows share their language's estimate, and languages of fewer rows the estimate of all.
 MIN_ROWS = 50
-#: Chi-squared quantiles for five statistics: 0.5 and 0.975, and the cut-off, the quantile 1 - 1e-9.
-CHI2_MEDIAN, CHI2_975, CUT = 4.3515, 12.8325, 50.0
+#: Chi-squared quantiles for six statistics: 0.5 and 0.975; and the cut-off, near the quantile 1 - 5e-6.
+CHI2_MEDIAN, CHI2_975, CUT = 5.3481, 14.4494, 35.0
 
 
 def _let(value: Column, body) -> Column:
@@ -80,11 +80,11 @@ def base_statistics(docs: DataFrame, *keep: str) -> DataFrame:
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
     return docs.select(
         *keep,
-        _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words"))).alias("__w"),
+        _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words"), F.size(F.array_distinct(w)).cast("long").alias("d"))).alias("__w"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"), F.size(x).cast("long").alias("n"))).alias("__l"),
-    ).select(*keep, F.col("__w.n_words").alias("n_words"), "word_chars", "n_symbols", F.col("__l.dup").alias("n_dup_lines"), F.col("__w.n_repeat_words").alias("n_repeat_words"), F.col("__l.n").alias("n_lines"))
+    ).select(*keep, F.col("__w.n_words").alias("n_words"), "word_chars", "n_symbols", F.col("__l.dup").alias("n_dup_lines"), F.col("__w.n_repeat_words").alias("n_repeat_words"), F.col("__l.n").alias("n_lines"), F.col("__w.d").alias("n_distinct_words"))
 
 
 def base_failed() -> Column:
@@ -103,6 +103,7 @@ def vectors(stats: DataFrame) -> DataFrame:
         "symbol_rate": _grid(F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)))),
         "line_repeat": _grid(F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)))),
         "word_repeat": _grid(F.sqrt(F.col("n_repeat_words") / some)),
+        "variety": _grid(F.log1p("n_distinct_words") / F.log1p(some)),
         "length": _grid(F.log1p(F.col("n_words"))),
     })
 
@@ -190,7 +191,7 @@ def robust_outliers(stats: DataFrame, group: tuple[str, str] = ("lang", "source"
     est = _steps(feed)
     placed = rows.join(own, rows[a].eqNullSafe(F.col("__a")) & rows[b].eqNullSafe(F.col("__b")), "left").drop("__a", "__b")
     far = _distance(placed.join(est, "__g", "left"))
-    drop = ["__g", "d2", *(f"m_{i}" for i in range(5)), *(f"z_{i}" for i in range(5)), *(f"l_{i}_{j}" for i in range(5) for j in range(i + 1))]
+    drop = ["__g", "d2", *(f"m_{i}" for i in range(len(FEATURES))), *(f"z_{i}" for i in range(len(FEATURES))), *(f"l_{i}_{j}" for i in range(len(FEATURES)) for j in range(i + 1))]
     return far.withColumns({"distance": F.col("d2"), "outlier": F.coalesce(F.col("d2") > CUT, F.lit(False))}).drop(*drop)
 
 

@@ -276,15 +276,15 @@ def test_mcd_equals_numpy(spark):
     """The last estimate's distances, against the same steps in numpy."""
     rng = np.random.default_rng(0)
     n = 400
-    stats = [(i, "en", "s", int(w), int(w * c), int(s), 0, int(r), 5) for i, (w, c, s, r) in enumerate(zip(rng.integers(30, 400, n), rng.uniform(4, 7, n), rng.poisson(2, n), rng.integers(0, 3, n), strict=True))]
-    df = spark.createDataFrame(stats, "doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint")
+    stats = [(i, "en", "s", int(w), int(w * c), int(s), 0, int(r), 5, int(w * 0.8)) for i, (w, c, s, r) in enumerate(zip(rng.integers(30, 400, n), rng.uniform(4, 7, n), rng.poisson(2, n), rng.integers(0, 3, n), strict=True))]
+    df = spark.createDataFrame(stats, "doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_distinct_words bigint")
     got = np.array([r.distance for r in robust.robust_outliers(df).orderBy("doc_id").collect()])
     v = np.array([[getattr(r, f) for f in robust.FEATURES] for r in robust.vectors(df).orderBy("doc_id").collect()])
     floor = np.array([robust.FLOOR[f] for f in robust.FEATURES])
 
     def factor(c):
-        low = np.zeros((5, 5))
-        for i in range(5):
+        low = np.zeros((6, 6))
+        for i in range(6):
             for j in range(i):
                 low[i, j] = (c[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
             low[i, i] = np.sqrt(max(c[i, i] - low[i, :i] @ low[i, :i], floor[i] ** 2))
