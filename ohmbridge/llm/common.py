@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch carries to Python; texts are long, so few rows keep a batch to some MB.
-ARROW_ROWS = 1000
+from ohmbridge.storage import materialize, shared_dir  # noqa: F401
+
+#: Rows and bytes that one Arrow batch carries to Python; texts are long, so few rows keep a batch to some MB.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def tune(spark: SparkSession) -> None:
@@ -17,30 +16,9 @@ def tune(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > ARROW_ROWS:
         spark.conf.set(key, ARROW_ROWS)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where neither that setting nor a checkpoint folder is there (tests in
-    local mode), a temporary folder is made and set.
-    """
-    set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not set_dir:
-        set_dir = "file://" + tempfile.mkdtemp(prefix="ohmbridge-")
-        spark.sparkContext.setCheckpointDir(set_dir)
-    return set_dir.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again.
-
-    Cuts the lineage: the rows survive the loss of any executor.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ohmbridge/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "67108864b") == "67108864b":
+        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,15 +5,12 @@
    of the parity of how many samples fall on each of 1024 positions.
 2. Texts of equal shingle sets are one class, with its least doc_id for it.
 3. Each class of a bucket meets the bucket's hub, the class with the most
-   bucket-mates in all: for edited copies, that is the text they come from.
-   What links a family is found here, by one pair for each class and hub.
-   Links between classes of one hub that are still in different components are
-   then found without pairing the classes. With x' and y' the parts of x and y
-   outside the hub b, |x & y| <= min(|x & b|, |y & b|) + |x' & y'|, and a link
-   needs |x & y| >= 3/7 (|x| + |y|). So either the first term alone is enough,
-   which asks for y smaller than the hub, or x and y share a shingle outside it:
-   an equi-join on (hub, shingle), of only as many shingles of each class as must
-   hold a common one (prefix filtering). Nothing is capped and no link is lost.
+   bucket-mates in all: for edited copies, that is the text they come from. What
+   links a family is found here, by one pair for each class and hub. Only buckets
+   that then still hold several components are looked at again: the classes of a
+   hub are packed into blocks of ``BLOCK_BYTES``, sorted by component, and blocks
+   meet each other; sketches and then full sets are compared within the task, and
+   only links leave it. Nothing is capped and no link is lost.
 4. A pair whose sketches differ in so many bits that the estimate lies below
    ``SKETCH_LEAST`` is dropped: at similarity 0.75 that takes four standard
    deviations. All others are confirmed on full shingle sets.
@@ -33,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ohmbridge.llm import common, textkernel as tk
-from ohmbridge.llm.components import components
+from ohmbridge.operators.graph import connected_components as components
 
 SIZE = 5
 BANDS, ROWS = 48, 5
@@ -119,6 +116,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "id bigint, shingles binary")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int(np.count_nonzero(y[at] == x))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
@@ -127,55 +133,65 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int(np.count_nonzero(y[at] == x))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+                ok.append(_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _across(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one hub and different components that may be linked.
+#: A block's sets, with 8 KiB counted for each class besides: 256 classes at most.
+BLOCK_BYTES = 2 << 20
+
+
+def _block_links(named: DataFrame, sets: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of one hub that are in different components.
 
     ``named``: hub, id, n (set size), c (component), up (more central hubs). A
-    pair is sought under the most central hub that both have.
+    pair is compared under the most central hub that both have.
     """
-    rows = named.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("x")), "hub").join(sets.select("id", F.col("shingles").alias("y")), "id").select("hub", "id", "n", "c", "up", "x", "y")
+    # the set sizes alone decide the blocks; one pass over a hub's ids in order
+    place = Window.partitionBy("hub").orderBy("c", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = named.withColumn("block", F.floor(F.sum(F.col("n") * 8 + 8192).over(place) / BLOCK_BYTES))
+    full = cut.join(sets, "id").join(odd, "id")
+    # a single set can be larger than a block; then it is a block of its own
+    blocks = full.groupBy("hub", "block").agg(F.collect_list(F.struct("id", "c", "n", "up", "shingles", "odd")).alias("rows"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+    blocks = common.materialize(blocks, "near-blocks")
+    x, y = blocks.select("hub", *(F.col(k).alias(f"x_{k}") for k in ("block", "rows", "c0", "c1"))), blocks.select("hub", *(F.col(k).alias(f"y_{k}") for k in ("block", "rows", "c0", "c1")))
+    apart = (F.col("x_block") <= F.col("y_block")) & ((F.col("x_c0") != F.col("y_c1")) | (F.col("x_c1") != F.col("y_c0")))
+    # few block pairs in a batch: each may hold some MB
+    pairs = x.join(y, "hub").where(apart).select("x_rows", "y_rows", (F.col("x_block") == F.col("y_block")).alias("same"))
+    most = sketch_distance(SKETCH_LEAST)
+
+    def unpack(rows: pa.Array, n: int):
+        r = rows.slice(n, 1).flatten()
+        odd = r.field("odd").flatten().to_numpy(zero_copy_only=False).reshape(len(r), -1).view(np.uint64)
+        sets_ = [np.frombuffer(v.as_buffer(), np.uint64) for v in r.field("shingles")]
+        return r.field("id").to_numpy(), r.field("c").to_numpy(), r.field("n").to_numpy(), [set(v) for v in r.field("up").to_pylist()], sets_, odd
 
     def run(batches):
         for batch in batches:
-            both, own = [], []
-            for hub, mine in zip(batch.column(5), batch.column(6), strict=True):
-                x, y = np.frombuffer(hub.as_buffer(), np.uint64), np.frombuffer(mine.as_buffer(), np.uint64)
-                inside = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
-                k = int(np.count_nonzero(inside))
-                # a partner has at least percent of this set, and shares so many shingles outside the hub
-                least = max(1, -(-percent * len(y) // 100) - k)
-                out = y[~inside]
-                both.append(k)
-                own.append(out[: max(0, len(out) - least + 1)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(both, pa.int64()), pa.array(own, pa.list_(pa.int64()))], names=["hub", "id", "n", "c", "up", "k", "own"])
-
-    cut = common.materialize(rows.mapInArrow(run, "hub bigint, id bigint, n bigint, c bigint, up array<bigint>, k bigint, own array<bigint>"), "near-outside")
-    ordered = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
-    near = F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")
-    first_hub = ~F.arrays_overlap("x.up", "y.up")
-    # a shared shingle outside the hub
-    own = cut.select("hub", "id", "n", "c", "up", F.explode("own").alias("g"))
-    open_ = own.groupBy("hub", "g").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("hub", "g")
-    own = common.materialize(own.join(open_, ["hub", "g"]), "near-shared")
-    by_own = own.alias("x").join(own.alias("y"), ["hub", "g"]).where(F.col("x.id") < F.col("y.id")).where((F.col("x.c") != F.col("y.c")) & near & first_hub).select(*ordered).distinct()
-    # or enough within the hub: sizes that a link allows lie in the same bin of logarithms or the next
-    width = math.log(100 / percent)
-    sized = cut.select("hub", "id", "n", "c", "up", "k", F.floor(F.log(F.col("n").cast("double")) / width).alias("bin"))
-    spread = sized.withColumn("at", F.explode(F.array("bin", F.col("bin") + 1)))
-    need = F.lit(100 + percent) * F.least("x.k", "y.k") >= F.lit(percent) * (F.col("x.n") + F.col("y.n"))
-    by_hub = spread.alias("x").join(sized.alias("y"), (F.col("x.hub") == F.col("y.hub")) & (F.col("x.at") == F.col("y.bin")) & (F.col("x.c") != F.col("y.c")) & need & near & first_hub & (F.col("x.id") != F.col("y.id"))).select(*ordered).distinct()
-    return by_own.unionByName(by_hub).distinct()
+            a, b = [], []
+            for n in range(batch.num_rows):
+                i1, c1, n1, u1, s1, o1 = unpack(batch.column(0), n)
+                i2, c2, n2, u2, s2, o2 = unpack(batch.column(1), n)
+                same = batch.column(2)[n].as_py()
+                for k in range(len(i1)):
+                    ok = (c2 != c1[k]) & (100 * np.minimum(n2, n1[k]) >= percent * np.maximum(n2, n1[k]))
+                    if same:
+                        ok[: k + 1] = False
+                    at = np.flatnonzero(ok)
+                    if not len(at):
+                        continue
+                    at = at[np.bitwise_count(o2[at] ^ o1[k]).sum(1) <= most]
+                    for j in at.tolist():
+                        if u1[k] & u2[j]:
+                            continue
+                        if _similar(s1[k], s2[j], percent):
+                            a.append(min(i1[k], i2[j]))
+                            b.append(max(i1[k], i2[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -224,8 +240,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # a class has at most BANDS hubs; ``up`` lists those of its hubs that are more central than the row's
     above = Window.partitionBy("id").orderBy(F.desc("hub_mates"), "hub").rowsBetween(Window.unboundedPreceding, -1)
     named = open_.withColumn("up", F.collect_list("hub").over(above)).drop("hub_mates")
-    pairs = common.materialize(_across(named, sets, percent), "near-pairs")
-    more = links(pairs, "near-links")
+    more = common.materialize(_block_links(named, sets, odd, percent), "near-links")
     if not more.isEmpty():
         comp = common.materialize(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)), "near-components")
     name = classes.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("component"))

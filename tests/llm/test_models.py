@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ohmbridge.llm import automaton, gbdt, hmm, jpeg, langid, mixing, secrets, textkernel as tk
-from ohmbridge.llm.components import components
+from ohmbridge.operators.graph import connected_components as components
 
 sys.path.insert(0, os.path.dirname(__file__))
 from jpeg_encoder import encode  # noqa: E402
