@@ -140,3 +140,14 @@ def catalog(override: dict | str | None = None) -> dict:
 
             override = yaml.safe_load(text) or {}
     return merged(copy.deepcopy(DEFAULT), override or {})
+
+
+def problems(cat: dict) -> list[str]:
+    """What is wrong with a catalog, before any record is read."""
+    out = [f"rule {r.get('code')}: no {k}" for r in cat["rules"] for k in ("code", "check", "severity") if not r.get(k)]
+    out += [f"rule {r['code']}: unknown severity {r['severity']}" for r in cat["rules"] if r.get("severity") and r["severity"] not in cat["weights"]]
+    out += [f"synonyms of {f}: {name} is no member" for f, table in cat["synonyms"].items() for name in table if name not in cat["enums"].get(f, [])]
+    box = cat["territory"]
+    out += ["territory: bounds are reversed"] if box["min_lat"] > box["max_lat"] or box["min_lon"] > box["max_lon"] else []
+    out += [f"weight {k}: not from 0 to 1" for k, v in cat["weights"].items() if not 0 <= v <= 1]
+    return out

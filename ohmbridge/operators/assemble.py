@@ -104,6 +104,7 @@ def ports(features: DataFrame, at: str) -> DataFrame:
 
 
 def maintenance(found: DataFrame, at: str) -> DataFrame:
-    """Records of what operators.extract.events() found."""
-    out = found.withColumns({"record_type": F.lit("maintenance"), "provenance": _provenance(REPORT_SOURCE, F.col("file"), at), "quality": _quality(F.col("confidence"))})
+    """Records of what operators.extract found; ``issues`` of the finder go with them."""
+    issues = F.col("issues") if "issues" in found.columns else None
+    out = found.withColumns({"record_type": F.lit("maintenance"), "provenance": _provenance(REPORT_SOURCE, F.col("file"), at), "quality": _quality(F.col("confidence"), issues)})
     return _shaped(out, "maintenance")

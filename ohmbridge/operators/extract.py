@@ -117,3 +117,44 @@ def events(reports: DataFrame) -> DataFrame:
         confidence(F.col("station").isNotNull(), F.col("structured") | F.col("date").isNotNull(), F.col("severity").isNotNull(), F.col("structured")).alias("confidence"),
     )
     return digest.unionByName(single)
+
+
+EVENT_SCHEMA = "file string, index int, event_id string, event_date string, event_type string, severity string, station_name string, description string, extracted_fields map<string,string>, confidence double"
+
+
+def events_by(reports: DataFrame, parse) -> DataFrame:
+    """Events by an outside parser, with ``issues``; the patterns above take over where it fails.
+
+    ``parse(text, file)`` gives a list of mappings with event_date, event_type,
+    severity, station_name, description, extracted_fields and confidence. It runs
+    on executors, a batch of reports at a time. A report on which it raises, or of
+    which it gives nothing usable, is read by events() and marked llm_fallback.
+    """
+    import hashlib
+
+    import pandas as pd
+
+    types, severities = {"INSPECTION", "REPAIR", "FAULT", "INSTALL", "COMPLAINT", "OTHER"}, {"INFO", "MINOR", "MAJOR", "SAFETY"}
+    columns = [c.split(" ")[0] for c in EVENT_SCHEMA.replace("map<string,string>", "map").split(", ")]
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for file, said in zip(pdf["file"], pdf["text"], strict=True):
+                try:
+                    found = [e for e in parse(said or "", file) if e.get("description")]
+                except Exception:
+                    found = []
+                for i, e in enumerate(found):
+                    key = f"{file}#{i}#{e.get('station_name') or ''}"
+                    out.append([file, i, "maint-" + hashlib.sha1(key.encode()).hexdigest()[:12], e.get("event_date"), e["event_type"] if e.get("event_type") in types else "OTHER", e["severity"] if e.get("severity") in severities else None,
+                                e.get("station_name"), e["description"], {k: str(v) for k, v in (e.get("extracted_fields") or {}).items()}, float(e.get("confidence", 0.5))])
+            yield pd.DataFrame(out, columns=columns)
+
+    from ohmbridge.storage import materialize
+
+    # the parser is costly and may not say the same thing twice: its answers are written once
+    good = materialize(reports.select("file", "text").mapInPandas(run, EVENT_SCHEMA), "parsed-events")
+    rest = events(reports.join(good.select("file").distinct(), "file", "left_anti"))
+    none = F.array().cast("array<string>")
+    return good.withColumn("issues", none).unionByName(rest.withColumn("issues", F.array(F.lit("llm_fallback"))))

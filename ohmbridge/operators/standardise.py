@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ohmbridge import config, schemas
 from ohmbridge.functions import text, time
@@ -149,11 +151,29 @@ def _derive(df: DataFrame, kind: str, cat: dict) -> DataFrame:
     return fixes.apply(df)
 
 
-def clean(df: DataFrame, kind: str, cat: dict | None = None) -> DataFrame:
+def _repaired(df: DataFrame, kind: str, cat: dict, repair) -> DataFrame:
+    """Values of enum fields that no synonym resolved, as ``repair`` reads them; what is no member is not taken."""
+    def reader(field: str, members: list[str]):
+        def read(values: pd.Series) -> pd.Series:
+            return pd.Series([repair(field, v, members) if v is not None else None for v in values], dtype=object)
+
+        return F.pandas_udf(read, T.StringType())
+
+    fixes = _Fixes()
+    for name in schemas.KINDS[kind]:
+        members = cat["enums"][name]
+        old = F.col(name)
+        said = reader(name, members)(F.when(old.isNotNull() & ~old.isin(members), old))
+        fixes.set(name, F.when(said.isin(members), said).otherwise(old), "repair")
+    return fixes.apply(df)
+
+
+def clean(df: DataFrame, kind: str, cat: dict | None = None, repair=None) -> DataFrame:
     """Raw records of one type to validated records: standardise, derive, judge, stash, score.
 
     Adds ``quarantined`` (boolean); nothing is dropped. Columns beyond the raw
-    schema pass through, and missing ones count as null.
+    schema pass through, and missing ones count as null. ``repair(field, value,
+    members)`` may name a member for an enum value that no synonym resolves.
     """
     cat = cat or config.catalog()
     have = set(df.columns)
@@ -162,6 +182,8 @@ def clean(df: DataFrame, kind: str, cat: dict | None = None) -> DataFrame:
             df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
     df = df.withColumn("__fixes", F.array().cast("array<string>"))
     df = _derive(_values(_trim(df, kind), kind, cat), kind, cat)
+    if repair is not None and schemas.KINDS[kind]:
+        df = _repaired(df, kind, cat, repair)
     df = df.withColumn("__issues", rules.issues(cat, kind))
     codes = F.col("__issues")
     confidence = F.when(F.abs("quality.score") < float("inf"), F.col("quality.score"))

@@ -44,6 +44,8 @@ def _read(spark: SparkSession, path: str, tier: str) -> dict:
 def run(spark: SparkSession, a: argparse.Namespace) -> dict:
     at = a.ingested_at or datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
     made: dict = {}
+    if wrong := config.problems(config.catalog(a.rules)):
+        raise ValueError("; ".join(wrong))
     if a.stage == "run":
         out = pipeline.Run(spark, a.source, a.out, at, rules=a.rules, resume=not a.no_resume).execute()
         n = out["reconciliation"]

@@ -126,3 +126,15 @@ def test_unknown_text_gives_one_event(spark):
     got = extract.events(spark.createDataFrame([("x.txt", "nothing to see"), ("y_install.txt", ""), ("z.txt", None)], "file string, text string")).orderBy("file").collect()
     assert [(r.event_type, r.severity, r.confidence) for r in got] == [("OTHER", None, 0.5), ("INSTALL", None, 0.5), ("OTHER", None, 0.5)]
     assert assemble.REPORT_SOURCE == "contractor"
+
+
+def test_outside_parser_falls_back(spark):
+    def parse(said, file):
+        if "bad" in file:
+            raise RuntimeError
+        return [{"description": said, "event_type": "REPAIR", "severity": "odd", "extracted_fields": {"n": 1}}]
+
+    df = spark.createDataFrame([("good.txt", "latch broken"), ("bad.txt", "urgent fault")], "file string, text string")
+    got = {r.provenance.source_file: r for r in assemble.maintenance(extract.events_by(df, parse), AT).collect()}
+    assert (got["good.txt"].event_type, got["good.txt"].severity, got["good.txt"].extracted_fields, got["good.txt"].quality.issues) == ("REPAIR", None, {"n": "1"}, [])
+    assert (got["bad.txt"].event_type, got["bad.txt"].severity, got["bad.txt"].quality.issues) == ("FAULT", "SAFETY", ["llm_fallback"])

@@ -94,3 +94,20 @@ def test_validation_stream_equals_batch(spark, tmp_path):
     q = intake.validate_stream(intake.raw_stream(spark, str(src), "charger"), "charger", str(out), str(tmp_path / "cp"))
     q.awaitTermination()
     assert sorted(r.power_kw for r in spark.read.parquet(str(out)).collect()) == [7.0, 8.0]
+
+
+def test_repair_hook(spark):
+    def repair(field, value, members):
+        return {"catastrophic": "SAFETY", "bad": "NOT A MEMBER"}.get(value)
+
+    rows = [{"event_id": str(i), "description": "x", "severity": v} for i, v in enumerate(["catastrophic", "bad", "minor", None])]
+    full = [{**{f: None for f in schemas.raw("maintenance").names}, "record_type": "maintenance", "provenance": PROV, **r} for r in rows]
+    got = {r.event_id: r for r in standardise.clean(spark.createDataFrame(full, schemas.raw("maintenance")), "maintenance", repair=repair).collect()}
+    assert [got[str(i)].severity for i in range(4)] == ["SAFETY", None, "MINOR", None] and got["1"].raw_severity == "bad"
+    assert "repair:severity:catastrophic→SAFETY" in got["0"].quality.fixes_applied
+
+
+def test_catalog_problems():
+    assert config.problems(config.catalog()) == []
+    bad = config.catalog({"territory": {"min_lat": 90}, "weights": {"MAJOR": 3}, "synonyms": {"level": {"L9": ["x"]}}, "rules": [{"code": "a", "check": "range"}]})
+    assert len(config.problems(bad)) == 4
