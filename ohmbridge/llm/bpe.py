@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from ohmbridge.llm import common
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries of a worker's caches; they are emptied when full.
-CACHE = 300_000
+#: Entries of each of a worker's caches. When a half is full, it becomes the old half: what is met again moves to the new one, the rest goes.
+CACHE = 500_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -71,6 +71,8 @@ class TrieBpe:
         self.joins: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_known: dict[str, bytes] = {}
         self.split = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.blanks = regex.compile(r"\s  |\s $")
@@ -219,12 +221,15 @@ class TrieBpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of pieces that the cache lacks into it."""
-        if len(self.pieces) + len(pieces) > CACHE:
-            self.pieces.clear()
+        old = self.old_pieces
+        self.pieces.update({p: old[p] for p in pieces if p in old})
         new = {p: self.split.findall(p) for p in pieces if p not in self.pieces}
-        if len(self.known) > CACHE:
-            self.known.clear()
-        todo = list({w for found in new.values() for w in found} - self.known.keys())
+        words = {w for found in new.values() for w in found}
+        if len(self.known) + len(words) > CACHE // 2:
+            self.old_known, self.known = self.known, {}
+        old = self.old_known
+        self.known.update({w: old[w] for w in words if w in old})
+        todo = list(words - self.known.keys())
         for w, got in zip(todo, self.encode_words([w.encode("utf-8", "surrogatepass") for w in todo]), strict=True):
             self.known[w] = np.array(got, "<u4").tobytes()
         known = self.known
@@ -259,13 +264,12 @@ class TrieBpe:
                     need.update(got)
                     parts.append(got)
             cut_plans.append(parts)
-        need -= self.pieces.keys()
-        local = None
-        if need:
-            if len(self.pieces) + len(need) > CACHE:
+        missing = need - self.pieces.keys()
+        if missing:
+            if len(self.pieces) + len(missing) > CACHE // 2:
                 # all pieces of this batch must be there at once
-                need = {p for parts in cut_plans for got in parts if not isinstance(got, int) for p in got}
-            self.learn(need)
+                self.old_pieces, self.pieces, missing = self.pieces, {}, need
+            self.learn(missing)
         local = self.pieces
         for parts in cut_plans:
             out.append(b"".join([np.uint32(x).astype("<u4").tobytes() if isinstance(x, int) else b"".join([local[p] for p in x]) for x in parts]))
