@@ -7,18 +7,14 @@ from pyspark.sql import functions as F
 
 from ohmbridge.storage import materialize, shared_dir  # noqa: F401
 
-#: Rows and bytes that one Arrow batch carries to Python; texts are long, so few rows keep a batch to some MB.
-ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
-
+#: Rows that one Arrow batch carries to Python; texts are long, so few rows keep a batch to some MB.
+ARROW_ROWS = 1000
 
 def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small; a smaller setting of the session stays."""
+    """Keep Arrow batches of whole texts small; a smaller setting of the session stays. Spark bounds their bytes."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > ARROW_ROWS:
         spark.conf.set(key, ARROW_ROWS)
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "67108864b") == "67108864b":
-        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,7 +203,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts, each goes with its own text. Columns other than doc_id and text are
     not read.
     """
-    spark = docs.sparkSession
     sig = common.materialize(signatures(docs), "near-signatures")
     some = sig.where("n_shingles > 0 and doc_id is not null")
     classes = common.materialize(some.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep")), "near-classes")
