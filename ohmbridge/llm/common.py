@@ -10,6 +10,7 @@ from ohmbridge.storage import materialize, shared_dir  # noqa: F401
 #: Rows that one Arrow batch carries to Python; texts are long, so few rows keep a batch to some MB.
 ARROW_ROWS = 1000
 
+
 def tune(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small; a smaller setting of the session stays. Spark bounds their bytes."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
