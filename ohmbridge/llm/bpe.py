@@ -9,9 +9,11 @@ without a merge across the boundary that byte-pair encoding would have made
 earlier. Each prefix that several words share is computed once. A word's ids are
 then read by stepping from its node to where each last token starts.
 
-Texts are cut at the added tokens, then into pieces at single spaces, where the
-pre-tokenisation pattern never looks across; a piece's ids are kept in a bounded
-cache of the worker, which changes no result.
+Texts are cut at the added tokens, then into pieces at single spaces. The
+pre-tokenisation pattern looks across a space only where whitespace or the end
+follows one that stands behind whitespace; texts with such a space are split by
+the pattern itself. A piece's ids are kept in a bounded cache of the worker, which
+changes no result.
 """
 
 from __future__ import annotations
@@ -75,7 +77,7 @@ class TrieBpe:
         self.old_known: dict[str, bytes] = {}
         self.split = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        self.blanks = regex.compile(r"\s  |\s $")
+        self.blanks = regex.compile(r"\s \s|\s $")
 
     def stands(self, a: int, b: int) -> bool:
         """Whether byte-pair encoding leaves the boundary between tokens a and b.

@@ -73,6 +73,15 @@ def test_bpe_equals_the_library(tokenizer):
         assert own.decode(mine) == tokenizer.decode(ref.ids, skip_special_tokens=False)
 
 
+def test_bpe_blanks_beside_other_whitespace_equal_the_library(tokenizer):
+    random.seed(5)
+    parts = ["a", " ", " ", "\u00a0", "\u00a0", "\n", "\t", "\u3000", "b!", "7"]
+    texts = ["a \u00a0 \u00a0 b", "a \u00a0 \u00a0", "a \u00a0 \u00a0 \u00a0b"] + ["".join(random.choice(parts) for _ in range(random.randrange(16))) for _ in range(3000)]
+    own = bpe.TrieBpe(bpe.vocabulary_path())
+    for mine, ref in zip(own.encode_batch(texts), tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(mine, "<u4").tolist() == ref.ids
+
+
 def test_bpe_cache_does_not_change_results(tokenizer, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 20)
     own = bpe.TrieBpe(bpe.vocabulary_path())
