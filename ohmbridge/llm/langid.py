@@ -1,9 +1,10 @@
 """Language ID: interpolated Kneser-Ney character models, one for each language.
 
-Characters fold to 256 symbols: lower-cased letters of the Latin blocks one by
-one, other letters by block, digits to one symbol, runs of anything else to one
-space. Counts of four-symbol windows are gathered over all training texts; lower
-orders follow from them as continuation counts. A model is one sorted array of
+Characters become 16-bit symbols: each lower-cased letter and each combining mark
+is its own UTF-16 unit or, beyond U+FFFF, its own pair of units; digits fold to one
+symbol, runs of anything else to one space. Counts of four-symbol windows are
+gathered over all training texts; lower orders follow from them as continuation
+counts. A model is one sorted array of
 64-bit hashes of n-grams of all orders, with each n-gram's discounted share and,
 as a context, the mass that it leaves to shorter contexts. A text goes to the
 language of lowest cross-entropy per symbol. It is *rejected* if that entropy lies
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from ohmbridge.llm import common, textkernel as tk
 
 ORDER = 4
+#: Bits of a symbol of the models; those of 8 bits are the folded ones of ``fold_tables``.
+BITS = 16
 SYMBOLS = 256
 #: n-grams of all languages that the model may hold: it is collected and broadcast. Beyond that, the rarest go.
 MAX_GRAMS = 12_000_000
@@ -57,16 +60,32 @@ def fold_tables() -> tuple[np.ndarray, np.ndarray]:
     return symbol, letter
 
 
-def windows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes of four-symbol windows, their offsets per text, whether each text has a letter)."""
+@lru_cache(maxsize=1)
+def letter_tables() -> tuple[np.ndarray, np.ndarray]:
+    """(lower-cased code point of each letter and mark, 1 for digits, 0 for the rest; whether it is a letter)."""
+    cps = np.arange(0x110000)
+    kind = np.array([unicodedata.category(chr(c)) for c in cps])
+    letter = np.char.startswith(kind, "L")
+    symbol = np.zeros(len(cps), np.uint32)
+    symbol[kind == "Nd"] = 1
+    for c in np.flatnonzero(letter | np.char.startswith(kind, "M")).tolist():
+        low = chr(c).lower()
+        symbol[c] = ord(low) if len(low) == 1 else c
+    symbol[0x130] = ord("i")
+    return symbol, letter
+
+
+def windows(column: pa.Array, bits: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes of windows of four symbols of ``bits`` bits, their offsets per text, whether each text has a letter)."""
+    kind = np.uint32 if bits == 8 else np.uint64
     buf, off = tk.string_buffer(column)
     n = len(off) - 1
     if not len(buf):
-        return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64), np.zeros(n, bool)
+        return np.zeros(0, kind), np.zeros(n + 1, np.int64), np.zeros(n, bool)
     lead = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))
     at = lead[off]
     cps = np.frombuffer(buf.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbol, letter = fold_tables()
+    symbol, letter = fold_tables() if bits == 8 else letter_tables()
     run = np.concatenate(([0], np.cumsum(letter[cps])))
     s = symbol[cps]
     keep = s != 0
@@ -74,15 +93,22 @@ def windows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = at[:-1][np.diff(at) > 0]
     keep[starts] = True
     kept = np.concatenate(([0], np.cumsum(keep)))[at]
-    s = s[keep].astype(np.uint32)
+    s = s[keep].astype(kind)
+    far = s > 0xFFFF
+    if far.any():
+        # letters beyond U+FFFF are two units
+        place = np.concatenate(([0], np.cumsum(1 + far)))
+        v, s = s[far] - kind(0x10000), np.repeat(s, 1 + far)
+        s[place[:-1][far]], s[place[:-1][far] + 1] = kind(0xD800) + (v >> kind(10)), kind(0xDC00) + (v & kind(0x3FF))
+        kept = place[kept]
     # a text's symbols, with ORDER - 1 spaces before and one after
     size = np.diff(kept)
     out_off = np.concatenate(([0], np.cumsum(size + ORDER)))
-    padded = np.zeros(out_off[-1], np.uint32)
+    padded = np.zeros(out_off[-1], kind)
     padded[np.arange(len(s)) + np.repeat(out_off[:-1] + ORDER - 1 - kept[:-1], size)] = s
     code = padded[ORDER - 1 :].copy()
     for k in range(1, ORDER):
-        code |= padded[ORDER - 1 - k : len(padded) - k] << np.uint32(8 * k)
+        code |= padded[ORDER - 1 - k : len(padded) - k] << kind(bits * k)
     # windows that end on a text's symbols or on its closing space
     ends = np.ones(len(padded), bool)
     for k in range(ORDER - 1):
@@ -91,9 +117,10 @@ def windows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, np.concatenate(([0], np.cumsum(size + 1))), np.diff(run[at]) > 0
 
 
-def _reduce(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inv, uniq = pd.factorize(key)
-    return np.asarray(uniq), np.bincount(inv, n, len(uniq)).astype(np.int64)
+def _reduce(lang: np.ndarray, code: np.ndarray, n: np.ndarray, langs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    inv, codes = pd.factorize(code)
+    pair, uniq = pd.factorize(inv * langs + lang)
+    return uniq % langs, codes[uniq // langs], np.bincount(pair, n, len(uniq)).astype(np.int64)
 
 
 def count_windows(docs: DataFrame) -> DataFrame:
@@ -102,41 +129,37 @@ def count_windows(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         names: dict[str, int] = {}
-        keys, counts, held = [], [], 0
+        parts, held = [], 0
         for batch in batches:
-            code, off, _ = windows(batch.column(1))
-            lang = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], np.uint64)
-            key = (np.repeat(lang, np.diff(off)) << _U(32)) | code
-            if len(key):
-                k, c = _reduce(key, np.ones(len(key)))
-                keys.append(k)
-                counts.append(c)
-                held += len(k)
+            code, off, _ = windows(batch.column(1), BITS)
+            lang = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], np.int64)
+            if len(code):
+                parts.append(_reduce(np.repeat(lang, np.diff(off)), code, np.ones(len(code)), len(names)))
+                held += len(parts[-1][0])
             if held > 2_000_000:
-                k, c = _reduce(np.concatenate(keys), np.concatenate(counts))
-                keys, counts, held = [k], [c], 0
-        if keys:
-            k, c = _reduce(np.concatenate(keys), np.concatenate(counts))
-            back = np.array(list(names), object)
-            yield pa.RecordBatch.from_arrays([pa.array(back[(k >> _U(32)).astype(np.int64)], pa.string()), pa.array((k & _U(0xFFFFFFFF)).astype(np.int64)), pa.array(c)], names=["lang", "code", "n"])
+                parts, held = [_reduce(*map(np.concatenate, zip(*parts, strict=True)), len(names))], 0
+        if parts:
+            lang, code, n = _reduce(*map(np.concatenate, zip(*parts, strict=True)), len(names))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(list(names), object)[lang], pa.string()), pa.array(code.view(np.int64)), pa.array(n)], names=["lang", "code", "n"])
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 def _key(order: int, code: np.ndarray) -> np.ndarray:
-    return tk.mix(code.astype(np.uint64) + _U(order << 40))
+    return tk.mix(tk.mix(code.astype(_U)) + _U(order << 40))
 
 
 class KneserNey:
     """One language's model: sorted hashes, with the share and the left-over mass of each n-gram."""
 
-    def __init__(self, code: np.ndarray, n: np.ndarray):
+    def __init__(self, code: np.ndarray, n: np.ndarray, bits: int = 8):
+        self.bits = bits
         hashes, shares, masses = [], [], []
-        grams, counts = code.astype(np.int64), n.astype(np.float64)
+        grams, counts = code.astype(_U), n.astype(np.float64)
         for order in range(ORDER, 0, -1):
             ones, twos = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
             cut = ones / (ones + 2 * twos) if ones else 0.5
-            context = grams >> 8
+            context = grams >> _U(bits)
             cu, inv = np.unique(context, return_inverse=True)
             total = np.bincount(inv, counts, len(cu))
             kinds = np.bincount(inv, minlength=len(cu))
@@ -147,7 +170,7 @@ class KneserNey:
             shares.append(np.zeros(len(cu)))
             masses.append(cut * kinds / total)
             # continuation counts: how many symbols stand before each shorter n-gram
-            grams, counts = np.unique(grams & ((1 << 8 * (order - 1)) - 1), return_counts=True)
+            grams, counts = np.unique(grams & _U((1 << bits * (order - 1)) - 1), return_counts=True)
             counts = counts.astype(np.float64)
         by = np.argsort(h := np.concatenate(hashes))
         self.hashes, self.share, self.mass = h[by], np.concatenate(shares)[by], np.concatenate(masses)[by]
@@ -158,11 +181,11 @@ class KneserNey:
 
     def log_prob(self, code: np.ndarray) -> np.ndarray:
         """Natural logarithm of the last symbol's probability after the symbols before it."""
-        code = code.astype(np.int64)
-        p = np.full(len(code), 1.0 / SYMBOLS)
+        code, bits = code.astype(_U), self.bits
+        p = np.full(len(code), 0.5**bits)
         for order in range(1, ORDER + 1):
-            gram = code & ((1 << 8 * order) - 1)
-            p = self._find(_key(order, gram), self.share, 0.0) + self._find(_key(order + 32, gram >> 8), self.mass, 1.0) * p
+            gram = code & _U((1 << bits * order) - 1)
+            p = self._find(_key(order, gram), self.share, 0.0) + self._find(_key(order + 32, gram >> _U(bits)), self.mass, 1.0) * p
         return np.log(p)
 
 
@@ -172,14 +195,14 @@ class LanguageModels:
         self.models = models
         #: mean and deviation of the entropy of a language's texts; sharpness of scores
         self.mean, self.sd, self.sharp = np.zeros(len(models)), np.full(len(models), np.inf), 1.0
-        self.codes, self.logs = pd.Index(np.zeros(0, np.uint32)), np.zeros((0, len(models)), np.float32)
+        self.codes, self.logs = pd.Index(np.zeros(0, np.uint64)), np.zeros((0, len(models)), np.float32)
 
     def __getstate__(self):
-        return self.__dict__ | {"codes": pd.Index(np.zeros(0, np.uint32)), "logs": np.zeros((0, len(self.langs)), np.float32)}
+        return self.__dict__ | {"codes": pd.Index(np.zeros(0, np.uint64)), "logs": np.zeros((0, len(self.langs)), np.float32)}
 
     def entropies(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(cross-entropy per symbol by text and language, symbols, whether there is a letter)."""
-        code, off, letter = windows(column)
+        code, off, letter = windows(column, BITS)
         inv, uniq = pd.factorize(code)
         at = self.codes.get_indexer(uniq)
         if (at < 0).any():
@@ -228,7 +251,7 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration: int = CALIBR
         least += 1
         size = counts.where(F.col("n") >= least).count()
     table = counts.where(F.col("n") >= least).orderBy("lang", "code").toArrow().to_pandas()
-    models = LanguageModels({lang: KneserNey(part["code"].to_numpy(), part["n"].to_numpy()) for lang, part in table.groupby("lang", sort=True)})
+    models = LanguageModels({lang: KneserNey(part["code"].to_numpy().view(np.uint64), part["n"].to_numpy(), BITS) for lang, part in table.groupby("lang", sort=True)})
     if not models.langs:
         return models
     held = docs.sparkSession.sparkContext.broadcast(models)

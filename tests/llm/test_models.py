@@ -155,6 +155,32 @@ def test_windows_equal_plain_ones():
         assert h == any(c.isalpha() for c in t or "")
 
 
+def test_each_letter_has_its_own_symbols():
+    letters = "абвгдежзиклмнопрстуфхцчшщыэюяіїєґ" + "αβγδεζηθ" + "ابتثجحخپچژگ" + "कखगघािी" + "אבגדה" + "漢字" + "\U00020000\U00020400\U00020401"
+    code, off, has = langid.windows(pa.array(list(letters)), 16)
+    assert len({tuple(code[a:b].tolist()) for a, b in zip(off[:-1], off[1:], strict=True)}) == len(letters)
+    code, off, _ = langid.windows(pa.array(["Жab", "ж AB", "жab", "\U00020400x"]), 16)
+    assert code[off[0] : off[1]].tolist() == code[off[2] : off[3]].tolist() == [0x436, 0x436_0061, 0x436_0061_0062, 0x436_0061_0062_0000]
+    assert code[off[3] : off[4]].tolist()[:3] == [0xD841, 0xD841_DC00, 0xD841_DC00_0078]
+
+
+def test_wide_kneser_ney_sums_to_one():
+    code, _, _ = langid.windows(pa.array(["где дом и река", "а тут лес", "дом у реки"]), 16)
+    model = langid.KneserNey(*np.unique(code, return_counts=True), 16)
+    for context in (int(code[5]) >> 16, 0xFFFF_FFFE_FFFD):
+        p = np.exp(model.log_prob(np.array([(context & 0xFFFF_FFFF_FFFF) << 16 | s for s in range(1 << 16)], np.uint64)))
+        assert abs(p.sum() - 1) < 1e-9
+
+
+def test_languages_of_one_script_are_told_apart(spark):
+    voices = {"ru": "где дом река лес они были вода снег поле утро ночь день стол рука нога".split(), "xx": "кун руб тош маз опа ложа гита фара зико пела дыма шару рене мака бува".split()}
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(voices[lang]) for _ in range(20)), lang) for i in range(300) for lang in [sorted(voices)[i % 2]]]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    got = langid.identify(df, langid.train(df.where(~langid.held_out(F.col("doc_id")))), "doc_id").where(langid.held_out(F.col("doc_id"))).collect()
+    assert len(got) > 30 and all(r.lang_pred == docs[r.doc_id][2] for r in got)
+
+
 def test_language_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = langid.identify(df, langid.train(df), "doc_id").collect()
