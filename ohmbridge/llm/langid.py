@@ -10,6 +10,9 @@ as a context, the mass that it leaves to shorter contexts. A text goes to the
 language of lowest cross-entropy per symbol. It is *rejected* if that entropy lies
 beyond what the language's own training texts show, or its lead on the second
 language is too small for its length.
+
+Models of more than ``MAX_GRAMS`` windows are not collected: shares and masses stay
+tables by n-gram, with a map by language, and the texts' distinct windows join them.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ ORDER = 4
 #: Bits of a symbol of the models; those of 8 bits are the folded ones of ``fold_tables``.
 BITS = 16
 SYMBOLS = 256
-#: n-grams of all languages that the model may hold: it is collected and broadcast. Beyond that, the rarest go.
+#: n-grams of all languages up to which the models are collected and broadcast. Beyond that, the same models stay tables, and texts' windows join them.
 MAX_GRAMS = 12_000_000
 #: Training texts, at most in expectation, that rejection and scores are calibrated on.
 CALIBRATION = 20_000
@@ -190,15 +193,17 @@ class KneserNey:
 
 
 class LanguageModels:
-    def __init__(self, models: dict[str, KneserNey]):
+    def __init__(self, models: dict[str, KneserNey | None]):
         self.langs = sorted(models)
         self.models = models
+        #: the models as tables, where they are too many n-grams to broadcast
+        self.tables: list[tuple[DataFrame, DataFrame | list[float]]] | None = None
         #: mean and deviation of the entropy of a language's texts; sharpness of scores
         self.mean, self.sd, self.sharp = np.zeros(len(models)), np.full(len(models), np.inf), 1.0
         self.codes, self.logs = pd.Index(np.zeros(0, np.uint64)), np.zeros((0, len(models)), np.float32)
 
     def __getstate__(self):
-        return self.__dict__ | {"codes": pd.Index(np.zeros(0, np.uint64)), "logs": np.zeros((0, len(self.langs)), np.float32)}
+        return self.__dict__ | {"tables": None, "codes": pd.Index(np.zeros(0, np.uint64)), "logs": np.zeros((0, len(self.langs)), np.float32)}
 
     def entropies(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(cross-entropy per symbol by text and language, symbols, whether there is a letter)."""
@@ -226,7 +231,9 @@ class LanguageModels:
         if not self.langs:
             n = len(column)
             return np.full(n, UNKNOWN, object), np.zeros(n), np.ones(n, bool), np.zeros(n)
-        e, n, letter = self.entropies(column)
+        return self.decide(*self.entropies(column))
+
+    def decide(self, e: np.ndarray, n: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         best = e.argmin(1)
         low = e[np.arange(len(e)), best]
         lead = e - low[:, None]
@@ -238,6 +245,68 @@ class LanguageModels:
         return lang, np.where(letter, score, 0.0), rejected | ~letter, low
 
 
+def gram_tables(counts: DataFrame, langs: list[str]) -> list[tuple[DataFrame, DataFrame | list[float]]]:
+    """What ``KneserNey`` holds, for each order from 1: (gram, shares by language), and (context, masses by language), of order 1 a list."""
+    number = F.create_map(*(F.lit(x) for j, lang in enumerate(langs) for x in (lang, j)))
+    grams = counts.select(number[F.col("lang")].alias("l"), F.col("code").alias("gram"), F.col("n").cast("double").alias("n"))
+    by_lang = lambda x: F.map_from_entries(F.collect_list(F.struct("l", x)))
+    out = []
+    for order in range(ORDER, 0, -1):
+        grams = common.materialize(grams.withColumn("context", F.shiftrightunsigned("gram", BITS)), f"language-grams-{order}")
+        seen = {r.l: (r.ones, r.twos) for r in grams.groupBy("l").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect()}
+        cuts = [ones / (ones + 2 * twos) if ones else 0.5 for ones, twos in (seen[j] for j in range(len(langs)))]
+        cut = F.element_at(F.array(*map(F.lit, cuts)), F.col("l") + 1)
+        sums = common.materialize(grams.groupBy("l", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), f"language-contexts-{order}")
+        share = grams.join(sums, ["l", "context"]).groupBy("gram").agg(by_lang(F.greatest(F.col("n") - cut, F.lit(0.0)) / F.col("total")).alias("share"))
+        if order > 1:
+            mass = common.materialize(sums.groupBy("context").agg(by_lang(cut * F.col("kinds") / F.col("total")).alias("mass")), f"language-masses-{order}")
+        else:
+            left = {r.l: r.mass for r in sums.select("l", (cut * F.col("kinds") / F.col("total")).alias("mass")).collect()}
+            mass = [left[j] for j in range(len(langs))]
+        out.append((common.materialize(share, f"language-shares-{order}"), mass))
+        grams = grams.groupBy("l", F.col("gram").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)).alias("gram")).agg(F.count("*").cast("double").alias("n"))
+    return out[::-1]
+
+
+def joined_entropies(docs: DataFrame, models: LanguageModels, *keep: str) -> DataFrame:
+    """The columns ``keep`` with what ``LanguageModels.entropies`` gives, e, size and letter, by joins with the models' tables."""
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+
+    def run(batches):
+        for batch in batches:
+            code, off, letter = windows(batch.column(len(keep)), BITS)
+            # each text's distinct windows
+            inv, uniq = pd.factorize(code)
+            text, width = np.repeat(np.arange(len(letter)), np.diff(off)), max(len(uniq), 1)
+            pair, n = np.unique(text * width + inv, return_counts=True)
+            ends = pa.array(np.searchsorted(pair, np.arange(len(letter) + 1) * width).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (uniq[pair % width].view(np.int64), n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *lists, pa.array(np.diff(off)), pa.array(letter)], names=[*keep, "__w", "__k", "size", "letter"])
+
+    found = docs.select(*keep, "text").mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "__w array<bigint>, __k array<bigint>, size bigint, letter boolean"]))
+    rows = common.materialize(found.withColumn("__row", F.monotonically_increasing_id()), "language-text-windows")
+    flat = rows.select("__row", F.explode(F.arrays_zip("__w", "__k")).alias("x")).select("__row", F.col("x.__w").alias("w"), F.col("x.__k").alias("k"))
+    table, langs = flat.select("w").distinct(), range(len(models.langs))
+    p = [F.lit(0.5**BITS)] * len(langs)
+    for order, (share, mass) in enumerate(models.tables, 1):
+        gram = F.col("w").bitwiseAND(F.lit((1 << BITS * order) - 1)) if order < ORDER else F.col("w")
+        table = table.withColumn("g", gram).join(share.select(F.col("gram").alias("g"), "share"), "g", "left")
+        if order > 1:
+            table = table.withColumn("c", F.shiftrightunsigned("g", BITS)).join(mass.select(F.col("context").alias("c"), "mass"), "c", "left")
+        left = [F.coalesce(F.col("mass")[j], F.lit(1.0)) if order > 1 else F.lit(mass[j]) for j in langs]
+        table = table.select("w", F.array(*(F.coalesce(F.col("share")[j], F.lit(0.0)) + left[j] * p[j] for j in langs)).alias("p"))
+        p = [F.col("p")[j] for j in langs]
+    sums = flat.join(table, "w").groupBy("__row").agg(F.array(*(F.sum(F.col("k") * F.ln(x)) for x in p)).alias("e"))
+    each = F.transform(F.coalesce("e", F.array(*(F.lit(0.0) for _ in langs))), lambda x: -x / F.greatest("size", F.lit(1)))
+    return rows.drop("__w", "__k").join(sums, "__row", "left").select(*keep, each.alias("e"), "size", "letter")
+
+
+def _arrays(batch: pa.RecordBatch, first: int, langs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stands in the columns e, size and letter."""
+    e = batch.column(first).flatten().to_numpy().reshape(-1, langs).copy()
+    return e, batch.column(first + 1).to_numpy(), batch.column(first + 2).to_numpy(zero_copy_only=False)
+
+
 def held_out(doc_id):
     return F.coalesce(common.crc_mod(doc_id, 5) == 0, F.lit(False))
 
@@ -246,37 +315,46 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration: int = CALIBR
     """Models of all languages of ``docs`` (doc_id, text, lang); rows without a text or language are left out."""
     rows = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     counts = common.materialize(count_windows(rows), "language-windows")
-    least, size = 1, counts.count()
-    while size > max_grams:
-        least += 1
-        size = counts.where(F.col("n") >= least).count()
-    table = counts.where(F.col("n") >= least).orderBy("lang", "code").toArrow().to_pandas()
-    models = LanguageModels({lang: KneserNey(part["code"].to_numpy().view(np.uint64), part["n"].to_numpy(), BITS) for lang, part in table.groupby("lang", sort=True)})
+    if counts.count() > max_grams:
+        models = LanguageModels({r.lang: None for r in counts.select("lang").distinct().collect()})
+        models.tables = gram_tables(counts, models.langs)
+    else:
+        table = counts.orderBy("lang", "code").toArrow().to_pandas()
+        models = LanguageModels({lang: KneserNey(part["code"].to_numpy().view(np.uint64), part["n"].to_numpy(), BITS) for lang, part in table.groupby("lang", sort=True)})
     if not models.langs:
         return models
     held = docs.sparkSession.sparkContext.broadcast(models)
-    total = rows.count()
-    grid = 1 << 30
-    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(grid)) < F.lit(int(grid * min(1.0, calibration / max(total, 1)))))
+    joined, sharp = models.tables is not None, 2.0 ** np.arange(-4, 4)
 
     def run(batches):
+        own, sums = held.value.langs, np.zeros((len(held.value.langs), 3 + len(sharp)))
+        number = {x: j for j, x in enumerate(own)}
         for batch in batches:
-            e, n, letter = held.value.entropies(batch.column(1))
-            own = np.array([held.value.langs.index(x) for x in batch.column(0).to_pylist()])
-            mine = e[np.arange(len(e)), own]
-            e[np.arange(len(e)), own] = np.inf
+            e, n, letter = _arrays(batch, 1, len(own)) if joined else held.value.entropies(batch.column(1))
             ok = letter & (n >= 30)
-            yield pa.RecordBatch.from_arrays([pa.array(own[ok]), pa.array(mine[ok]), pa.array(np.where(np.isfinite(e.min(1)), e.min(1), mine + 10)[ok] - mine[ok]), pa.array(n[ok])], names=["lang", "entropy", "lead", "n"])
-
-    seen = some.select("lang", "text").mapInArrow(run, "lang bigint, entropy double, lead double, n bigint").toPandas().sort_values(["lang", "entropy", "lead", "n"])
-    for j in range(len(models.langs)):
-        own = seen[seen["lang"] == j]["entropy"].to_numpy()
-        if len(own) >= 20:
-            models.mean[j], models.sd[j] = own.mean(), max(own.std(), 0.02)
+            e, n, lang = e[ok], n[ok], np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)[ok]
+            mine = e[np.arange(len(e)), lang]
+            e[np.arange(len(e)), lang] = np.inf
+            root = np.sqrt(n) * (e.min(1) - mine) if len(own) > 1 else np.zeros(len(e))
+            # whole numbers, so that sums are the same in any order
+            q = np.rint(mine * 4096)
+            for k, x in enumerate((np.ones(len(q)), q, q * q, *(np.rint(np.logaddexp(0, -a * root) * 4096) for a in sharp))):
+                sums[:, k] += np.bincount(lang, x, len(own))
+        some = np.flatnonzero(sums[:, 0])
+        yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(sums[some, k].astype(np.int64)) for k in range(sums.shape[1]))], names=["lang", *names])
+
+    names = [f"s{k}" for k in range(3 + len(sharp))]
+    total = rows.count()
+    grid = 1 << 30
+    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(grid)) < F.lit(int(grid * min(1.0, calibration / max(total, 1)))))
+    scored = joined_entropies(some, models, "lang") if joined else some.select("lang", "text")
+    seen = scored.mapInArrow(run, "lang bigint, " + ", ".join(f"{x} bigint" for x in names)).groupBy("lang").agg(*(F.sum(F.col(x).cast("decimal(38, 0)")).cast("double").alias(x) for x in names)).toPandas().sort_values("lang")
+    for _, r in seen.iterrows():
+        if r["s0"] >= 20:
+            mean = r["s1"] / r["s0"]
+            models.mean[int(r["lang"])], models.sd[int(r["lang"])] = mean / 4096, max(np.sqrt(max(r["s2"] / r["s0"] - mean * mean, 0)) / 4096, 0.02)
     if len(seen) and len(models.langs) > 1:
-        root = np.sqrt(seen["n"].to_numpy()) * seen["lead"].to_numpy()
-        losses = [(np.logaddexp(0, -a * root).sum(), a) for a in 2.0 ** np.arange(-4, 4)]
-        models.sharp = min(losses)[1]
+        models.sharp = min((seen[x].sum(), a) for x, a in zip(names[3:], sharp.tolist(), strict=True))[1]
     return models
 
 
@@ -288,14 +366,15 @@ def identify(docs: DataFrame, models: LanguageModels, *keep: str) -> DataFrame:
     """
     common.tune(docs.sparkSession)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    held = docs.sparkSession.sparkContext.broadcast(models)
+    held, joined = docs.sparkSession.sparkContext.broadcast(models), models.tables is not None
 
     def run(batches):
         for batch in batches:
-            lang, score, rejected, low = held.value.predict(batch.column(len(keep)))
+            lang, score, rejected, low = held.value.decide(*_arrays(batch, len(keep), len(held.value.langs))) if joined else held.value.predict(batch.column(len(keep)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), pa.array(low)], names=[*keep, "lang_pred", "score", "rejected", "cross_entropy"])
 
-    return docs.select(*keep, "text").mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string, score double, rejected boolean, cross_entropy double"]))
+    rows = joined_entropies(docs, models, *keep) if joined else docs.select(*keep, "text")
+    return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string, score double, rejected boolean, cross_entropy double"]))
 
 
 def op8_language(spark, sf_dir) -> DataFrame:

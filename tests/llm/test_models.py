@@ -181,6 +181,20 @@ def test_languages_of_one_script_are_told_apart(spark):
     assert len(got) > 30 and all(r.lang_pred == docs[r.doc_id][2] for r in got)
 
 
+def test_models_beyond_the_bound_are_whole(spark):
+    docs = voiced(90) + [(1000 + i, t, "rare") for i, t in enumerate(["qual zwo drei wub", "wub qual xol", "xol trem zwo kem"])] + [(2000, None, "en"), (2001, "", "de"), (2002, "1 2", None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    near, far = langid.train(df), langid.train(df, max_grams=200)
+    assert far.tables is not None and far.langs == near.langs and far.sharp == near.sharp
+    assert np.allclose(far.mean, near.mean, atol=1e-3)
+    a, b = ({r.doc_id: r for r in langid.identify(df, m, "doc_id").collect()} for m in (near, far))
+    assert len(a) == len(b) == len(docs)
+    for i, r in a.items():
+        assert (r.lang_pred, r.rejected) == (b[i].lang_pred, b[i].rejected)
+        assert abs(r.cross_entropy - b[i].cross_entropy) < 1e-5 and abs(r.score - b[i].score) < 1e-3
+    assert {b[1000 + i].lang_pred for i in range(3)} == {"rare"}
+
+
 def test_language_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = langid.identify(df, langid.train(df), "doc_id").collect()
