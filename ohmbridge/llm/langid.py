@@ -34,8 +34,6 @@ BITS = 16
 SYMBOLS = 256
 #: n-grams of all languages up to which the models are collected and broadcast. Beyond that, the same models stay tables, and texts' windows join them.
 MAX_GRAMS = 12_000_000
-#: Training texts, at most in expectation, that rejection and scores are calibrated on.
-CALIBRATION = 20_000
 #: Standard deviations above the mean entropy of a language's texts, per square root of a tenth of the text's symbols at most.
 REJECT = 6.0
 UNKNOWN = "und"
@@ -311,7 +309,7 @@ def held_out(doc_id):
     return F.coalesce(common.crc_mod(doc_id, 5) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration: int = CALIBRATION) -> LanguageModels:
+def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> LanguageModels:
     """Models of all languages of ``docs`` (doc_id, text, lang); rows without a text or language are left out."""
     rows = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     counts = common.materialize(count_windows(rows), "language-windows")
@@ -344,10 +342,7 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration: int = CALIBR
         yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(sums[some, k].astype(np.int64)) for k in range(sums.shape[1]))], names=["lang", *names])
 
     names = [f"s{k}" for k in range(3 + len(sharp))]
-    total = rows.count()
-    grid = 1 << 30
-    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(grid)) < F.lit(int(grid * min(1.0, calibration / max(total, 1)))))
-    scored = joined_entropies(some, models, "lang") if joined else some.select("lang", "text")
+    scored = joined_entropies(rows, models, "lang") if joined else rows.select("lang", "text")
     seen = scored.mapInArrow(run, "lang bigint, " + ", ".join(f"{x} bigint" for x in names)).groupBy("lang").agg(*(F.sum(F.col(x).cast("decimal(38, 0)")).cast("double").alias(x) for x in names)).toPandas().sort_values("lang")
     for _, r in seen.iterrows():
         if r["s0"] >= 20:

@@ -195,6 +195,13 @@ def test_models_beyond_the_bound_are_whole(spark):
     assert {b[1000 + i].lang_pred for i in range(3)} == {"rare"}
 
 
+def test_rare_languages_are_calibrated(spark):
+    many = spark.range(60_000).select("id", F.concat(F.lit("the river and the house under the evening light "), F.col("id") % 7).alias("text"), F.lit("en").alias("lang"))
+    rare = spark.range(60_000, 60_030).select("id", F.concat(F.lit("der fluss und das haus unter dem abend und licht "), F.col("id") % 3).alias("text"), F.lit("de").alias("lang"))
+    models = langid.train(many.unionByName(rare).withColumnRenamed("id", "doc_id"))
+    assert models.langs == ["de", "en"] and np.isfinite(models.sd).all()
+
+
 def test_language_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = langid.identify(df, langid.train(df), "doc_id").collect()
