@@ -146,7 +146,7 @@ def write_pages(golden: dict[str, DataFrame], out_dir: str, date: str, validatio
     sources = sorted((validation or {}).get("per_source", {}).items(), key=lambda x: -(x[1].get("avg_score") if x[1].get("avg_score") is not None else -1))
     league = _table(["Source", "Records", "Mean score"], [(s, v.get("records"), number(v.get("avg_score"), 2)) for s, v in sources]) if validation else f"<p>{NONE}</p>"
     lags = _table(["Source", "p50", "p95"], [(s, number(v["p50"]), number(v["p95"])) for s, v in sorted((reconciliation or {}).get("per_source_lag_days", {}).items(), key=lambda x: str(x[0]))]) if reconciliation else f"<p>{NONE}</p>"
-    triage = [tuple(r) for r in kpis.triage(chargers.select(F.col("health.state").alias("state"), "charger_id", "golden_id", F.col("health.since").alias("since"), F.array_join("health.evidence", "; ").alias("why")), "state", "golden_id").where("state <> 'HEALTHY'").collect()]
+    triage = [tuple(r) for r in kpis.triage(chargers.select(F.col("health.state").alias("state"), "charger_id", "golden_id", F.col("health.since").alias("since"), F.array_join("health.evidence", "; ").alias("why")), "state", "golden_id").collect()]
     events = [tuple(r) for r in golden["maintenance"].select("event_date", "event_type", "severity", F.substring("description", 1, 120)).orderBy(kpis.rank_in(F.col("severity"), ["SAFETY", "MAJOR", "MINOR", "INFO"]), F.col("event_date").desc()).collect()]
     sites = kpis.last_site(chargers.select("charger_id", F.col("address.city").alias("city"), F.col("metrics.est_uptime_pct").alias("uptime"), "first_idx"), "charger_id", "first_idx")
     cities = kpis.city_rollup(sites, golden["session"], "charger_id", "city", "uptime", "energy_kwh").orderBy(F.desc("n_uptime"), "city").collect()

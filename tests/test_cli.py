@@ -28,6 +28,17 @@ def test_stages_by_command_line(spark, raw, tmp_path, capsys):  # noqa: F811
     assert last(capsys)["error"] is True
 
 
+def test_safety_page_lists_all_states(spark, raw, tmp_path, capsys, monkeypatch):  # noqa: F811
+    p = lambda n: str(tmp_path / n)
+    held, write = {}, report.write_pages
+    monkeypatch.setattr(report, "write_pages", lambda *a, **k: held.update(write(*a, **k)) or held)
+    assert cli.main(["ingest", "--in", raw, "--out", p("canonical"), "--ingested-at", AT], spark) == 0
+    assert cli.main(["validate", "--in", p("canonical"), "--out", p("valid"), "--report", p("validation.json")], spark) == 0
+    assert cli.main(["report", "--in", p("valid"), "--out", p("pages"), "--report-date", "2024-06-01"], spark) == 0
+    page = (tmp_path / "pages/safety.html").read_text()
+    assert held["health_states"].get("HEALTHY") and all(page.count(f"<tr><td>{s or ''}</td>") == n for s, n in held["health_states"].items())
+
+
 def test_summaries_fall_back():
     k = {"chargers_deployed": 2, "active_chargers": 1, "est_uptime_pct": None, "sessions_count": 3, "energy_delivered_kwh": 4.0, "data_completeness_pct": 0.5, "anomalies_total": 0, "chronic_failure_sites": 0}
 
