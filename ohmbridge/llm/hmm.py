@@ -1,16 +1,14 @@
 """Hidden Markov language model over words, trained by Baum-Welch across partitions.
 
 Counts of all training words come first, by 64-bit word hash: they give the
-unigram base score. The most frequent words are emitted by hidden states one by
-one; all others are emitted as one of 256 classes by their last two bytes, and
-within a class by a state-independent share from the counts, so that the model
-still gives each word its own probability. Each Baum-Welch step runs the scaled
-forward and backward recursions over every training text where it lies and adds
-up expected counts per word and state in one aggregation. A last pass gives each
-text its exact log-likelihood by the scaled forward recursion.
-
-What is broadcast is bounded: ``KEPT`` counts and a matrix of ``EMITTED`` words by
-states. Words beyond those meet their counts in a join.
+unigram base score. Hidden states emit every word one by one. Each Baum-Welch step
+runs the scaled forward and backward recursions over every training text where it
+lies and adds up expected counts per word and state in one aggregation. A last pass
+gives each text its exact log-likelihood by the scaled forward recursion.
+
+What is broadcast is bounded: counts and emissions of the ``EMITTED`` most frequent
+words. All others keep theirs in a table by word hash, which grows with the input;
+each pass joins it to the texts' distinct words.
 """
 
 from __future__ import annotations
@@ -24,42 +22,28 @@ from pyspark.sql import functions as F
 from ohmbridge.llm import common, textkernel as tk
 
 STATES, STEPS = 8, 2
-#: Words whose counts are broadcast, and words that states emit one by one, at most.
+#: Words whose counts and emissions are broadcast: as many as the smaller bound allows. The others join.
 KEPT, EMITTED = 1_000_000, 65_536
-CLASSES = 256
 #: Training texts, in expectation, whose clusters give the first emissions.
 SAMPLE = 3000
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
 TOGETHER = 600_000
-_LOW = np.arange(256, dtype=np.int64)
-_LOW[65:91] += 32
 
 
 def held_out(doc_id):
     return F.coalesce(common.crc_mod(doc_id, 7) == 2, F.lit(False))
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, word classes, word offsets per text)."""
-    buf, off = tk.string_buffer(column)
-    h, length, woff = tk.words(buf, off)
-    if not len(h):
-        return h, np.zeros(0, np.int64), woff
-    # the ends of words: their starts come anew from the separators
-    inside = ~tk._SEPARATOR[buf]
-    cut = np.zeros(len(buf) + 1, bool)
-    cut[off] = True
-    last = inside.copy()
-    last[:-1] &= ~inside[1:] | cut[1 : len(buf)]
-    end = np.flatnonzero(last)
-    one, two = _LOW[buf[end]], np.where(length > 1, _LOW[buf[np.maximum(end - 1, 0)]], 0)
-    return h, (one * 61 + two * 17) % CLASSES, woff
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, word offsets per text)."""
+    h, _, woff = tk.words(*tk.string_buffer(column))
+    return h, woff
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, class, n): how often each word occurs in ``docs``."""
+    """(h, n): how often each word occurs in ``docs``."""
     common.tune(docs.sparkSession)
 
     def run(batches):
@@ -67,14 +51,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
         size = 0
 
         def reduce():
-            return pd.concat(held).groupby("h", sort=False).agg({"class": "first", "n": "sum"}).reset_index()
+            return pd.concat(held).groupby("h", sort=False).agg({"n": "sum"}).reset_index()
 
         for batch in batches:
-            h, cls, _ = tokens(batch.column(0))
-            inv, uniq = pd.factorize(h)
-            first = np.zeros(len(uniq), np.int64)
-            first[inv] = cls
-            held.append(pd.DataFrame({"h": uniq.view(np.int64), "class": first, "n": np.bincount(inv, minlength=len(uniq))}))
+            inv, uniq = pd.factorize(tokens(batch.column(0))[0])
+            held.append(pd.DataFrame({"h": uniq.view(np.int64), "n": np.bincount(inv, minlength=len(uniq))}))
             size += len(uniq)
             if size > 700_000:
                 held = [reduce()]
@@ -84,42 +65,38 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_pandas(reduce(), preserve_index=False)
 
-    return docs.select("text").mapInArrow(run, "h bigint, class bigint, n bigint").groupBy("h").agg(F.max("class").alias("class"), F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 class Vocabulary:
-    """Counts of the most frequent words, and what the classes hold beyond the emitted ones."""
+    """Hashes and counts of the most frequent words; a word's id is its place, the end's the place after the last."""
 
-    def __init__(self, h: np.ndarray, n: np.ndarray, least: int, class_n: np.ndarray, class_v: np.ndarray, texts: int, total: int, distinct: int):
+    def __init__(self, h: np.ndarray, n: np.ndarray, texts: int, total: int, distinct: int):
         by = np.argsort(h)
-        self.h, self.n = h[by], n[by]
-        own = self.n >= least
-        self.emitted = int(own.sum())
-        self.id = np.where(own, np.cumsum(own) - 1, -1)
-        self.class_n, self.class_v, self.texts = class_n, class_v, texts
+        self.h, self.n, self.texts = h[by], n[by], texts
         #: all training tokens, ends included, and the distinct ones
         self.total, self.distinct = total + texts, distinct + (texts > 0)
 
     @property
     def size(self) -> int:
-        return self.emitted + CLASSES + 1
+        return len(self.h) + 1
+
+    def base(self, n):
+        return (n + 1.0) / (self.total + self.distinct + 1.0)
 
     def unigram(self) -> np.ndarray:
-        n = np.concatenate((self.n[self.id >= 0], self.class_n, [self.texts])).astype(np.float64) + 1
-        return n / n.sum()
+        return self.base(np.concatenate((self.n, [self.texts])))
 
-    def find(self, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(model ids, counts or -1 where the count is not broadcast)."""
+    def find(self, h: np.ndarray, far: np.ndarray | None = None) -> np.ndarray:
+        """Ids: those of the sorted hashes ``far`` follow the vocabulary's; of words in neither, -1."""
         inv, uniq = pd.factorize(h)
-        if not len(self.h):
-            return self.emitted + cls, np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.h, uniq), len(self.h) - 1)
-        hit = self.h[at] == uniq
-        ids, n = np.where(hit, self.id[at], -1)[inv], np.where(hit, self.n[at], -1)[inv]
-        return np.where(ids >= 0, ids, self.emitted + cls), n
-
-    def log_base(self, n):
-        return np.log10((n + 1.0) / (self.total + self.distinct + 1.0))
+        out = np.full(len(uniq), -1)
+        for known, first in ((self.h, 0), (far, self.size)):
+            if known is not None and len(known):
+                at = np.minimum(np.searchsorted(known, uniq), len(known) - 1)
+                hit = known[at] == uniq
+                out[hit] = at[hit] + first
+        return out[inv]
 
 
 class Layout:
@@ -145,10 +122,10 @@ class Layout:
 
 
 class Hmm:
-    """Start shares (S), transitions (S x S) and emissions by word (V x S)."""
+    """Start shares (S), transitions (S x S) and emissions by word (V x S); weight: what emissions were divided by (S)."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, np.ascontiguousarray(emit)
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, weight: np.ndarray | None = None):
+        self.start, self.move, self.emit, self.weight = start, move, np.ascontiguousarray(emit), weight
 
     def forward(self, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scaled forward values, emissions, scales) of all tokens."""
@@ -218,16 +195,20 @@ def clusters(rows: list[np.ndarray], states: int) -> np.ndarray:
     return (x @ centre.T).argmax(1)
 
 
-def _batches(column: pa.Array, vocabulary: Vocabulary):
-    """Layouts of at most TOGETHER tokens, with their first text and what the tokens are."""
-    h, cls, woff = tokens(column)
-    ids, n = vocabulary.find(h, cls)
+def _batches(batch: pa.RecordBatch, voc: Vocabulary, model: Hmm):
+    """Layouts of at most TOGETHER tokens of the columns text, h, n, c, with their texts, ids and offsets, the model with rows of the far words, these words, and all counts by id."""
+    h, woff = tokens(batch.column(0))
+    far, first = np.unique(batch.column(1).flatten().to_numpy().view(np.uint64), return_index=True)
+    n = batch.column(2).flatten().to_numpy()[first]
+    c = batch.column(3).flatten().to_numpy().reshape(-1, len(model.start))[first]
+    here = Hmm(model.start, model.move, np.concatenate((model.emit, (c + PRIOR * voc.base(n)[:, None]) / model.weight)), model.weight)
+    ids, counts = voc.find(h, far), np.concatenate((voc.n, [voc.texts], n))
     a = 0
     while a < len(woff) - 1:
         b = max(a + 1, int(np.searchsorted(woff, woff[a] + TOGETHER, "right")) - 1)
         b = min(b, len(woff) - 1)
-        s = slice(woff[a], woff[b])
-        yield a, b, Layout(ids[s], woff[a : b + 1] - woff[a], vocabulary.size - 1), h[s], cls[s], ids[s], n[s], woff[a : b + 1] - woff[a]
+        s, off = slice(woff[a], woff[b]), woff[a : b + 1] - woff[a]
+        yield a, b, Layout(ids[s], off, voc.size - 1), ids[s], off, here, far, counts
         a = b
 
 
@@ -249,24 +230,39 @@ def _gathered(batches):
 
 def vocabulary(counts: DataFrame, texts: int, kept: int = KEPT, emitted: int = EMITTED) -> Vocabulary:
     # how many words occur n times; counts above a million are one
-    top = 1 << 20
+    top, most = 1 << 20, min(kept, emitted)
     often = np.array([tuple(r) for r in counts.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count("*")).orderBy("n").collect()], np.int64).reshape(-1, 2)
-    at_least = often[::-1, 1].cumsum()[::-1]
+    fits = np.flatnonzero(often[::-1, 1].cumsum()[::-1] <= most)
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    # the least n that at most ``most`` words reach
+    table = counts.where(F.col("n") >= (int(often[fits[0], 0]) if len(fits) else top + 1)).select("h", "n").toArrow()
+    return Vocabulary(table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy(), texts, total, distinct)
 
-    def least(most: int) -> int:
-        """The least n that at most ``most`` words reach."""
-        fits = np.flatnonzero(at_least <= most)
-        return int(often[fits[0], 0]) if len(fits) else top + 1
 
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    few = least(emitted) if distinct > emitted else 1
-    some = least(kept) if distinct > kept else 1
-    table = counts.where(F.col("n") >= some).select("h", "n").toArrow()
-    rest = counts.where(F.col("n") < few).groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in rest:
-        class_n[r["class"]], class_v[r["class"]] = r["n"], r["v"]
-    return Vocabulary(table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy(), few, class_n, class_v, texts, total, distinct)
+def far_words(rows: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
+    """(row, h, n): the distinct words of each row of ``rows`` that are not broadcast, with their counts."""
+    held = rows.sparkSession.sparkContext.broadcast(voc)
+
+    def run(batches):
+        for batch in batches:
+            h, woff = tokens(batch.column(1))
+            at = np.flatnonzero(held.value.find(h) < 0)
+            text = np.repeat(np.arange(len(woff) - 1), np.diff(woff))[at]
+            inv, uniq = pd.factorize(h[at])
+            width = max(len(uniq), 1)
+            pair = np.unique(text * width + inv)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // width)), pa.array(uniq[pair % width].view(np.int64))], names=["row", "h"])
+
+    pairs = rows.select("row", "text").mapInArrow(run, "row bigint, h bigint")
+    return common.materialize(pairs.join(counts, "h", "left").select("row", "h", F.coalesce("n", F.lit(0)).alias("n")), "hmm-far-words")
+
+
+def with_far(rows: DataFrame, pairs: DataFrame, table: DataFrame | None, states: int) -> DataFrame:
+    """``rows`` with h, n and c: its words that are not broadcast, their counts, and their expected counts by state one after another."""
+    none = F.array(*(F.lit(0.0) for _ in range(states)))
+    words = pairs.withColumn("c", none) if table is None else pairs.join(table, "h", "left").select("row", "h", "n", F.coalesce("c", none).alias("c"))
+    lists = words.groupBy("row").agg(F.collect_list(F.struct("h", "n", "c")).alias("w")).select("row", F.col("w.h").alias("h"), F.col("w.n").alias("n"), F.flatten("w.c").alias("c"))
+    return rows.join(lists, "row", "left")
 
 
 def first_model(docs: DataFrame, voc: Vocabulary, texts: int, states: int, sample: int = SAMPLE) -> Hmm:
@@ -276,8 +272,11 @@ def first_model(docs: DataFrame, voc: Vocabulary, texts: int, states: int, sampl
 
     def run(batches):
         for batch in batches:
-            h, cls, woff = tokens(batch.column(0))
-            ids, _ = held.value.find(h, cls)
+            h, woff = tokens(batch.column(0))
+            ids = held.value.find(h)
+            # what is not broadcast starts from its unigram share in all states
+            woff = np.concatenate(([0], np.cumsum(ids >= 0)))[woff]
+            ids = ids[ids >= 0]
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(woff.astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["ids"])
 
     table = some.mapInArrow(run, "ids array<int>").toArrow().column("ids").combine_chunks()
@@ -291,14 +290,17 @@ def first_model(docs: DataFrame, voc: Vocabulary, texts: int, states: int, sampl
             emit[-1, k] += 1
     move = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
-    return Hmm(np.full(states, 1 / states), move, emit / emit.sum(0))
+    # prior shares of the other words belong to the weight too
+    weight = emit.sum(0) + PRIOR * (1 - uni.sum())
+    return Hmm(np.full(states, 1 / states), move, emit / weight, weight)
 
 
-def baum_welch(docs: DataFrame, voc: Vocabulary, model: Hmm, steps: int = STEPS) -> Hmm:
-    """``steps`` rounds over every text of ``docs``."""
-    spark, states = docs.sparkSession, len(model.start)
+def baum_welch(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm, steps: int = STEPS) -> tuple[Hmm, DataFrame | None]:
+    """``steps`` rounds over every text of ``rows``: the model, and (h, c) of the words that are not broadcast."""
+    spark, states = rows.sparkSession, len(model.start)
     uni = voc.unigram()
     cols = [f"s{k}" for k in range(states)]
+    far_table = None
     for _ in range(steps):
         held = spark.sparkContext.broadcast((voc, model))
 
@@ -306,86 +308,61 @@ def baum_welch(docs: DataFrame, voc: Vocabulary, model: Hmm, steps: int = STEPS)
             voc, model = held.value
             count = np.zeros((states, voc.size))
             start, moves = np.zeros(states), np.zeros((states, states))
+            out = lambda far, ids, rows: pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states))], names=["far", "id", *cols])
             for batch in _gathered(batches):
-                for _, _, lay, *_ in _batches(batch.column(0), voc):
-                    s, m, share = model.expected(lay)
+                more = None
+                for _, _, lay, _, _, here, far, _ in _batches(batch, voc, model):
+                    s, m, share = here.expected(lay)
                     start += s
                     moves += m
-                    for k in range(states):
-                        count[k] += np.bincount(lay.ids, share[:, k], voc.size)
+                    both = np.stack([np.bincount(lay.ids, share[:, k], len(here.emit)) for k in range(states)])
+                    count += both[:, : voc.size]
+                    more = both[:, voc.size :] if more is None else more + both[:, voc.size :]
+                if more is not None and more.shape[1]:
+                    yield out(True, far.view(np.int64), more.T)
             some = np.flatnonzero(count.any(0))
             # rows below zero: the starts, and the moves out of each state
-            ids = np.concatenate((some, -1 - np.arange(states + 1)))
-            rows = np.concatenate((count[:, some].T, [start], moves))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states))], names=["id", *cols])
-
-        sums = docs.select("text").mapInArrow(run, "id bigint, " + ", ".join(f"{c} double" for c in cols)).groupBy("id").agg(*(F.sum(c).alias(c) for c in cols))
-        table = sums.toArrow()
-        ids, rows = table.column("id").to_numpy(), np.stack([table.column(c).to_numpy() for c in cols], 1)
+            yield out(False, np.concatenate((some, -1 - np.arange(states + 1))), np.concatenate((count[:, some].T, [start], moves)))
+
+        found = with_far(rows, pairs, far_table, states).select("text", "h", "n", "c").mapInArrow(run, "far boolean, id bigint, " + ", ".join(f"{c} double" for c in cols))
+        sums = common.materialize(found.groupBy("far", "id").agg(*(F.sum(c).alias(c) for c in cols)), "hmm-expected")
+        far_table = sums.where("far").select(F.col("id").alias("h"), F.array(*cols).alias("c"))
+        far_sum = np.array([x or 0.0 for x in sums.where("far").agg(*(F.sum(c) for c in cols)).first()])
+        table = sums.where("not far").toArrow()
+        ids, values = table.column("id").to_numpy(), np.stack([table.column(c).to_numpy() for c in cols], 1)
         count, moves, start = np.zeros((voc.size, states)), np.zeros((states, states)), np.zeros(states)
-        count[ids[ids >= 0]] = rows[ids >= 0]
-        for i, r in zip(ids[ids < 0], rows[ids < 0], strict=True):
+        count[ids[ids >= 0]] = values[ids >= 0]
+        for i, r in zip(ids[ids < 0], values[ids < 0], strict=True):
             if i == -1:
                 start = r
             else:
                 moves[-2 - i] = r
-        emit = count + PRIOR * uni[:, None]
+        weight = count.sum(0) + far_sum + PRIOR
         moves += EVEN / states
         start += EVEN / states
-        model = Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0))
+        model = Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), (count + PRIOR * uni[:, None]) / weight, weight)
         held.destroy()
-    return model
+    return model, far_table
 
 
-def score_texts(docs: DataFrame, counts: DataFrame, voc: Vocabulary, model: Hmm) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) for each row of ``docs`` (doc_id, text)."""
-    held = docs.sparkSession.sparkContext.broadcast((voc, model))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+def score_texts(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm, far_table: DataFrame | None) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) for each row of ``rows`` (row, doc_id, text)."""
+    held = rows.sparkSession.sparkContext.broadcast((voc, model))
 
     def run(batches):
         voc, model = held.value
-        class_log = np.log10(voc.class_n + voc.class_v + 1.0)
+        end = np.log10(voc.base(voc.texts))
         for batch in _gathered(batches):
-            for a, b, lay, h, cls, ids, n, woff in _batches(batch.column(2), voc):
-                lik = model.log10_likelihood(lay)
-                here = n >= 0
-                base = np.where(here, voc.log_base(np.maximum(n, 0)), 0.0)
-                # what a word has within its class, where its count is at hand
-                within = np.where(here & (ids >= voc.emitted), np.log10(np.maximum(n, 0) + 1.0) - class_log[cls], 0.0)
-                text = np.repeat(np.arange(b - a), np.diff(woff))
-                m = b - a
-                sums = [np.bincount(text, x, m) for x in (base, within, (here & (n > 0)).astype(float))]
-                end = voc.log_base(voc.texts)
-                far = np.flatnonzero(~here)
-                pair, uniq = pd.factorize(pd.MultiIndex.from_arrays([text[far], h[far].view(np.int64)])) if len(far) else (np.zeros(0, int), None)
-                if len(far):
-                    k = np.bincount(pair)
-                    first = np.zeros(len(k), np.int64)
-                    first[pair] = far
-                    by = np.argsort(text[first], kind="stable")
-                    first, k = first[by], k[by]
-                    ends = np.searchsorted(text[first], np.arange(m + 1)).astype(np.int32)
-                    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (h[first].view(np.int64), cls[first], k.astype(np.int64))]
-                else:
-                    lists = [pa.ListArray.from_arrays(pa.array(np.zeros(m + 1, np.int32)), pa.array(np.zeros(0, np.int64)))] * 3
+            ids = batch.column(4)
+            for a, b, lay, found, off, here, _, counts in _batches(batch, voc, model):
+                text, n, m = np.repeat(np.arange(b - a), np.diff(off)), counts[found], b - a
+                base, known = (np.bincount(text, x, m) for x in (np.log10(voc.base(n)), (n > 0).astype(float)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, m), batch.column(1).slice(a, m), pa.array(np.diff(woff) + 1), pa.array(sums[2].astype(np.int64) + (voc.texts > 0)), pa.array(sums[0] + end), pa.array(lik + sums[1]), *lists],
-                    names=["doc_id", "t", "n_tokens", "n_known", "base_score", "score", "h", "c", "k"],
+                    [ids.slice(a, m), pa.array(np.diff(off) + 1), pa.array(known.astype(np.int64) + (voc.texts > 0)), pa.array(base + end), pa.array(here.log10_likelihood(lay))],
+                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
                 )
 
-    near = common.materialize(rows.mapInArrow(run, "doc_id bigint, t bigint, n_tokens bigint, n_known bigint, base_score double, score double, h array<bigint>, c array<bigint>, k array<bigint>"), "hmm-scores")
-    # words whose counts were not broadcast; equal rows give the same sums once
-    far = near.where(F.size("h") > 0).select("doc_id", "t", F.explode(F.arrays_zip("h", "c", "k")).alias("w")).groupBy("doc_id", "t", F.col("w.h").alias("h")).agg(F.first("w.c").alias("c"), F.first("w.k").alias("k"))
-    size = F.element_at(F.array(*(F.lit(float(x)) for x in np.log10(voc.class_n + voc.class_v + 1.0))), (F.col("c") + 1).cast("int"))
-    n = F.coalesce("n", F.lit(0))
-    sums = far.join(counts.select("h", "n"), "h", "left").groupBy(F.col("doc_id").alias("d2"), F.col("t").alias("t2")).agg(
-        F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("known2"),
-        F.sum(F.col("k") * (F.log10(n + 1) - F.lit(float(np.log10(voc.total + voc.distinct + 1.0))))).alias("base2"),
-        F.sum(F.col("k") * (F.log10(n + 1) - size)).alias("score2"),
-    )
-    out = near.drop("h", "c", "k").join(sums, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("t") == F.col("t2")), "left")
-    zero = lambda c, v: F.coalesce(F.col(c), F.lit(v))
-    return out.select("doc_id", "n_tokens", (F.col("n_known") + zero("known2", 0)).alias("n_known"), (F.col("base_score") + zero("base2", 0.0)).alias("base_score"), (F.col("score") + zero("score2", 0.0)).alias("score"))
+    return with_far(rows, pairs, far_table, len(model.start)).select("text", "h", "n", "c", "doc_id").mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def language_scores(docs: DataFrame, states: int = STATES, steps: int = STEPS, kept: int = KEPT, emitted: int = EMITTED) -> DataFrame:
@@ -397,13 +374,16 @@ def language_scores(docs: DataFrame, states: int = STATES, steps: int = STEPS, k
     are unknown. Other columns are not read.
     """
     common.tune(docs.sparkSession)
-    learn = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
+    rows = common.materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held")), "hmm-rows")
+    learn = rows.where("not held").drop("held")
     counts = common.materialize(word_counts(learn), "hmm-counts")
     texts = learn.count()
     voc = vocabulary(counts, texts, kept, emitted)
-    model = baum_welch(learn, voc, first_model(learn, voc, texts, states), steps) if texts else first_model(learn, voc, 0, states)
-    rows = score_texts(docs, counts, voc, model)
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(voc.total)).cast("long").alias("train_tokens"), "base_score", "score")
+    pairs, model, far_table = far_words(rows, counts, voc), first_model(learn, voc, texts, states), None
+    if texts:
+        model, far_table = baum_welch(learn, pairs, voc, model, steps)
+    out = score_texts(rows, pairs, voc, model, far_table)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(voc.total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op6_language_model(spark, sf_dir) -> DataFrame:

@@ -268,6 +268,20 @@ def test_language_scores(spark, kept, emitted):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) * (1 if emitted > 100 else 1.05)
 
 
+def test_words_that_are_not_broadcast_have_emissions(spark):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in voiced(200, 6)] + [(900, None), (901, "unseen words")], "doc_id bigint, text string")
+    near, far = ({r.doc_id: r for r in hmm.language_scores(docs, states=3, emitted=n).collect()} for n in (65536, 0))
+    # only the first model differs: from there on, words have the states' shares either way
+    assert near.keys() == far.keys() and all((near[i].n_known, near[i].n_tokens) == (far[i].n_known, far[i].n_tokens) for i in near)
+    assert all(abs(near[i].base_score - far[i].base_score) < 1e-9 for i in near)
+    voc = hmm.Vocabulary(np.array([5, 7], np.uint64), np.array([4, 3]), 2, 12, 4)
+    assert voc.find(np.array([7, 5, 9, 8], np.uint64), np.array([8, 9], np.uint64)).tolist() == [1, 0, 4, 3]
+    # mixed bounds: the same start for all words that are broadcast gives a close fit
+    some = {r.doc_id: r for r in hmm.language_scores(docs, states=3, emitted=25).collect()}
+    gain = lambda x: sum(r.score - r.base_score for r in x.values())
+    assert gain(some) > 0.7 * gain(near) > 0
+
+
 def test_language_model_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = hmm.language_scores(df, states=2).collect()
