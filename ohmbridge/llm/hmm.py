@@ -1,8 +1,8 @@
 """Hidden Markov language model over words, trained by Baum-Welch across partitions.
 
 Counts of all training words come first, by 64-bit word hash: they give the
-unigram base score. Hidden states emit every word one by one. Each Baum-Welch step
-runs the scaled forward and backward recursions over every training text where it
+unigram base score. Hidden states emit every word one by one, at first by clusters
+of all training texts. Until the likelihood stops rising, each Baum-Welch step runs the scaled forward and backward recursions over every training text where it
 lies and adds up expected counts per word and state in one aggregation. A last pass
 gives each text its exact log-likelihood by the scaled forward recursion.
 
@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from ohmbridge.llm import common, textkernel as tk
 
-STATES, STEPS = 8, 2
+STATES = 8
+#: Clusters and Baum-Welch stop when a round raises the likelihood by no more than this share of it.
+TOLERANCE = 1e-4
+#: Places that words are hashed to for the clusters of texts.
+PLACES = 1024
 #: Words whose counts and emissions are broadcast: as many as the smaller bound allows. The others join.
 KEPT, EMITTED = 1_000_000, 65_536
-#: Training texts, in expectation, whose clusters give the first emissions.
-SAMPLE = 3000
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
@@ -157,6 +159,10 @@ class Hmm:
 
     def expected(self, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts: starts, moves, and the states' shares of each token."""
+        return self.expected_and_log(lay)[:3]
+
+    def expected_and_log(self, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """``expected``, and the natural logarithm of all texts' likelihood."""
         alpha, e, scale = self.forward(lay)
         e /= scale[:, None]
         moves = np.zeros_like(self.move)
@@ -171,28 +177,59 @@ class Hmm:
             nxt[: z - b] = up @ back_move
             beta = nxt
         alpha[: at[1]] *= beta
-        return alpha[: at[1]].sum(0), moves * self.move, alpha
-
-
-def clusters(rows: list[np.ndarray], states: int) -> np.ndarray:
-    """A cluster for each text of word ids: spherical k-means over 1024 hashed counts, from far-apart texts."""
-    x = np.zeros((len(rows), 1024))
-    for i, ids in enumerate(rows):
-        x[i] = np.sqrt(np.bincount(ids % 1024, minlength=1024))
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    pick = [int(np.argmax([len(r) for r in rows]))]
-    near = x @ x[pick[0]]
-    # the next centre lies far from the others, but is no lone short text
-    weight = np.minimum(1, np.array([len(r) for r in rows]) / 100)
-    for _ in range(states - 1):
-        pick.append(int(np.argmax((1 - near) * weight)))
-        near = np.maximum(near, x @ x[pick[-1]])
-    centre = x[pick]
-    for _ in range(12):
-        of = (x @ centre.T).argmax(1)
-        centre = np.stack([x[of == k].sum(0) if (of == k).any() else centre[k] for k in range(states)])
-        centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
-    return (x @ centre.T).argmax(1)
+        return alpha[: at[1]].sum(0), moves * self.move, alpha, float(np.log(scale).sum())
+
+
+def directions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors of the roots of each text's hashed word counts, numbers of words)."""
+    h, woff = tokens(column)
+    n = len(woff) - 1
+    text = np.repeat(np.arange(n), np.diff(woff))
+    x = np.sqrt(np.bincount(text * PLACES + (h % np.uint64(PLACES)).astype(np.int64), minlength=n * PLACES).reshape(n, PLACES))
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), np.diff(woff)
+
+
+def clusters(docs: DataFrame, states: int) -> np.ndarray:
+    """Centres of spherical k-means over all texts, from far-apart ones; each step is one pass."""
+    spark = docs.sparkSession
+    centre = np.zeros((0, PLACES))
+    for _ in range(states):
+
+        def farthest(batches, centre=centre):
+            best = None
+            for batch in batches:
+                x, size = directions(batch.column(0))
+                # the next centre lies far from the others, but is no lone short text
+                far = (1 - (x @ centre.T).max(1)) * np.minimum(1, size / 100) if len(centre) else size.astype(float)
+                if len(far):
+                    ties = [(float(far[i]), x[i].tobytes()) for i in np.flatnonzero(far == far.max())]
+                    best = max(*ties, *([best] if best else []), (-1.0, b""))
+            if best:
+                yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], names=["far", "x"])
+
+        got = docs.select("text").mapInArrow(farthest, "far double, x binary").agg(F.max(F.struct("far", "x")).alias("m")).first().m
+        centre = np.concatenate((centre, [np.frombuffer(bytes(got.x))]))
+    before = -1.0
+    while True:
+        held = spark.sparkContext.broadcast(centre)
+
+        def assign(batches, held=held):
+            sums, close = np.zeros((states, PLACES)), 0.0
+            for batch in batches:
+                x, _ = directions(batch.column(0))
+                near = x @ held.value.T
+                sums += np.eye(states)[near.argmax(1)].T @ x
+                close += near.max(1).sum() if len(x) else 0.0
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, states * PLACES)), pa.array(np.concatenate(([close], sums.ravel())))], names=["at", "v"])
+
+        table = docs.select("text").mapInArrow(assign, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").toArrow()
+        held.destroy()
+        v = table.column("v").to_numpy()
+        if v[0] - before <= TOLERANCE * abs(v[0]):
+            return centre
+        before, sums = v[0], v[1:].reshape(states, PLACES)
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        centre = np.where(size > 1e-9, sums / np.maximum(size, 1e-9), centre)
 
 
 def _batches(batch: pa.RecordBatch, voc: Vocabulary, model: Hmm):
@@ -265,83 +302,98 @@ def with_far(rows: DataFrame, pairs: DataFrame, table: DataFrame | None, states:
     return rows.join(lists, "row", "left")
 
 
-def first_model(docs: DataFrame, voc: Vocabulary, texts: int, states: int, sample: int = SAMPLE) -> Hmm:
-    grid = 1 << 30
-    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(grid)) < F.lit(int(grid * min(1.0, sample / max(texts, 1))))).select("text")
-    held = docs.sparkSession.sparkContext.broadcast(voc)
+def _sums(found: DataFrame, states: int) -> DataFrame:
+    """Sums of what tasks give for each word: far, whether it is not broadcast, id, and a column for each state."""
+    return common.materialize(found.groupBy("far", "id").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states))), "hmm-expected")
 
-    def run(batches):
-        for batch in batches:
-            h, woff = tokens(batch.column(0))
-            ids = held.value.find(h)
-            # what is not broadcast starts from its unigram share in all states
-            woff = np.concatenate(([0], np.cumsum(ids >= 0)))[woff]
-            ids = ids[ids >= 0]
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(woff.astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["ids"])
-
-    table = some.mapInArrow(run, "ids array<int>").toArrow().column("ids").combine_chunks()
-    rows = [np.asarray(x.values) for x in table]
-    rows = sorted((r.astype(np.int64) for r in rows if len(r)), key=lambda r: (len(r), r.tobytes()))
-    uni = voc.unigram()
-    emit = np.tile(uni[:, None] * PRIOR, (1, states))
-    if rows:
-        for ids, k in zip(rows, clusters(rows, states), strict=True):
-            emit[:, k] += np.bincount(ids, minlength=voc.size)
-            emit[-1, k] += 1
+
+def _out(far: bool, ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    states = rows.shape[1]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states))], names=["far", "id", *(f"s{k}" for k in range(states))])
+
+
+def _schema(states: int) -> str:
+    return "far boolean, id bigint, " + ", ".join(f"s{k} double" for k in range(states))
+
+
+def _read(sums: DataFrame, voc: Vocabulary, states: int) -> tuple[DataFrame, np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """(h and c of the words that are not broadcast, each state's sum of both kinds with the prior, counts by id, rows below zero)."""
+    cols = [f"s{k}" for k in range(states)]
+    far_sum = np.array([x or 0.0 for x in sums.where("far").agg(*(F.sum(c) for c in cols)).first()])
+    table = sums.where("not far").toArrow()
+    ids, values = table.column("id").to_numpy(), np.stack([table.column(c).to_numpy() for c in cols], 1)
+    count = np.zeros((voc.size, states))
+    count[ids[ids >= 0]] = values[ids >= 0]
+    return sums.where("far").select(F.col("id").alias("h"), F.array(*cols).alias("c")), count.sum(0) + far_sum + PRIOR, count, {int(i): r for i, r in zip(ids[ids < 0], values[ids < 0], strict=True)}
+
+
+def first_model(docs: DataFrame, voc: Vocabulary, texts: int, states: int) -> tuple[Hmm, DataFrame | None]:
+    """The model whose emissions are the word counts of clusters of all texts, and (h, c) of the words that are not broadcast."""
     move = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
-    # prior shares of the other words belong to the weight too
-    weight = emit.sum(0) + PRIOR * (1 - uni.sum())
-    return Hmm(np.full(states, 1 / states), move, emit / weight, weight)
-
+    prior, start = PRIOR * np.tile(voc.unigram()[:, None], (1, states)), np.full(states, 1 / states)
+    if not texts:
+        return Hmm(start, move, prior / PRIOR, np.full(states, PRIOR)), None
+    held = docs.sparkSession.sparkContext.broadcast((voc, clusters(docs, states)))
 
-def baum_welch(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm, steps: int = STEPS) -> tuple[Hmm, DataFrame | None]:
-    """``steps`` rounds over every text of ``rows``: the model, and (h, c) of the words that are not broadcast."""
+    def run(batches):
+        voc, centre = held.value
+        near = np.zeros((states, voc.size))
+        for batch in batches:
+            h, woff = tokens(batch.column(0))
+            of = (directions(batch.column(0))[0] @ centre.T).argmax(1)
+            word_of, ids = np.repeat(of, np.diff(woff)), voc.find(h)
+            here = ids >= 0
+            near += np.bincount(word_of[here] * voc.size + ids[here], minlength=states * voc.size).reshape(states, -1)
+            near[:, -1] += np.bincount(of, minlength=states)
+            inv, uniq = pd.factorize(h[~here])
+            if len(uniq):
+                yield _out(True, uniq.view(np.int64), np.bincount(inv * states + word_of[~here], minlength=len(uniq) * states).reshape(-1, states).astype(float))
+        yield _out(False, np.flatnonzero(near.any(0)), near[:, near.any(0)].T)
+
+    far_table, weight, count, _ = _read(_sums(docs.select("text").mapInArrow(run, _schema(states)), states), voc, states)
+    held.destroy()
+    return Hmm(start, move, (count + prior) / weight, weight), far_table
+
+
+def baum_welch(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm, far_table: DataFrame, steps: int | None = None) -> tuple[Hmm, DataFrame]:
+    """Rounds over every text of ``rows`` until the likelihood stops rising, or ``steps``: the model, and (h, c) of the words that are not broadcast."""
     spark, states = rows.sparkSession, len(model.start)
     uni = voc.unigram()
-    cols = [f"s{k}" for k in range(states)]
-    far_table = None
-    for _ in range(steps):
+    before, done = -np.inf, 0
+    while steps is None or done < steps:
         held = spark.sparkContext.broadcast((voc, model))
 
         def run(batches, held=held):
             voc, model = held.value
             count = np.zeros((states, voc.size))
-            start, moves = np.zeros(states), np.zeros((states, states))
-            out = lambda far, ids, rows: pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states))], names=["far", "id", *cols])
+            start, moves, log = np.zeros(states), np.zeros((states, states)), np.zeros(states)
             for batch in _gathered(batches):
                 more = None
                 for _, _, lay, _, _, here, far, _ in _batches(batch, voc, model):
-                    s, m, share = here.expected(lay)
+                    s, m, share, likelihood = here.expected_and_log(lay)
                     start += s
                     moves += m
+                    log[0] += likelihood
                     both = np.stack([np.bincount(lay.ids, share[:, k], len(here.emit)) for k in range(states)])
                     count += both[:, : voc.size]
                     more = both[:, voc.size :] if more is None else more + both[:, voc.size :]
                 if more is not None and more.shape[1]:
-                    yield out(True, far.view(np.int64), more.T)
+                    yield _out(True, far.view(np.int64), more.T)
             some = np.flatnonzero(count.any(0))
-            # rows below zero: the starts, and the moves out of each state
-            yield out(False, np.concatenate((some, -1 - np.arange(states + 1))), np.concatenate((count[:, some].T, [start], moves)))
-
-        found = with_far(rows, pairs, far_table, states).select("text", "h", "n", "c").mapInArrow(run, "far boolean, id bigint, " + ", ".join(f"{c} double" for c in cols))
-        sums = common.materialize(found.groupBy("far", "id").agg(*(F.sum(c).alias(c) for c in cols)), "hmm-expected")
-        far_table = sums.where("far").select(F.col("id").alias("h"), F.array(*cols).alias("c"))
-        far_sum = np.array([x or 0.0 for x in sums.where("far").agg(*(F.sum(c) for c in cols)).first()])
-        table = sums.where("not far").toArrow()
-        ids, values = table.column("id").to_numpy(), np.stack([table.column(c).to_numpy() for c in cols], 1)
-        count, moves, start = np.zeros((voc.size, states)), np.zeros((states, states)), np.zeros(states)
-        count[ids[ids >= 0]] = values[ids >= 0]
-        for i, r in zip(ids[ids < 0], values[ids < 0], strict=True):
-            if i == -1:
-                start = r
-            else:
-                moves[-2 - i] = r
-        weight = count.sum(0) + far_sum + PRIOR
-        moves += EVEN / states
-        start += EVEN / states
+            # rows below zero: the starts, the moves out of each state, and the likelihood
+            yield _out(False, np.concatenate((some, -1 - np.arange(states + 2))), np.concatenate((count[:, some].T, [start], moves, [log])))
+
+        found = with_far(rows, pairs, far_table, states).select("text", "h", "n", "c").mapInArrow(run, _schema(states))
+        far_table, weight, count, rest = _read(_sums(found, states), voc, states)
+        moves = np.stack([rest[-2 - k] for k in range(states)]) + EVEN / states
+        start, log = rest[-1] + EVEN / states, rest[-2 - states][0]
         model = Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), (count + PRIOR * uni[:, None]) / weight, weight)
         held.destroy()
+        done += 1
+        if log - before <= TOLERANCE * abs(log):
+            break
+        before = log
     return model, far_table
 
 
@@ -365,7 +417,7 @@ def score_texts(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm,
     return with_far(rows, pairs, far_table, len(model.start)).select("text", "h", "n", "c", "doc_id").mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
-def language_scores(docs: DataFrame, states: int = STATES, steps: int = STEPS, kept: int = KEPT, emitted: int = EMITTED) -> DataFrame:
+def language_scores(docs: DataFrame, states: int = STATES, steps: int | None = None, kept: int = KEPT, emitted: int = EMITTED) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Trains on the rows that are not held out; a row without a doc_id is not held
@@ -379,9 +431,10 @@ def language_scores(docs: DataFrame, states: int = STATES, steps: int = STEPS, k
     counts = common.materialize(word_counts(learn), "hmm-counts")
     texts = learn.count()
     voc = vocabulary(counts, texts, kept, emitted)
-    pairs, model, far_table = far_words(rows, counts, voc), first_model(learn, voc, texts, states), None
+    pairs = far_words(rows, counts, voc)
+    model, far_table = first_model(learn, voc, texts, states)
     if texts:
-        model, far_table = baum_welch(learn, pairs, voc, model, steps)
+        model, far_table = baum_welch(learn, pairs, voc, model, far_table, steps)
     out = score_texts(rows, pairs, voc, model, far_table)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(voc.total)).cast("long").alias("train_tokens"), "base_score", "score")
 

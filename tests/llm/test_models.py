@@ -282,6 +282,22 @@ def test_words_that_are_not_broadcast_have_emissions(spark):
     assert gain(some) > 0.7 * gain(near) > 0
 
 
+def test_a_rare_voice_has_part_in_the_start(spark):
+    many = [(i, " ".join(VOICES["en"] * 8)) for i in range(4000)]
+    rare = [(9000, " ".join(VOICES["fr"] * 8))]
+    docs = spark.createDataFrame(many + rare, "doc_id bigint, text string")
+    centre = hmm.clusters(docs, 2)
+    x, _ = hmm.directions(pa.array([many[0][1], rare[0][1]]))
+    assert sorted((x @ centre.T).argmax(1).tolist()) == [0, 1] and np.allclose((x @ centre.T).max(1), 1)
+
+
+def test_rounds_go_on_until_the_likelihood_stops(spark):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in voiced(150, 8)], "doc_id bigint, text string")
+    gain = lambda **k: hmm.language_scores(docs, states=3, emitted=30, **k).where("not held_out").agg(F.sum("score")).first()[0]
+    one, two, full = gain(steps=1), gain(steps=2), gain()
+    assert one <= two <= full + 1e-6 * abs(full)
+
+
 def test_language_model_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = hmm.language_scores(df, states=2).collect()
