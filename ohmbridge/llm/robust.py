@@ -1,21 +1,35 @@
 """Quality rules and robust multivariate outliers, in DataFrame operations only.
 
-Each text becomes a vector of transformed statistics. For every language and
+Each text becomes a vector of six transformed statistics. For every language and
 source the minimum-covariance-determinant estimate of their mean and covariance
-is sought by concentration steps: start from medians and scaled median absolute
-deviations, take the h = 3/4 of the rows that lie nearest by Mahalanobis
-distance, estimate anew from these, and repeat. A last step re-estimates from
-all rows within the 0.975 quantile. Rows farther than a cut-off are rejected.
-
-Rows are never collected: each step is one aggregation by group and one join
-with a table of one row per group. Statistics are rounded to 1/1024 and
-distances to 1/16 of a doubling, so that exact percentiles hold a bounded number
-of distinct values for a group of any size and come out alike for any
-partitioning.
+is sought by concentration steps from three deterministic starts: the diagonal of
+scaled median absolute deviations, the covariance of spatial signs, and that of
+hyperbolic tangents. A step takes the h = 3/4 of the rows that lie nearest by
+Mahalanobis distance and estimates anew from these; each start goes on until the
+determinant stops falling, and the least determinant wins. Its covariance is made
+consistent for normal data by the median distance, rows within the 0.975 quantile
+of chi-squared give the last estimate, corrected for what that cuts off, and rows
+beyond the 1 - ``TAIL`` quantile are rejected.
+
+Statistics on which most rows agree would make a covariance singular, and short
+texts scatter more than long ones. So every statistic has a sampling variance of
+its own, that of a count of its size (``noise``): a group's mean of them is added
+to its covariance in the steps, and a row's own to the covariance for its verdict,
+where a spread below the group's mean noise counts as that noise.
+Nothing is set by hand but the share h, the two quantiles and the least rows of a group.
+
+Rows are never collected: each step is two aggregations by group and joins with
+tables of one row per group and start, broadcast if there are few. Statistics are
+rounded to 1/1024 and distances to 1/64 of a doubling, so that exact percentiles
+hold a bounded number of distinct values for a group of any size and come out
+alike for any partitioning.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +40,38 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 FEATURES = ("word_length", "symbol_rate", "line_repeat", "word_repeat", "variety", "length")
-#: Least standard deviation of each transformed statistic: narrower spreads of clean text are no reason to reject.
-FLOOR = {"word_length": 0.12, "symbol_rate": 0.04, "line_repeat": 0.2, "word_repeat": 0.15, "variety": 0.06, "length": 1.5}
+N = len(FEATURES)
+#: Share of a group's rows that the steps estimate from.
 H = 0.75
-STEPS = 4
+#: A start is done when a step lowers the logarithm of the determinant by no more than this.
+TOLERANCE = 1e-3
 #: Groups of fewer rows share their language's estimate, and languages of fewer rows the estimate of all.
-MIN_ROWS = 50
-#: Chi-squared quantiles for six statistics: 0.5 and 0.975; and the cut-off, near the quantile 1 - 5e-6.
-CHI2_MEDIAN, CHI2_975, CUT = 5.3481, 14.4494, 35.0
+MIN_ROWS = 10 * N
+#: Share of the rows of a normal group that is rejected.
+TAIL = 1e-6
+#: Estimates of at most so many groups (a row of some 250 bytes for each start) are broadcast.
+BROADCAST_GROUPS = 50_000
+
+
+def chi2_share(x: float, dof: int) -> float:
+    """The share of chi-squared of an even number of degrees of freedom below ``x``."""
+    terms = [1.0]
+    for i in range(1, dof // 2):
+        terms.append(terms[-1] * x / 2 / i)
+    return 1 - math.exp(-x / 2) * sum(terms)
+
+
+def chi2_quantile(share: float, dof: int) -> float:
+    low, high = 0.0, 1000.0
+    while high - low > 1e-9:
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi2_share(mid, dof) < share else (low, mid)
+    return low
+
+
+MEDIAN, NEAR, CUT = (chi2_quantile(x, N) for x in (0.5, 0.975, 1 - TAIL))
+#: What makes the covariance of rows within ``NEAR`` that of all rows of a normal group.
+WHOLE = 0.975 / chi2_share(NEAR, N + 2)
 
 
 def _let(value: Column, body) -> Column:
@@ -108,58 +146,126 @@ def vectors(stats: DataFrame) -> DataFrame:
     })
 
 
-def _inverse_factor(est: DataFrame) -> DataFrame:
-    """From means m_i and covariances c_i_j, the rows of the inverse Cholesky factor as w_i_j."""
-    n = len(FEATURES)
-    for i in range(n):
-        row = {}
-        for j in range(i):
-            dot = sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0)) if j else F.lit(0.0)
-            est = est.withColumn(f"l_{i}_{j}", (F.col(f"c_{j}_{i}") - dot) / F.col(f"l_{j}_{j}"))
-        dot = sum((F.col(f"l_{i}_{k}") ** 2 for k in range(i)), F.lit(0.0)) if i else F.lit(0.0)
-        row[f"l_{i}_{i}"] = F.sqrt(F.greatest(F.col(f"c_{i}_{i}") - dot, F.lit(FLOOR[FEATURES[i]] ** 2)))
-        est = est.withColumns(row)
-    return est.select("__g", *(f"m_{i}" for i in range(n)), *(f"l_{i}_{j}" for i in range(n) for j in range(i + 1)))
+def noise() -> list[Column]:
+    """The sampling variance of each transformed statistic, in the order of FEATURES.
+
+    The root of a share k / n of independent counts varies by 1 / 4n, the
+    logarithm of a count k by 1 / k. Repeated words come by two windows at least.
+    """
+    chars, words, lines, distinct = (F.greatest(F.col(c), F.lit(1)).cast("double") for c in ("word_chars", "n_words", "n_lines", "n_distinct_words"))
+    again = F.col("n_words") - F.col("n_distinct_words") + 1
+    return [1 / chars, 1 / (4 * chars), 1 / (4 * lines), 2 * WINDOW / (4 * words), again / (((distinct + 1) * F.log1p(words)) ** 2), 1 / words]
+
+
+def _sum(terms) -> Column:
+    return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+
+
+def _factor(rows: DataFrame, diagonal: list[Column], last: list[Column] | None = None) -> DataFrame:
+    """Adds l_i_j, the Cholesky factor of c_j_i with ``diagonal`` added, a column of it at a time.
+
+    With ``last``, the vector that the factor is solved for, adds z_i too, in the same steps.
+    """
+    for j in range(N):
+        at = F.sqrt(F.greatest(F.col(f"c_{j}_{j}") + diagonal[j] - _sum(F.col(f"l_{j}_{k}") ** 2 for k in range(j)), F.lit(1e-12)))
+        rows = rows.withColumn(f"l_{j}_{j}", at)
+        made = {f"l_{i}_{j}": (F.col(f"c_{j}_{i}") - _sum(F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j))) / F.col(f"l_{j}_{j}") for i in range(j + 1, N)}
+        if last:
+            made[f"z_{j}"] = (last[j] - _sum(F.col(f"l_{j}_{k}") * F.col(f"z_{k}") for k in range(j))) / F.col(f"l_{j}_{j}")
+        if made:
+            rows = rows.withColumns(made)
+    return rows
+
+
+def _square() -> Column:
+    return _sum(F.col(f"z_{i}") ** 2 for i in range(N))
+
+
+MEANS = [f"m_{i}" for i in range(N)]
+SPREAD = [f"c_{i}_{j}" for i in range(N) for j in range(i, N)]
+LOWER = [f"l_{i}_{j}" for i in range(N) for j in range(i + 1)]
+NOISE = [f"v_{i}" for i in range(N)]
 
 
 def _distance(rows: DataFrame) -> DataFrame:
-    """Adds d2, by forward substitution through the Cholesky factor."""
-    n = len(FEATURES)
-    for i in range(n):
-        dot = sum((F.col(f"l_{i}_{k}") * F.col(f"z_{k}") for k in range(i)), F.lit(0.0)) if i else F.lit(0.0)
-        rows = rows.withColumn(f"z_{i}", (F.col(FEATURES[i]) - F.col(f"m_{i}") - dot) / F.col(f"l_{i}_{i}"))
-    return rows.withColumn("d2", sum((F.col(f"z_{i}") ** 2 for i in range(1, n)), F.col("z_0") ** 2))
+    """Adds d2, by forward substitution through the factor l_i_j."""
+    for i in range(N):
+        rows = rows.withColumn(f"z_{i}", (F.col(FEATURES[i]) - F.col(f"m_{i}") - _sum(F.col(f"l_{i}_{k}") * F.col(f"z_{k}") for k in range(i))) / F.col(f"l_{i}_{i}"))
+    return rows.withColumn("d2", _square())
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    n = len(FEATURES)
-    sums = [F.avg(f).alias(f"m_{i}") for i, f in enumerate(FEATURES)]
-    sums += [F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s_{i}_{j}") for i in range(n) for j in range(i, n)]
-    return rows.groupBy("__g").agg(*sums).select("__g", *(f"m_{i}" for i in range(n)), *((F.col(f"s_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)))
+def _moments(rows: DataFrame, by: list[str], values: list[Column]) -> DataFrame:
+    """(by, m_i, c_i_j): means and covariances of ``values``."""
+    rows = rows.select(*by, *(v.alias(f"x_{i}") for i, v in enumerate(values)))
+    sums = [F.avg(f"x_{i}").alias(f"m_{i}") for i in range(N)] + [F.avg(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"s_{i}_{j}") for i in range(N) for j in range(i, N)]
+    return rows.groupBy(*by).agg(*sums).select(*by, *MEANS, *((F.col(f"s_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")).alias(f"c_{i}_{j}") for i in range(N) for j in range(i, N)))
 
 
 def _bin(d2: Column) -> Column:
-    return F.floor(F.log2(1 + d2) * 16)
-
-
-def _steps(rows: DataFrame) -> DataFrame:
-    """One row per group ``__g``: the robust means and Cholesky factor."""
-    n = len(FEATURES)
-    med = rows.groupBy("__g").agg(*(F.percentile(f, F.lit(0.5)).alias(f"m_{i}") for i, f in enumerate(FEATURES)))
-    dev = rows.join(med, "__g").groupBy("__g").agg(*(F.first(f"m_{i}").alias(f"m_{i}") for i in range(n)), *(F.percentile(F.abs(F.col(f) - F.col(f"m_{i}")), F.lit(0.5)).alias(f"mad_{i}") for i, f in enumerate(FEATURES)))
-    est = dev.select("__g", *(f"m_{i}" for i in range(n)), *(((1.4826 * F.col(f"mad_{i}")) ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)))
-    est = common.materialize(_inverse_factor(est), "mcd")
-    for step in range(STEPS + 1):
-        far = _distance(rows.join(est, "__g")).select("__g", *FEATURES, _bin(F.col("d2")).alias("b"))
-        if step < STEPS:
-            cut = far.groupBy("__g").agg(F.percentile("b", F.lit(H)).alias("cut"))
-            best = far.join(cut, "__g").where("b <= cut")
-        else:
-            # scale to the median of chi-squared, then keep what lies within its 0.975 quantile
-            cut = far.groupBy("__g").agg((F.pow(F.lit(2.0), (F.percentile("b", F.lit(0.5)) + 0.5) / 16) - 1).alias("half"))
-            best = far.join(cut, "__g").where((F.pow(F.lit(2.0), (F.col("b") + 0.5) / 16) - 1) <= F.lit(CHI2_975 / CHI2_MEDIAN) * F.greatest("half", F.lit(CHI2_MEDIAN)))
-        est = common.materialize(_inverse_factor(_moments(best)), "mcd")
-    return est
+    return F.floor(F.log2(1 + d2) * 64)
+
+
+def _of_bin(b: Column) -> Column:
+    return F.pow(F.lit(2.0), (b + 0.5) / 64) - 1
+
+
+def _few(table: DataFrame, groups: int) -> DataFrame:
+    """A table of some rows for each group, broadcast if there are few groups."""
+    return F.broadcast(table) if groups <= BROADCAST_GROUPS else table
+
+
+def _starts(rows: DataFrame, groups: int) -> DataFrame:
+    """(__g, start, m_i, c_i_j, v_i): medians and three covariances of each group, and its mean noise."""
+    med = rows.groupBy("__g").agg(*(F.percentile(f, F.lit(0.5)).alias(f"m_{i}") for i, f in enumerate(FEATURES)), *(F.avg(v).alias(v) for v in NOISE))
+    med = common.materialize(med, "mcd-medians")
+    dev = rows.drop(*NOISE).join(_few(med, groups), "__g").groupBy("__g").agg(*(F.percentile(F.abs(F.col(f) - F.col(f"m_{i}")), F.lit(0.5)).alias(f"mad_{i}") for i, f in enumerate(FEATURES)))
+    scale = med.join(_few(dev, groups), "__g").select("__g", *MEANS, *NOISE, *(F.sqrt((1.4826 * F.col(f"mad_{i}")) ** 2 + F.col(f"v_{i}")).alias(f"s_{i}") for i in range(N)))
+    scale = common.materialize(scale, "mcd-scales")
+    placed = rows.drop(*NOISE).join(_few(scale, groups), "__g").select("__g", *(((F.col(f) - F.col(f"m_{i}")) / F.col(f"s_{i}")).alias(f"x_{i}") for i, f in enumerate(FEATURES)))
+    long = F.greatest(F.sqrt(_sum(F.col(f"x_{i}") ** 2 for i in range(N))), F.lit(1e-9))
+    zero = F.lit(0.0)
+    flat = scale.select("__g", F.lit(0).alias("start"), *((F.lit(1.0) if i == j else zero).alias(f"c_{i}_{j}") for i in range(N) for j in range(i, N)))
+    signs = _moments(placed, ["__g"], [F.col(f"x_{i}") / long for i in range(N)]).select("__g", F.lit(1).alias("start"), *((F.col(c) * N).alias(c) for c in SPREAD))
+    bent = _moments(placed, ["__g"], [F.tanh(f"x_{i}") for i in range(N)]).select("__g", F.lit(2).alias("start"), *SPREAD)
+    every = flat.unionByName(signs).unionByName(bent)
+    return every.join(_few(scale, groups), "__g").select("__g", "start", *MEANS, *NOISE, *((F.col(f"c_{i}_{j}") * F.col(f"s_{i}") * F.col(f"s_{j}")).alias(f"c_{i}_{j}") for i in range(N) for j in range(i, N)))
+
+
+def _factored(est: DataFrame) -> DataFrame:
+    """Estimates with the factor of their covariance and mean noise, and the logarithm of its determinant."""
+    keys = [c for c in ("__g", "start") if c in est.columns]
+    est = _factor(est, [F.col(v) for v in NOISE])
+    return est.select(*keys, *MEANS, *SPREAD, *NOISE, *LOWER, (2 * _sum(F.log(f"l_{i}_{i}") for i in range(N))).alias("det"))
+
+
+def estimates(rows: DataFrame, groups: int) -> DataFrame:
+    """(__g, m_i, c_i_j, v_i): of each group the robust mean and covariance, and its mean noise.
+
+    ``rows``: __g, the statistics, and their noise v_i; ``groups``: how many there are.
+    """
+    active = common.materialize(_factored(_starts(rows, groups)).withColumn("det", F.lit(None).cast("double")), "mcd")
+    steps = []
+    while True:
+        far = _distance(rows.drop(*NOISE).join(_few(active, groups), "__g")).select("__g", "start", *FEATURES, _bin(F.col("d2")).alias("b"))
+        cut = common.materialize(far.groupBy("__g", "start").agg(F.percentile("b", F.lit(H)).alias("cut")), "mcd-cuts")
+        best = far.join(_few(cut, groups), ["__g", "start"]).where("b <= cut")
+        made = _moments(best, ["__g", "start"], [F.col(f) for f in FEATURES])
+        before = active.select("__g", "start", F.col("det").alias("before"))
+        made = _factored(made.join(_few(active.select("__g", "start", *NOISE), groups), ["__g", "start"])).join(_few(before, groups), ["__g", "start"])
+        made = common.materialize(made, "mcd")
+        steps.append(made.drop("before"))
+        active = made.where("before is null or before - det > " + repr(TOLERANCE)).drop("before")
+        if active.isEmpty():
+            break
+    # the least determinant of all; of equal ones the earlier start
+    found = reduce(DataFrame.unionByName, steps)
+    least = found.groupBy("__g").agg(F.min_by(F.struct(*MEANS, *SPREAD, *NOISE, *LOWER), F.struct("det", "start")).alias("e")).select("__g", "e.*")
+    least = common.materialize(least, "mcd")
+    far = _distance(rows.drop(*NOISE).join(_few(least, groups), "__g")).select("__g", *FEATURES, _bin(F.col("d2")).alias("b"))
+    half = common.materialize(far.groupBy("__g").agg(_of_bin(F.percentile("b", F.lit(0.5))).alias("half")), "mcd-cuts")
+    near = far.join(_few(half, groups), "__g").where(_of_bin(F.col("b")) <= F.col("half") * F.lit(NEAR / MEDIAN))
+    last = _moments(near, ["__g"], [F.col(f) for f in FEATURES]).select("__g", *MEANS, *((F.col(c) * WHOLE).alias(c) for c in SPREAD))
+    return common.materialize(last.join(_few(least.select("__g", *NOISE), groups), "__g"), "mcd")
 
 
 def robust_outliers(stats: DataFrame, group: tuple[str, str] = ("lang", "source")) -> DataFrame:
@@ -167,9 +273,11 @@ def robust_outliers(stats: DataFrame, group: tuple[str, str] = ("lang", "source"
 
     ``stats``: what base_statistics gives, with the two group columns. Rows that
     base_failed() rejects take no part in the estimates. Null groups are groups
-    of their own; groups too small for an estimate use a wider one; without
-    MIN_ROWS rows in all, and in groups none of whose rows pass, nothing is an
-    outlier and distances are null.
+    of their own; groups of fewer than MIN_ROWS rows that pass use their
+    language's estimate, such languages that of all; without MIN_ROWS rows in
+    all, and in groups none of whose rows pass, nothing is an outlier and
+    distances are null. A statistic on which all rows of a group agree varies by
+    its noise alone.
     """
     a, b = group
     rows = vectors(stats)
@@ -184,15 +292,21 @@ def robust_outliers(stats: DataFrame, group: tuple[str, str] = ("lang", "source"
         F.col(a).alias("__a"), F.col(b).alias("__b"),
         F.when(F.col("__n") >= MIN_ROWS, key(a, b)).when(F.col("__na") >= MIN_ROWS, key(a)).otherwise(F.lit("")).alias("__g"),
     )
+    own = common.materialize(own, "mcd-groups")
+    groups = own.count()
     # a group's rows feed its own estimate, its language's and the one of all, as far as some group needs them
     wide = {r[0] for r in own.select(F.when(F.col("__g") == "", 2).when(F.col("__g").contains("\u0001"), 0).otherwise(1)).distinct().collect()}
     levels = F.array(*([key(a, b)] if 0 in wide else []), *([key(a)] if 1 in wide else []), *([F.lit("")] if 2 in wide else []))
-    feed = common.materialize(good.select(F.explode(levels).alias("__g"), *FEATURES), "mcd-rows")
-    est = _steps(feed)
-    placed = rows.join(own, rows[a].eqNullSafe(F.col("__a")) & rows[b].eqNullSafe(F.col("__b")), "left").drop("__a", "__b")
-    far = _distance(placed.join(est, "__g", "left"))
-    drop = ["__g", "d2", *(f"m_{i}" for i in range(len(FEATURES))), *(f"z_{i}" for i in range(len(FEATURES))), *(f"l_{i}_{j}" for i in range(len(FEATURES)) for j in range(i + 1))]
-    return far.withColumns({"distance": F.col("d2"), "outlier": F.coalesce(F.col("d2") > CUT, F.lit(False))}).drop(*drop)
+    feed = good.select(F.explode(levels).alias("__g"), *FEATURES, *(v.alias(f"v_{i}") for i, v in enumerate(noise())))
+    # an estimate that no group uses is not made
+    feed = common.materialize(feed.join(_few(own.select("__g").distinct(), groups), "__g", "left_semi"), "mcd-rows")
+    est = estimates(feed, groups)
+    placed = rows.join(_few(own, groups), rows[a].eqNullSafe(F.col("__a")) & rows[b].eqNullSafe(F.col("__b")), "left").drop("__a", "__b")
+    placed = placed.join(_few(est, groups), "__g", "left")
+    # a spread counts as the group's mean noise at least
+    varies = [F.greatest(F.col(f"v_{i}") - F.col(f"c_{i}_{i}"), v) for i, v in enumerate(noise())]
+    far = _factor(placed, varies, [F.col(f) - F.col(f"m_{i}") for i, f in enumerate(FEATURES)]).withColumn("distance", _square())
+    return far.withColumn("outlier", F.coalesce(F.col("distance") > CUT, F.lit(False))).drop("__g", *MEANS, *SPREAD, *NOISE, *LOWER, *(f"z_{i}" for i in range(N)))
 
 
 def quality_rules(docs: DataFrame, group: tuple[str, str] = ("lang", "source")) -> DataFrame:

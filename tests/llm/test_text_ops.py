@@ -281,41 +281,6 @@ def test_outliers_follow_the_group(spark):
     assert all(got[i].kept for i in range(300)) and not any(got[i].kept for i in range(300, 312))
 
 
-def test_mcd_equals_numpy(spark):
-    """The last estimate's distances, against the same steps in numpy."""
-    rng = np.random.default_rng(0)
-    n = 400
-    stats = [(i, "en", "s", int(w), int(w * c), int(s), 0, int(r), 5, int(w * 0.8)) for i, (w, c, s, r) in enumerate(zip(rng.integers(30, 400, n), rng.uniform(4, 7, n), rng.poisson(2, n), rng.integers(0, 3, n), strict=True))]
-    df = spark.createDataFrame(stats, "doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_distinct_words bigint")
-    got = np.array([r.distance for r in robust.robust_outliers(df).orderBy("doc_id").collect()])
-    v = np.array([[getattr(r, f) for f in robust.FEATURES] for r in robust.vectors(df).orderBy("doc_id").collect()])
-    floor = np.array([robust.FLOOR[f] for f in robust.FEATURES])
-
-    def factor(c):
-        low = np.zeros((6, 6))
-        for i in range(6):
-            for j in range(i):
-                low[i, j] = (c[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
-            low[i, i] = np.sqrt(max(c[i, i] - low[i, :i] @ low[i, :i], floor[i] ** 2))
-        return low
-
-    m = np.percentile(v, 50, axis=0)
-    low = factor(np.diag((1.4826 * np.percentile(np.abs(v - m), 50, axis=0)) ** 2))
-    for step in range(robust.STEPS + 2):
-        d2 = (np.linalg.solve(low, (v - m).T) ** 2).sum(0)
-        b = np.floor(np.log2(1 + d2) * 16)
-        if step == robust.STEPS + 1:
-            break
-        if step < robust.STEPS:
-            take = b <= np.percentile(b, 100 * robust.H)
-        else:
-            half = 2 ** ((np.percentile(b, 50) + 0.5) / 16) - 1
-            take = 2 ** ((b + 0.5) / 16) - 1 <= robust.CHI2_975 / robust.CHI2_MEDIAN * max(half, robust.CHI2_MEDIAN)
-        m = v[take].mean(0)
-        low = factor(np.cov(v[take].T, bias=True))
-    assert np.allclose(got, d2, rtol=1e-6, atol=1e-6)
-
-
 def test_quality_rules_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = robust.quality_rules(df).collect()
