@@ -3,14 +3,21 @@
 Expressions are parsed to positions (Glushkov's construction, no empty moves),
 all of them into one set; subset construction over bit masks of positions and
 partition refinement give a minimal automaton whose states tell which rules have
-a match that ends there. A batch is scanned in many lanes at once: each step
-moves all lanes by one byte. Lanes start in the start state; where the lane
-before ends elsewhere, a lane's head is run again from there until its states
-agree with those found, so the result is that of one pass from end to end.
+a match that ends there. Built *backward*, from the reversed expressions, it reads
+texts from their ends and its states tell which rules have a match that starts
+there. Built *anchored*, matches must start where it does.
+
+A batch is scanned in pieces, each in many lanes at once: each step moves all
+lanes by one byte. Lanes start in the start state; where the lane before ends
+elsewhere, a lane's head is run again from there until its states agree with those
+found, and a piece starts where the one before ended, so the result is that of
+one pass from end to end.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 
@@ -155,28 +162,40 @@ class Regex:
             raise ValueError("an expression that matches nothing would match everywhere")
 
 
+#: Bytes of a piece, which hold four bytes of state each.
+PIECE = 4 << 20
+
+
 class Automaton:
-    """``table[state * classes + class]`` is the next state times ``classes``; ``hits[state]`` a bit for each rule."""
+    """``flat[state * classes + class]`` is the next state times ``classes``; ``hits[state]`` a bit for each rule."""
 
-    def __init__(self, patterns: list[str]):
+    def __init__(self, patterns: list[str], backward: bool = False, anchored: bool = False):
         accepts, follow, first, lasts = [], [], 0, []
         for pattern in patterns:
             r = Regex(pattern)
             base = len(accepts)
             accepts += r.accepts
-            follow += [sum(1 << (base + q) for q in f) for f in r.follow]
-            first |= sum(1 << (base + p) for p in r.first)
-            lasts.append(sum(1 << (base + p) for p in r.last))
+            after, begin, end = r.follow, r.first, r.last
+            if backward:
+                after, begin, end = [set() for _ in r.follow], r.last, r.first
+                for p, f in enumerate(r.follow):
+                    for q in f:
+                        after[q].add(p)
+            follow += [sum(1 << (base + q) for q in f) for f in after]
+            first |= sum(1 << (base + p) for p in begin)
+            lasts.append(sum(1 << (base + p) for p in end))
         by_byte = [sum(1 << p for p, a in enumerate(accepts) if b in a) for b in range(256)]
         masks = list(dict.fromkeys([0, *by_byte]))
         #: class 0 is accepted by no position: it returns to the start, as between texts
         self.class_of = np.array([masks.index(m) for m in by_byte], np.uint8)
         k = len(masks)
-        states, rows, todo = {0: 0}, [], [0]
+        # no position is the start; where matches are anchored, it is the dead state, and the start is one of its own
+        begin = -1 if anchored else 0
+        states, rows, todo = {begin: 0}, [], [begin]
         while todo:
             nxt = []
             for s in todo:
-                reach, rest = first, s
+                reach, rest = (0 if anchored and s != begin else first), max(s, 0)
                 while rest:
                     low = rest & -rest
                     reach |= follow[low.bit_length() - 1]
@@ -191,46 +210,47 @@ class Automaton:
                 rows.append(row)
             todo = nxt
         table = np.array(rows, np.int64)
-        hits = np.array([sum((1 << r) for r, z in enumerate(lasts) if s & z) for s in states], np.int64)
-        self.table, self.hits, self.start, self.raw_states = *self._minimal(table, hits), len(states)
-        self.classes = k
-        self.rules = len(patterns)
-        self.flat = np.ascontiguousarray((self.table * k).ravel().astype(np.int32))
+        hits = np.array([sum((1 << r) for r, z in enumerate(lasts) if s > 0 and s & z) for s in states], np.int64)
+        small, self.hits, block = self._minimal(table, hits)
+        self.start, self.dead, self.raw_states = int(block[0]), int(block[states[0]]) if anchored else -1, len(states)
+        self.classes, self.rules, self.backward = k, len(patterns), backward
+        self.flat = np.ascontiguousarray((small * k).ravel().astype(np.int32))
+
+    @property
+    def table(self) -> np.ndarray:
+        """The next state, by state and class."""
+        return (self.flat // self.classes).reshape(-1, self.classes)
 
     @staticmethod
-    def _minimal(table: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Merge states until no two of a block differ in where they lead (Moore)."""
+    def _minimal(table: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge states until no two of a block differ in where they lead (Moore): (table, hits, block of each state)."""
         _, block = np.unique(hits, return_inverse=True)
         while True:
             sign = np.concatenate((block[:, None], block[table]), 1)
             _, pick, new = np.unique(sign, axis=0, return_index=True, return_inverse=True)
             new = new.ravel()
             if new.max() == block.max():
-                return new[table[pick]], hits[pick], int(new[0])
+                return new[table[pick]], hits[pick], new
             block = new
 
-    def scan(self, buf: np.ndarray, offsets: np.ndarray, lanes: int = 2048) -> list[tuple[int, int]]:
-        """(text, rule) for each rule that has a match in a text, sorted."""
-        n, texts, k = len(buf), len(offsets) - 1, self.classes
-        if not n:
-            return []
-        lanes = max(1, min(lanes, (n + texts) // 64))
-        steps = -(-(n + texts) // lanes)
-        flow = np.zeros(steps * lanes, np.uint8)
-        classes = self.class_of[buf]
-        for i in range(texts):
-            a, b = offsets[i], offsets[i + 1]
-            flow[a + i : b + i] = classes[a:b]
+    def _piece(self, flow: np.ndarray, state: int, lanes: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(places of hits, their states, the state after the last byte) of a run over ``flow`` from ``state``; states times classes."""
+        n, k = len(flow), self.classes
+        lanes = max(1, min(lanes, n // 64))
+        steps = -(-n // lanes)
+        if steps * lanes > n:
+            flow = np.concatenate((flow, np.zeros(steps * lanes - n, np.uint8)))
         by_step = np.ascontiguousarray(flow.reshape(lanes, steps).T)
         seen = np.empty((steps, lanes), np.int32)
-        state = np.full(lanes, self.start * k, np.int32)
+        assumed = np.full(lanes, self.start * k, np.int32)
+        assumed[0] = state
+        now = assumed
         for t in range(steps):
-            np.take(self.flat, state + by_step[t], out=seen[t])
-            state = seen[t]
+            np.take(self.flat, now + by_step[t], out=seen[t])
+            now = seen[t]
         # lanes that began in another state than assumed
-        assumed = np.full(lanes, self.start * k, np.int32)
         while True:
-            begins = np.concatenate(([self.start * k], seen[-1, :-1])).astype(np.int32)
+            begins = np.concatenate(([state], seen[-1, :-1])).astype(np.int32)
             wrong = np.flatnonzero(begins != assumed)
             if not len(wrong):
                 break
@@ -242,12 +262,57 @@ class Automaton:
                     break
                 wrong, now = wrong[differs], now[differs]
                 seen[t, wrong] = now
-        ends = np.flatnonzero(self.hits != 0)
         flag = np.zeros(len(self.hits) * k, bool)
-        flag[ends * k] = True
+        flag[np.flatnonzero(self.hits) * k] = True
         t, lane = np.nonzero(flag[seen])
         where = lane * steps + t
+        real = where < n
+        lane, t = (n - 1) // steps, (n - 1) % steps
+        return where[real], seen.T.ravel()[where[real]] if real.any() else np.zeros(0, np.int32), int(seen[t, lane])
+
+    def places(self, buf: np.ndarray, offsets: np.ndarray, lanes: int = 2048, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, byte, rules' bits) wherever matches end or, backward, start; ends are exclusive. Sorted by text and byte."""
+        n, texts = len(buf), len(offsets) - 1
+        # a text's bytes, then one of class 0
+        flow = np.zeros(n + texts, np.uint8)
+        place = np.arange(n) + np.repeat(np.arange(texts), np.diff(offsets))
+        flow[place] = self.class_of[buf]
+        if self.backward:
+            flow = flow[::-1]
+        state, found, bits = self.start * self.classes, [], []
+        for a in range(0, len(flow), piece):
+            at, states, state = self._piece(flow[a : a + piece], state, lanes)
+            found.append(at + a)
+            bits.append(self.hits[states // self.classes])
+        where, bits = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found, bits))
+        if self.backward:
+            where = len(flow) - 1 - where
+        by = np.argsort(where)
+        where, bits = where[by], bits[by]
         text = np.searchsorted(offsets[1:] + np.arange(1, texts + 1), where, "right")
-        bits = self.hits[seen[t, lane] // k]
-        found = {(int(x), r) for x, b in set(zip(text.tolist(), bits.tolist(), strict=True)) for r in range(self.rules) if b >> r & 1}
-        return sorted(found)
+        return text, where - text - offsets[text] + (0 if self.backward else 1), bits
+
+    def scan(self, buf: np.ndarray, offsets: np.ndarray, lanes: int = 2048) -> list[tuple[int, int]]:
+        """(text, rule) for each rule that has a match in a text, sorted."""
+        text, _, bits = self.places(buf, offsets, lanes)
+        return sorted({(int(x), r) for x, b in set(zip(text.tolist(), bits.tolist(), strict=True)) for r in range(self.rules) if b >> r & 1})
+
+    def longest(self, classes: bytes, start: int) -> int:
+        """Where the longest match from ``start`` ends in a text given by its bytes' classes, -1 without any; for anchored automata."""
+        state, end, dead, table, k = self.start, -1, self.dead, self.rows, self.classes
+        ends = self.ends
+        for i in range(start, len(classes)):
+            state = table[state * k + classes[i]]
+            if state == dead:
+                break
+            if ends[state]:
+                end = i + 1
+        return end
+
+    @cached_property
+    def rows(self) -> list[int]:
+        return self.table.ravel().tolist()
+
+    @cached_property
+    def ends(self) -> list[bool]:
+        return (self.hits != 0).tolist()

@@ -1,17 +1,19 @@
-"""Secret scans: all rules in one pass of a combined automaton, then exact spans.
-
-For each rule the automaton holds an expression that every text with a finding
-must match; it passes over every byte once for all rules. Only texts that it
-marks are looked at again, rule by rule, for the exact leftmost spans.
+"""Secret scans: one automaton of all rules finds where matches start, anchored ones where they end.
+
+The rules themselves are compiled, reversed, into one minimal deterministic
+automaton that passes over every byte once, from a text's end to its start, and
+tells at each byte which rules have a match that starts there. From the leftmost
+start of a rule its own anchored automaton runs forward to the end of the longest
+match; the next start counts from there. No other engine takes part. Time is
+linear: one pass for all rules, and each match once more.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,41 +24,81 @@ from ohmbridge.llm.automaton import Automaton
 
 @dataclass(frozen=True)
 class Rule:
-    """``sign``: what the automaton looks for; ``exact``: leftmost non-overlapping matches; those whose ``group`` is shorter than ``least`` are dropped."""
+    """Leftmost, longest, non-overlapping matches of ``exact``; those with fewer than ``least`` bytes after what ``head`` matches are dropped.
+
+    A dropped match is not looked into again. Findings of all rules are ASCII
+    where they are counted, so bytes are characters.
+    """
 
     kind: str
-    sign: str
     exact: str
-    group: int = 0
+    head: str = ""
     least: int = 0
 
 
+_HEAD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 BASE = (
-    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]{16}", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]{24}", r"[0-9a-f]+", 0, 24),
+    Rule("assign", _HEAD + "[A-Za-z0-9+/_.=-]+", _HEAD, 6),
+    Rule("access", "AKIA[A-Z0-9]+", "", 20),
+    Rule("hex", "[0-9a-f]{24,}"),
 )
-#: Further formats with fixed beginnings; the automaton looks for the beginning.
+#: Further formats with fixed beginnings.
 MORE = (
-    Rule("forge", r"gh[opsur]_[A-Za-z0-9]{4}", r"gh[opsur]_[A-Za-z0-9]{36,255}"),
-    Rule("chat", r"xox[abprs]-[0-9A-Za-z]{2}", r"xox[abprs]-[0-9A-Za-z-]{10,}"),
-    Rule("maps", r"AIza[0-9A-Za-z_-]{2}", r"AIza[0-9A-Za-z_-]{35}"),
-    Rule("pay", r"[sr]k_live_[0-9A-Za-z]", r"[sr]k_live_[0-9A-Za-z]{16,}"),
-    Rule("web", r"eyJ[A-Za-z0-9_-]{2}", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("login", r"://[^\s/:@]", r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@"),
+    Rule("forge", "gh[opsur]_[A-Za-z0-9]+", "", 40),
+    Rule("chat", "xox[abprs]-[0-9A-Za-z-]+", "", 15),
+    Rule("maps", "AIza[0-9A-Za-z_-]{35}"),
+    Rule("pay", "[sr]k_live_[0-9A-Za-z]+", "", 24),
+    Rule("web", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("login", r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@"),
 )
 RULES = BASE + MORE
 
 
-@lru_cache(maxsize=4)
-def compiled(rules: tuple[Rule, ...]) -> tuple[Automaton, tuple]:
-    return Automaton([r.sign for r in rules]), tuple(re.compile(r.exact, re.ASCII) for r in rules)
+class Scanner:
+    """The automata of some rules: one backward for all starts, an anchored one for each rule's ends and head."""
+
+    def __init__(self, rules: tuple[Rule, ...]):
+        self.rules = rules
+        self.starts = Automaton([r.exact for r in rules], backward=True)
+        self.ends = [Automaton([r.exact], anchored=True) for r in rules]
+        self.heads = [Automaton([r.head], anchored=True) if r.head else None for r in rules]
+
+    def _matches(self, text: bytes, rule: int, starts: np.ndarray) -> list[tuple[int, int]]:
+        """(start, end) of a rule's matches in bytes; ``starts``: wherever one could start, in order."""
+        out, at = [], 0
+        ends, head, least = self.ends[rule], self.heads[rule], self.rules[rule].least
+        classes = text.translate(ends.class_of.tobytes())
+        heads = text.translate(head.class_of.tobytes()) if head else b""
+        while at < len(starts):
+            start = int(starts[at])
+            end = ends.longest(classes, start)
+            if end - (head.longest(heads, start) if head else start) >= least:
+                out.append((start, end))
+            at = int(np.searchsorted(starts, end))
+        return out
+
+    def spans(self, buf: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
+        """By text (start, rule, stop) of all findings in code points, sorted; texts without any are left out."""
+        text, at, bits = self.starts.places(buf, offsets)
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        cuts = np.flatnonzero(np.diff(text)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True):
+            if a == b:
+                continue
+            i = int(text[a])
+            whole = buf[offsets[i] : offsets[i + 1]]
+            raw = whole.tobytes()
+            rows = [(s, r, e) for r in range(len(self.rules)) if (here := at[a:b][(bits[a:b] >> r & 1) == 1]).size for s, e in self._matches(raw, r, here)]
+            if rows:
+                lead = np.concatenate(([0], np.cumsum((whole & 0xC0) != 0x80)))
+                found[i] = sorted((int(lead[s]), r, int(lead[e])) for s, r, e in rows)
+        return found
 
 
-def spans(text: str, rule: Rule, exact: re.Pattern) -> list[tuple[int, int]]:
-    """The rule's spans in code points. A match that is too short is dropped but not looked into again."""
-    return [m.span() for m in exact.finditer(text) if len(m[rule.group]) >= rule.least]
+@lru_cache(maxsize=4)
+def compiled(rules: tuple[Rule, ...]) -> Scanner:
+    return Scanner(rules)
 
 
 def find_secrets(docs: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -67,18 +109,13 @@ def find_secrets(docs: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES) -
     """
     common.tune(docs.sparkSession)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    made = docs.sparkSession.sparkContext.broadcast(compiled(rules)[0])
+    made = docs.sparkSession.sparkContext.broadcast(compiled(rules))
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
 
     def run(batches):
-        exact = [re.compile(r.exact, re.ASCII) for r in rules]
         for batch in batches:
-            buf, off = tk.string_buffer(batch.column(len(keep)))
-            found: list[list] = [[] for _ in range(batch.num_rows)]
-            for text, r in made.value.scan(buf, off):
-                whole = buf[off[text] : off[text + 1]].tobytes().decode("utf-8", "surrogatepass")
-                found[text] += [(a, r, b) for a, b in spans(whole, rules[r], exact[r])]
-            rows = [[{"kind": rules[r].kind, "start": a, "stop": b} for a, r, b in sorted(x)] for x in found]
+            found = made.value.spans(*tk.string_buffer(batch.column(len(keep))))
+            rows = [[{"kind": rules[r].kind, "start": a, "stop": b} for a, r, b in found.get(i, ())] for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(rows, pa.list_(item))], names=[*keep, "secrets"])
 
     return docs.select(*keep, "text").mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "secrets array<struct<kind:string,start:bigint,stop:bigint>>"]))

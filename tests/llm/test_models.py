@@ -8,6 +8,7 @@ import os
 import random
 import re
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -353,6 +354,55 @@ def test_secrets_equal_brute_force(spark):
     assert seen and got[2002] == []
 
 
+#: The rules as another engine reads them; each with the least length of what it finds.
+PLAIN = {
+    "forge": (r"gh[opsur]_[A-Za-z0-9]+", 40), "chat": (r"xox[abprs]-[0-9A-Za-z-]+", 15), "maps": (r"AIza[0-9A-Za-z_-]{35}", 0), "pay": (r"[sr]k_live_[0-9A-Za-z]+", 24),
+    "web": (r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0), "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0), "login": (r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@", 0),
+}
+
+
+def test_all_rules_equal_brute_force():
+    random.seed(11)
+    made = secrets.compiled(secrets.RULES)
+    run = lambda al, n: "".join(random.choice(al) for _ in range(n))
+    word, parts = "abcdefABCDEF0123456789", []
+    for _ in range(40):
+        n = random.choice([0, 3, 7, 8, 9, 15, 16, 23, 24, 34, 35, 36, 40, 300])
+        parts += ["ghp_" + run(word, n), "gho_" + run(word, 36) + "_", "xoxb-" + run(word + "-", n), "AIza" + run(word + "_-", n), "sk_live_" + run(word, n), "eyJ" + run(word, n) + ".eyJ" + run(word + "-_", n) + "." + run(word, n)]
+        parts += [f"-----BEGIN {random.choice(['', 'RSA ', 'EC '])}PRIVATE KEY-----", "https://" + run(word, 3) + ":" + run(word + "é漢", 4) + "@host", "a+b://:@", "AKIA" + run("ABC123", n), "token: '" + run(word, n), run("0123456789abcdef", n)]
+    glue = ["", " ", "\n", "é", "漢", ":", "/", "@", ".", "-", "eyJ", "AIza", "ghp_", "://", "secret=", '"']
+    texts = ["".join(random.choice(parts) + random.choice(glue) for _ in range(random.randrange(12))) for _ in range(1500)] + ["", "x"]
+    found = made.spans(*tk.string_buffer(pa.array(texts)))
+    kinds = [r.kind for r in secrets.RULES]
+    seen = collections.Counter()
+    for i, t in enumerate(texts):
+        expected = [(a, kinds.index(k), b) for a, _, b, k in brute_secrets(t)]
+        expected += [(m.start(), kinds.index(k), m.end()) for k, (p, least) in PLAIN.items() for m in re.finditer(p, t, re.ASCII) if len(m[0]) >= least]
+        assert found.get(i, []) == sorted(expected)
+        seen.update(r for _, r, _ in found.get(i, []))
+    assert min(seen[r] for r in range(len(kinds))) > 20
+
+
+def test_pieces_and_lanes_do_not_matter():
+    made = secrets.compiled(secrets.RULES).starts
+    random.seed(4)
+    texts = ["".join(random.choice(["deadbeef", "token=abcdefgh", " ", "é", "https://a:b@", "xyz"]) for _ in range(random.randrange(60))) for _ in range(40)] + [None, ""]
+    buf, off = tk.string_buffer(pa.array(texts))
+    whole = [x.tolist() for x in made.places(buf, off)]
+    for lanes, piece in ((1, 1 << 20), (5, 777), (64, 100), (2048, 13)):
+        assert [x.tolist() for x in made.places(buf, off, lanes, piece)] == whole
+
+
+def test_long_runs_take_linear_time():
+    """A million characters without a break, with and without a finding at the end."""
+    made = secrets.compiled(secrets.RULES)
+    started = time.time()
+    for text, n in (("a" * 1_000_000, 1), ("x" * 1_000_000 + "://", 0), ("x" * 1_000_000 + "://u:p@", 1), ("eyJ" * 300_000, 0), ("x" * 500_000 + "://" + "y" * 500_000, 0), ("AKIA" * 250_000, 1)):
+        found = made.spans(*tk.string_buffer(pa.array([text])))
+        assert len(found.get(0, [])) == n
+    assert time.time() - started < 120
+
+
 def test_secrets_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     assert [r.secrets for r in secrets.find_secrets(df, "doc_id").collect()] == [[]] * 9
