@@ -1,14 +1,20 @@
 """Hidden Markov language model over words, trained by Baum-Welch across partitions.
 
 Counts of all training words come first, by 64-bit word hash: they give the
-unigram base score. Hidden states emit every word one by one, at first by clusters
-of all training texts. Until the likelihood stops rising, each Baum-Welch step runs the scaled forward and backward recursions over every training text where it
-lies and adds up expected counts per word and state in one aggregation. A last pass
-gives each text its exact log-likelihood by the scaled forward recursion.
+unigram base score. Texts are then written once as ids of the ``EMITTED`` most
+frequent words, with the hashes of all other words in order beside them, and a
+random projection of their word counts. Hidden states start from clusters of all
+training texts. Each Baum-Welch step runs the scaled forward and backward
+recursions over every training text where it lies and adds up expected counts in
+one aggregation, until the likelihood stops rising. In these steps the states
+share out the probability of all other words together, in proportion to the
+words' counts. One more step over all texts then gathers the states' expected
+counts of every word by itself, in a table by word hash that grows with the input.
+A last pass gives each text its exact log-likelihood by the scaled forward recursion.
 
 What is broadcast is bounded: counts and emissions of the ``EMITTED`` most frequent
-words. All others keep theirs in a table by word hash, which grows with the input;
-each pass joins it to the texts' distinct words.
+words in the steps, of the ``KEPT`` most frequent for the scores. All others join
+from their table, by the texts' distinct words.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +31,10 @@ from ohmbridge.llm import common, textkernel as tk
 STATES = 8
 #: Clusters and Baum-Welch stop when a round raises the likelihood by no more than this share of it.
 TOLERANCE = 1e-4
-#: Places that words are hashed to for the clusters of texts.
-PLACES = 1024
-#: Words whose counts and emissions are broadcast: as many as the smaller bound allows. The others join.
-KEPT, EMITTED = 1_000_000, 65_536
+#: Places of the random projection of a text's words, a bit of the word hash each.
+PLACES = 64
+#: Words whose counts and emissions are broadcast for the scores, and in the steps. The others join.
+KEPT, EMITTED = 500_000, 65_536
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
@@ -71,11 +78,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Hashes and counts of the most frequent words; a word's id is its place, the end's the place after the last."""
+    """Sorted hashes and counts of the most frequent words; a word's id is its place, the end's the place after the last.
+
+    ``far``: how often training texts have the words that are not here.
+    """
 
     def __init__(self, h: np.ndarray, n: np.ndarray, texts: int, total: int, distinct: int):
         by = np.argsort(h)
         self.h, self.n, self.texts = h[by], n[by], texts
+        self.far = total - int(n.sum())
         #: all training tokens, ends included, and the distinct ones
         self.total, self.distinct = total + texts, distinct + (texts > 0)
 
@@ -89,15 +100,14 @@ class Vocabulary:
     def unigram(self) -> np.ndarray:
         return self.base(np.concatenate((self.n, [self.texts])))
 
-    def find(self, h: np.ndarray, far: np.ndarray | None = None) -> np.ndarray:
-        """Ids: those of the sorted hashes ``far`` follow the vocabulary's; of words in neither, -1."""
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Ids; of words that are not here, -1."""
         inv, uniq = pd.factorize(h)
         out = np.full(len(uniq), -1)
-        for known, first in ((self.h, 0), (far, self.size)):
-            if known is not None and len(known):
-                at = np.minimum(np.searchsorted(known, uniq), len(known) - 1)
-                hit = known[at] == uniq
-                out[hit] = at[hit] + first
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, uniq), len(self.h) - 1)
+            hit = self.h[at] == uniq
+            out[hit] = at[hit]
         return out[inv]
 
 
@@ -129,10 +139,14 @@ class Hmm:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, weight: np.ndarray | None = None):
         self.start, self.move, self.emit, self.weight = start, move, np.ascontiguousarray(emit), weight
 
+    def single(self) -> Hmm:
+        """The model in single precision, for the steps."""
+        return Hmm(*(np.ascontiguousarray(x, np.float32) for x in (self.start, self.move, self.emit)), self.weight)
+
     def forward(self, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scaled forward values, emissions, scales) of all tokens."""
         e = self.emit[lay.ids]
-        alpha, scale = np.empty_like(e), np.empty(len(e))
+        alpha, scale = np.empty_like(e), np.empty(len(e), e.dtype)
         at, move = lay.at.tolist(), self.move
         now = self.start * e[: at[1]]
         for t in range(len(at) - 1):
@@ -149,7 +163,7 @@ class Hmm:
     def log10_likelihood(self, lay: Layout) -> np.ndarray:
         """Of each text, in the order it was given in."""
         _, _, scale = self.forward(lay)
-        log = np.log10(scale)
+        log = np.log10(scale, dtype=float)
         out = np.zeros(len(lay.order))
         for t in range(len(lay.active)):
             out[: lay.active[t]] += log[lay.at[t] : lay.at[t + 1]]
@@ -165,49 +179,81 @@ class Hmm:
         """``expected``, and the natural logarithm of all texts' likelihood."""
         alpha, e, scale = self.forward(lay)
         e /= scale[:, None]
-        moves = np.zeros_like(self.move)
+        moves = np.zeros(self.move.shape)
         at, back_move = lay.at.tolist(), np.ascontiguousarray(self.move.T)
-        beta = np.ones((at[-1] - at[-2], e.shape[1]))
+        beta = np.ones((at[-1] - at[-2], e.shape[1]), e.dtype)
         for t in range(len(at) - 2, 0, -1):
             a, b, z = at[t - 1], at[t], at[t + 1]
             up = e[b:z] * beta
             moves += alpha[a : a + z - b].T @ up
             alpha[b:z] *= beta
-            nxt = np.ones((b - a, e.shape[1]))
+            nxt = np.ones((b - a, e.shape[1]), e.dtype)
             nxt[: z - b] = up @ back_move
             beta = nxt
         alpha[: at[1]] *= beta
-        return alpha[: at[1]].sum(0), moves * self.move, alpha, float(np.log(scale).sum())
+        return alpha[: at[1]].sum(0, dtype=float), moves * self.move, alpha, float(np.log(scale).sum(dtype=float))
 
 
-def directions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(unit vectors of the roots of each text's hashed word counts, numbers of words)."""
-    h, woff = tokens(column)
+def directions(h: np.ndarray, woff: np.ndarray) -> np.ndarray:
+    """Unit vectors of the texts' sums of their words' hash bits, as signs."""
     n = len(woff) - 1
     text = np.repeat(np.arange(n), np.diff(woff))
-    x = np.sqrt(np.bincount(text * PLACES + (h % np.uint64(PLACES)).astype(np.int64), minlength=n * PLACES).reshape(n, PLACES))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), np.diff(woff)
+    x = np.zeros((n, PLACES))
+    for a in range(0, len(h), 1 << 18):
+        of, begin = np.unique(text[a : a + (1 << 18)], return_index=True)
+        bits = np.unpackbits(h[a : a + (1 << 18)].view(np.uint8).reshape(-1, 8), axis=1)
+        x[of] += 2.0 * np.add.reduceat(bits, begin, axis=0, dtype=np.int64) - np.diff([*begin, len(bits)])[:, None]
+    return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
 
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
-def clusters(docs: DataFrame, states: int) -> np.ndarray:
-    """Centres of spherical k-means over all texts, from far-apart ones; each step is one pass."""
-    spark = docs.sparkSession
+
+def token_rows(docs: DataFrame, voc: Vocabulary) -> DataFrame:
+    """(row, doc_id, held, ids, far, v): ids by ``voc``, where the id after the end's stands for any other word; the hashes of those in order; and the text's direction."""
+    common.tune(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(voc)
+
+    def run(batches):
+        voc = held.value
+        for batch in batches:
+            h, woff = tokens(batch.column(3))
+            ids = voc.find(h)
+            far = np.flatnonzero(ids < 0)
+            ids[far] = voc.size
+            x = directions(h, woff)
+            lists = [_lists(ids.astype(np.int32), woff), _lists(h[far].view(np.int64), np.searchsorted(far, woff)), _lists(x.ravel(), np.arange(len(x) + 1) * PLACES)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["row", "doc_id", "held", "ids", "far", "v"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held"), "text")
+    return common.materialize(rows.mapInArrow(run, "row bigint, doc_id bigint, held boolean, ids array<int>, far array<bigint>, v array<float>"), "hmm-rows")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, PLACES).astype(float)
+
+
+def clusters(rows: DataFrame, states: int) -> np.ndarray:
+    """Centres of spherical k-means over the directions ``v`` of all rows, from far-apart ones; each step is one pass."""
+    spark = rows.sparkSession
+    texts = rows.select("v", F.size("ids").alias("size"))
     centre = np.zeros((0, PLACES))
     for _ in range(states):
 
         def farthest(batches, centre=centre):
             best = None
             for batch in batches:
-                x, size = directions(batch.column(0))
+                x, size = _matrix(batch.column(0)), batch.column(1).to_numpy()
                 # the next centre lies far from the others, but is no lone short text
                 far = (1 - (x @ centre.T).max(1)) * np.minimum(1, size / 100) if len(centre) else size.astype(float)
                 if len(far):
-                    ties = [(float(far[i]), x[i].tobytes()) for i in np.flatnonzero(far == far.max())]
+                    ties = [(float(far[i]), x[i].tobytes()) for i in np.flatnonzero(far == far.max())[:1]] if len(centre) else [max((float(far[i]), x[i].tobytes()) for i in np.flatnonzero(far == far.max()))]
                     best = max(*ties, *([best] if best else []), (-1.0, b""))
             if best:
                 yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], names=["far", "x"])
 
-        got = docs.select("text").mapInArrow(farthest, "far double, x binary").agg(F.max(F.struct("far", "x")).alias("m")).first().m
+        got = texts.mapInArrow(farthest, "far double, x binary").agg(F.max(F.struct("far", "x")).alias("m")).first().m
         centre = np.concatenate((centre, [np.frombuffer(bytes(got.x))]))
     before = -1.0
     while True:
@@ -216,13 +262,13 @@ def clusters(docs: DataFrame, states: int) -> np.ndarray:
         def assign(batches, held=held):
             sums, close = np.zeros((states, PLACES)), 0.0
             for batch in batches:
-                x, _ = directions(batch.column(0))
+                x = _matrix(batch.column(0))
                 near = x @ held.value.T
                 sums += np.eye(states)[near.argmax(1)].T @ x
                 close += near.max(1).sum() if len(x) else 0.0
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, states * PLACES)), pa.array(np.concatenate(([close], sums.ravel())))], names=["at", "v"])
 
-        table = docs.select("text").mapInArrow(assign, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").toArrow()
+        table = texts.mapInArrow(assign, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").toArrow()
         held.destroy()
         v = table.column("v").to_numpy()
         if v[0] - before <= TOLERANCE * abs(v[0]):
@@ -232,189 +278,241 @@ def clusters(docs: DataFrame, states: int) -> np.ndarray:
         centre = np.where(size > 1e-9, sums / np.maximum(size, 1e-9), centre)
 
 
-def _batches(batch: pa.RecordBatch, voc: Vocabulary, model: Hmm):
-    """Layouts of at most TOGETHER tokens of the columns text, h, n, c, with their texts, ids and offsets, the model with rows of the far words, these words, and all counts by id."""
-    h, woff = tokens(batch.column(0))
-    far, first = np.unique(batch.column(1).flatten().to_numpy().view(np.uint64), return_index=True)
-    n = batch.column(2).flatten().to_numpy()[first]
-    c = batch.column(3).flatten().to_numpy().reshape(-1, len(model.start))[first]
-    here = Hmm(model.start, model.move, np.concatenate((model.emit, (c + PRIOR * voc.base(n)[:, None]) / model.weight)), model.weight)
-    ids, counts = voc.find(h, far), np.concatenate((voc.n, [voc.texts], n))
-    a = 0
-    while a < len(woff) - 1:
-        b = max(a + 1, int(np.searchsorted(woff, woff[a] + TOGETHER, "right")) - 1)
-        b = min(b, len(woff) - 1)
-        s, off = slice(woff[a], woff[b]), woff[a : b + 1] - woff[a]
-        yield a, b, Layout(ids[s], off, voc.size - 1), ids[s], off, here, far, counts
-        a = b
-
-
-#: Texts gathered from several Arrow batches before a recursion: few long texts then cost few short steps.
-GATHER = 2000
-
-
-def _gathered(batches):
-    held, rows = [], 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= GATHER:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, rows = [], 0
-    if rows:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
-def vocabulary(counts: DataFrame, texts: int, kept: int = KEPT, emitted: int = EMITTED) -> Vocabulary:
+def least_count(counts: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach."""
     # how many words occur n times; counts above a million are one
-    top, most = 1 << 20, min(kept, emitted)
+    top = 1 << 20
     often = np.array([tuple(r) for r in counts.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count("*")).orderBy("n").collect()], np.int64).reshape(-1, 2)
     fits = np.flatnonzero(often[::-1, 1].cumsum()[::-1] <= most)
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # the least n that at most ``most`` words reach
-    table = counts.where(F.col("n") >= (int(often[fits[0], 0]) if len(fits) else top + 1)).select("h", "n").toArrow()
-    return Vocabulary(table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy(), texts, total, distinct)
+    return int(often[fits[0], 0]) if len(fits) else top + 1
 
 
-def far_words(rows: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
-    """(row, h, n): the distinct words of each row of ``rows`` that are not broadcast, with their counts."""
-    held = rows.sparkSession.sparkContext.broadcast(voc)
+def vocabulary(counts: DataFrame, texts: int, kept: int = KEPT, emitted: int = EMITTED) -> Vocabulary:
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    table = counts.where(F.col("n") >= least_count(counts, min(kept, emitted))).select("h", "n").toArrow()
+    return Vocabulary(table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy(), texts, total, distinct)
 
-    def run(batches):
-        for batch in batches:
-            h, woff = tokens(batch.column(1))
-            at = np.flatnonzero(held.value.find(h) < 0)
-            text = np.repeat(np.arange(len(woff) - 1), np.diff(woff))[at]
-            inv, uniq = pd.factorize(h[at])
-            width = max(len(uniq), 1)
-            pair = np.unique(text * width + inv)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // width)), pa.array(uniq[pair % width].view(np.int64))], names=["row", "h"])
 
-    pairs = rows.select("row", "text").mapInArrow(run, "row bigint, h bigint")
-    return common.materialize(pairs.join(counts, "h", "left").select("row", "h", F.coalesce("n", F.lit(0)).alias("n")), "hmm-far-words")
+def _groups(batches, ids: int):
+    """(batch, text, one after the last) of at most TOGETHER tokens in the list column ``ids``, from several Arrow batches: few long texts then cost few short steps."""
+    held, size = [], 0
 
+    def cut():
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        off = np.concatenate(([0], np.cumsum(pa.compute.list_value_length(batch.column(ids)).to_numpy())))
+        a = 0
+        while a < batch.num_rows:
+            b = min(max(a + 1, int(np.searchsorted(off, off[a] + TOGETHER, "right")) - 1), batch.num_rows)
+            yield batch.slice(a, b - a)
+            a = b
 
-def with_far(rows: DataFrame, pairs: DataFrame, table: DataFrame | None, states: int) -> DataFrame:
-    """``rows`` with h, n and c: its words that are not broadcast, their counts, and their expected counts by state one after another."""
-    none = F.array(*(F.lit(0.0) for _ in range(states)))
-    words = pairs.withColumn("c", none) if table is None else pairs.join(table, "h", "left").select("row", "h", "n", F.coalesce("c", none).alias("c"))
-    lists = words.groupBy("row").agg(F.collect_list(F.struct("h", "n", "c")).alias("w")).select("row", F.col("w.h").alias("h"), F.col("w.n").alias("n"), F.flatten("w.c").alias("c"))
-    return rows.join(lists, "row", "left")
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += len(batch.column(ids).flatten())
+        if size >= TOGETHER:
+            yield from cut()
+            held, size = [], 0
+    if held:
+        yield from cut()
 
 
-def _sums(found: DataFrame, states: int) -> DataFrame:
-    """Sums of what tasks give for each word: far, whether it is not broadcast, id, and a column for each state."""
-    return common.materialize(found.groupBy("far", "id").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states))), "hmm-expected")
+def _unlist(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(pa.compute.list_value_length(column).to_numpy())))
 
 
 def _out(far: bool, ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     states = rows.shape[1]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states))], names=["far", "id", *(f"s{k}" for k in range(states))])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k], np.float32 if far else float), pa.float64()) for k in range(states))], names=["far", "id", *(f"s{k}" for k in range(states))])
 
 
 def _schema(states: int) -> str:
     return "far boolean, id bigint, " + ", ".join(f"s{k} double" for k in range(states))
 
 
-def _read(sums: DataFrame, voc: Vocabulary, states: int) -> tuple[DataFrame, np.ndarray, np.ndarray, dict[int, np.ndarray]]:
-    """(h and c of the words that are not broadcast, each state's sum of both kinds with the prior, counts by id, rows below zero)."""
+def _near(found: DataFrame, voc: Vocabulary, states: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(sums by id of all ids to that of other words, rows below zero) of what tasks give."""
     cols = [f"s{k}" for k in range(states)]
-    far_sum = np.array([x or 0.0 for x in sums.where("far").agg(*(F.sum(c) for c in cols)).first()])
-    table = sums.where("not far").toArrow()
+    table = found.where("not far").groupBy("id").agg(*(F.sum(c).alias(c) for c in cols)).toArrow()
     ids, values = table.column("id").to_numpy(), np.stack([table.column(c).to_numpy() for c in cols], 1)
-    count = np.zeros((voc.size, states))
+    count = np.zeros((voc.size + 1, states))
     count[ids[ids >= 0]] = values[ids >= 0]
-    return sums.where("far").select(F.col("id").alias("h"), F.array(*cols).alias("c")), count.sum(0) + far_sum + PRIOR, count, {int(i): r for i, r in zip(ids[ids < 0], values[ids < 0], strict=True)}
+    return count, {int(i): r for i, r in zip(ids[ids < 0], values[ids < 0], strict=True)}
+
+
+def _shares(voc: Vocabulary) -> np.ndarray:
+    """The unigram shares by id; of all other training words together the last."""
+    far = voc.far + voc.distinct - voc.size + (voc.texts == 0)
+    return np.concatenate((voc.unigram(), [max(far, 0) / (voc.total + voc.distinct + 1.0) + 1e-12]))
 
 
-def first_model(docs: DataFrame, voc: Vocabulary, texts: int, states: int) -> tuple[Hmm, DataFrame | None]:
-    """The model whose emissions are the word counts of clusters of all texts, and (h, c) of the words that are not broadcast."""
+def _emissions(count: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(emissions by id, what they were divided by)."""
+    rows = count + PRIOR * _shares(voc)[:, None]
+    # the share of words that no training text has is in the weight as well
+    weight = rows.sum(0) + PRIOR / (voc.total + voc.distinct + 1.0)
+    return rows / weight, weight
+
+
+def first_model(learn: DataFrame, voc: Vocabulary, texts: int, states: int) -> Hmm:
+    """The model whose emissions are the word counts of clusters of all texts."""
     move = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
-    prior, start = PRIOR * np.tile(voc.unigram()[:, None], (1, states)), np.full(states, 1 / states)
-    if not texts:
-        return Hmm(start, move, prior / PRIOR, np.full(states, PRIOR)), None
-    held = docs.sparkSession.sparkContext.broadcast((voc, clusters(docs, states)))
+    start, count = np.full(states, 1 / states), np.zeros((voc.size + 1, states))
+    if texts:
+        held = learn.sparkSession.sparkContext.broadcast(clusters(learn, states))
+
+        def run(batches):
+            near = np.zeros((states, voc.size + 1))
+            for batch in batches:
+                ids, off = _unlist(batch.column(0))
+                of = (_matrix(batch.column(1)) @ held.value.T).argmax(1)
+                near += np.bincount(np.repeat(of, np.diff(off)) * (voc.size + 1) + ids, minlength=near.size).reshape(states, -1)
+                near[:, voc.size - 1] += np.bincount(of, minlength=states)
+            some = np.flatnonzero(near.any(0))
+            yield _out(False, some, near[:, some].T)
+
+        count, _ = _near(learn.select("ids", "v").mapInArrow(run, _schema(states)), voc, states)
+        held.destroy()
+    emit, weight = _emissions(count, voc)
+    return Hmm(start, move, emit, weight)
+
+
+def expectations(learn: DataFrame, voc: Vocabulary, model: Hmm, far: bool) -> DataFrame:
+    """Expected counts of one step over every text of ``learn``: (far, id, a column for each state).
+
+    Rows below zero: the starts, the moves out of each state, and the likelihood.
+    With ``far``, words other than the vocabulary's come by hash too.
+    """
+    states = len(model.start)
+    held = learn.sparkSession.sparkContext.broadcast((voc, model.single()))
 
     def run(batches):
-        voc, centre = held.value
-        near = np.zeros((states, voc.size))
-        for batch in batches:
-            h, woff = tokens(batch.column(0))
-            of = (directions(batch.column(0))[0] @ centre.T).argmax(1)
-            word_of, ids = np.repeat(of, np.diff(woff)), voc.find(h)
-            here = ids >= 0
-            near += np.bincount(word_of[here] * voc.size + ids[here], minlength=states * voc.size).reshape(states, -1)
-            near[:, -1] += np.bincount(of, minlength=states)
-            inv, uniq = pd.factorize(h[~here])
-            if len(uniq):
-                yield _out(True, uniq.view(np.int64), np.bincount(inv * states + word_of[~here], minlength=len(uniq) * states).reshape(-1, states).astype(float))
-        yield _out(False, np.flatnonzero(near.any(0)), near[:, near.any(0)].T)
-
-    far_table, weight, count, _ = _read(_sums(docs.select("text").mapInArrow(run, _schema(states)), states), voc, states)
-    held.destroy()
-    return Hmm(start, move, (count + prior) / weight, weight), far_table
-
-
-def baum_welch(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm, far_table: DataFrame, steps: int | None = None) -> tuple[Hmm, DataFrame]:
-    """Rounds over every text of ``rows`` until the likelihood stops rising, or ``steps``: the model, and (h, c) of the words that are not broadcast."""
-    spark, states = rows.sparkSession, len(model.start)
-    uni = voc.unigram()
+        voc, model = held.value
+        count = np.zeros((states, voc.size + 1))
+        start, moves, log = np.zeros(states), np.zeros((states, states)), np.zeros(states)
+        for batch in _groups(batches, 0):
+            ids, off = _unlist(batch.column(0))
+            ids, others, here = ids.astype(np.int64), np.zeros(0, np.int64), model
+            if far:
+                # other words are apart for their counts, but emitted alike
+                inv, others = pd.factorize(batch.column(1).flatten().to_numpy())
+                ids[ids == voc.size] += inv
+                here = Hmm(model.start, model.move, np.concatenate((model.emit, np.repeat(model.emit[-1:], max(len(others) - 1, 0), 0))))
+            lay = Layout(ids, off, voc.size - 1)
+            s, m, share, likelihood = here.expected_and_log(lay)
+            start += s
+            moves += m
+            log[0] += likelihood
+            both = np.stack([np.bincount(lay.ids, share[:, k], len(here.emit)) for k in range(states)])
+            count[:, : voc.size] += both[:, : voc.size]
+            count[:, voc.size] += both[:, voc.size :].sum(1)
+            if len(others):
+                yield _out(True, others, both[:, voc.size :].T)
+        some = np.flatnonzero(count.any(0))
+        yield _out(False, np.concatenate((some, -1 - np.arange(states + 2))), np.concatenate((count[:, some].T, [start], moves, [log])))
+
+    found = learn.select("ids", *(["far"] if far else [])).mapInArrow(run, _schema(states))
+    if far:
+        # the table of all words is read twice
+        found = common.materialize(found.groupBy("far", "id").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states))), "hmm-expected")
+    return found
+
+
+def _step(found: DataFrame, voc: Vocabulary, states: int) -> tuple[Hmm, float]:
+    """(the model of the expected counts, the likelihood before)."""
+    count, rest = _near(found, voc, states)
+    moves = np.stack([rest[-2 - k] for k in range(states)]) + EVEN / states
+    start = rest[-1] + EVEN / states
+    emit, weight = _emissions(count, voc)
+    return Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emit, weight), float(rest[-2 - states][0])
+
+
+def baum_welch(learn: DataFrame, voc: Vocabulary, model: Hmm, steps: int | None = None) -> tuple[Hmm, DataFrame]:
+    """Steps over every text of ``learn`` until the likelihood stops rising, or ``steps``, and the one for all words: the model, and (h, c) of the words that are not the vocabulary's."""
+    states = len(model.start)
     before, done = -np.inf, 0
     while steps is None or done < steps:
-        held = spark.sparkContext.broadcast((voc, model))
-
-        def run(batches, held=held):
-            voc, model = held.value
-            count = np.zeros((states, voc.size))
-            start, moves, log = np.zeros(states), np.zeros((states, states)), np.zeros(states)
-            for batch in _gathered(batches):
-                more = None
-                for _, _, lay, _, _, here, far, _ in _batches(batch, voc, model):
-                    s, m, share, likelihood = here.expected_and_log(lay)
-                    start += s
-                    moves += m
-                    log[0] += likelihood
-                    both = np.stack([np.bincount(lay.ids, share[:, k], len(here.emit)) for k in range(states)])
-                    count += both[:, : voc.size]
-                    more = both[:, voc.size :] if more is None else more + both[:, voc.size :]
-                if more is not None and more.shape[1]:
-                    yield _out(True, far.view(np.int64), more.T)
-            some = np.flatnonzero(count.any(0))
-            # rows below zero: the starts, the moves out of each state, and the likelihood
-            yield _out(False, np.concatenate((some, -1 - np.arange(states + 2))), np.concatenate((count[:, some].T, [start], moves, [log])))
-
-        found = with_far(rows, pairs, far_table, states).select("text", "h", "n", "c").mapInArrow(run, _schema(states))
-        far_table, weight, count, rest = _read(_sums(found, states), voc, states)
-        moves = np.stack([rest[-2 - k] for k in range(states)]) + EVEN / states
-        start, log = rest[-1] + EVEN / states, rest[-2 - states][0]
-        model = Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), (count + PRIOR * uni[:, None]) / weight, weight)
-        held.destroy()
+        model, log = _step(expectations(learn, voc, model, False), voc, states)
         done += 1
         if log - before <= TOLERANCE * abs(log):
             break
         before = log
-    return model, far_table
+    found = expectations(learn, voc, model, True)
+    model, _ = _step(found, voc, states)
+    return model, found.where("far").select(F.col("id").alias("h"), F.array(*(F.col(f"s{k}").cast("float") for k in range(states))).alias("c"))
+
+
+def _arrays(table: pa.Table | pa.RecordBatch, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted hashes, counts, expected counts by state) of the columns h, n, c."""
+    h, n = (table.column(x).to_numpy() for x in ("h", "n"))
+    c = table.column("c").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, states) if len(h) else np.zeros((0, states), np.float32)
+    h = h.view(np.uint64)
+    by = np.argsort(h)
+    return h[by], n[by], c[by]
 
 
-def score_texts(rows: DataFrame, pairs: DataFrame, voc: Vocabulary, model: Hmm, far_table: DataFrame | None) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) for each row of ``rows`` (row, doc_id, text)."""
-    held = rows.sparkSession.sparkContext.broadcast((voc, model))
+def _with_joined(rows: DataFrame, table: DataFrame, known: np.ndarray, states: int) -> DataFrame:
+    """``rows`` with h, n and c: its other words that ``known`` has not, their counts, and their expected counts by state one after another."""
+    held = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        voc, model = held.value
-        end = np.log10(voc.base(voc.texts))
-        for batch in _gathered(batches):
-            ids = batch.column(4)
-            for a, b, lay, found, off, here, _, counts in _batches(batch, voc, model):
-                text, n, m = np.repeat(np.arange(b - a), np.diff(off)), counts[found], b - a
-                base, known = (np.bincount(text, x, m) for x in (np.log10(voc.base(n)), (n > 0).astype(float)))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, m), pa.array(np.diff(off) + 1), pa.array(known.astype(np.int64) + (voc.texts > 0)), pa.array(base + end), pa.array(here.log10_likelihood(lay))],
-                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
-                )
+        for batch in batches:
+            h, off = _unlist(batch.column(1))
+            text = np.repeat(np.arange(batch.num_rows), np.diff(off))
+            inv, uniq = pd.factorize(h)
+            at = np.minimum(np.searchsorted(held.value, uniq.view(np.uint64)), max(len(held.value) - 1, 0))
+            new = held.value[at] != uniq.view(np.uint64) if len(held.value) else np.ones(len(uniq), bool)
+            width = max(len(uniq), 1)
+            pair = np.unique((text * width + inv)[new[inv]]) if len(h) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // width)), pa.array(uniq[pair % width] if len(uniq) else np.zeros(0, np.int64))], names=["row", "h"])
+
+    pairs = rows.select("row", "far").mapInArrow(run, "row bigint, h bigint").join(table, "h")
+    lists = pairs.groupBy("row").agg(F.collect_list(F.struct("h", "n", "c")).alias("w")).select("row", F.col("w.h").alias("h"), F.col("w.n").alias("n"), F.flatten("w.c").alias("c"))
+    return rows.join(lists, "row", "left")
 
-    return with_far(rows, pairs, far_table, len(model.start)).select("text", "h", "n", "c", "doc_id").mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+
+def score_texts(rows: DataFrame, voc: Vocabulary, model: Hmm, counts: DataFrame, far_table: DataFrame | None, kept: int = KEPT) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) for each row of ``rows``."""
+    states = len(model.start)
+    near = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, states), np.float32))
+    more = None
+    if far_table is not None and voc.distinct > voc.size:
+        table = common.materialize(far_table.join(counts, "h"), "hmm-words")
+        least = least_count(table, max(kept - voc.size, 0))
+        near = _arrays(table.where(F.col("n") >= least).toArrow(), states)
+        more = table.where(F.col("n") < least)
+    held = rows.sparkSession.sparkContext.broadcast((voc, model, near))
+    joined = more is not None and not more.isEmpty()
+    found = _with_joined(rows, more, near[0], states) if joined else rows
+
+    def run(batches):
+        voc, model, (kh, kn, kc) = held.value
+        end = np.log10(voc.base(voc.texts))
+        for batch in _groups(batches, 1):
+            ids, off = _unlist(batch.column(1))
+            ids, m = ids.astype(np.int64), batch.num_rows
+            inv, uniq = pd.factorize(batch.column(2).flatten().to_numpy())
+            n, c, hashes = np.zeros(len(uniq), np.int64), np.zeros((len(uniq), states)), uniq.view(np.uint64)
+            tables = [(kh, kn, kc)]
+            if joined:
+                h, first = np.unique(batch.column(3).flatten().to_numpy().view(np.uint64), return_index=True)
+                tables.append((h, batch.column(4).flatten().to_numpy()[first], batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, states)[first]))
+            for th, tn, tc in tables:
+                if len(th) and len(hashes):
+                    at = np.minimum(np.searchsorted(th, hashes), len(th) - 1)
+                    hit = th[at] == hashes
+                    n[hit], c[hit] = tn[at[hit]], tc[at[hit]]
+            ids[ids == voc.size] += inv
+            emit = np.concatenate((model.emit[: voc.size], (c + PRIOR * voc.base(n)[:, None]) / model.weight))
+            count = np.concatenate((voc.n, [voc.texts], n))[ids]
+            text = np.repeat(np.arange(m), np.diff(off))
+            base, known = (np.bincount(text, x, m) for x in (np.log10(voc.base(count)), (count > 0).astype(float)))
+            score = Hmm(model.start, model.move, emit).log10_likelihood(Layout(ids, off, voc.size - 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(off) + 1), pa.array(known.astype(np.int64) + (voc.texts > 0)), pa.array(base + end), pa.array(score)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    cols = ["doc_id", "ids", "far", *(["h", "n", "c"] if joined else [])]
+    return found.select(*cols).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def language_scores(docs: DataFrame, states: int = STATES, steps: int | None = None, kept: int = KEPT, emitted: int = EMITTED) -> DataFrame:
@@ -425,17 +523,16 @@ def language_scores(docs: DataFrame, states: int = STATES, steps: int | None = N
     often as they occur and score alike. Without any training text all tokens
     are unknown. Other columns are not read.
     """
-    common.tune(docs.sparkSession)
-    rows = common.materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held")), "hmm-rows")
-    learn = rows.where("not held").drop("held")
+    learn = docs.where(~held_out(F.col("doc_id")))
     counts = common.materialize(word_counts(learn), "hmm-counts")
     texts = learn.count()
     voc = vocabulary(counts, texts, kept, emitted)
-    pairs = far_words(rows, counts, voc)
-    model, far_table = first_model(learn, voc, texts, states)
+    rows = token_rows(docs, voc)
+    learn = rows.where("not held")
+    model, far_table = first_model(learn, voc, texts, states), None
     if texts:
-        model, far_table = baum_welch(learn, pairs, voc, model, far_table, steps)
-    out = score_texts(rows, pairs, voc, model, far_table)
+        model, far_table = baum_welch(learn, voc, model, steps)
+    out = score_texts(rows, voc, model, counts, far_table, kept)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(voc.total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
