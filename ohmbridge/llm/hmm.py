@@ -31,14 +31,16 @@ from ohmbridge.llm import common, textkernel as tk
 STATES = 8
 #: Clusters and Baum-Welch stop when a round raises the likelihood by no more than this share of it.
 TOLERANCE = 1e-4
-#: Places of the random projection of a text's words, a bit of the word hash each.
+#: Places of the random projection of a text's words: each word adds one, with a sign, to the place of its hash.
 PLACES = 64
 #: Words whose counts and emissions are broadcast for the scores, and in the steps. The others join.
 KEPT, EMITTED = 500_000, 65_536
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
-TOGETHER = 600_000
+TOGETHER = 1_000_000
+#: Tokens of a task of a step, on average and at least: each task sends its sums of the vocabulary's words.
+TASK = 4_000_000
 
 
 def held_out(doc_id):
@@ -162,11 +164,13 @@ class Hmm:
 
     def log10_likelihood(self, lay: Layout) -> np.ndarray:
         """Of each text, in the order it was given in."""
-        _, _, scale = self.forward(lay)
-        log = np.log10(scale, dtype=float)
-        out = np.zeros(len(lay.order))
-        for t in range(len(lay.active)):
-            out[: lay.active[t]] += log[lay.at[t] : lay.at[t + 1]]
+        out, ids, at, now = np.zeros(len(lay.order)), lay.ids, lay.at.tolist(), self.start
+        for t in range(len(at) - 1):
+            a, b = at[t], at[t + 1]
+            now = (now[: b - a] @ self.move if t else now) * self.emit[ids[a:b]]
+            c = now.sum(1)
+            now /= c[:, None]
+            out[: b - a] += np.log10(c)
         back = np.empty_like(out)
         back[lay.order] = out
         return back
@@ -195,14 +199,11 @@ class Hmm:
 
 
 def directions(h: np.ndarray, woff: np.ndarray) -> np.ndarray:
-    """Unit vectors of the texts' sums of their words' hash bits, as signs."""
+    """Unit vectors of the texts' word counts, projected to PLACES."""
     n = len(woff) - 1
     text = np.repeat(np.arange(n), np.diff(woff))
-    x = np.zeros((n, PLACES))
-    for a in range(0, len(h), 1 << 18):
-        of, begin = np.unique(text[a : a + (1 << 18)], return_index=True)
-        bits = np.unpackbits(h[a : a + (1 << 18)].view(np.uint8).reshape(-1, 8), axis=1)
-        x[of] += 2.0 * np.add.reduceat(bits, begin, axis=0, dtype=np.int64) - np.diff([*begin, len(bits)])[:, None]
+    sign = 1.0 - 2.0 * (h >> np.uint64(63)).astype(float)
+    x = np.bincount(text * PLACES + (h % np.uint64(PLACES)).astype(np.int64), sign, n * PLACES).reshape(n, PLACES)
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
@@ -321,23 +322,37 @@ def _unlist(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(pa.compute.list_value_length(column).to_numpy())))
 
 
+#: Parts that a share of a word's expected count is given in.
+PARTS = 65535
+
+
 def _out(far: bool, ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    states = rows.shape[1]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), *(pa.array(np.ascontiguousarray(rows[:, k], np.float32 if far else float), pa.float64()) for k in range(states))], names=["far", "id", *(f"s{k}" for k in range(states))])
+    """Expected counts by state as their sum and shares of 16 bits, four to a number."""
+    m = rows.sum(1, dtype=float)
+    q = np.rint(rows / np.where(m == 0, 1, m)[:, None] * PARTS).astype(np.uint64)
+    packed = [sum((q[:, k] << np.uint64(16 * (k % 4)) for k in range(a, min(a + 4, q.shape[1]))), np.zeros(len(q), np.uint64)) for a in range(0, q.shape[1], 4)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), far)), pa.array(ids), pa.array(m), *(pa.array(p.view(np.int64)) for p in packed)], names=["far", "id", "m", *(f"p{j}" for j in range(len(packed)))])
 
 
 def _schema(states: int) -> str:
-    return "far boolean, id bigint, " + ", ".join(f"s{k} double" for k in range(states))
+    return "far boolean, id bigint, m double, " + ", ".join(f"p{j} bigint" for j in range(-(-states // 4)))
+
 
+def _summed(found: DataFrame, states: int) -> DataFrame:
+    """(far, id, m, a column for each state): sums by id. Rows travel packed and are unpacked where their id is."""
+    part = lambda k: F.col("m") * F.shiftrightunsigned(f"p{k // 4}", 16 * (k % 4)).bitwiseAND(F.lit(PARTS)) / F.lit(float(PARTS))
+    return found.repartition("far", "id").groupBy("far", "id").agg(F.sum("m").alias("m"), *(F.sum(part(k)).alias(f"s{k}") for k in range(states)))
 
-def _near(found: DataFrame, voc: Vocabulary, states: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """(sums by id of all ids to that of other words, rows below zero) of what tasks give."""
+
+def _near(found: DataFrame, voc: Vocabulary, states: int) -> tuple[np.ndarray, dict[int, np.ndarray], float]:
+    """(sums by id of all ids to that of other words, rows below zero, the likelihood) of what ``_summed`` gives."""
     cols = [f"s{k}" for k in range(states)]
-    table = found.where("not far").groupBy("id").agg(*(F.sum(c).alias(c) for c in cols)).toArrow()
+    table = found.where("not far").select("id", "m", *cols).toArrow()
     ids, values = table.column("id").to_numpy(), np.stack([table.column(c).to_numpy() for c in cols], 1)
     count = np.zeros((voc.size + 1, states))
     count[ids[ids >= 0]] = values[ids >= 0]
-    return count, {int(i): r for i, r in zip(ids[ids < 0], values[ids < 0], strict=True)}
+    log = table.column("m").to_numpy()[ids == -2 - states]
+    return count, {int(i): r for i, r in zip(ids[ids < 0], values[ids < 0], strict=True)}, float(log[0]) if len(log) else 0.0
 
 
 def _shares(voc: Vocabulary) -> np.ndarray:
@@ -372,25 +387,25 @@ def first_model(learn: DataFrame, voc: Vocabulary, texts: int, states: int) -> H
             some = np.flatnonzero(near.any(0))
             yield _out(False, some, near[:, some].T)
 
-        count, _ = _near(learn.select("ids", "v").mapInArrow(run, _schema(states)), voc, states)
+        count, _, _ = _near(_summed(learn.select("ids", "v").mapInArrow(run, _schema(states)), states), voc, states)
         held.destroy()
     emit, weight = _emissions(count, voc)
     return Hmm(start, move, emit, weight)
 
 
 def expectations(learn: DataFrame, voc: Vocabulary, model: Hmm, far: bool) -> DataFrame:
-    """Expected counts of one step over every text of ``learn``: (far, id, a column for each state).
+    """Expected counts of one step over every text of ``learn``: (far, id, their sum m, a column for each state).
 
-    Rows below zero: the starts, the moves out of each state, and the likelihood.
+    Rows below zero: the starts, the moves out of each state, and the likelihood as a sum.
     With ``far``, words other than the vocabulary's come by hash too.
     """
-    states = len(model.start)
-    held = learn.sparkSession.sparkContext.broadcast((voc, model.single()))
+    spark, states = learn.sparkSession, len(model.start)
+    held = spark.sparkContext.broadcast((voc, model.single()))
 
     def run(batches):
         voc, model = held.value
         count = np.zeros((states, voc.size + 1))
-        start, moves, log = np.zeros(states), np.zeros((states, states)), np.zeros(states)
+        start, moves, log = np.zeros(states), np.zeros((states, states)), 0.0
         for batch in _groups(batches, 0):
             ids, off = _unlist(batch.column(0))
             ids, others, here = ids.astype(np.int64), np.zeros(0, np.int64), model
@@ -403,33 +418,34 @@ def expectations(learn: DataFrame, voc: Vocabulary, model: Hmm, far: bool) -> Da
             s, m, share, likelihood = here.expected_and_log(lay)
             start += s
             moves += m
-            log[0] += likelihood
+            log += likelihood
             both = np.stack([np.bincount(lay.ids, share[:, k], len(here.emit)) for k in range(states)])
             count[:, : voc.size] += both[:, : voc.size]
             count[:, voc.size] += both[:, voc.size :].sum(1)
             if len(others):
                 yield _out(True, others, both[:, voc.size :].T)
         some = np.flatnonzero(count.any(0))
-        yield _out(False, np.concatenate((some, -1 - np.arange(states + 2))), np.concatenate((count[:, some].T, [start], moves, [log])))
+        yield _out(False, np.concatenate((some, -1 - np.arange(states + 1))), np.concatenate((count[:, some].T, [start], moves)))
+        yield pa.RecordBatch.from_arrays([pa.array([False]), pa.array([-2 - states]), pa.array([log]), *(pa.array([0]) for _ in range(-(-states // 4)))], names=["far", "id", "m", *(f"p{j}" for j in range(-(-states // 4)))])
 
-    found = learn.select("ids", *(["far"] if far else [])).mapInArrow(run, _schema(states))
-    if far:
-        # the table of all words is read twice
-        found = common.materialize(found.groupBy("far", "id").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states))), "hmm-expected")
-    return found
+    # fewer tasks, fewer sums of the same words
+    tasks = max(spark.sparkContext.defaultParallelism, int(voc.total // TASK))
+    found = _summed(learn.select("ids", *(["far"] if far else [])).coalesce(tasks).mapInArrow(run, _schema(states)), states)
+    # the table of all words is read twice
+    return common.materialize(found, "hmm-expected") if far else found
 
 
 def _step(found: DataFrame, voc: Vocabulary, states: int) -> tuple[Hmm, float]:
     """(the model of the expected counts, the likelihood before)."""
-    count, rest = _near(found, voc, states)
+    count, rest, log = _near(found, voc, states)
     moves = np.stack([rest[-2 - k] for k in range(states)]) + EVEN / states
     start = rest[-1] + EVEN / states
     emit, weight = _emissions(count, voc)
-    return Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emit, weight), float(rest[-2 - states][0])
+    return Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emit, weight), log
 
 
 def baum_welch(learn: DataFrame, voc: Vocabulary, model: Hmm, steps: int | None = None) -> tuple[Hmm, DataFrame]:
-    """Steps over every text of ``learn`` until the likelihood stops rising, or ``steps``, and the one for all words: the model, and (h, c) of the words that are not the vocabulary's."""
+    """Steps over every text of ``learn`` until the likelihood stops rising, or ``steps``, and the one for all words: the model, and (h, n, s0 to the last state) of the words that are not the vocabulary's."""
     states = len(model.start)
     before, done = -np.inf, 0
     while steps is None or done < steps:
@@ -440,20 +456,21 @@ def baum_welch(learn: DataFrame, voc: Vocabulary, model: Hmm, steps: int | None
         before = log
     found = expectations(learn, voc, model, True)
     model, _ = _step(found, voc, states)
-    return model, found.where("far").select(F.col("id").alias("h"), F.array(*(F.col(f"s{k}").cast("float") for k in range(states))).alias("c"))
+    # the states' expected counts of a word add up to its count
+    return model, found.where("far").select(F.col("id").alias("h"), F.round("m").cast("long").alias("n"), *(f"s{k}" for k in range(states)))
 
 
 def _arrays(table: pa.Table | pa.RecordBatch, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted hashes, counts, expected counts by state) of the columns h, n, c."""
+    """(sorted hashes, counts, expected counts by state) of the columns h, n, s0 to the last state."""
     h, n = (table.column(x).to_numpy() for x in ("h", "n"))
-    c = table.column("c").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, states) if len(h) else np.zeros((0, states), np.float32)
+    c = np.stack([table.column(f"s{k}").to_numpy().astype(np.float32) for k in range(states)], 1)
     h = h.view(np.uint64)
     by = np.argsort(h)
     return h[by], n[by], c[by]
 
 
 def _with_joined(rows: DataFrame, table: DataFrame, known: np.ndarray, states: int) -> DataFrame:
-    """``rows`` with h, n and c: its other words that ``known`` has not, their counts, and their expected counts by state one after another."""
+    """``rows`` with w: those of its other words that ``known`` has not, as (h, n, expected counts by state)."""
     held = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
@@ -467,18 +484,18 @@ def _with_joined(rows: DataFrame, table: DataFrame, known: np.ndarray, states: i
             pair = np.unique((text * width + inv)[new[inv]]) if len(h) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // width)), pa.array(uniq[pair % width] if len(uniq) else np.zeros(0, np.int64))], names=["row", "h"])
 
-    pairs = rows.select("row", "far").mapInArrow(run, "row bigint, h bigint").join(table, "h")
-    lists = pairs.groupBy("row").agg(F.collect_list(F.struct("h", "n", "c")).alias("w")).select("row", F.col("w.h").alias("h"), F.col("w.n").alias("n"), F.flatten("w.c").alias("c"))
+    pairs = rows.select("row", "far").mapInArrow(run, "row bigint, h bigint")
+    cols = ["h", "n", *(f"s{k}" for k in range(states))]
+    lists = pairs.join(table.select(*(F.col(c).cast("float") if c[0] == "s" else c for c in cols)), "h").groupBy("row").agg(F.collect_list(F.struct(*cols)).alias("w"))
     return rows.join(lists, "row", "left")
 
 
-def score_texts(rows: DataFrame, voc: Vocabulary, model: Hmm, counts: DataFrame, far_table: DataFrame | None, kept: int = KEPT) -> DataFrame:
+def score_texts(rows: DataFrame, voc: Vocabulary, model: Hmm, table: DataFrame | None, kept: int = KEPT) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) for each row of ``rows``."""
     states = len(model.start)
     near = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, states), np.float32))
     more = None
-    if far_table is not None and voc.distinct > voc.size:
-        table = common.materialize(far_table.join(counts, "h"), "hmm-words")
+    if table is not None and voc.distinct > voc.size:
         least = least_count(table, max(kept - voc.size, 0))
         near = _arrays(table.where(F.col("n") >= least).toArrow(), states)
         more = table.where(F.col("n") < least)
@@ -496,8 +513,9 @@ def score_texts(rows: DataFrame, voc: Vocabulary, model: Hmm, counts: DataFrame,
             n, c, hashes = np.zeros(len(uniq), np.int64), np.zeros((len(uniq), states)), uniq.view(np.uint64)
             tables = [(kh, kn, kc)]
             if joined:
-                h, first = np.unique(batch.column(3).flatten().to_numpy().view(np.uint64), return_index=True)
-                tables.append((h, batch.column(4).flatten().to_numpy()[first], batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, states)[first]))
+                w = batch.column(3).flatten()
+                h, first = np.unique(w.field("h").to_numpy().view(np.uint64), return_index=True)
+                tables.append((h, w.field("n").to_numpy()[first], np.stack([w.field(f"s{k}").to_numpy()[first] for k in range(states)], 1)))
             for th, tn, tc in tables:
                 if len(th) and len(hashes):
                     at = np.minimum(np.searchsorted(th, hashes), len(th) - 1)
@@ -511,8 +529,7 @@ def score_texts(rows: DataFrame, voc: Vocabulary, model: Hmm, counts: DataFrame,
             score = Hmm(model.start, model.move, emit).log10_likelihood(Layout(ids, off, voc.size - 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(off) + 1), pa.array(known.astype(np.int64) + (voc.texts > 0)), pa.array(base + end), pa.array(score)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    cols = ["doc_id", "ids", "far", *(["h", "n", "c"] if joined else [])]
-    return found.select(*cols).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+    return found.select("doc_id", "ids", "far", *(["w"] if joined else [])).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def language_scores(docs: DataFrame, states: int = STATES, steps: int | None = None, kept: int = KEPT, emitted: int = EMITTED) -> DataFrame:
@@ -532,7 +549,7 @@ def language_scores(docs: DataFrame, states: int = STATES, steps: int | None = N
     model, far_table = first_model(learn, voc, texts, states), None
     if texts:
         model, far_table = baum_welch(learn, voc, model, steps)
-    out = score_texts(rows, voc, model, counts, far_table, kept)
+    out = score_texts(rows, voc, model, far_table, kept)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(voc.total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
