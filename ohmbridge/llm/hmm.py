@@ -39,6 +39,8 @@ KEPT, EMITTED = 500_000, 65_536
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
 TOGETHER = 1_000_000
+#: Tokens of the pool that such runs are taken from.
+POOL = 4_000_000
 #: Tokens of a task of a step, on average and at least: each task sends its sums of the vocabulary's words.
 TASK = 4_000_000
 
@@ -295,12 +297,14 @@ def vocabulary(counts: DataFrame, texts: int, kept: int = KEPT, emitted: int = E
 
 
 def _groups(batches, ids: int):
-    """(batch, text, one after the last) of at most TOGETHER tokens in the list column ``ids``, from several Arrow batches: few long texts then cost few short steps."""
+    """Batches of at most TOGETHER tokens in the list column ``ids``, of texts of like lengths, from pools of POOL tokens: one long text among short ones would cost its many steps alone."""
     held, size = [], 0
 
     def cut():
         batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        off = np.concatenate(([0], np.cumsum(pa.compute.list_value_length(batch.column(ids)).to_numpy())))
+        many = pa.compute.list_value_length(batch.column(ids)).to_numpy()
+        by = np.argsort(-many, kind="stable")
+        batch, off = batch.take(pa.array(by)), np.concatenate(([0], np.cumsum(many[by])))
         a = 0
         while a < batch.num_rows:
             b = min(max(a + 1, int(np.searchsorted(off, off[a] + TOGETHER, "right")) - 1), batch.num_rows)
@@ -311,7 +315,7 @@ def _groups(batches, ids: int):
         if batch.num_rows:
             held.append(batch)
             size += len(batch.column(ids).flatten())
-        if size >= TOGETHER:
+        if size >= POOL:
             yield from cut()
             held, size = [], 0
     if held:
