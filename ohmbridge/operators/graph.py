@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ohmbridge.storage import materialize
+from ohmbridge.storage import materialize, release
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         up = sides.where("lo > hi").join(least, "hi").select(F.col("lo").alias("hi"), F.col("root").alias("lo")).distinct()
         root = up.groupBy("hi").agg(F.min("lo").alias("root"))
         down = up.join(root, "hi").where("lo <> root").select(F.col("lo").alias("hi"), F.col("root").alias("lo"))
-        e = materialize(down.unionByName(root.select("hi", F.col("root").alias("lo"))).distinct(), "graph")
+        before, e = e, materialize(down.unionByName(root.select("hi", F.col("root").alias("lo"))).distinct(), "graph")
+        release(before)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
         if now == seen:
             break

@@ -15,7 +15,7 @@ from ohmbridge import config
 from ohmbridge.functions import geo, text, time
 from ohmbridge.operators import anomalies, dedup, extract, fuse, graph, kpis, matching, rules, standardise
 from ohmbridge.sources import files, sinks
-from ohmbridge.storage import shared_dir
+from ohmbridge.storage import scratch_path
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -464,7 +464,7 @@ def map_projection(spark, sf_dir):
 @query("""SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type""")
 def jsonl_round_trip(spark, sf_dir):
     """Events written as JSON lines and read back by a set schema."""
-    path = f"{shared_dir(spark)}/ohmbridge/round-trip-jsonl"
+    path = scratch_path(spark, "round-trip-jsonl")
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     sinks.as_json(e).write.mode("overwrite").text(path)
     return files.read_jsonl(spark, path, e.schema).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
