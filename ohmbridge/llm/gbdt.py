@@ -164,11 +164,11 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fore
     return Forest.fit(x, table.column("quality").to_numpy().astype(np.float64))
 
 
-def _scorer(forest: Forest, make, name: str = "score"):
+def _scorer(forest: Forest, make, at: int, keep: list[int], name: str):
     def run(batches):
         for batch in batches:
-            score = forest.score(make(batch.column(batch.num_columns - 1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*batch.schema.names[:-1], name])
+            score = forest.score(make(batch.column(at)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(score)], names=[*(batch.schema.names[i] for i in keep), name])
 
     return run
 
@@ -176,9 +176,10 @@ def _scorer(forest: Forest, make, name: str = "score"):
 def score_documents(docs: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
     """``docs`` with ``name`` (double, 0 to 1) added, from whole texts alone; a column of that name is replaced."""
     common.tune(docs.sparkSession)
-    keep = [f for f in docs.schema.fields if f.name != name]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"`{name}` double"])
-    return docs.select(*(f"`{f.name}`" for f in keep), F.col("text").alias("__text")).mapInArrow(_scorer(forest, statistics, name), schema)
+    fields = docs.schema.fields
+    keep = [i for i, f in enumerate(fields) if f.name.lower() != name.lower()]
+    schema = ", ".join([*(f"`{fields[i].name}` {fields[i].dataType.simpleString()}" for i in keep), f"`{name}` double"])
+    return docs.mapInArrow(_scorer(forest, statistics, docs.columns.index("text"), keep, name), schema)
 
 
 def score_statistics(stats: DataFrame, forest: Forest) -> DataFrame:
@@ -186,15 +187,32 @@ def score_statistics(stats: DataFrame, forest: Forest) -> DataFrame:
         flat = column.flatten().to_numpy(zero_copy_only=False)
         return flat.reshape(-1, len(FEATURES))
 
-    keep = [f for f in stats.schema.fields if f.name != "stats"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), "score double"])
-    return stats.select(*(f.name for f in keep), "stats").mapInArrow(_scorer(forest, matrix), schema)
+    fields = stats.schema.fields
+    keep = [i for i, f in enumerate(fields) if f.name != "stats"]
+    schema = ", ".join([*(f"`{fields[i].name}` {fields[i].dataType.simpleString()}" for i in keep), "score double"])
+    return stats.mapInArrow(_scorer(forest, matrix, stats.columns.index("stats"), keep, "score"), schema)
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all their columns, that score at least ``least`` by a model fitted on ``docs`` and ``labels``."""
-    stats = with_statistics(docs.where("doc_id is not null").join(labels.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
-    return score_documents(docs, fit(stats, labels), "__score").where(F.col("__score") >= least).select(*docs.columns)
+    """The rows of ``docs``, all their columns, that score at least ``least`` by a model fitted on ``docs`` and ``labels``.
+
+    Null and empty texts score by their zero statistics. Repeated rows stay or go
+    together; a row without a doc_id is scored like any other. Without labels of
+    both kinds all rows have one score, the share of ones.
+    """
+    # ids are small beside texts: Spark broadcasts them if they are few, and texts do not move to be looked at
+    stats = with_statistics(docs.where("doc_id is not null").select("doc_id", "text").join(_labelled_ids(labels), "doc_id", "left_semi"), "doc_id")
+    (score,) = common.free_names(docs.columns, "score")
+    return score_documents(docs, fit(stats, labels), score).where(F.col(score) >= least).select(*docs.columns)
+
+
+#: Labelled ids (8 bytes each) that are broadcast at most; more of them join.
+BROADCAST_IDS = 2_000_000
+
+
+def _labelled_ids(labels: DataFrame) -> DataFrame:
+    ids = labels.select("doc_id").distinct()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
