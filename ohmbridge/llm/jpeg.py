@@ -149,6 +149,8 @@ class Decoder:
         self.components: list[Component] = []
         self.comment: bytes | None = None
         self.restart = 0
+        #: a block takes a bit of the first scan at least
+        self.most_blocks = 8 * len(data)
         at = 2
         if data[:2] != b"\xff\xd8":
             raise ValueError("not a JPEG file")
@@ -217,6 +219,8 @@ class Decoder:
             raise ValueError("only 8-bit samples and a set size")
         self.components = [Component(body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)]
         self.hmax, self.vmax = max(c.h for c in self.components), max(c.v for c in self.components)
+        if not self.hmax or not self.vmax or sum(-(-self.width * c.h // (8 * self.hmax)) * -(-self.height * c.v // (8 * self.vmax)) for c in self.components) > self.most_blocks:
+            raise ValueError("a frame larger than the file can hold")
         for c in self.components:
             c.lay(self.width, self.height, self.hmax, self.vmax)
 
@@ -506,9 +510,11 @@ def store_texts(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep``, n_bytes (long) and media (binary): each whole text as a progressive JPEG file.
 
     The text's UTF-8 bytes are filled with zero bytes to a positive multiple of
-    64; a null text counts as empty. Equal texts give equal files.
+    64; a null text counts as empty. Equal texts give equal files. Columns of
+    those two names are replaced.
     """
     common.tune(docs.sparkSession)
+    keep = tuple(k for k in keep if k.lower() not in ("n_bytes", "media"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
     def run(batches):
@@ -523,10 +529,12 @@ def decode_media(rows: DataFrame, payload: bool = True) -> DataFrame:
     """``rows`` with height, width (int), rgb (binary, row-major height x width x 3) and payload (binary) added.
 
     ``media`` is any progressive JPEG file; payload is null unless pack() wrote
-    it and ``payload`` asks for it. A null or unreadable file gives nulls and the
-    reason in ``error``.
+    it and ``payload`` asks for it. A null or unreadable file, or one that
+    declares more than its bytes can hold, gives nulls and the reason in
+    ``error``. Columns of these five names are replaced.
     """
     common.tune(rows.sparkSession)
+    rows = rows.drop("height", "width", "rgb", "payload", "error")
     names = rows.columns
     at = names.index("media")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "height int, width int, rgb binary, payload binary, error string"])
@@ -542,7 +550,7 @@ def decode_media(rows: DataFrame, payload: bool = True) -> DataFrame:
                         image = Decoder(raw)
                         rgb = image.rgb()
                         row = (image.height, image.width, rgb.tobytes(), unpack(image) if payload and (image.comment or b"").startswith(b"bytes:") else None, None)
-                    except (ValueError, KeyError, IndexError, struct.error) as e:
+                    except (ValueError, KeyError, IndexError, struct.error, MemoryError) as e:
                         row = (None, None, None, None, str(e) or type(e).__name__)
                 got.append(row)
                 size += len(raw or b"") + len(row[2] or b"")
@@ -556,8 +564,16 @@ def decode_media(rows: DataFrame, payload: bool = True) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def store_tensors(rows: DataFrame, path: str) -> DataFrame:
+    """Write what ``decode_media`` gives for ``rows`` to Parquet at ``path``, files aside, and read it again: height, width and rgb are full-resolution tensors."""
+    decode_media(rows, payload=False).drop("media", "payload").write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def op3_media(spark, sf_dir) -> DataFrame:
-    rows = decode_media(store_texts(common.documents(spark, sf_dir), "doc_id"))
+    """Files are written to the shared folder and read again; of the tensors only digests are kept, as they take twice the texts' bytes."""
+    stored = common.materialize(store_texts(common.documents(spark, sf_dir), "doc_id"), "media", compression="zstd")
+    rows = decode_media(stored)
     return rows.select(
         "doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"),
