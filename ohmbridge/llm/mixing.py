@@ -17,6 +17,8 @@ is a comparison with its leaf's last hash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,16 +52,25 @@ def _weight(column: str, weights: dict[str, float]) -> Column:
     return out
 
 
-def share_budget(nodes: DataFrame, parent: tuple[str, ...], child: str) -> DataFrame:
-    """Adds ``share``: what each child of ``parent`` gets of ``budget``, by ``weight`` and within ``capacity``."""
-    by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
-    order = by.orderBy(F.col("capacity") / F.col("weight"), child)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    full = nodes.withColumns({"__left": F.col("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0.0)), "__w": F.sum("weight").over(rest)})
-    full = full.withColumn("__full", F.col("capacity") * F.col("__w") <= F.col("weight") * F.col("__left"))
-    level = (F.col("budget") - F.coalesce(F.sum(F.when(F.col("__full"), F.col("capacity"))).over(by), F.lit(0.0))) / F.sum(F.when(~F.col("__full"), F.col("weight"))).over(by)
-    return full.withColumn("__level", level).withColumn("share", F.when(F.col("__full"), F.col("capacity")).otherwise(F.col("weight") * F.col("__level"))).drop("__left", "__w", "__full", "__level")
+def share_budget(nodes: DataFrame, parent: tuple[str, ...]) -> DataFrame:
+    """Adds ``share``: what each child of ``parent`` gets of ``budget``, by ``weight`` and within ``capacity``.
+
+    Each round is one aggregation: children that hold no more than their share of
+    what is left are full, and what they leave goes to the others, until no more
+    become full. Children without weight get nothing.
+    """
+    nodes = common.materialize(nodes.withColumn("__full", F.lit(False)), "mix-nodes")
+    while True:
+        open_ = ~F.col("__full") & (F.col("weight") > 0)
+        left = F.max("budget") - F.sum(F.when(F.col("__full"), F.col("capacity")).otherwise(F.lit(0.0)))
+        level = nodes.groupBy(*parent).agg((left / F.nullif(F.sum(F.when(open_, F.col("weight")).otherwise(F.lit(0.0))), F.lit(0.0))).alias("__level"))
+        placed = nodes.join(_small(level), list(parent)) if parent else nodes.crossJoin(F.broadcast(level))
+        now = F.coalesce(open_ & (F.col("capacity") <= F.col("weight") * F.col("__level")), F.lit(False))
+        placed = common.materialize(placed.withColumn("__now", now), "mix-nodes")
+        if placed.where("__now").isEmpty():
+            share = F.when(F.col("__full"), F.col("capacity")).when(F.col("weight") > 0, F.col("weight") * F.col("__level")).otherwise(F.lit(0.0))
+            return placed.withColumn("share", share).drop("__full", "__level", "__now")
+        nodes = placed.withColumn("__full", F.col("__full") | F.col("__now")).drop("__level", "__now")
 
 
 def order_key(epoch: Column, seed: int) -> Column:
@@ -78,19 +89,22 @@ def plan(docs: DataFrame, domain: Column, budget: float, weights: dict[str, dict
     """One row for each leaf: domain, lang, source, n_docs, tokens, target, full (whole epochs), last_key.
 
     ``budget``: tokens wanted, as a share of all tokens of ``docs``; ``weights``:
-    by level, by name; a name that is not there weighs 1.
+    by level, by name; a name that is not there weighs 1. A weight of 0 leaves a
+    name out, whatever lies below it; its siblings share what it would have had.
     """
     slim = common.materialize(with_leaves(docs, domain).select(F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), "doc_id", F.col("__tokens").alias("tokens")), "mix-rows")
     leaves = common.materialize(slim.groupBy(*LEVELS).agg(F.count("*").alias("n_docs"), F.sum("tokens").alias("tokens")), "mix-leaves")
-    leaves = leaves.withColumn("capacity", (F.col("tokens") * epochs).cast("double"))
+    # what is left out has no capacity, so that budgets do not flow there
+    taken = reduce(lambda a, b: a & b, (_weight(x, weights.get(x, {})) > 0 for x in LEVELS))
+    leaves = leaves.withColumn("capacity", F.when(taken, (F.col("tokens") * epochs).cast("double")).otherwise(F.lit(0.0)))
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     nodes = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity")).withColumns({"budget": F.lit(float(total) * budget), "weight": _weight("domain", weights.get("domain", {}))})
-    shares = share_budget(nodes, (), "domain").select("domain", F.col("share").alias("budget"))
+    shares = share_budget(nodes, ()).select("domain", F.col("share").alias("budget"))
     nodes = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity")).join(shares, "domain").withColumn("weight", _weight("lang", weights.get("lang", {})))
-    shares = share_budget(nodes, ("domain",), "lang").select("domain", "lang", F.col("share").alias("budget"))
+    shares = share_budget(nodes, ("domain",)).select("domain", "lang", F.col("share").alias("budget"))
     nodes = leaves.join(shares, ["domain", "lang"]).withColumn("weight", _weight("source", weights.get("source", {})))
     target = F.floor(F.col("share") + 1e-6).cast("long")
-    made = share_budget(nodes, ("domain", "lang"), "source").select(*LEVELS, "n_docs", "tokens", target.alias("target"))
+    made = share_budget(nodes, ("domain", "lang")).select(*LEVELS, "n_docs", "tokens", target.alias("target"))
     made = made.withColumn("full", F.when(F.col("tokens") > 0, F.floor(F.col("target") / F.greatest(F.col("tokens"), F.lit(1)))).otherwise(0).cast("long"))
     made = made.withColumns({"rest": F.col("target") - F.col("full") * F.col("tokens"), "ranges": F.ceil(F.col("n_docs") / RANGE_ROWS)})
     made = common.materialize(made, "mix-targets")
@@ -129,13 +143,17 @@ def mix(docs: DataFrame, budget: float, weights: dict[str, dict[str, float]], do
     a doc_id is ordered as if its id were empty. Rows of one id and leaf are
     taken together. Rows without words cost nothing and come and go with their
     place in the order; a leaf without words, like an empty table, gives nothing.
-    Columns whose names begin with two underscores must not be there.
+    Columns of any name are kept.
     """
+    given = docs.columns
+    # this module's own columns begin with two underscores
+    own = [c for c in given if c.startswith("__")]
+    docs = docs.withColumnsRenamed(dict(zip(own, common.free_names(given, *(f"c{i}" for i in range(len(own)))), strict=True)))
     domain = domain_of(F.col("source")) if domain is None else domain
     rows = with_copies(docs, domain, plan(docs, domain, budget, weights, epochs, seed), seed).where("__copies > 0")
     if epochs > 1:
         rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
-    return rows.select(*docs.columns)
+    return rows.select(*docs.columns).toDF(*given)
 
 
 WEIGHTS = {"domain": DOMAIN_WEIGHTS, "lang": LANG_WEIGHTS}
