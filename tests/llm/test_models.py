@@ -107,6 +107,49 @@ def test_forest_walks_like_a_plain_tree():
         assert abs(score - 1 / (1 + math.exp(-total))) < 1e-6
 
 
+def test_histogram_fit_equals_a_plain_one():
+    """The first tree's root, by trying every cut of every statistic, and its leaves by their rows."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 12, (400, 5)).astype(np.float32)
+    y = ((x[:, 2] > 6) ^ (rng.random(400) < 0.1)).astype(float)
+    forest = gbdt.Forest.fit(x, y, trees=2, depth=2)
+    share = (y.sum() + 1) / (len(y) + 2)
+    g, h = share - y, np.full(len(y), share * (1 - share))
+
+    def best(at):
+        found = []
+        for j in range(x.shape[1]):
+            edges = np.unique(np.quantile(x[:, j], np.linspace(0, 1, gbdt.BINS + 1)[1:-1]).astype(np.float32))
+            for e in edges:
+                left = at & (x[:, j] <= e)
+                right = at & ~left
+                if min(left.sum(), right.sum()) >= gbdt.LEAST:
+                    gain = sum(g[s].sum() ** 2 / (h[s].sum() + gbdt.RIDGE) for s in (left, right)) - g[at].sum() ** 2 / (h[at].sum() + gbdt.RIDGE)
+                    found.append((gain, j, float(e)))
+        return max(found, key=lambda f: f[0])
+
+    every = np.ones(len(x), bool)
+    _, j, e = best(every)
+    assert (forest.feature[0, 0], forest.threshold[0, 0]) == (j, e)
+    sides = [x[:, j] <= e, x[:, j] > e]
+    for k, side in enumerate(sides):
+        gain, j2, e2 = best(side)
+        if forest.threshold[0, 1 + k] != np.inf:
+            assert (forest.feature[0, 1 + k], forest.threshold[0, 1 + k]) == (j2, e2)
+            for leaf, rows in enumerate((side & (x[:, j2] <= e2), side & (x[:, j2] > e2))):
+                assert forest.value[0, 2 * k + leaf] == pytest.approx(-gbdt.RATE * g[rows].sum() / (h[rows].sum() + gbdt.RIDGE), rel=1e-4)
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame(odd_rows(), SCHEMA).withColumns({"__text": F.lit("x"), "score": F.lit(2), "_score": F.lit(3), "stats": F.lit(4), "__score": F.lit(5)})
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1)], "doc_id bigint, quality int")
+    got = gbdt.keep_quality(df, labels)
+    assert got.columns == df.columns and got.count() <= 9
+    assert all((r["__text"], r.score, r["_score"], r.stats, r["__score"]) == ("x", 2, 3, 4, 5) for r in got.collect())
+    scored = gbdt.score_documents(df, gbdt.Forest.fit(np.zeros((0, len(gbdt.FEATURES))), np.zeros(0)))
+    assert scored.count() == 9 and set(scored.columns) == set(df.columns)
+
+
 def test_quality_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     none = spark.createDataFrame([], "doc_id bigint, quality bigint")
@@ -473,6 +516,24 @@ def test_pack_is_lossless():
         assert jpeg.unpack(jpeg.Decoder(jpeg.pack(p))) == p
 
 
+def test_frames_larger_than_their_file_are_refused(spark):
+    raw = bytearray(jpeg.pack(b"x" * 64))
+    at = raw.index(b"\xff\xc2")
+    raw[at + 5 : at + 9] = b"\xff\xff\xff\xff"
+    started = time.time()
+    df = spark.createDataFrame([(bytes(raw),)], "media binary").withColumns({"height": F.lit("x"), "rgb": F.lit(1), "error": F.lit(2), "payload": F.lit(3), "width": F.lit(4)})
+    (r,) = jpeg.decode_media(df).collect()
+    assert r.rgb is None and "larger" in r.error and time.time() - started < 20
+
+
+def test_tensors_are_stored_and_read_back(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "abc" * 100), (2, None)], "doc_id bigint, text string")
+    media = jpeg.store_texts(docs, "doc_id")
+    rows = jpeg.store_tensors(media, str(tmp_path / "tensors")).collect()
+    for r, m in zip(sorted(rows, key=lambda r: r.doc_id), media.orderBy("doc_id").collect(), strict=True):
+        assert bytes(r.rgb) == jpeg.Decoder(bytes(m.media)).rgb().tobytes() and len(r.rgb) == 3 * r.height * r.width
+
+
 def test_media_odd_rows(spark):
     df = wide(spark.createDataFrame(odd_rows(), SCHEMA))
     got = jpeg.decode_media(jpeg.store_texts(df, "doc_id", "text")).collect()
@@ -535,6 +596,23 @@ def test_mixing_equals_brute_force(spark, budget, epochs, monkeypatch):
         assert abs(sum(share[k] for k in size) - budget * total) < 1e-6
 
 
+def test_a_weight_of_zero_leaves_out(spark):
+    docs = [(i, "w " * 10, lang, f"src{k}") for i, (lang, k) in enumerate([("en", 0), ("de", 0), ("en", 1), ("de", 1), ("fr", 2)] * 20)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    count = lambda w, budget=0.3: collections.Counter((r.lang, r.source) for r in mixing.mix(df, budget, w, epochs=1).collect())
+    some = count({"lang": {"de": 0.0}})
+    assert not any(lang == "de" for lang, _ in some) and sum(some.values()) >= 30
+    # a domain all of whose languages are left out gives its budget to its siblings
+    assert set(count({"lang": {"fr": 0.0}}, 1.0)) == {("en", "src0"), ("de", "src0"), ("en", "src1"), ("de", "src1")}
+    assert count({"domain": {"d0": 0.0, "d1": 0.0, "d2": 0.0}}) == {} == count({"source": {"src0": 0, "src1": 0, "src2": 0}})
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame(odd_rows(), SCHEMA).withColumns({"__domain": F.lit(1), "__copies": F.lit("x"), "__tokens": F.lit(2), "c0": F.lit(3)})
+    got = mixing.mix(df, 1.0, mixing.WEIGHTS)
+    assert got.columns == df.columns and {(r["__domain"], r["__copies"], r["__tokens"], r.c0) for r in got.collect()} == {(1, "x", 2, 3)}
+
+
 def test_mixing_odd_rows(spark):
     df = spark.createDataFrame(odd_rows(), SCHEMA).withColumns({"n": F.lit(1), "tokens": F.lit("x"), "domain": F.lit(2), "key": F.lit(3), "full": F.lit(4), "copies": F.lit(5)})
     got = mixing.mix(df, 1.0, mixing.WEIGHTS)
