@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ohmbridge.storage import materialize, release  # noqa: F401
+from ohmbridge.storage import materialize, release, scratch_path  # noqa: F401
 
 #: Rows that one Arrow batch carries to Python; texts are long, so few rows keep a batch to some MB.
 ARROW_ROWS = 1000

@@ -6,30 +6,35 @@ lower-cased; keys of fewer than ``MIN_CHARS`` code points never count. The
 the *reference table* holds, for each key, its number of documents and the
 largest doc_id. Keys that at least ``MIN_DOCS`` documents hold are *live*: their
 fingerprints lie in cuckoo filters, one for each shard of the hash space. A line
-is looked up in the filters first; only hits meet the exact table, which decides.
-Inserting documents adds postings and puts keys that became live into their
-shard's filter; deleting documents removes their postings and takes keys that
-fell below the count out again, so any insertion can be undone.
+is looked up in its shard's filter first; only hits meet the exact table, which decides.
+
+All tables are kept by shard. Inserting documents merges their postings into the
+shards of their keys, counts those keys anew and puts the ones that became live
+into their shard's filter; deleting documents takes their postings out and the
+keys that fell below the count out of the filters, so any insertion can be undone.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ohmbridge.llm import common
 
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Live keys of one shard, on average.
-SHARD_KEYS = 50_000
-#: Filters up to this size in all are broadcast; beyond it the postings join the live keys directly.
+#: Postings of a shard, on average.
+SHARD_ROWS = 1_000_000
+#: Filters up to this size in all are broadcast; more of them travel to their own shards' postings.
 FILTER_BYTES = 64 << 20
+#: Shards whose sizes (12 bytes each) are broadcast at most.
+BROADCAST_SHARDS = 1_000_000
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -119,6 +124,29 @@ class CuckooFilter:
                     break
 
 
+def filled(keys: list[bytes]) -> CuckooFilter:
+    """A filter that holds ``keys``, with room for as many again where they do not fit at once."""
+    size = len(keys)
+    while True:
+        made = CuckooFilter.sized(size)
+        try:
+            made.insert(keys)
+            return made
+        except Full:
+            size *= 2
+
+
+def _probed(batch: pa.RecordBatch, filters: dict[int, CuckooFilter]) -> pa.RecordBatch:
+    """The columns h and doc_id of the rows (h, doc_id, shard, ...) that their shard's filter may hold."""
+    keys, shard = batch.column(0).to_pylist(), batch.column(2).to_numpy()
+    ok = np.zeros(len(keys), bool)
+    for s in np.unique(shard):
+        if int(s) in filters:
+            at = np.flatnonzero(shard == s)
+            ok[at] = filters[int(s)].contains([keys[i] for i in at])
+    return pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], names=["h", "doc_id"])
+
+
 def postings(docs: DataFrame) -> DataFrame:
     """(h, doc_id): each counting key of each document; rows without an id hold none."""
     common.tune(docs.sparkSession)
@@ -138,101 +166,205 @@ def postings(docs: DataFrame) -> DataFrame:
 
 
 def reference(posts: DataFrame) -> DataFrame:
-    """(h, n_docs, max_doc): exact counts. A document counts once, however often its row repeats."""
-    return posts.groupBy("h", "doc_id").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
+    """(h, n_docs, max_doc): exact counts of distinct postings."""
+    return posts.groupBy("h").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
+
+
+def shard_of(shards: int, key: str = "h"):
+    return (F.crc32(key) % F.lit(shards)).cast("int")
+
+
+class Sharded:
+    """A table in the shared folder, partitioned by ``shard``; each shard lies in the folder that wrote it last."""
 
+    def __init__(self, spark: SparkSession, name: str, schema: str):
+        self.spark, self.name, self.schema = spark, name, schema
+        self.folder: dict[int, str] = {}
 
-def shard_of(shards: int):
-    return (F.crc32("h") % F.lit(shards)).cast("int")
+    def write(self, rows: DataFrame, shards: list[int] | None = None) -> None:
+        """Replace ``shards`` (all without any) by ``rows``, which have the columns of the schema and shard."""
+        path = common.scratch_path(self.spark, self.name)
+        # large shards are dealt to several tasks, small ones share one
+        rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+        written = {r[0] for r in self._read(path).select("shard").distinct().collect()}
+        for s in list(self.folder) if shards is None else shards:
+            self.folder.pop(s, None)
+        self.folder |= dict.fromkeys(sorted(written), path)
+
+    def _read(self, path: str, *folders: str) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, shard int").option("basePath", path).parquet(*(folders or (path,)))
+
+    def read(self, shards: list[int] | None = None) -> DataFrame:
+        """The rows of ``shards``, or all; no other shard's files are opened."""
+        by_path: dict[str, list[int]] = {}
+        for s in sorted(self.folder if shards is None else self.folder.keys() & set(shards)):
+            by_path.setdefault(self.folder[s], []).append(s)
+        found = [self._read(p, *(f"{p}/shard={s}" for s in of)) for p, of in by_path.items()]
+        return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], f"{self.schema}, shard int")
 
 
 class LineDedup:
-    """The state: postings, live keys and filters, each a table in the shared folder."""
+    """The state: postings by key and by document, exact reference counts, and filters, each a table by shards.
+
+    A change merges into the shards of its own keys and documents and leaves the
+    others as they are.
+    """
 
     def __init__(self, posts: DataFrame, min_docs: int = MIN_DOCS):
-        self.min_docs = min_docs
-        self.posts = common.materialize(posts, "line-postings")
-        self.live = self._live()
-        self._build()
+        """``posts``: (h, doc_id), repeated or not."""
+        spark = posts.sparkSession
+        self.spark, self.min_docs = spark, min_docs
+        raw = common.materialize(posts, "line-postings")
+        self.shards = max(1, math.ceil(raw.count() / SHARD_ROWS))
+        self.posts = Sharded(spark, "line-postings", "h binary, doc_id bigint")
+        self.posts.write(raw.distinct().withColumn("shard", shard_of(self.shards)))
+        common.release(raw)
+        self.refs = Sharded(spark, "line-references", "h binary, n_docs bigint, max_doc bigint")
+        self.refs.write(reference(self.posts.read()).withColumn("shard", shard_of(self.shards)))
+        self.filters = Sharded(spark, "line-filters", "raw binary")
+        self.filters.write(self._built(self.live))
+        #: the postings by document, which the first change makes
+        self.by_doc: Sharded | None = None
 
     @classmethod
     def of(cls, docs: DataFrame, min_docs: int = MIN_DOCS) -> LineDedup:
         return cls(postings(docs), min_docs)
 
-    def _live(self) -> DataFrame:
-        return common.materialize(reference(self.posts).where(F.col("n_docs") >= self.min_docs), "line-live")
+    @property
+    def live(self) -> DataFrame:
+        """(h, n_docs, max_doc, shard) of the keys that lose lines."""
+        return self.refs.read().where(F.col("n_docs") >= self.min_docs)
 
-    def _build(self) -> None:
-        self.shards = max(1, math.ceil(self.live.count() / SHARD_KEYS))
+    @staticmethod
+    def _built(live: DataFrame) -> DataFrame:
+        """(raw, shard): a filter of the keys of each shard."""
 
         def build(group: pd.DataFrame) -> pd.DataFrame:
-            keys, size = [bytes(x) for x in group["h"]], len(group)
-            while True:
-                made = CuckooFilter.sized(size)
-                try:
-                    made.insert(keys)
-                    return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "raw": [made.dump()]})
-                except Full:
-                    size *= 2
-
-        rows = self.live.select("h", shard_of(self.shards).alias("shard"))
-        self.filters = common.materialize(rows.groupBy("shard").applyInPandas(build, "shard int, raw binary"), "line-filters")
-
-    def _change(self, before: DataFrame) -> None:
-        """Bring live keys and filters in line with the postings; ``before``: the live keys until now."""
-        self.live = self._live()
-        join = before.select("h", F.lit(True).alias("was")).join(self.live.select("h", F.lit(True).alias("is")), "h", "full_outer")
-        delta = join.where("was is null or is is null").select("h", F.col("is").isNotNull().alias("add"), shard_of(self.shards).alias("shard"))
+            return pd.DataFrame({"raw": [filled([bytes(x) for x in group["h"]]).dump()], "shard": [int(group["shard"].iloc[0])]})
 
-        def change(key, had: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            one = CuckooFilter.load(bytes(had["raw"].iloc[0])) if len(had) else CuckooFilter.sized(SHARD_KEYS)
-            full = False
-            try:
-                one.delete([bytes(x) for x in rows["h"][~rows["add"].astype(bool)]])
-                one.insert([bytes(x) for x in rows["h"][rows["add"].astype(bool)]])
-            except Full:
-                full = True
-            return pd.DataFrame({"shard": [int(key[0])], "raw": [one.dump()], "full": [full]})
+        return live.select("h", "shard").groupBy("shard").applyInPandas(build, "raw binary, shard int")
 
-        made = self.filters.groupBy("shard").cogroup(delta.groupBy("shard")).applyInPandas(change, "shard int, raw binary, full boolean")
-        made = common.materialize(made, "line-filters")
-        if made.where("full").isEmpty():
-            self.filters = made.drop("full")
-        else:
-            self._build()
+    def _doc_bucket(self):
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int")
+
+    def _held(self, ids: DataFrame) -> DataFrame:
+        """(h, doc_id): what the documents ``ids`` hold, read from their buckets alone."""
+        if self.by_doc is None:
+            self.by_doc = Sharded(self.spark, "line-documents", "h binary, doc_id bigint")
+            self.by_doc.write(self.posts.read().select("h", "doc_id").withColumn("shard", self._doc_bucket()))
+        buckets = [r[0] for r in ids.select(self._doc_bucket()).distinct().collect()]
+        return self.by_doc.read(buckets).select("h", "doc_id").join(ids, "doc_id", "left_semi")
+
+    @staticmethod
+    def _ids(docs: DataFrame) -> DataFrame:
+        return common.materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "line-ids")
 
     def insert(self, docs: DataFrame) -> None:
-        """Count the lines of more documents; those that count already change nothing."""
-        before = self.live
-        self.posts = common.materialize(self.posts.unionByName(postings(docs)).distinct(), "line-postings")
-        self._change(before)
+        """Count the lines of more documents; a document that is there already is replaced."""
+        ids = self._ids(docs)
+        new = common.materialize(postings(docs).distinct(), "line-new")
+        held = common.materialize(self._held(ids), "line-held")
+        self._merge(new.join(held, ["h", "doc_id"], "left_anti"), held.join(new, ["h", "doc_id"], "left_anti"))
+        common.release(ids, new, held)
 
     def delete(self, docs: DataFrame) -> None:
         """Forget the documents with the ids of ``docs``."""
-        before = self.live
-        self.posts = common.materialize(self.posts.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti"), "line-postings")
-        self._change(before)
+        ids = self._ids(docs)
+        held = common.materialize(self._held(ids), "line-held")
+        self._merge(held.limit(0), held)
+        common.release(ids, held)
+
+    def _merge(self, added: DataFrame, removed: DataFrame) -> None:
+        """Merge postings (h, doc_id) that come and go into their shards."""
+        change = added.select("h", "doc_id", F.lit(True).alias("add")).unionByName(removed.select("h", "doc_id", F.lit(False).alias("add")))
+        change = common.materialize(change.withColumns({"shard": shard_of(self.shards), "bucket": self._doc_bucket()}), "line-change")
+        shards = [r[0] for r in change.select("shard").distinct().collect()]
+        if not shards:
+            return
+        add, gone = change.where("add"), change.where("not add").select("h", "doc_id")
+        keys = change.select("h").distinct()
+        before = common.materialize(self.refs.read(shards).join(keys, "h", "left_semi").where(F.col("n_docs") >= self.min_docs).select("h"), "line-before")
+        self.posts.write(self.posts.read(shards).join(gone, ["h", "doc_id"], "left_anti").unionByName(add.select("h", "doc_id", "shard")), shards)
+        changed = reference(self.posts.read(shards).join(keys, "h", "left_semi")).withColumn("shard", shard_of(self.shards))
+        changed = common.materialize(changed, "line-changed")
+        self.refs.write(self.refs.read(shards).join(keys, "h", "left_anti").unionByName(changed), shards)
+        buckets = [r[0] for r in change.select("bucket").distinct().collect()]
+        if self.by_doc is not None:
+            self.by_doc.write(self.by_doc.read(buckets).join(gone, ["h", "doc_id"], "left_anti").unionByName(add.select("h", "doc_id", F.col("bucket").alias("shard"))), buckets)
+        now = changed.where(F.col("n_docs") >= self.min_docs).select("h")
+        turned = before.join(now, "h", "left_anti").select("h", F.lit(False).alias("add")).unionByName(now.join(before, "h", "left_anti").select("h", F.lit(True).alias("add")))
+        self._refill(common.materialize(turned.withColumn("shard", shard_of(self.shards)), "line-turned"))
+        common.release(change, before, changed)
+
+    def _refill(self, turned: DataFrame) -> None:
+        """Take keys out of their shards' filters and put others in; ``turned``: h, add, shard."""
+        shards = [r[0] for r in turned.select("shard").distinct().collect()]
+        if not shards:
+            return
+
+        def change(key, had: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            one = CuckooFilter.load(bytes(had["raw"].iloc[0])) if len(had) else CuckooFilter.sized(len(rows))
+            add, full = rows["add"].astype(bool), False
+            try:
+                one.delete([bytes(x) for x in rows["h"][~add]])
+                one.insert([bytes(x) for x in rows["h"][add]])
+            except Full:
+                full = True
+            return pd.DataFrame({"raw": [one.dump()], "shard": [int(key[0])], "full": [full]})
+
+        made = self.filters.read(shards).groupBy("shard").cogroup(turned.groupBy("shard")).applyInPandas(change, "raw binary, shard int, full boolean")
+        made = common.materialize(made, "line-filters")
+        full = [r[0] for r in made.where("full").select("shard").collect()]
+        # a filter without room is built anew from its shard's counts
+        anew = self._built(self.refs.read(full).where(F.col("n_docs") >= self.min_docs))
+        self.filters.write(made.where("not full").select("raw", "shard").unionByName(anew), shards)
+        common.release(made, turned)
 
     def hits(self) -> DataFrame:
-        """Postings whose key the filters may hold: all live ones, and few others."""
-        size = self.filters.agg(F.coalesce(F.sum(F.length("raw")), F.lit(0))).first()[0]
+        """Postings whose key its shard's filter may hold: all live ones, and few others.
+
+        Filters of FILTER_BYTES in all are broadcast. More of them travel each to
+        the postings of its own shard, those of large shards in several parts.
+        """
+        raw = self.filters.read()
+        size = raw.agg(F.coalesce(F.sum(F.length("raw")), F.lit(0))).first()[0]
+        posts = self.posts.read().select("h", "doc_id", "shard")
         if size > FILTER_BYTES:
-            return self.posts
-        spark, shards = self.posts.sparkSession, self.shards
-        held = spark.sparkContext.broadcast({r["shard"]: bytes(r["raw"]) for r in self.filters.collect()})
+            return self._streamed(posts, raw)
+        held = self.spark.sparkContext.broadcast({r["shard"]: bytes(r["raw"]) for r in raw.collect()})
 
         def probe(batches):
             filters = {k: CuckooFilter.load(v) for k, v in held.value.items()}
             for batch in batches:
-                keys, shard = batch.column(0).to_pylist(), np.asarray(batch.column(2))
-                ok = np.zeros(len(keys), bool)
-                for s in np.unique(shard):
-                    if int(s) in filters:
-                        at = np.flatnonzero(shard == s)
-                        ok[at] = filters[int(s)].contains([keys[i] for i in at])
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], names=["h", "doc_id"])
+                yield _probed(batch, filters)
 
-        return self.posts.select("h", "doc_id", shard_of(shards).alias("shard")).mapInArrow(probe, "h binary, doc_id bigint")
+        return posts.mapInArrow(probe, "h binary, doc_id bigint")
+
+    def _streamed(self, posts: DataFrame, raw: DataFrame) -> DataFrame:
+        """Each filter comes before the postings of its shard, or of a part of it, in one sorted stream."""
+        rows = posts.groupBy("shard").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("parts"))
+        rows = common.materialize(rows, "line-parts")
+        part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+        # one row for each shard: 12 bytes of some million postings
+        shards = F.broadcast(rows) if rows.count() <= BROADCAST_SHARDS else rows
+        mine = posts.join(shards, "shard").select("h", "doc_id", "shard", part.alias("part"), F.lit(None).cast("binary").alias("raw"))
+        own = raw.join(rows, "shard").select(F.lit(None).cast("binary").alias("h"), F.lit(None).cast("bigint").alias("doc_id"), "shard", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"), "raw")
+        stream = own.unionByName(mine).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("raw").isNull())
+
+        def probe(batches):
+            filters: dict[int, CuckooFilter] = {}
+            for batch in batches:
+                made = batch.column(4)
+                for i in np.flatnonzero(made.is_valid().to_numpy(zero_copy_only=False)):
+                    # rows before this one were of other shards, or of none
+                    filters[int(batch.column(2)[int(i)].as_py())] = CuckooFilter.load(made[int(i)].as_py())
+                out = batch.filter(made.is_null())
+                yield _probed(out, filters)
+                if out.num_rows:
+                    last = int(out.column(2)[out.num_rows - 1].as_py())
+                    filters = {k: v for k, v in filters.items() if k >= last}
+
+        return stream.mapInArrow(probe, "h binary, doc_id bigint")
 
     def drops(self) -> DataFrame:
         """(doc_id, drops): the keys that each document loses, all but the largest document that holds them."""
@@ -242,9 +374,10 @@ class LineDedup:
     def apply(self, docs: DataFrame, added: tuple[str, str, str] = ("kept", "n_lines", "n_dropped")) -> DataFrame:
         """``docs`` with the text left, its lines before and the lines dropped added, under three names; columns of those names are replaced."""
         docs = docs.drop(*added)
-        drops = self.drops().select(F.col("doc_id").alias("__id"), F.col("drops").alias("__drops"))
         names = docs.columns
-        rows = docs.join(drops, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
+        own, gone = common.free_names(names, "id", "drops")
+        drops = self.drops().select(F.col("doc_id").alias(own), F.col("drops").alias(gone))
+        rows = docs.join(drops, docs["doc_id"].cast("long") == F.col(own), "left").drop(own)
         schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{added[0]}` string, `{added[1]}` bigint, `{added[2]}` bigint"])
         at_text = names.index("text")
 
@@ -271,8 +404,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Drop repeated lines over all of ``docs``.
 
     Adds kept (string), n_lines and n_dropped (long) to the columns of ``docs``;
-    columns of those names are replaced, and names that begin with two underscores
-    must not be there. A null or empty text is one empty line and stays empty. A row without
+    columns of those names are replaced. A null or empty text is one empty line and stays empty. A row without
     a doc_id counts for no key and loses no line. Rows that repeat a doc_id count
     once and keep or lose lines alike.
     """

@@ -219,11 +219,61 @@ def test_line_dedup_equals_brute_force(spark):
     assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in got} == brute_lines(docs)
 
 
-def test_line_dedup_without_filters_is_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("rows", [7, 40, 10**6])
+def test_filters_that_travel_to_their_postings_give_the_same(spark, monkeypatch, rows):
     docs = line_docs()
     monkeypatch.setattr(linededup, "FILTER_BYTES", 0)
-    got = linededup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    monkeypatch.setattr(linededup, "SHARD_ROWS", rows)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = linededup.dedup_lines(df).collect()
     assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in got} == brute_lines(docs)
+    # the filters do their work: hardly a posting that is not live gets through
+    state = linededup.LineDedup.of(df)
+    live = {bytes(r.h) for r in state.live.collect()}
+    hits = [bytes(r.h) for r in state.hits().collect()]
+    assert set(hits) >= live and sum(h not in live for h in hits) <= 1 + len(hits) // 50
+
+
+def test_changes_touch_their_own_shards_only(spark, monkeypatch):
+    """A sequence of insertions, replacements and deletions, each held against brute force."""
+    monkeypatch.setattr(linededup, "SHARD_ROWS", 4)
+    rng = random.Random(12)
+    now = dict(line_docs(40))
+    df = lambda d: spark.createDataFrame(list(d.items()), "doc_id bigint, text string")
+    state = linededup.LineDedup.of(df(now))
+
+    def right():
+        refs = {bytes(r.h): (r.n_docs, r.max_doc) for r in state.refs.read().collect()}
+        where = {}
+        for i, text in now.items():
+            for k in {linededup.line_key(x) for x in (text or "").split("\n")} - {None}:
+                where.setdefault(k, set()).add(i)
+        assert refs == {k: (len(v), max(v)) for k, v in where.items()}
+        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in state.apply(df(now)).collect()}
+        assert got == brute_lines(list(now.items()))
+
+    for step in range(4):
+        if step == 0:
+            change = {100: "Passage number 3 that is long enough to be counted"}
+        elif step == 1:
+            change = {i: dict(line_docs(200))[i + 100] for i in rng.sample(sorted(now), 5)}
+        elif step == 2:
+            change = {100: "Passage number 5 that is long enough to be counted\nshort", 39: None}
+        else:
+            change = {}
+        folders = dict(state.refs.folder)
+        if change:
+            state.insert(df(change))
+            now |= change
+        else:
+            gone = rng.sample(sorted(now), 12)
+            state.delete(df({i: None for i in gone}))
+            now = {i: t for i, t in now.items() if i not in gone}
+        if step == 0:
+            # one key: one shard of many was written
+            changed = [s for s in state.refs.folder if state.refs.folder[s] != folders.get(s)]
+            assert len(changed) == 1 and len(state.refs.folder) > 5
+        right()
 
 
 def test_line_dedup_is_reversible(spark):
