@@ -125,20 +125,42 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+#: Pairs of one hub that one part of a stream holds, on average.
+PART_ROWS = 2000
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    """The pairs (a, b) whose full sets are similar enough.
+
+    A set a with many partners is dealt to several tasks by b. In each it comes
+    once, before its partners' sets, which stream past it one by one.
+    """
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
+    parts = common.materialize(parts, "near-parts")
+    few = F.broadcast(parts) if parts.count() <= BROADCAST_HUBS else parts
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    mine = pairs.join(few, "a").select("a", "b", part.alias("part")).join(sets.select(F.col("id").alias("b"), "shingles"), "b").select("a", "part", "b", "shingles")
+    hubs = parts.join(sets.select(F.col("id").alias("a"), "shingles"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "shingles")
+    stream = hubs.unionByName(mine).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").isNotNull())
 
     def run(batches):
+        hub = np.zeros(0, np.uint64)
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                ok.append(_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+            out_a, out_b = [], []
+            for a, b, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                here = np.frombuffer(x.as_buffer(), np.uint64)
+                if b is None:
+                    hub = here.copy()
+                elif _similar(hub, here, percent):
+                    out_a.append(a)
+                    out_b.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return stream.mapInArrow(run, "a bigint, b bigint")
 
 
+#: Hubs whose numbers of parts (12 bytes each) are broadcast at most.
+BROADCAST_HUBS = 1_000_000
 #: A block's sets, with 8 KiB counted for each class besides: 256 classes at most.
 BLOCK_BYTES = 2 << 20
 
@@ -149,17 +171,27 @@ def _block_links(named: DataFrame, sets: DataFrame, odd: DataFrame, percent: int
     ``named``: hub, id, n (set size), c (component), up (more central hubs). A
     pair is compared under the most central hub that both have.
     """
-    # the set sizes alone decide the blocks; one pass over a hub's ids in order
-    place = Window.partitionBy("hub").orderBy("c", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = named.withColumn("block", F.floor(F.sum(F.col("n") * 8 + 8192).over(place) / BLOCK_BYTES))
+    # the set sizes alone decide the blocks. Ids are dealt by ranges, so a hub's lie in several tasks;
+    # a running sum within each and the sums of those before it give the place
+    size = F.col("n") * 8 + 8192
+    ranged = common.materialize(named.repartitionByRange("hub", "c", "id").withColumn("p", F.spark_partition_id()), "near-ranged")
+    sums = ranged.groupBy("hub", "p").agg(F.sum(size).alias("s"))
+    # one row for each hub and task
+    sums = sums.withColumn("before", F.sum("s").over(Window.partitionBy("hub").orderBy("p")) - F.col("s")).drop("s")
+    place = Window.partitionBy("hub", "p").orderBy("c", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = ranged.withColumn("upto", F.sum(size).over(place)).join(sums, ["hub", "p"]).withColumn("block", F.floor((F.col("before") + F.col("upto")) / BLOCK_BYTES)).drop("p", "upto", "before")
     full = cut.join(sets, "id").join(odd, "id")
     # a single set can be larger than a block; then it is a block of its own
     blocks = full.groupBy("hub", "block").agg(F.collect_list(F.struct("id", "c", "n", "up", "shingles", "odd")).alias("rows"), F.min("c").alias("c0"), F.max("c").alias("c1"))
     blocks = common.materialize(blocks, "near-blocks")
-    x, y = blocks.select("hub", *(F.col(k).alias(f"x_{k}") for k in ("block", "rows", "c0", "c1"))), blocks.select("hub", *(F.col(k).alias(f"y_{k}") for k in ("block", "rows", "c0", "c1")))
+    slim = blocks.select("hub", "block", "c0", "c1")
+    x, y = (slim.select("hub", *(F.col(k).alias(f"{s}_{k}") for k in ("block", "c0", "c1"))) for s in "xy")
     apart = (F.col("x_block") <= F.col("y_block")) & ((F.col("x_c0") != F.col("y_c1")) | (F.col("x_c1") != F.col("y_c0")))
+    # which blocks meet is settled by their numbers; rows then come to each pair of blocks, wherever its task is
+    met = x.join(y, "hub").where(apart).select("hub", "x_block", "y_block")
+    rows = lambda s: blocks.select("hub", F.col("block").alias(f"{s}_block"), F.col("rows").alias(f"{s}_rows"))
     # few block pairs in a batch: each may hold some MB
-    pairs = x.join(y, "hub").where(apart).select("x_rows", "y_rows", (F.col("x_block") == F.col("y_block")).alias("same"))
+    pairs = met.join(rows("x"), ["hub", "x_block"]).join(rows("y"), ["hub", "y_block"]).select("x_rows", "y_rows", (F.col("x_block") == F.col("y_block")).alias("same"))
     most = sketch_distance(SKETCH_LEAST)
 
     def unpack(rows: pa.Array, n: int):
@@ -208,12 +240,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = common.materialize(some.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = some.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "s1", "s2"), ["doc_id", "n_shingles", "s1", "s2"], "left_semi").select("doc_id", "n_shingles", "bands", "odd")
     rows = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    w = Window.partitionBy("key").orderBy("id")
-    placed = rows.select("key", "id", "n", F.lag("id").over(w).alias("prev"), F.lead("id").over(w).alias("next"))
-    shared = common.materialize(placed.where("prev is not null or next is not null").select("key", "id", "n"), "near-buckets")
-    mates = shared.join(shared.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("id").agg(F.sum("size").alias("mates"))
-    central = Window.partitionBy("key").orderBy(F.desc("mates"), "id")
-    placed = shared.join(mates, "id").select("key", "id", "n", F.first("id").over(central).alias("hub"), F.first("n").over(central).alias("hub_n"), F.first("mates").over(central).alias("hub_mates"))
+    # counts and hubs of buckets are sums and maxima, made before rows move: a bucket of any size is no single task
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = common.materialize(rows.join(sizes, "key"), "near-buckets")
+    mates = shared.groupBy("id").agg(F.sum("size").alias("mates"))
+    ranked = common.materialize(shared.drop("size").join(mates, "id"), "near-mates")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("mates", (-F.col("id")).alias("low"), "n")).alias("h")).select("key", (-F.col("h.low")).alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.mates").alias("hub_mates"))
+    placed = ranked.select("key", "id", "n").join(hubs, "key")
     placed = common.materialize(placed, "near-hubs")
     ids = shared.select("id").distinct()
     sets = common.materialize(shingle_sets(docs.where("doc_id is not null").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
