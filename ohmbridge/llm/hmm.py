@@ -38,9 +38,9 @@ KEPT, EMITTED = 500_000, 65_536
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
 PRIOR, EVEN = 2000.0, 5.0
 #: Tokens that one recursion runs over together, unless a single text has more.
-TOGETHER = 1_000_000
+TOGETHER = 500_000
 #: Tokens of the pool that such runs are taken from.
-POOL = 4_000_000
+POOL = 2_000_000
 #: Tokens of a task of a step, on average and at least: each task sends its sums of the vocabulary's words.
 TASK = 4_000_000
 
@@ -209,12 +209,20 @@ def directions(h: np.ndarray, woff: np.ndarray) -> np.ndarray:
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+def _packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A row of bytes for each range of ``values``: lists of numbers cross to Spark and back as they lie."""
+    at = pa.py_buffer((offsets * values.itemsize).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, at, pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of rows of bytes."""
+    raw, off = tk.string_buffer(column)
+    return np.ascontiguousarray(raw).view(dtype), off // np.dtype(dtype).itemsize
 
 
 def token_rows(docs: DataFrame, voc: Vocabulary) -> DataFrame:
-    """(row, doc_id, held, ids, far, v): ids by ``voc``, where the id after the end's stands for any other word; the hashes of those in order; and the text's direction."""
+    """(row, doc_id, held, size, ids, far, v): the number of words; ids by ``voc``, 32 bits each, where the id after the end's stands for any other word; the hashes of those in order; and the text's direction."""
     common.tune(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(voc)
 
@@ -226,21 +234,21 @@ def token_rows(docs: DataFrame, voc: Vocabulary) -> DataFrame:
             far = np.flatnonzero(ids < 0)
             ids[far] = voc.size
             x = directions(h, woff)
-            lists = [_lists(ids.astype(np.int32), woff), _lists(h[far].view(np.int64), np.searchsorted(far, woff)), _lists(x.ravel(), np.arange(len(x) + 1) * PLACES)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["row", "doc_id", "held", "ids", "far", "v"])
+            lists = [_packed(ids.astype(np.int32), woff), _packed(h[far], np.searchsorted(far, woff)), _packed(x.ravel(), np.arange(len(x) + 1) * PLACES)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(woff)), *lists], names=["row", "doc_id", "held", "size", "ids", "far", "v"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held"), "text")
-    return common.materialize(rows.mapInArrow(run, "row bigint, doc_id bigint, held boolean, ids array<int>, far array<bigint>, v array<float>"), "hmm-rows")
+    return common.materialize(rows.mapInArrow(run, "row bigint, doc_id bigint, held boolean, size bigint, ids binary, far binary, v binary"), "hmm-rows", compression="zstd")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, PLACES).astype(float)
+    return _unpacked(column, np.float32)[0].reshape(-1, PLACES).astype(float)
 
 
 def clusters(rows: DataFrame, states: int) -> np.ndarray:
     """Centres of spherical k-means over the directions ``v`` of all rows, from far-apart ones; each step is one pass."""
     spark = rows.sparkSession
-    texts = rows.select("v", F.size("ids").alias("size"))
+    texts = rows.select("v", "size")
     centre = np.zeros((0, PLACES))
     for _ in range(states):
 
@@ -297,12 +305,12 @@ def vocabulary(counts: DataFrame, texts: int, kept: int = KEPT, emitted: int = E
 
 
 def _groups(batches, ids: int):
-    """Batches of at most TOGETHER tokens in the list column ``ids``, of texts of like lengths, from pools of POOL tokens: one long text among short ones would cost its many steps alone."""
+    """Batches of at most TOGETHER tokens in the column ``ids``, of texts of like lengths, from pools of POOL tokens: one long text among short ones would cost its many steps alone."""
     held, size = [], 0
 
     def cut():
         batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        many = pa.compute.list_value_length(batch.column(ids)).to_numpy()
+        many = pa.compute.binary_length(batch.column(ids)).to_numpy() // 4
         by = np.argsort(-many, kind="stable")
         batch, off = batch.take(pa.array(by)), np.concatenate(([0], np.cumsum(many[by])))
         a = 0
@@ -314,7 +322,7 @@ def _groups(batches, ids: int):
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-            size += len(batch.column(ids).flatten())
+            size += pa.compute.sum(pa.compute.binary_length(batch.column(ids))).as_py() // 4
         if size >= POOL:
             yield from cut()
             held, size = [], 0
@@ -322,10 +330,6 @@ def _groups(batches, ids: int):
         yield from cut()
 
 
-def _unlist(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(pa.compute.list_value_length(column).to_numpy())))
-
-
 #: Parts that a share of a word's expected count is given in.
 PARTS = 65535
 
@@ -384,9 +388,10 @@ def first_model(learn: DataFrame, voc: Vocabulary, texts: int, states: int) -> H
         def run(batches):
             near = np.zeros((states, voc.size + 1))
             for batch in batches:
-                ids, off = _unlist(batch.column(0))
+                ids, off = _unpacked(batch.column(0), np.int32)
                 of = (_matrix(batch.column(1)) @ held.value.T).argmax(1)
-                near += np.bincount(np.repeat(of, np.diff(off)) * (voc.size + 1) + ids, minlength=near.size).reshape(states, -1)
+                for k in np.unique(of):
+                    near[k] += np.bincount(ids[np.repeat(of == k, np.diff(off))], minlength=voc.size + 1)
                 near[:, voc.size - 1] += np.bincount(of, minlength=states)
             some = np.flatnonzero(near.any(0))
             yield _out(False, some, near[:, some].T)
@@ -411,11 +416,11 @@ def expectations(learn: DataFrame, voc: Vocabulary, model: Hmm, far: bool) -> Da
         count = np.zeros((states, voc.size + 1))
         start, moves, log = np.zeros(states), np.zeros((states, states)), 0.0
         for batch in _groups(batches, 0):
-            ids, off = _unlist(batch.column(0))
+            ids, off = _unpacked(batch.column(0), np.int32)
             ids, others, here = ids.astype(np.int64), np.zeros(0, np.int64), model
             if far:
                 # other words are apart for their counts, but emitted alike
-                inv, others = pd.factorize(batch.column(1).flatten().to_numpy())
+                inv, others = pd.factorize(_unpacked(batch.column(1), np.int64)[0])
                 ids[ids == voc.size] += inv
                 here = Hmm(model.start, model.move, np.concatenate((model.emit, np.repeat(model.emit[-1:], max(len(others) - 1, 0), 0))))
             lay = Layout(ids, off, voc.size - 1)
@@ -479,7 +484,7 @@ def _with_joined(rows: DataFrame, table: DataFrame, known: np.ndarray, states: i
 
     def run(batches):
         for batch in batches:
-            h, off = _unlist(batch.column(1))
+            h, off = _unpacked(batch.column(1), np.int64)
             text = np.repeat(np.arange(batch.num_rows), np.diff(off))
             inv, uniq = pd.factorize(h)
             at = np.minimum(np.searchsorted(held.value, uniq.view(np.uint64)), max(len(held.value) - 1, 0))
@@ -511,9 +516,9 @@ def score_texts(rows: DataFrame, voc: Vocabulary, model: Hmm, table: DataFrame |
         voc, model, (kh, kn, kc) = held.value
         end = np.log10(voc.base(voc.texts))
         for batch in _groups(batches, 1):
-            ids, off = _unlist(batch.column(1))
+            ids, off = _unpacked(batch.column(1), np.int32)
             ids, m = ids.astype(np.int64), batch.num_rows
-            inv, uniq = pd.factorize(batch.column(2).flatten().to_numpy())
+            inv, uniq = pd.factorize(_unpacked(batch.column(2), np.int64)[0])
             n, c, hashes = np.zeros(len(uniq), np.int64), np.zeros((len(uniq), states)), uniq.view(np.uint64)
             tables = [(kh, kn, kc)]
             if joined:
