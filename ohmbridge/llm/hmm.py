@@ -33,6 +33,8 @@ STATES = 8
 TOLERANCE = 1e-4
 #: Places of the random projection of a text's words: each word adds one, with a sign, to the place of its hash.
 PLACES = 64
+#: Texts of a task of a clustering step, on average and at least.
+CLUSTER_TASK = 100_000
 #: Words whose counts and emissions are broadcast for the scores, and in the steps. The others join.
 KEPT, EMITTED = 500_000, 65_536
 #: Prior weight of the unigram shares in a state's emissions, and of even transitions.
@@ -248,7 +250,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def clusters(rows: DataFrame, states: int) -> np.ndarray:
     """Centres of spherical k-means over the directions ``v`` of all rows, from far-apart ones; each step is one pass."""
     spark = rows.sparkSession
-    texts = rows.select("v", "size")
+    # many small tasks would cost more than their work
+    texts = rows.select("v", "size").coalesce(max(spark.sparkContext.defaultParallelism, rows.count() // CLUSTER_TASK))
     centre = np.zeros((0, PLACES))
     for _ in range(states):
 
