@@ -74,51 +74,62 @@ SOURCE_TIERS = [
 ]
 
 
-def _rule(code: str, check: str, severity: str, applies: str | None = None, **more) -> dict:
-    return {"code": code, "check": check, "severity": severity, "applies": applies, **more}
-
-
-def _rules() -> list[dict]:
-    """The catalog's rules in order: the order of a record's issues."""
-    out = [_rule("required", "required", "MAJOR")]
-    numbers = [("session", "energy_kwh", "invalid_energy_kwh"), ("session", "peak_kw", "invalid_peak_kw"), ("session", "duration_min", "invalid_duration_min"), ("charger", "power_kw", "invalid_power_kw"), ("charger", "lat", "invalid_latitude"), ("charger", "lon", "invalid_longitude")]
-    out += [_rule(code, "numeric", "MAJOR", t, field=f) for t, f, code in numbers]
-    least = [("session", "energy_kwh", "impossible_energy_kwh"), ("session", "peak_kw", "impossible_peak_kw"), ("session", "duration_min", "impossible_duration"), ("charger", "power_kw", "impossible_power_kw")]
-    out += [_rule(code, "range", "MAJOR", t, field=f, min=0) for t, f, code in least]
-    out += [
-        _rule("power_kw_out_of_range", "range", "MAJOR", "charger", field="power_kw", max=400),
-        _rule("coordinate_out_of_range", "range", "MAJOR", "charger", field="lat", min=-90, max=90),
-        _rule("coordinate_out_of_range", "range", "MAJOR", "charger", field="lon", min=-180, max=180),
-        _rule("outside_territory", "bbox", "MAJOR", "charger"),
-        _rule("end_before_start", "order", "MAJOR", "session", earlier="start_time", later="end_time"),
-        _rule("duration_mismatch", "duration_matches", "MINOR", "session", tolerance=5),
-        _rule("stale_report", "stale", "MINOR"),
-    ]
-    kinds = [("charger", "connector_type"), ("charger", "level"), ("charger", "status"), ("maintenance", "event_type"), ("maintenance", "severity")]
-    out += [_rule(f"invalid_{f}", "enum", "MINOR", t, field=f) for t, f in kinds]
-    forms = [("charger", "install_date", "date"), ("session", "start_time", "datetime"), ("session", "end_time", "datetime"), ("maintenance", "event_date", "date"), (None, "provenance.ingested_at", "datetime")]
-    out += [_rule("invalid_" + f.split(".")[-1], kind, "MINOR", t, field=f) for t, f, kind in forms]
-    return out
-
-
-_PROVENANCE = ["provenance.source", "provenance.source_file", "provenance.ingested_at"]
+# Required fields, and the rules in the order of a record's issues, under the public keys of the catalog.
+REQUIRED_FIELDS = {
+    "charger": ["provenance.source", "provenance.source_file", "provenance.ingested_at"],
+    "session": ["provenance.source", "provenance.source_file", "provenance.ingested_at"],
+    "maintenance": ["event_id", "description", "provenance.source", "provenance.source_file", "provenance.ingested_at"],
+}
+RULES = [
+    {"id": "required", "check": "required", "severity": "MAJOR"},
+    {"id": "invalid_energy_kwh", "check": "numeric", "record_type": "session", "field": "energy_kwh", "severity": "MAJOR"},
+    {"id": "invalid_peak_kw", "check": "numeric", "record_type": "session", "field": "peak_kw", "severity": "MAJOR"},
+    {"id": "invalid_duration_min", "check": "numeric", "record_type": "session", "field": "duration_min", "severity": "MAJOR"},
+    {"id": "invalid_power_kw", "check": "numeric", "record_type": "charger", "field": "power_kw", "severity": "MAJOR"},
+    {"id": "invalid_latitude", "check": "numeric", "record_type": "charger", "field": "lat", "severity": "MAJOR"},
+    {"id": "invalid_longitude", "check": "numeric", "record_type": "charger", "field": "lon", "severity": "MAJOR"},
+    {"id": "impossible_energy_kwh", "check": "range", "record_type": "session", "field": "energy_kwh", "min": 0, "severity": "MAJOR"},
+    {"id": "impossible_peak_kw", "check": "range", "record_type": "session", "field": "peak_kw", "min": 0, "severity": "MAJOR"},
+    {"id": "impossible_duration", "check": "range", "record_type": "session", "field": "duration_min", "min": 0, "severity": "MAJOR"},
+    {"id": "impossible_power_kw", "check": "range", "record_type": "charger", "field": "power_kw", "min": 0, "severity": "MAJOR"},
+    {"id": "power_kw_out_of_range", "check": "range", "record_type": "charger", "field": "power_kw", "max": 400, "severity": "MAJOR"},
+    {"id": "coordinate_out_of_range", "check": "range", "record_type": "charger", "field": "lat", "min": -90, "max": 90, "severity": "MAJOR"},
+    {"id": "coordinate_out_of_range", "check": "range", "record_type": "charger", "field": "lon", "min": -180, "max": 180, "severity": "MAJOR"},
+    {"id": "outside_territory", "check": "bbox", "record_type": "charger", "severity": "MAJOR"},
+    {"id": "end_before_start", "check": "order", "record_type": "session", "earlier": "start_time", "later": "end_time", "severity": "MAJOR"},
+    {"id": "duration_mismatch", "check": "duration_matches", "record_type": "session", "tolerance_min": 5, "severity": "MINOR"},
+    {"id": "stale_report", "check": "stale", "severity": "MINOR"},
+    {"id": "invalid_connector_type", "check": "enum", "record_type": "charger", "field": "connector_type", "severity": "MINOR"},
+    {"id": "invalid_level", "check": "enum", "record_type": "charger", "field": "level", "severity": "MINOR"},
+    {"id": "invalid_status", "check": "enum", "record_type": "charger", "field": "status", "severity": "MINOR"},
+    {"id": "invalid_event_type", "check": "enum", "record_type": "maintenance", "field": "event_type", "severity": "MINOR"},
+    {"id": "invalid_severity", "check": "enum", "record_type": "maintenance", "field": "severity", "severity": "MINOR"},
+    {"id": "invalid_install_date", "check": "date", "record_type": "charger", "field": "install_date", "severity": "MINOR"},
+    {"id": "invalid_start_time", "check": "datetime", "record_type": "session", "field": "start_time", "severity": "MINOR"},
+    {"id": "invalid_end_time", "check": "datetime", "record_type": "session", "field": "end_time", "severity": "MINOR"},
+    {"id": "invalid_event_date", "check": "date", "record_type": "maintenance", "field": "event_date", "severity": "MINOR"},
+    {"id": "invalid_ingested_at", "check": "datetime", "field": "provenance.ingested_at", "severity": "MINOR"},
+]
 DEFAULT = {
-    "territory": {"min_lat": 33.7, "max_lat": 36.6, "min_lon": -84.4, "max_lon": -75.4},
+    "version": 1,
+    "territory": {"name": "north_carolina_default", "bbox": {"min_lat": 33.7, "max_lat": 36.6, "min_lon": -84.4, "max_lon": -75.4}},
     "enums": ENUMS,
+    "stale": {"max_days": 7},
+    "unit_repair": {
+        "power_kw": {"watts_if_above": 400, "max_plausible": 400000},
+        "peak_kw": {"watts_if_above": 400, "max_plausible": 400000},
+        "energy_kwh": {"wh_if_above": 1000, "max_plausible": 1000000},
+    },
+    "derive": {"level_from_power_kw": {"L1_max_kw": 1.9, "L2_max_kw": 19.2}, "duration_tolerance_min": 5},
+    "standardize": {"default_timezone": "America/New_York"},
     "synonyms": SYNONYMS,
     "fallbacks": FALLBACKS,
-    "stale_days": 7,
-    "units": {"power_kw": {"above": 400, "most": 400_000}, "peak_kw": {"above": 400, "most": 400_000}, "energy_kwh": {"above": 1000, "most": 1_000_000}},
-    "level_kw": {"L1": 1.9, "L2": 19.2},
-    "duration_tolerance": 5,
-    "zone": "America/New_York",
-    "required": {"charger": _PROVENANCE, "session": _PROVENANCE, "maintenance": ["event_id", "description", *_PROVENANCE]},
-    "rules": _rules(),
-    "weights": {"SAFETY": 0.5, "MAJOR": 0.25, "MINOR": 0.1, "INFO": 0.02},
-    "default_weight": 0.1,
-    "quarantine_below": 0.4,
-    "digits": 4,
+    "required_fields": REQUIRED_FIELDS,
+    "rules": RULES,
+    "scoring": {"weights": {"SAFETY": 0.5, "MAJOR": 0.25, "MINOR": 0.1, "INFO": 0.02}, "default_weight": 0.1, "quarantine_below": 0.4, "round_digits": 4},
 }
+#: Keys that a rule may have.
+RULE_KEYS = {"id", "check", "severity", "record_type", "field", "min", "max", "earlier", "later", "tolerance_min", "enum", "as", "happened", "seen", "lat", "lon", "box"}
 
 
 def merged(base: dict, override: dict) -> dict:
@@ -142,12 +153,27 @@ def catalog(override: dict | str | None = None) -> dict:
     return merged(copy.deepcopy(DEFAULT), override or {})
 
 
+def _unknown(given: dict, known: dict, path: str = "") -> list[str]:
+    """Keys of an override that no part of the catalog reads; names of fields, enums and members are free."""
+    out = []
+    for k, v in given.items():
+        here = f"{path}{k}"
+        if k not in known and path.rstrip(".") not in ("enums", "synonyms", "fallbacks", "required_fields", "unit_repair", "scoring.weights") and not path.startswith(("synonyms.", "unit_repair.")):
+            out.append(f"unknown key: {here}")
+        elif isinstance(v, dict) and isinstance(known.get(k), dict):
+            out += _unknown(v, known[k], here + ".")
+    return out
+
+
 def problems(cat: dict) -> list[str]:
     """What is wrong with a catalog, before any record is read."""
-    out = [f"rule {r.get('code')}: no {k}" for r in cat["rules"] for k in ("code", "check", "severity") if not r.get(k)]
-    out += [f"rule {r['code']}: unknown severity {r['severity']}" for r in cat["rules"] if r.get("severity") and r["severity"] not in cat["weights"]]
+    weights = cat["scoring"]["weights"]
+    out = _unknown(cat, DEFAULT)
+    out += [f"rule {r.get('id')}: no {k}" for r in cat["rules"] for k in ("id", "check", "severity") if not r.get(k)]
+    out += [f"rule {r.get('id')}: unknown key {k}" for r in cat["rules"] for k in r if k not in RULE_KEYS]
+    out += [f"rule {r.get('id')}: unknown severity {r['severity']}" for r in cat["rules"] if r.get("severity") and r["severity"] not in weights]
     out += [f"synonyms of {f}: {name} is no member" for f, table in cat["synonyms"].items() for name in table if name not in cat["enums"].get(f, [])]
-    box = cat["territory"]
+    box = cat["territory"]["bbox"]
     out += ["territory: bounds are reversed"] if box["min_lat"] > box["max_lat"] or box["min_lon"] > box["max_lon"] else []
-    out += [f"weight {k}: not from 0 to 1" for k, v in cat["weights"].items() if not 0 <= v <= 1]
+    out += [f"weight {k}: not from 0 to 1" for k, v in weights.items() if not 0 <= v <= 1]
     return out

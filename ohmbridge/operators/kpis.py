@@ -97,7 +97,7 @@ def map_points(rows: DataFrame, lat: str, lon: str, fallback: dict | None = None
     """Adds x and y on the map; bounds come from the data, or from a fixed box for fewer than two points."""
     from ohmbridge.functions import geo
 
-    box = fallback or config.DEFAULT["territory"]
+    box = fallback or config.DEFAULT["territory"]["bbox"]
     b = rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).agg(F.count("*").alias("__n"), *(f(F.col(c)).alias(f"__{k}") for k, f, c in (("min_lat", F.min, lat), ("max_lat", F.max, lat), ("min_lon", F.min, lon), ("max_lon", F.max, lon))))
     b = b.select(*(F.when(F.col("__n") >= 2, F.col(f"__{k}")).otherwise(F.lit(float(box[k]))).alias(f"__{k}") for k in box))
     x, y = geo.to_screen(F.col(lat), F.col(lon), {k: F.col(f"__{k}") for k in box})

@@ -41,11 +41,13 @@ def match_enum(value: Column, table: dict[str, list[str]]) -> Column:
 
 def repair_unit(value: Column, unit: dict) -> Column:
     """A value above the threshold, up to what is plausible, is in the thousandth unit."""
-    return F.when((value > unit["above"]) & (value <= unit["most"]), value / 1000.0).otherwise(value)
+    above = unit["watts_if_above"] if "watts_if_above" in unit else unit["wh_if_above"]
+    return F.when((value > above) & (value <= unit["max_plausible"]), value / 1000.0).otherwise(value)
 
 
 def level_of(power: Column, cat: dict) -> Column:
-    return F.when(power <= cat["level_kw"]["L1"], F.lit("L1")).when(power <= cat["level_kw"]["L2"], F.lit("L2")).when(power.isNotNull(), F.lit("DCFC"))
+    most = cat["derive"]["level_from_power_kw"]
+    return F.when(power <= most["L1_max_kw"], F.lit("L1")).when(power <= most["L2_max_kw"], F.lit("L2")).when(power.isNotNull(), F.lit("DCFC"))
 
 
 def zip5(value: Column) -> Column:
@@ -111,7 +113,7 @@ def _values(df: DataFrame, kind: str, cat: dict) -> DataFrame:
         fixes.values["address"] = F.when(F.col("address").isNotNull(), F.struct(F.col("address.street").alias("street"), F.col("address.city").alias("city"), new_state.alias("state"), new_zip.alias("zip")))
     for name in schemas.NUMBERS[kind]:
         old, value = F.col(name), rules.number(F.col(name))
-        unit = cat["units"].get(name)
+        unit = cat["unit_repair"].get(name)
         new = repair_unit(value, unit) if unit else value
         # the text stays where there is no number, for the rules to flag
         fixes.values[name] = F.when(value.isNull(), old).otherwise(new.cast("string"))
@@ -119,15 +121,15 @@ def _values(df: DataFrame, kind: str, cat: dict) -> DataFrame:
             fixes.note(name, value, new, "unit_repair")
     for name in schemas.DATES[kind]:
         old = F.col(name)
-        fixes.set(name, F.coalesce(F.substring(time.lenient(old, cat["zone"]), 1, 10), old), "date")
+        fixes.set(name, F.coalesce(F.substring(time.lenient(old, cat["standardize"]["default_timezone"]), 1, 10), old), "date")
     for name in schemas.TIMES[kind]:
         old = F.col(name)
-        fixes.set(name, F.coalesce(time.lenient(old, cat["zone"]), old), "date")
+        fixes.set(name, F.coalesce(time.lenient(old, cat["standardize"]["default_timezone"]), old), "date")
     for name in schemas.KINDS[kind]:
         old = F.col(name)
         new = F.coalesce(match_enum(old, cat["synonyms"].get(name, {})), F.lit(cat["fallbacks"].get(name)), old)
         fixes.set(name, F.when(F.trim(old) != "", new).otherwise(old), "enum")
-    seen = F.coalesce(time.lenient(F.col("provenance.ingested_at"), cat["zone"]), F.col("provenance.ingested_at"))
+    seen = F.coalesce(time.lenient(F.col("provenance.ingested_at"), cat["standardize"]["default_timezone"]), F.col("provenance.ingested_at"))
     fixes.note("provenance.ingested_at", F.col("provenance.ingested_at"), seen, "date")
     fixes.values["provenance"] = F.when(F.col("provenance").isNotNull(), F.col("provenance").withField("ingested_at", seen))
     return fixes.apply(df)
@@ -142,7 +144,7 @@ def _derive(df: DataFrame, kind: str, cat: dict) -> DataFrame:
     fixes = _Fixes()
     if kind == "session":
         had, made = rules.number(F.col("duration_min")), computed_minutes()
-        wrong = F.abs(had - made) > cat["duration_tolerance"]
+        wrong = F.abs(had - made) > cat["derive"]["duration_tolerance_min"]
         new = F.when(F.col("duration_min").isNull(), made.cast("string")).when(wrong, made.cast("string")).otherwise(F.col("duration_min"))
         fixes.set("duration_min", new, "derive")
     elif kind == "charger":
@@ -200,7 +202,7 @@ def clean(df: DataFrame, kind: str, cat: dict | None = None, repair=None) -> Dat
         complete = complete & F.col("event_id").isNotNull() & F.col("description").isNotNull()
     all_codes = F.when(F.coalesce(complete, F.lit(False)), codes).otherwise(F.concat(codes, F.array(F.lit("model_validation_failed"))))
     fixes = F.concat(F.coalesce("quality.fixes_applied", F.array().cast("array<string>")), F.col("__fixes"))
-    quality = F.struct(F.col("__score").alias("score"), F.round(confidence, int(cat["digits"])).alias("extraction_confidence"), all_codes.alias("issues"), fixes.alias("fixes_applied"))
+    quality = F.struct(F.col("__score").alias("score"), F.round(confidence, int(cat["scoring"]["round_digits"])).alias("extraction_confidence"), all_codes.alias("issues"), fixes.alias("fixes_applied"))
     return out.withColumns({**moved, "quality": quality, "quarantined": rules.quarantined(F.col("__score"), cat)}).drop("__fixes", "__issues", "__score")
 
 

@@ -30,15 +30,19 @@ def ingest(spark: SparkSession, path: str, ingested_at: str) -> Records:
     """Canonical raw records of all files of a folder."""
     found: dict[str, list[DataFrame]] = {t: [] for t in schemas.TYPES}
     listing = files.detect(spark, path)
+    # files of one shape are one scan, however many there are
+    shapes: dict[tuple, list[files.RawFile]] = {}
     for f in listing:
         if f.kind == "csv":
-            rows = files.read_delimited(spark, f)
-            if "Charge Box ID" in f.header:
-                s = assemble.sessions_box(rows, ingested_at)
-                found["charger"].append(assemble.box_chargers(s))
-            else:
-                s = assemble.sessions_plain(rows, ingested_at)
-            found["session"].append(s)
+            shapes.setdefault((f.delimiter, tuple(f.header), f.header_is_row), []).append(f)
+    for group in shapes.values():
+        rows = files.read_delimited(spark, group)
+        if "Charge Box ID" in group[0].header:
+            s = assemble.sessions_box(rows, ingested_at)
+            found["charger"].append(assemble.box_chargers(s))
+        else:
+            s = assemble.sessions_plain(rows, ingested_at)
+        found["session"].append(s)
     geo = [f.path for f in listing if f.kind == "geojson"]
     if geo:
         found["charger"].append(assemble.ports(files.read_geojson(spark, geo), ingested_at))

@@ -44,14 +44,14 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CUSTOMER_RULES = config.merged(config.DEFAULT, {
     "enums": {"c_mktsegment": ["AUTOMOBILE", "BUILDING", "MACHINERY"]},
-    "required": {"customer": ["c_name", "c_mktsegment"]},
+    "required_fields": {"customer": ["c_name", "c_mktsegment"]},
     "rules": [
-        {"code": "required", "check": "required", "severity": "MAJOR"},
-        {"code": "bad_balance", "check": "numeric", "severity": "MAJOR", "field": "c_acctbal"},
-        {"code": "negative_balance", "check": "range", "severity": "MAJOR", "field": "c_acctbal", "min": 0},
-        {"code": "large_balance", "check": "range", "severity": "INFO", "field": "c_acctbal", "max": 9000},
-        {"code": "first_nation", "check": "range", "severity": "MINOR", "field": "c_nationkey", "min": 1},
-        {"code": "other_segment", "check": "enum", "severity": "MINOR", "field": "c_mktsegment"},
+        {"id": "required", "check": "required", "severity": "MAJOR"},
+        {"id": "bad_balance", "check": "numeric", "severity": "MAJOR", "field": "c_acctbal"},
+        {"id": "negative_balance", "check": "range", "severity": "MAJOR", "field": "c_acctbal", "min": 0},
+        {"id": "large_balance", "check": "range", "severity": "INFO", "field": "c_acctbal", "max": 9000},
+        {"id": "first_nation", "check": "range", "severity": "MINOR", "field": "c_nationkey", "min": 1},
+        {"id": "other_segment", "check": "enum", "severity": "MINOR", "field": "c_mktsegment"},
     ],
 })
 _ISSUES_SQL = """list_filter([CASE WHEN c_name IS NULL THEN 'missing_c_name' END, CASE WHEN c_mktsegment IS NULL THEN 'missing_c_mktsegment' END,
@@ -89,8 +89,8 @@ def _shipments(spark, sf_dir) -> DataFrame:
 
 
 ORDER_RULES = config.merged(config.DEFAULT, {"rules": [
-    {"code": "ship_before_order", "check": "order", "severity": "MAJOR", "earlier": "o_orderdate", "later": "l_shipdate", "as": "timestamp"},
-    {"code": "stale_report", "check": "stale", "severity": "MINOR", "happened": "o_orderdate", "seen": "l_shipdate", "as": "timestamp"},
+    {"id": "ship_before_order", "check": "order", "severity": "MAJOR", "earlier": "o_orderdate", "later": "l_shipdate", "as": "timestamp"},
+    {"id": "stale_report", "check": "stale", "severity": "MINOR", "happened": "o_orderdate", "seen": "l_shipdate", "as": "timestamp"},
 ]})
 
 
@@ -113,7 +113,7 @@ _PLACES_SQL = "(SELECT s_suppkey AS idx, (33.0::DOUBLE + (s_suppkey * 37 % 400)
 
 @query(f"SELECT idx, CASE WHEN NOT (lat BETWEEN 33.7 AND 36.6 AND lon BETWEEN -84.4 AND -75.4) THEN 'outside_territory' ELSE '' END AS issues FROM {_PLACES_SQL}")
 def rule_bbox(spark, sf_dir):
-    cat = config.merged(config.DEFAULT, {"rules": [{"code": "outside_territory", "check": "bbox", "severity": "MAJOR"}]})
+    cat = config.merged(config.DEFAULT, {"rules": [{"id": "outside_territory", "check": "bbox", "severity": "MAJOR"}]})
     return _places(spark, sf_dir).select("idx", F.array_join(rules.issues(cat, "charger"), ",").alias("issues"))
 
 
@@ -122,14 +122,14 @@ def rule_bbox(spark, sf_dir):
 @query("""SELECT l_returnflag, count(*) FILTER (WHERE l_extendedprice > 50000) AS repaired,
     round(sum(CASE WHEN l_extendedprice > 50000 AND l_extendedprice <= 400000 THEN l_extendedprice / 1000.0 ELSE l_extendedprice END), 2) AS total FROM lineitem GROUP BY l_returnflag""")
 def unit_repair(spark, sf_dir):
-    unit = {"above": 50_000, "most": 400_000}
+    unit = {"watts_if_above": 50_000, "max_plausible": 400_000}
     v = standardise.repair_unit(F.col("l_extendedprice"), unit)
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count_if(v != F.col("l_extendedprice")).alias("repaired"), F.round(F.sum(v), 2).alias("total"))
 
 
 @query("SELECT CASE WHEN p_size <= 10 THEN 'L1' WHEN p_size <= 30 THEN 'L2' ELSE 'DCFC' END AS level, count(*) AS n FROM part GROUP BY 1")
 def derive_level(spark, sf_dir):
-    level = standardise.level_of(F.col("p_size").cast("double"), {"level_kw": {"L1": 10, "L2": 30}})
+    level = standardise.level_of(F.col("p_size").cast("double"), {"derive": {"level_from_power_kw": {"L1_max_kw": 10, "L2_max_kw": 30}}})
     return table(spark, sf_dir, "part").groupBy(level.alias("level")).agg(F.count("*").alias("n"))
 
 

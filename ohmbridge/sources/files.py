@@ -14,12 +14,15 @@ import json
 import re
 import zlib
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ohmbridge.storage import materialize
+
 HEAD = 8192
 DELIMITERS = (";", ",", "\t")
 
@@ -123,53 +126,106 @@ def detect(spark: SparkSession, path: str) -> list[RawFile]:
     return out
 
 
-def _lines(spark: SparkSession, f: RawFile) -> DataFrame:
-    """(value, at): the file's lines in order. ``at`` rises along the file."""
-    if f.gzipped and not f.path.endswith(".gz"):
+def _lines(spark: SparkSession, group: list[RawFile]) -> DataFrame:
+    """(file, block, at, value): the lines of files of one shape. Within a file, block and then at rise along it."""
+    odd = [f.path for f in group if f.gzipped and not f.path.endswith(".gz")]
+    plain = [f.path for f in group if f.path not in odd]
+    parts = []
+    if plain:
+        parts.append(spark.read.text(plain).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"))
+    if odd:
         # Spark chooses the codec by extension; a misnamed file is one task anyway
-        schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("at", T.LongType())])
-        raw = spark.read.format("binaryFile").load(f.path).select("content")
+        raw = spark.read.format("binaryFile").load(odd).select(F.col("_metadata.file_name").alias("file"), "content")
 
         def run(batches):
+            import pandas as pd
+
             for pdf in batches:
-                for content in pdf["content"]:
-                    rows = gzip.decompress(bytes(content)).decode("utf-8-sig").splitlines()
-                    yield __import__("pandas").DataFrame({"value": rows, "at": range(len(rows))})
+                for name, content in zip(pdf["file"], pdf["content"], strict=True):
+                    rows = gzip.decompress(bytes(content)).decode("utf-8-sig").split("\n")
+                    yield pd.DataFrame({"file": name, "block": 0, "at": range(len(rows)), "value": rows})
+
+        parts.append(raw.mapInPandas(run, "file string, block bigint, at bigint, value string"))
+    return reduce(DataFrame.unionByName, parts)
 
-        return raw.mapInPandas(run, schema)
-    return spark.read.text(f.path).select("value", F.monotonically_increasing_id().alias("at"))
+
+def split_cells(line: Column, delimiter: str) -> Column:
+    """Cells of a delimited record, in one pass; quotes that begin a cell may enclose anything, and double quotes stand for one."""
+    d = re.escape(delimiter)
+    found = F.regexp_extract_all(F.concat(line, F.lit(delimiter)), F.lit(rf'(?s)(\s*+"(?:[^"]++|"")*+"[^{d}]*+|[^{d}]*+){d}'), F.lit(1))
+    clean = F.transform(found, lambda c: F.when(c.rlike(r'(?s)^\s*".*"\s*$'), F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"')).otherwise(c))
+    return F.when(line.contains('"'), clean).otherwise(F.split(line, d, -1))
 
 
-def split_cells(line, delimiter: str):
-    """Cells of a delimited line; quotes may enclose delimiters, and double quotes stand for one."""
+def _opens(line: Column, delimiter: str) -> Column:
+    """Whether a line that begins outside quotes ends within them."""
     d = re.escape(delimiter)
-    parts = F.split(line, rf'{d}(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    return F.transform(parts, lambda c: F.when(c.rlike(r'^\s*".*"\s*$'), F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"')).otherwise(c))
+    return line.contains('"') & line.rlike(rf'^(?:(?:\s*+"(?:[^"]++|"")*+"[^{d}]*+|[^{d}"][^{d}]*+|){d})*+\s*+"(?:[^"]++|"")*+$')
 
 
-def read_delimited(spark: SparkSession, f: RawFile) -> DataFrame:
-    """(file, n, issues, extra_columns, and a text column for each of the header).
+def _records(lines: DataFrame, delimiter: str) -> DataFrame:
+    """Lines that a quoted line break parts are put together; the others stay as they are.
 
-    Blank lines and repeated headers are left out. Short rows are filled with
+    What a line does to the state within quotes depends on the state before it:
+    it keeps it, turns it over, or sets it. A running sum of turns since the last
+    line that sets it gives the state after every line: within each block first,
+    then over the blocks of a file, so that no task reads a whole file.
+    """
+    apart, within = _opens(F.col("value"), delimiter), _opens(F.concat(F.lit('"'), "value"), delimiter)
+    rows = lines.withColumns({"apart": apart, "within": within})
+    if rows.where("apart").isEmpty():
+        return lines
+    rows = materialize(rows, "delimited-lines")
+    turn, sets = (F.col("apart") & ~F.col("within")).cast("int"), F.col("apart") == F.col("within")
+    here = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("turns", F.sum(turn).over(here)).withColumn("set", F.last(F.when(sets, F.struct(F.col("apart").cast("int").alias("v"), "turns")), ignorenulls=True).over(here))
+    # of a whole block: what it sets, if it does, and its turns
+    blocks = rows.groupBy("file", "block").agg(F.max_by(F.struct("set", "turns"), "at").alias("end"))
+    end = F.when(F.col("end.set").isNotNull(), F.col("end.set.v") + F.col("end.turns") - F.col("end.set.turns"))
+    blocks = blocks.select("file", "block", end.alias("to"), F.when(end.isNull(), F.col("end.turns")).otherwise(0).alias("t"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("sum", F.coalesce(F.sum("t").over(before), F.lit(0))).withColumn("from", F.last(F.when(F.col("to").isNotNull(), F.struct("to", (F.col("sum") + F.col("t")).alias("s"))), ignorenulls=True).over(before))
+    blocks = blocks.select("file", "block", F.pmod(F.coalesce(F.col("from.to") + F.col("sum") - F.col("from.s"), F.col("sum")), F.lit(2)).alias("begin"))
+    after = F.when(F.col("set").isNotNull(), F.col("set.v") + F.col("turns") - F.col("set.turns")).otherwise(F.col("begin") + F.col("turns"))
+    rows = rows.join(F.broadcast(blocks), ["file", "block"]).withColumn("after", F.pmod(after, F.lit(2)))
+    # a record begins with each line that begins outside; its place is that of its first line
+    first = F.lag("after").over(Window.partitionBy("file", "block").orderBy("at"))
+    rows = rows.withColumn("head", F.when(F.coalesce(first, F.col("begin")) == 0, F.struct("block", "at")))
+    rows = rows.withColumn("head", F.last("head", ignorenulls=True).over(here))
+    last = rows.where("head is not null").groupBy("file", "block").agg(F.max("head").alias("open"))
+    carry = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    every = blocks.select("file", "block").join(last, ["file", "block"], "left").withColumn("open", F.last("open", ignorenulls=True).over(carry))
+    rows = rows.join(F.broadcast(every), ["file", "block"]).withColumn("head", F.coalesce("head", "open"))
+    lines_of = F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"])
+    return rows.groupBy("file", "head").agg(F.array_join(lines_of, "\n").alias("value")).select("file", F.col("head.block").alias("block"), F.col("head.at").alias("at"), "value")
+
+
+def read_delimited(spark: SparkSession, group: RawFile | list[RawFile]) -> DataFrame:
+    """(file, n, issues, extra_columns, and a text column for each of the header) of files of one delimiter and header.
+
+    Blank records and repeated headers are left out. Short rows are filled with
     nulls (malformed_row); what long rows have too much goes to extra_columns
-    (unmapped_columns). ``n`` counts the rows left, from 1. Empty cells are null.
+    (unmapped_columns). ``n`` counts the rows left of a file, from 1. Empty cells
+    are null. A quoted cell may hold line breaks.
     """
+    group = [group] if isinstance(group, RawFile) else group
+    f = group[0]
     k = len(f.header)
-    line = F.regexp_replace("value", "^﻿|\r$", "")
-    rows = _lines(spark, f).select("at", split_cells(line, f.delimiter).alias("c"))
+    lines = _lines(spark, group).withColumn("value", F.regexp_replace("value", "^﻿|\r$", ""))
+    rows = _records(lines, f.delimiter)
+    # cells are split once, for the numbers and the columns
+    rows = materialize(rows.select("file", "block", "at", split_cells(F.col("value"), f.delimiter).alias("c")), "delimited-cells")
     rows = rows.where(F.exists("c", lambda x: F.trim(x) != ""))
     if f.header_is_row:
         rows = rows.where(F.col("c") != F.array(*(F.lit(h) for h in f.header)))
-    # order by block first: a window over the whole file would be one task
-    part = F.shiftright("at", 33)
-    rows = rows.withColumn("p", part)
-    sizes = rows.groupBy("p").agg(F.count("*").alias("m"))
-    before = sizes.select("p", (F.sum("m").over(Window.orderBy("p")) - F.col("m")).alias("before"))
-    rows = rows.join(before, "p").withColumn("n", F.col("before") + F.row_number().over(Window.partitionBy("p").orderBy("at")))
+    # numbered within blocks, then blocks one after another: a window over the whole file would be one task
+    sizes = rows.groupBy("file", "block").agg(F.count("*").alias("m"))
+    before = sizes.select("file", "block", (F.sum("m").over(Window.partitionBy("file").orderBy("block")) - F.col("m")).alias("before"))
+    rows = rows.join(F.broadcast(before), ["file", "block"]).withColumn("n", F.col("before") + F.row_number().over(Window.partitionBy("file", "block").orderBy("at")))
     size = F.size("c")
     issues = F.when(size < k, F.array(F.lit("malformed_row"))).when(size > k, F.array(F.lit("unmapped_columns"))).otherwise(F.array().cast("array<string>"))
     return rows.select(
-        F.lit(f.name).alias("file"), F.col("n").cast("long").alias("n"), issues.alias("issues"), F.when(size > k, F.slice("c", k + 1, F.greatest(size - k, F.lit(1)))).alias("extra_columns"),
+        "file", F.col("n").cast("long").alias("n"), issues.alias("issues"), F.when(size > k, F.slice("c", k + 1, F.greatest(size - k, F.lit(1)))).alias("extra_columns"),
         *(F.nullif(F.get("c", F.lit(i)), F.lit("")).alias(h) for i, h in enumerate(f.header)))
 
 

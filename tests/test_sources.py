@@ -138,3 +138,45 @@ def test_outside_parser_falls_back(spark):
     got = {r.provenance.source_file: r for r in assemble.maintenance(extract.events_by(df, parse), AT).collect()}
     assert (got["good.txt"].event_type, got["good.txt"].severity, got["good.txt"].extracted_fields, got["good.txt"].quality.issues) == ("REPAIR", None, {"n": "1"}, [])
     assert (got["bad.txt"].event_type, got["bad.txt"].severity, got["bad.txt"].quality.issues) == ("FAULT", "SAFETY", ["llm_fallback"])
+
+
+def by_csv(text, delimiter=","):
+    import csv
+    import io
+
+    rows = [r for r in csv.reader(io.StringIO(text), delimiter=delimiter) if any(c.strip() for c in r)]
+    return rows[1:]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_quoted_line_breaks(spark, tmp_path, small):
+    """Against the standard reader, in one block and in blocks of a few bytes each."""
+    import random
+
+    rng = random.Random(4)
+    cell = lambda: rng.choice(["x", "", "a b", '"two\nlines"', '"a,b"', '"say ""hi"" now"', '"\n\n"', '5 "inch', '"one, ""two""\nthree\nfour"', "é"])
+    texts = ["one,two,three\n" + "".join(",".join([f"k{i}", cell(), cell()]) + "\n" for i in range(60)) for _ in range(3)]
+    (tmp_path / "in").mkdir()
+    for i, text in enumerate(texts):
+        (tmp_path / f"in/f{i}.csv").write_text(text, encoding="utf-8")
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if small:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97b")
+    try:
+        group = files.detect(spark, str(tmp_path / "in"))
+        got = files.read_delimited(spark, group).orderBy("file", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)
+    for i, text in enumerate(texts):
+        expected = by_csv(text)
+        mine = [r for r in got if r.file == f"f{i}.csv"]
+        assert [r.n for r in mine] == list(range(1, len(expected) + 1))
+        assert [[r.one or "", r.two or "", r.three or ""] for r in mine] == expected
+
+
+def test_many_files_of_one_shape_are_one_scan(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"s{i}.csv").write_text(f"start_date;energy_kwh\n2024-01-01;{i}\n2024-01-02;{i}\n")
+    got = pipeline.ingest(spark, str(tmp_path), AT)["session"]
+    assert got.count() == 60 and got.select("session_id").distinct().count() == 60
+    assert got._jdf.queryExecution().toString().count("Union") <= 1

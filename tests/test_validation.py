@@ -62,15 +62,15 @@ def test_maintenance(spark):
 
 
 def test_override_and_registry(spark):
-    box = config.catalog({"territory": {"min_lat": 40.0, "max_lat": 41.0}})
-    assert box["territory"] == {"min_lat": 40.0, "max_lat": 41.0, "min_lon": -84.4, "max_lon": -75.4}
+    box = config.catalog({"territory": {"bbox": {"min_lat": 40.0, "max_lat": 41.0}}})
+    assert box["territory"]["bbox"] == {"min_lat": 40.0, "max_lat": 41.0, "min_lon": -84.4, "max_lon": -75.4}
     got = clean(spark, "charger", [{"lat": "40.5", "lon": "-80"}], box)
     assert got[0].quality.issues == []
     with pytest.raises(KeyError):
-        rules.issues(config.catalog({"rules": [{"code": "x", "check": "nope", "severity": "MINOR"}]}), "charger")
-    rules.CHECKS["even"] = lambda cat, rule, kind: [F.when(F.col(rule["field"]) % 2 == 0, F.lit(rule["code"]))]
+        rules.issues(config.catalog({"rules": [{"id": "x", "check": "nope", "severity": "MINOR"}]}), "charger")
+    rules.CHECKS["even"] = lambda cat, rule, kind: [F.when(F.col(rule["field"]) % 2 == 0, F.lit(rule["id"]))]
     try:
-        cat = config.catalog({"rules": [{"code": "is_even", "check": "even", "severity": "INFO", "field": "n"}]})
+        cat = config.catalog({"rules": [{"id": "is_even", "check": "even", "severity": "INFO", "field": "n"}]})
         df = spark.range(3).withColumnRenamed("id", "n").withColumn("i", rules.issues(cat, "any"))
         assert [r.i for r in df.orderBy("n").collect()] == [["is_even"], [], ["is_even"]]
         assert df.select(rules.score(F.col("i"), F.lit(None).cast("double"), cat).alias("s")).first().s == 0.98
@@ -109,5 +109,11 @@ def test_repair_hook(spark):
 
 def test_catalog_problems():
     assert config.problems(config.catalog()) == []
-    bad = config.catalog({"territory": {"min_lat": 90}, "weights": {"MAJOR": 3}, "synonyms": {"level": {"L9": ["x"]}}, "rules": [{"code": "a", "check": "range"}]})
+    bad = config.catalog({"territory": {"bbox": {"min_lat": 90}}, "scoring": {"weights": {"MAJOR": 3}}, "synonyms": {"level": {"L9": ["x"]}}, "rules": [{"id": "a", "check": "range"}]})
     assert len(config.problems(bad)) == 4
+
+
+def test_unknown_keys_of_an_override_are_named():
+    bad = config.catalog({"stale_days": 3, "territory": {"min_lat": 1}, "unit_repair": {"speed": {"watts_if_above": 5, "max_plausible": 9}}, "rules": [{"id": "a", "check": "stale", "severity": "INFO", "code": "b"}]})
+    assert config.problems(bad) == ["unknown key: territory.min_lat", "unknown key: stale_days", "rule a: unknown key code"]
+    assert config.problems(config.catalog({"stale": {"max_days": 3}, "scoring": {"weights": {"MAJOR": 0.3}}})) == []
