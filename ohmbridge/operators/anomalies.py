@@ -8,6 +8,8 @@ on any table of the same shape.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ A = config.ANOMALY
 
 def fences(rows: DataFrame, by: str, value: str) -> DataFrame:
     """(by, fence): the upper outlier fence of each group that has one."""
-    return rows.where(F.col(value).isNotNull()).groupBy(by).agg(stats.sorted_values(F.col(value)).alias("__v")).select(by, stats.upper_fence(F.col("__v")).alias("fence")).where("fence is not null")
+    return stats.upper_fences(rows, by, value)
 
 
 def silent_groups(rows: DataFrame, by: str, at: str, end: Column, days: float = A["cliff_days"], least: int = A["cliff_sessions"]) -> DataFrame:
@@ -110,6 +112,13 @@ def _silent(known: DataFrame, period: DataFrame) -> DataFrame:
     return g.withColumn("silent_days", silent).where((F.col("n") >= A["cliff_sessions"]) & (F.col("silent_days") >= A["cliff_days"])).drop("period_end")
 
 
+def observation(*times: DataFrame) -> DataFrame:
+    """One row: the first and last time ``t`` of all frames, p0 and p1, and the days from one to the other, both counted."""
+    parts = [d.agg(F.min("t").alias("a"), F.max("t").alias("b")) for d in times]
+    ends = reduce(DataFrame.unionByName, parts).agg(F.min("a").alias("p0"), F.max("b").alias("p1"))
+    return ends.withColumn("days", F.floor((F.unix_micros("p1") - F.unix_micros("p0")) / F.lit(86_400_000_000.0)) + 1)
+
+
 def health_state(types: Column, uptime: Column) -> Column:
     """The first state whose condition holds."""
     has = lambda *t: F.arrays_overlap(types, F.array(*(F.lit(x) for x in t)))
@@ -129,14 +138,14 @@ def with_health(chargers: DataFrame, sessions: DataFrame, events: DataFrame, fou
     s = sessions.select("cluster", "fault_code", F.col("provenance.ingested_at").alias("seen"), "start_time").withColumn("st", time.instant(F.col("start_time")))
     known = s.where("cluster is not null")
     lag = time.lag_days(time.instant(F.col("seen")), F.col("st"))
-    m = known.withColumn("lag", lag).groupBy("cluster").agg(F.count_if(text.filled(F.col("fault_code")).isNotNull()).alias("faults"), stats.sorted_values(F.col("lag")).alias("__lags"))
-    ends = s.select(F.min("st").alias("a"), F.max("st").alias("b")).unionByName(events.select(time.instant(F.col("event_date")).alias("t")).select(F.min("t").alias("a"), F.max("t").alias("b"))).agg(F.min("a").alias("p0"), F.max("b").alias("p1"))
-    days = F.floor((F.unix_micros("p1") - F.unix_micros("p0")) / F.lit(86_400_000_000.0)) + 1
+    m = known.groupBy("cluster").agg(F.count_if(text.filled(F.col("fault_code")).isNotNull()).alias("faults"))
+    m = m.join(lag_percentiles(known.withColumn("lag", lag), "cluster", "lag"), "cluster", "left")
+    ends = observation(s.select(F.col("st").alias("t")), events.select(time.instant(F.col("event_date")).alias("t")))
     why = events.where(F.col("severity").isin("MAJOR", "SAFETY")).select(F.col("cluster").alias("__c"), time.instant(F.col("event_date")).alias("at"))
     quiet = _silent(known, ends.select(F.col("p1").alias("period_end"))).join(why, (F.col("cluster") == F.col("__c")) & (F.col("at") > F.col("last_at")), "left_anti").select("cluster", "silent_days")
     m = m.join(quiet, "cluster", "left").crossJoin(F.broadcast(ends))
-    uptime = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - F.coalesce("silent_days", F.lit(0.0)) / F.greatest(days, F.lit(1)))), 4)
-    m = m.select("cluster", "faults", F.when(F.col("p0").isNotNull(), uptime).alias("uptime"), stats.nearest_rank(F.col("__lags"), 50).alias("p50"), stats.nearest_rank(F.col("__lags"), 95).alias("p95"))
+    uptime = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - F.coalesce("silent_days", F.lit(0.0)) / F.greatest("days", F.lit(1)))), 4)
+    m = m.select("cluster", "faults", F.when(F.col("p0").isNotNull(), uptime).alias("uptime"), "p50", "p95")
     own = found.where("target = 'charger'").groupBy(F.col("key").alias("cluster")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rule", "ord", "detail", "type", "severity", "evidence"))), lambda x: F.struct(x["type"].alias("type"), x["severity"].alias("severity"), x["detail"].alias("detail"), x["evidence"].alias("evidence"))).alias("anomalies"))
     out = chargers.join(m, "cluster", "left").join(own, "cluster", "left")
     empty = F.array().cast("array<struct<type:string,severity:string,detail:string,evidence:array<string>>>")
@@ -157,5 +166,4 @@ def with_session_anomalies(sessions: DataFrame, found: DataFrame) -> DataFrame:
 
 def lag_percentiles(rows: DataFrame, by: str, lag: str) -> DataFrame:
     """(by, p50, p95) by nearest rank."""
-    g = rows.where(F.col(lag).isNotNull()).groupBy(by).agg(stats.sorted_values(F.col(lag)).alias("__v"))
-    return g.select(by, stats.nearest_rank(F.col("__v"), 50).alias("p50"), stats.nearest_rank(F.col("__v"), 95).alias("p95"))
+    return stats.order_statistics(rows, by, lag, {"p50": stats.nearest_rank(50), "p95": stats.nearest_rank(95)}).drop("n")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ohmbridge import config
+from ohmbridge.functions import stats
 
 KPI_COLUMNS = ["chargers_deployed", "active_chargers", "inactive_chargers", "sessions_count", "sessions_missing_energy", "energy_delivered_kwh", "est_uptime_pct", "data_completeness_pct", "chargers_with_metrics", "max_fault_recurrence", "chronic_failure_sites", "anomalies_total", "maintenance_events"]
 
@@ -88,6 +89,17 @@ def triage(chargers: DataFrame, state: str = "state", *tie: str) -> DataFrame:
     return chargers.orderBy(rank_in(F.col(state), config.HEALTH_ORDER), *tie)
 
 
+def triage_places(chargers: DataFrame, state: str, tie: str) -> DataFrame:
+    """The triage order as numbers from 1."""
+    out = stats.numbered(chargers, [rank_in(F.col(state), config.HEALTH_ORDER), F.col(tie)], "place")
+    return out.withColumn("place", F.col("place") + 1)
+
+
+def chronic(chargers: DataFrame) -> DataFrame:
+    """Sites of which so many sessions had a fault that they count as chronic."""
+    return chargers.where(F.col("metrics.fault_recurrence_count") >= config.CHRONIC_FAULTS)
+
+
 def league(rows: DataFrame, by: str = "avg_score") -> DataFrame:
     """Best first; an unknown score comes last."""
     return rows.orderBy(F.coalesce(F.col(by), F.lit(-1.0)).desc())

@@ -13,12 +13,13 @@ import json
 import os
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ohmbridge import config, schemas
+from ohmbridge.functions import stats
 from ohmbridge.operators import anomalies, assemble, dedup, extract, fuse, kpis, matching, standardise
 from ohmbridge.sources import files, sinks
 from ohmbridge.storage import materialize
@@ -75,20 +76,17 @@ def validation_report(valid: Records) -> DataFrame:
 
 
 def with_index(df: DataFrame) -> DataFrame:
-    """``idx``: a dense order of records by file, line and id, the same for any partitioning.
-
-    Rows are numbered within sorted ranges, so no single task orders all of them.
-    """
+    """``idx``: a dense order of records by file, line and id, the same for any partitioning."""
     line = F.regexp_extract(F.coalesce("provenance.raw_ref", F.lit("")), r"(\d+)$", 1).try_cast("long")
     ids = [c for c in ("session_id", "event_id", "charger_id") if c in df.columns]
     order = [F.coalesce("provenance.source_file", F.lit("")), F.coalesce(line, F.lit(0)), *(F.coalesce(c, F.lit("")) for c in ids), F.xxhash64(*(c for c, t in df.dtypes if not t.startswith("map")))]
-    keyed = df.withColumns({f"__o{i}": o for i, o in enumerate(order)})
-    keys = [f"__o{i}" for i in range(len(order))]
-    ranged = materialize(keyed.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id()), "indexed")
-    sizes = ranged.groupBy("__p").agg(F.count("*").alias("__m"))
-    before = sizes.select("__p", (F.sum("__m").over(Window.orderBy("__p")) - F.col("__m")).alias("__b"))
-    n = F.row_number().over(Window.partitionBy("__p").orderBy(*keys))
-    return ranged.join(F.broadcast(before), "__p").withColumn("idx", (F.col("__b") + n - 1).cast("long")).drop("__p", "__b", *keys)
+    return stats.numbered(df, order, "idx")
+
+
+def totals(valid: Records) -> DataFrame:
+    """One row: records, quarantined ones, and the mean score over all types."""
+    parts = [df.agg(F.count("*").alias("n"), F.count_if("quarantined").alias("q"), F.sum("quality.score").alias("s")) for df in valid.values()]
+    return reduce(DataFrame.unionByName, parts).agg(F.sum("n").alias("records"), F.sum("q").alias("quarantined"), F.round(F.sum("s") / F.nullif(F.sum("n"), F.lit(0)), 4).alias("avg_score"))
 
 
 def reconcile(valid: Records, compat_rank: bool = False) -> Records:

@@ -236,10 +236,14 @@ def connected_components(spark, sf_dir):
 _HAV = "2 * 6371.0088 * asin(sqrt(least(pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2), 1.0)))"
 
 
-@query(f"WITH p AS {_PLACES_SQL} SELECT x.idx AS a, y.idx AS b, round({_HAV}, 4) AS km FROM p x JOIN p y ON x.idx < y.idx AND abs(x.lat - y.lat) <= 0.25 AND abs(x.lon - y.lon) <= 0.25 AND {_HAV} <= 20")
+_DENSE_SQL = "(SELECT s_suppkey AS idx, (35.0::DOUBLE + (s_suppkey * 37 % 100) / 200.0::DOUBLE) AS lat, (-80.0::DOUBLE + (s_suppkey * 91 % 90) / 200.0::DOUBLE) AS lon FROM supplier)"
+
+
+@query(f"WITH p AS {_DENSE_SQL} SELECT x.idx AS a, y.idx AS b, round({_HAV}, 4) AS km FROM p x JOIN p y ON x.idx < y.idx AND abs(x.lat - y.lat) <= 0.25 AND abs(x.lon - y.lon) <= 0.25 AND {_HAV} <= 20")
 def haversine_pairs(spark, sf_dir):
     """Pairs within 20 km and a quarter degree: places meet in quarter-degree cells and their neighbours."""
-    p = _places(spark, sf_dir).withColumns({"cx": F.floor(F.col("lat") * 4), "cy": F.floor(F.col("lon") * 4)})
+    k = F.col("s_suppkey")
+    p = table(spark, sf_dir, "supplier").select(k.alias("idx"), (35.0 + (k * 37 % 100) / 200.0).alias("lat"), (-80.0 + (k * 91 % 90) / 200.0).alias("lon")).withColumns({"cx": F.floor(F.col("lat") * 4), "cy": F.floor(F.col("lon") * 4)})
     near = F.array(*(F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     x = p.select(F.col("idx").alias("a"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"), F.explode(near).alias("c")).select("a", "lat1", "lon1", "c.cx", "c.cy")
     y = p.select(F.col("idx").alias("b"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "cx", "cy")
@@ -248,17 +252,6 @@ def haversine_pairs(spark, sf_dir):
     return x.join(y, ["cx", "cy"]).where("a < b").where(close & (km <= 20)).select("a", "b", F.round(km, 4).alias("km"))
 
 
-@query("""WITH m AS (SELECT c_custkey, s_suppkey, CASE WHEN abs(c_acctbal - s_acctbal) <= 100 THEN 2 ELSE 1 END AS class, round(1 / (1 + abs(c_acctbal - s_acctbal)), 9) AS sim FROM customer JOIN supplier ON c_nationkey = s_nationkey)
-SELECT c_custkey, s_suppkey, class::INTEGER AS class FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY class DESC, sim DESC, s_suppkey) AS r FROM m) WHERE r = 1""")
-def best_association(spark, sf_dir):
-    """The best supplier of a customer's nation: class, then closeness, then the first."""
-    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    gap = F.abs(F.col("c_acctbal") - F.col("s_acctbal"))
-    m = c.select("c_custkey", "c_nationkey", "c_acctbal").join(s.select("s_suppkey", "s_nationkey", "s_acctbal"), F.col("c_nationkey") == F.col("s_nationkey"))
-    best = F.max(F.struct(F.when(gap <= 100, 2).otherwise(1).alias("class"), F.round(1 / (1 + gap), 9).alias("sim"), (-F.col("s_suppkey")).alias("k"))).alias("m")
-    return m.groupBy("c_custkey").agg(best).select("c_custkey", (-F.col("m.k")).alias("s_suppkey"), F.col("m.class").alias("class"))
-
-
 @query("""SELECT source, CASE WHEN contains(source, '1') THEN 0 WHEN contains(source, '2') THEN 1 ELSE 3 END AS rank, count(*) AS n FROM (SELECT coalesce(source, '') AS source FROM documents) GROUP BY 1, 2""")
 def source_ranks(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("source"))
@@ -268,11 +261,6 @@ def source_ranks(spark, sf_dir):
 
 # --- duplicates and fusion --------------------------------------------------------------
 
-@query("""WITH g AS (SELECT sha256(coalesce(text, '')) AS h, min(doc_id) AS first_id, count(*) AS copies, count(DISTINCT source) AS sources FROM documents GROUP BY 1 HAVING count(*) > 1) SELECT first_id, copies, sources FROM g""")
-def exact_duplicates(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.count_distinct("source").alias("sources")).where("copies > 1").drop("h")
-
 
 @query("""SELECT x.event_id AS a, y.event_id AS b FROM events x JOIN events y ON x.user_id = y.user_id AND x.event_id < y.event_id
 WHERE abs(epoch_us(x.ts::TIMESTAMP) - epoch_us(y.ts::TIMESTAMP)) <= 3600 * 1000000::BIGINT AND abs(x.value - y.value) <= greatest(0.25, 0.04 * greatest(x.value, y.value))""")
@@ -283,12 +271,6 @@ def session_duplicates(spark, sf_dir):
     return dedup.close_pairs(s, ["user_id"], "at_s", 3600.0, dedup.close_values(F.col("x_e"), F.col("y_e"), none, none), ["e"])
 
 
-@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_totalprice DESC, o_orderdate DESC, o_orderkey) AS r FROM orders) WHERE r = 1""")
-def survivors(spark, sf_dir):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderpriority", F.col("o_totalprice").desc(), F.col("o_orderdate").desc(), "o_orderkey")
-    return table(spark, sf_dir, "orders").withColumn("r", F.row_number().over(w)).where("r = 1").select("o_custkey", "o_orderkey", "o_totalprice")
-
-
 def _order_members(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     source = F.when(F.col("o_orderstatus") == "F", F.lit("afdc")).when(F.col("o_orderstatus") == "O", F.lit("cary")).otherwise(F.lit("contractor"))
@@ -307,12 +289,6 @@ def fused_records(spark, sf_dir):
     return g.select("cust", "priority", "price", "members", F.size("conflicts_resolved").cast("long").alias("conflicts"), F.aggregate("conflicts_resolved", F.lit(0).cast("long"), lambda a, x: a + F.size(x["rejected"])).alias("rejected"))
 
 
-@query("""SELECT sum(n - 1)::BIGINT AS duplicates_removed, count(*) AS groups FROM (SELECT count(*) AS n FROM documents GROUP BY sha256(coalesce(text, '')))""")
-def duplicates_removed(spark, sf_dir):
-    g = table(spark, sf_dir, "documents").groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).agg(F.count("*").alias("n"))
-    return g.agg(F.sum(F.col("n") - 1).alias("duplicates_removed"), F.count("*").alias("groups"))
-
-
 # --- anomalies and health ---------------------------------------------------------------
 
 _FENCE = """f AS (SELECT user_id, list_sort(list(value)) AS v FROM events WHERE value IS NOT NULL GROUP BY user_id HAVING count(*) >= 5),
@@ -356,13 +332,6 @@ def unresolved_events(spark, sf_dir):
     return anomalies.unresolved(s.where("event_type = 'error'"), repairs, "user_id", "ts").select(F.col("idx").alias("event_id"))
 
 
-@query("SELECT p_brand, count(*) AS n, round(max(l_extendedprice / l_quantity / p_retailprice), 6) AS worst FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_extendedprice / l_quantity > p_retailprice * 1.1 GROUP BY p_brand")
-def power_over_rated(spark, sf_dir):
-    unit = F.col("l_extendedprice") / F.col("l_quantity")
-    j = table(spark, sf_dir, "lineitem").select("l_partkey", "l_extendedprice", "l_quantity").join(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return j.where(unit > F.col("p_retailprice") * config.ANOMALY["over_rated"]).groupBy("p_brand").agg(F.count("*").alias("n"), F.round(F.max(unit / F.col("p_retailprice")), 6).alias("worst"))
-
-
 _STATE_SQL = """u AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS errors, max(ts::TIMESTAMP) AS last_at FROM events GROUP BY user_id),
 h AS (SELECT user_id, CASE WHEN errors >= 20 THEN 'SAFETY_REVIEW' WHEN last_at < TIMESTAMP '2024-01-30' THEN 'SUSPECT_OUTAGE' WHEN errors >= 14 THEN 'DEGRADED' ELSE 'HEALTHY' END AS state FROM u)"""
 
@@ -378,11 +347,10 @@ def health_states(spark, sf_dir):
     return _states(spark, sf_dir).select("user_id", "state")
 
 
-@query(f"WITH {_STATE_SQL} SELECT user_id, state, row_number() OVER (ORDER BY list_position(['SAFETY_REVIEW', 'SUSPECT_OUTAGE', 'DEGRADED', 'HEALTHY'], state), user_id) AS place FROM h QUALIFY place <= 50")
+@query(f"WITH {_STATE_SQL} SELECT user_id, state, row_number() OVER (ORDER BY list_position(['SAFETY_REVIEW', 'SUSPECT_OUTAGE', 'DEGRADED', 'HEALTHY'], state), user_id) AS place FROM h")
 def triage_order(spark, sf_dir):
-    """The first fifty of the triage list: each task keeps its own fifty before they meet."""
-    top = kpis.triage(_states(spark, sf_dir).select("user_id", "state"), "state", "user_id").limit(50)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(kpis.rank_in(F.col("state"), config.HEALTH_ORDER), "user_id")).cast("long"))
+    """The whole triage list with places."""
+    return kpis.triage_places(_states(spark, sf_dir).select("user_id", "state"), "state", "user_id")
 
 
 @query("""WITH l AS (SELECT c_nationkey, greatest(0, (epoch_us(l_shipdate::TIMESTAMP) - epoch_us(o_orderdate::TIMESTAMP)) / 86400000000.0::DOUBLE) AS lag FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
@@ -394,14 +362,6 @@ def lag_percentiles(spark, sf_dir):
     return out.select("c_nationkey", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
 
 
-@query("SELECT min(t) AS period_start, max(t) AS period_end, ((epoch_us(max(t)) - epoch_us(min(t))) // 86400000000 + 1)::BIGINT AS days FROM (SELECT o_orderdate::TIMESTAMP AS t FROM orders UNION ALL SELECT l_shipdate::TIMESTAMP FROM lineitem)")
-def observation_period(spark, sf_dir):
-    parts = [table(spark, sf_dir, n).select(F.col(c).cast("timestamp").alias("t")).agg(F.min("t").alias("a"), F.max("t").alias("b")) for n, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
-    both = parts[0].unionByName(parts[1]).agg(F.min("a").alias("period_start"), F.max("b").alias("period_end"))
-    days = F.floor((F.unix_micros("period_end") - F.unix_micros("period_start")) / F.lit(86_400_000_000.0)) + 1
-    return both.select(F.col("period_start").cast("timestamp_ntz").alias("period_start"), F.col("period_end").cast("timestamp_ntz").alias("period_end"), days.cast("long").alias("days"))
-
-
 # --- reports ------------------------------------------------------------------------------
 
 @query(f"""WITH {_STATE_SQL}, e AS (SELECT count(*) AS sessions_count, count(*) FILTER (WHERE value IS NULL) AS sessions_missing_energy, round(sum(value), 2) AS energy_delivered_kwh FROM events),
@@ -434,11 +394,6 @@ def league_table(spark, sf_dir):
     return kpis.league(c).withColumn("place", F.row_number().over(Window.orderBy(F.coalesce("avg_score", F.lit(-1.0)).desc(), "c_mktsegment")).cast("long"))
 
 
-@query("SELECT user_id, count(*) AS faults FROM events WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 3")
-def chronic_sites(spark, sf_dir):
-    return sessions(spark, sf_dir).where("event_type = 'error'").groupBy("user_id").agg(F.count("*").alias("faults")).where(F.col("faults") >= config.CHRONIC_FAULTS)
-
-
 @query("""WITH c AS (SELECT count(*) AS n, sum(o_totalprice) AS t FROM orders), p AS (SELECT count(*) AS n, sum(o_totalprice) AS t FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')
 SELECT 'Orders' AS metric, p.n::DOUBLE AS prior, c.n::DOUBLE AS current, (c.n - p.n)::DOUBLE AS delta FROM c, p UNION ALL SELECT 'Total', round(p.t, 2), round(c.t, 2), round(c.t - p.t, 2) FROM c, p""")
 def restatement_delta(spark, sf_dir):
@@ -470,12 +425,6 @@ def jsonl_round_trip(spark, sf_dir):
     return files.read_jsonl(spark, path, e.schema).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("""SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'signup' GROUP BY user_id""")
-def first_per_key(spark, sf_dir):
-    s = sessions(spark, sf_dir).where("event_type = 'signup'")
-    return s.groupBy("user_id").agg(F.min_by("idx", F.struct("ts", "idx")).alias("event_id"))
-
-
 @query("""SELECT o_orderkey, coalesce(n_name, 'Unknown location') AS city FROM orders LEFT JOIN (SELECT c_nationkey AS nk, arg_max(c_mktsegment, c_custkey) AS n_name FROM customer GROUP BY 1) ON o_custkey % 30 = nk""")
 def activity_city(spark, sf_dir):
     """Lookup of a site by a key that repeats: the last one holds, so nothing fans out."""
@@ -485,8 +434,5 @@ def activity_city(spark, sf_dir):
     return o.join(last, F.col("site").eqNullSafe(F.col("k")), "left").select("o_orderkey", F.coalesce("city", F.lit("Unknown location")).alias("city"))
 
 
-@query("""SELECT count(*) AS records_in, count(*) FILTER (WHERE c_acctbal < 0) AS flagged, round(avg(c_acctbal), 4) AS mean FROM customer""")
-def pipeline_totals(spark, sf_dir):
-    return table(spark, sf_dir, "customer").agg(F.count("*").alias("records_in"), F.count_if(F.col("c_acctbal") < 0).alias("flagged"), F.round(F.avg("c_acctbal"), 4).alias("mean"))
-
-
+# the queries over records made from these tables register themselves
+from ohmbridge.plans import record_queries  # noqa: E402, F401

@@ -150,7 +150,7 @@ def write_pages(golden: dict[str, DataFrame], out_dir: str, date: str, validatio
     events = [tuple(r) for r in golden["maintenance"].select("event_date", "event_type", "severity", F.substring("description", 1, 120)).orderBy(kpis.rank_in(F.col("severity"), ["SAFETY", "MAJOR", "MINOR", "INFO"]), F.col("event_date").desc()).collect()]
     sites = kpis.last_site(chargers.select("charger_id", F.col("address.city").alias("city"), F.col("metrics.est_uptime_pct").alias("uptime"), "first_idx"), "charger_id", "first_idx")
     cities = kpis.city_rollup(sites, golden["session"], "charger_id", "city", "uptime", "energy_kwh").orderBy(F.desc("n_uptime"), "city").collect()
-    chronic = chargers.where(F.col("metrics.fault_recurrence_count") >= config.CHRONIC_FAULTS).select(F.coalesce("charger_id", "golden_id"), F.coalesce("address.city", F.lit("-")), "metrics.fault_recurrence_count", "health.state").orderBy(F.desc("metrics.fault_recurrence_count"), "golden_id").collect()
+    chronic = kpis.chronic(chargers).select(F.coalesce("charger_id", "golden_id"), F.coalesce("address.city", F.lit("-")), "metrics.fault_recurrence_count", "health.state").orderBy(F.desc("metrics.fault_recurrence_count"), "golden_id").collect()
     said = summaries(k, states, severities, paraphrase)
     pages = {
         "compliance_report.csv": compliance_csv(k, lineage, restated),

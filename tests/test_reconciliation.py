@@ -156,8 +156,8 @@ def test_session_duplicates(spark):
 
 def test_fence_and_ranks(spark):
     df = spark.createDataFrame([("a", float(x)) for x in (1, 2, 3, 4, 5)] + [("b", 5.0)] * 5 + [("b", 9.0)] + [("c", 1.0)] * 4 + [("d", float(x)) for x in (0, 1, 5, 5, 5, 5, 6, 99)], "g string, v double")
-    s = df.groupBy("g").agg(stats.sorted_values(F.col("v")).alias("v"))
-    got = {r.g: (r.f, r.p50, r.p95) for r in s.select("g", stats.upper_fence(F.col("v")).alias("f"), stats.nearest_rank(F.col("v"), 50).alias("p50"), stats.nearest_rank(F.col("v"), 95).alias("p95")).collect()}
+    fence = {r.g: r.fence for r in stats.upper_fences(df, "g", "v").collect()}
+    got = {r.g: (fence.get(r.g), r.p50, r.p95) for r in stats.order_statistics(df, "g", "v", {"p50": stats.nearest_rank(50), "p95": stats.nearest_rank(95)}).collect()}
     assert got["a"] == (4 + 3 * 2, 2.0, 5.0) and got["b"] == (None, 5.0, 9.0) and got["c"][0] is None
     assert got["d"][0] == 6 + 3 * 1
 
