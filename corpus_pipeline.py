@@ -17,7 +17,12 @@ BUDGET, EPOCHS = 0.9, 1
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.5 or more; it learns from the labels of ``docs``."""
+    """Documents that the classifier scores 0.5 or more; it learns from the labels of ``docs``.
+
+    Null and empty texts are scored like others, by their zero statistics.
+    Repeated rows stay or go together. Without labels of both kinds every row has
+    the share of ones as its score; an empty table stays empty.
+    """
     return gbdt.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -25,9 +30,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that five documents or more share, but for the last that holds each.
 
     A document of which no line is left goes; n_chars is that of the text left.
+    Null and empty texts, and rows without a doc_id, stay as they are; repeated
+    rows of a doc_id count once and lose the same lines.
     """
-    kept, dropped = F.col("__kept"), F.col("__dropped")
-    rows = linededup.LineDedup.of(docs).apply(docs, ("__kept", "__lines", "__dropped"))
+    names = common.free_names(docs.columns, "kept_text", "n_lines", "n_dropped")
+    kept, dropped = F.col(names[0]), F.col(names[2])
+    rows = linededup.LineDedup.of(docs).apply(docs, tuple(names))
     rows = rows.where((dropped == 0) | (F.length(kept) > 0))
     changed = {"text": F.when(dropped == 0, F.col("text")).otherwise(kept)}
     if "n_chars" in docs.columns:
@@ -36,18 +44,26 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of the least doc_id."""
+    """One document of each group of near duplicates: the one of the least doc_id.
+
+    Rows without a doc_id, and texts without words, are in no group and stay.
+    Rows that repeat the least doc_id of a group all stay.
+    """
     gone = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents chosen to the target weights."""
+    """Documents chosen to the target weights.
+
+    Nulls of lang and source are names of their own; rows of one doc_id and leaf
+    are taken together, texts without words with their place in the order.
+    """
     return mixing.mix(docs, BUDGET, mixing.WEIGHTS, epochs=EPOCHS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text."""
+    """Token ids of each text; a null or empty text has none."""
     return bpe.encode_documents(docs, keep=("doc_id", "lang", "source")).select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256")
 
 
