@@ -10,9 +10,9 @@ ancestors.
 A leaf's target is then so many whole epochs and the beginning of one more. Each
 epoch has an order of its own, by md5 of seed, epoch and doc_id; of the last one
 the shortest prefix that reaches the target is taken. Where that prefix ends is
-found by sums over hash ranges of some thousand rows and one sort of a single
-range, so no leaf, however hot, is sorted as a whole, and the decision on a row
-is a comparison with its leaf's last hash.
+found by sums over hash ranges, as many as the root of the leaf's rows, and one
+sort of a single range, so no leaf, however hot, is sorted as a whole, and the
+decision on a row is a comparison with its leaf's last hash.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from ohmbridge.llm import common
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
 EPOCHS = 4
-#: Rows of a hash range, on average.
-RANGE_ROWS = 20_000
 #: A plan of at most so many leaves (a row of some 100 bytes each) is broadcast.
 BROADCAST_LEAVES = 100_000
 SEED = 17
@@ -106,7 +104,7 @@ def plan(docs: DataFrame, domain: Column, budget: float, weights: dict[str, dict
     target = F.floor(F.col("share") + 1e-6).cast("long")
     made = share_budget(nodes, ("domain", "lang")).select(*LEVELS, "n_docs", "tokens", target.alias("target"))
     made = made.withColumn("full", F.when(F.col("tokens") > 0, F.floor(F.col("target") / F.greatest(F.col("tokens"), F.lit(1)))).otherwise(0).cast("long"))
-    made = made.withColumns({"rest": F.col("target") - F.col("full") * F.col("tokens"), "ranges": F.ceil(F.col("n_docs") / RANGE_ROWS)})
+    made = made.withColumns({"rest": F.col("target") - F.col("full") * F.col("tokens"), "ranges": F.ceil(F.sqrt("n_docs"))})
     made = common.materialize(made, "mix-targets")
     # where the prefix of the last epoch ends: first the hash range, then the hash
     open_leaves = _small(made.where("rest > 0").select(*LEVELS, "full", "rest", "ranges"))

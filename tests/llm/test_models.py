@@ -565,8 +565,7 @@ def brute_share(budget, kids):
 
 
 @pytest.mark.parametrize("budget,epochs", [(0.4, 1), (1.0, 4), (3.5, 4), (9.0, 2)])
-def test_mixing_equals_brute_force(spark, budget, epochs, monkeypatch):
-    monkeypatch.setattr(mixing, "RANGE_ROWS", 5)
+def test_mixing_equals_brute_force(spark, budget, epochs):
     rng = random.Random(2)
     docs = [(i, " ".join("w" for _ in range(rng.randrange(0, 40))), rng.choice(["en", "en", "de", None]), rng.choice([f"src{k}" for k in range(5)] + ["src0"] * 6)) for i in range(400)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
