@@ -8,9 +8,9 @@ a superset of the inputs.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import json
-import os
 import time
 from dataclasses import dataclass, field
 from functools import reduce
@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ohmbridge import config, schemas
+from ohmbridge import config, schemas, storage
 from ohmbridge.functions import stats
 from ohmbridge.operators import anomalies, assemble, dedup, extract, fuse, kpis, matching, standardise
 from ohmbridge.sources import files, sinks
@@ -141,68 +141,83 @@ def listing_digest(spark: SparkSession, path: str) -> str:
 
 @dataclass
 class Run:
-    """One run over a folder: stage timings, row counts, and what was skipped."""
+    """One run over a folder: stage timings, row counts, and what was skipped.
+
+    The manifest, a JSON file beside the outputs on any file system, has a digest
+    for each stage: of its inputs, its settings and the stage before. With
+    ``resume``, a stage of an equal digest whose outputs are there is skipped.
+    """
 
     spark: SparkSession
     raw_dir: str
     out_dir: str
-    ingested_at: str
+    ingested_at: str | None
     rules: dict | str | None = None
     resume: bool = True
     retries: int = 1
     health: dict = field(default_factory=dict)
 
-    def _stage(self, name: str, work) -> None:
+    def _path(self, name: str) -> str:
+        return f"{self.out_dir.rstrip('/')}/{name}"
+
+    def _stage(self, name: str, digest: str, tables: list[str], work) -> dict:
+        """What a stage says of itself, from the manifest if nothing has changed."""
+        had = self.manifest.get(name, {})
+        if self.resume and had.get("digest") == digest and all(storage.exists(self.spark, self._path(f"{t}/_SUCCESS")) for t in tables):
+            self.health[name] = {**had["health"], "skipped": True}
+            return had["said"]
         began, tries = time.time(), 0
         while True:
             try:
-                counts = work()
+                counts, said = work()
                 break
             except Exception:
                 tries += 1
                 if tries > self.retries:
                     raise
-        self.health[name] = {**counts, "duration_s": round(time.time() - began, 3), "skipped": False}
-
-    def _path(self, name: str) -> str:
-        return f"{self.out_dir.rstrip('/')}/{name}"
+        self.health[name] = {**counts, "llm_calls": 0, "llm_tokens": 0, "duration_s": round(time.time() - began, 3), "skipped": False}
+        self.manifest[name] = {"digest": digest, "health": self.health[name], "said": json.loads(json.dumps(said, default=str))}
+        # after each stage, so that a run that fails later goes on from here
+        storage.write_text(self.spark, self._path("manifest.json"), json.dumps(self.manifest, default=str))
+        return said
 
     def execute(self) -> dict:
-        local = self.out_dir.removeprefix("file://")
-        os.makedirs(local, exist_ok=True)
-        manifest_file = f"{local.rstrip('/')}/manifest.json"
-        wanted = {"inputs": listing_digest(self.spark, self.raw_dir), "rules": hashlib.sha256(json.dumps(config.catalog(self.rules), sort_keys=True).encode()).hexdigest()}
-        if self.resume and os.path.exists(manifest_file):
-            with open(manifest_file, encoding="utf-8") as f:
-                had = json.load(f)
-            if had["wanted"] == wanted:
-                return {**had["result"], "skipped": True}
-        state: dict = {}
+        cat = config.catalog(self.rules)
+        self.manifest = json.loads(storage.read_text(self.spark, self._path("manifest.json")) or "{}")
+        digest = lambda *x: hashlib.sha256(json.dumps(x, sort_keys=True).encode()).hexdigest()
+        inputs = listing_digest(self.spark, self.raw_dir)
+        # without a set time, a run over the same inputs keeps that of the run before
+        at = self.ingested_at or (self.manifest.get("at") if self.manifest.get("inputs") == inputs else None) or datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
+        self.manifest |= {"inputs": inputs, "at": at}
+        valid_digest = digest(inputs, cat, at)
+        golden_digest = digest(valid_digest, "golden")
+        valid = {t: f"validated/{t}" for t in schemas.TYPES}
+        golden = {t: f"golden/{t}" for t in (*schemas.TYPES, "anomalies")}
 
         def do_validate():
-            state["raw"] = ingest(self.spark, self.raw_dir, self.ingested_at)
-            cat = config.catalog(self.rules)
-            state["valid"] = {t: self._store(df, f"validated/{t}") for t, df in validate(state["raw"], cat).items()}
-            n = {t: df.count() for t, df in state["valid"].items()}
-            q = sum(df.where("quarantined").count() for df in state["valid"].values())
-            return {"records_out": sum(n.values()), "quarantined": q}
+            made = {t: self._store(df, valid[t]) for t, df in validate(ingest(self.spark, self.raw_dir, at), cat).items()}
+            n = totals(made).first()
+            rows = validation_report(made).collect()
+            said = {"records_out": n.records, "quarantined": n.quarantined, "per_source": {r.source: {"records": r.n, "avg_score": r.avg_score} for r in rows if r.source and not r.issue}, "per_issue": {r.issue: r.n for r in rows if r.issue and not r.source}}
+            return {"records_out": n.records, "quarantined": n.quarantined}, said
 
         def do_reconcile():
-            golden = reconcile(state["valid"])
-            state["golden"] = {t: self._store(df, f"golden/{t}") for t, df in golden.items()}
-            state["reconciliation"] = reconciliation_report(state["valid"], state["golden"])
-            return {"records_in": state["reconciliation"]["records_in"], "records_out": state["reconciliation"]["golden_records_out"]}
+            had = {t: self._load(p) for t, p in valid.items()}
+            made = {t: self._store(df, golden[t]) for t, df in reconcile(had).items()}
+            said = reconciliation_report(had, made)
+            return {"records_in": said["records_in"], "records_out": said["golden_records_out"]}, said
 
         def do_report():
-            state["report"] = report(state["golden"])
-            return {"records_in": state["reconciliation"]["golden_records_out"]}
-
-        for name, work in (("validation", do_validate), ("reconciliation", do_reconcile), ("reporting", do_report)):
-            self._stage(name, work)
-        result = {"reconciliation": state["reconciliation"], **state["report"], "health": self.health}
-        with open(manifest_file, "w", encoding="utf-8") as f:
-            json.dump({"wanted": wanted, "result": result}, f, default=str)
-        return result
+            return {"records_in": said["golden_records_out"]}, report({t: self._load(p) for t, p in golden.items()})
+
+        checked = self._stage("validation", valid_digest, list(valid.values()), do_validate)
+        said = self._stage("reconciliation", golden_digest, list(golden.values()), do_reconcile)
+        figures = self._stage("reporting", digest(golden_digest, "report"), [], do_report)
+        result = {"validation": checked, "reconciliation": said, **figures, "health": self.health}
+        return {**result, "skipped": True} if all(h["skipped"] for h in self.health.values()) else result
+
+    def _load(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self._path(name))
 
     def _store(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self._path(name))

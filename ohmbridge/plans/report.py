@@ -1,4 +1,4 @@
-"""Report pages and files. Spark aggregates and orders; the driver only renders small results."""
+"""Report pages and files. Spark aggregates and orders; long tables pass through the driver row by row."""
 
 from __future__ import annotations
 
@@ -6,13 +6,15 @@ import csv
 import html
 import io
 import json
-import os
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ohmbridge import config
 from ohmbridge.operators import kpis
+from ohmbridge.storage import read_text, write_text
 
 MAP_COLOURS = {"HEALTHY": "#2e7d32", "DEGRADED": "#f9a825", "SUSPECT_OUTAGE": "#ef6c00", "SAFETY_REVIEW": "#c62828"}
 NONE = "Unavailable: the stage's report was not given."
@@ -31,8 +33,10 @@ def load_report(path: str | None) -> dict | None:
     """A stage's JSON report; None where none is named, an error where the named one is missing."""
     if path is None:
         return None
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+    text = read_text(SparkSession.active(), path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return json.loads(text)
 
 
 def kpi_rows(k: dict) -> list[tuple[str, str, str, str]]:
@@ -105,62 +109,74 @@ def summaries(k: dict, states: dict, severities: dict, paraphrase=None) -> list[
     return out
 
 
-def _table(head: list[str], rows: list, empty: str = "None.") -> str:
-    if not rows:
-        return f"<p>{html.escape(empty)}</p>"
+def _table(head: list[str], rows: Iterable, empty: str = "None.") -> Iterator[str]:
+    """The parts of a table, a row at a time."""
     cell = lambda tag, v: f"<{tag}>{html.escape('' if v is None else str(v))}</{tag}>"
-    return "<table><tr>" + "".join(cell("th", h) for h in head) + "</tr>" + "".join("<tr>" + "".join(cell("td", v) for v in r) + "</tr>" for r in rows) + "</table>"
+    rows = iter(rows)
+    first = next(rows, None)
+    if first is None:
+        yield f"<p>{html.escape(empty)}</p>"
+        return
+    yield "<table><tr>" + "".join(cell("th", h) for h in head) + "</tr>"
+    for r in chain([first], rows):
+        yield "<tr>" + "".join(cell("td", v) for v in r) + "</tr>"
+    yield "</table>"
 
 
-def _page(title: str, date: str, *parts: str) -> str:
-    return f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><p>{html.escape(date)}</p>{''.join(parts)}</body></html>\n"
+def _page(title: str, date: str, *parts: str | Iterable[str]) -> Iterator[str]:
+    yield f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><p>{html.escape(date)}</p>"
+    for p in parts:
+        yield from [p] if isinstance(p, str) else p
+    yield "</body></html>\n"
 
 
-def fleet_map(chargers: DataFrame) -> str:
+def fleet_map(chargers: DataFrame) -> Iterator[str]:
     """Positions are computed in Spark; one circle for each charger with coordinates."""
-    rows = kpis.map_points(chargers.select("golden_id", "charger_id", "lat", "lon", F.col("health.state").alias("state")), "lat", "lon").where("x is not null").orderBy("golden_id").collect()
-    if not rows:
-        return "<p>No coordinates: map unavailable.</p>"
-    dots = "".join(f"<circle cx='{r.x:.1f}' cy='{r.y:.1f}' r='7' fill='{MAP_COLOURS.get(r.state, '#9e9e9e')}'><title>{html.escape(str(r.charger_id or r.golden_id))}: {html.escape(str(r.state))}</title></circle>" for r in rows)
-    return f"<svg viewBox='0 0 860 560'>{dots}</svg>"
-
-
-def anomaly_feed(golden: dict[str, DataFrame], only: list[str] | None = None) -> list:
+    rows = kpis.map_points(chargers.select("golden_id", "charger_id", "lat", "lon", F.col("health.state").alias("state")), "lat", "lon").where("x is not null").orderBy("golden_id").toLocalIterator()
+    first = next(rows, None)
+    if first is None:
+        yield "<p>No coordinates: map unavailable.</p>"
+        return
+    yield "<svg viewBox='0 0 860 560'>"
+    for r in chain([first], rows):
+        yield f"<circle cx='{r.x:.1f}' cy='{r.y:.1f}' r='7' fill='{MAP_COLOURS.get(r.state, '#9e9e9e')}'><title>{html.escape(str(r.charger_id or r.golden_id))}: {html.escape(str(r.state))}</title></circle>"
+    yield "</svg>"
+
+
+def anomaly_feed(golden: dict[str, DataFrame], only: list[str] | None = None) -> Iterable:
     rows = golden["anomalies"]
     if only:
         rows = rows.where(F.col("severity").isin(only))
-    return [tuple(r) for r in kpis.severity_feed(rows.select("severity", "type", "golden_id", "detail"), "type", "golden_id", "detail").collect()]
+    return kpis.severity_feed(rows.select("severity", "type", "golden_id", "detail"), "type", "golden_id", "detail").toLocalIterator()
 
 
 def write_pages(golden: dict[str, DataFrame], out_dir: str, date: str, validation: dict | None = None, reconciliation: dict | None = None, health: dict | None = None, restates: str | None = None, prior: dict | None = None, paraphrase=None) -> dict:
     """The compliance report (CSV and HTML), dashboard, safety view and customer view."""
-    os.makedirs(out_dir, exist_ok=True)
     chargers = golden["charger"].cache()
     k = kpis.fleet_kpis(chargers, golden["session"], golden["maintenance"]).first().asDict()
     states = {r.s: r.n for r in chargers.groupBy(F.col("health.state").alias("s")).agg(F.count("*").alias("n")).collect()}
     severities = {r.severity: r.n for r in golden["anomalies"].groupBy("severity").agg(F.count("*").alias("n")).collect()}
     lineage = lineage_rows(validation, reconciliation, health)
     restated = restated_rows(k, prior) if restates and prior else []
-    grid = _table(["Figure", "Value", "Unit", "Note"], kpi_rows(k))
-    banner = f"<p><b>Restates the report of {html.escape(restates)}.</b></p>" + _table(["Metric", "Prior", "Current", "Delta"], restated, "No comparable figures.") if restates else ""
+    grid = list(_table(["Figure", "Value", "Unit", "Note"], kpi_rows(k)))
+    banner = chain([f"<p><b>Restates the report of {html.escape(restates)}.</b></p>"], _table(["Metric", "Prior", "Current", "Delta"], restated, "No comparable figures.")) if restates else ""
     sources = sorted((validation or {}).get("per_source", {}).items(), key=lambda x: -(x[1].get("avg_score") if x[1].get("avg_score") is not None else -1))
     league = _table(["Source", "Records", "Mean score"], [(s, v.get("records"), number(v.get("avg_score"), 2)) for s, v in sources]) if validation else f"<p>{NONE}</p>"
     lags = _table(["Source", "p50", "p95"], [(s, number(v["p50"]), number(v["p95"])) for s, v in sorted((reconciliation or {}).get("per_source_lag_days", {}).items(), key=lambda x: str(x[0]))]) if reconciliation else f"<p>{NONE}</p>"
-    triage = [tuple(r) for r in kpis.triage(chargers.select(F.col("health.state").alias("state"), "charger_id", "golden_id", F.col("health.since").alias("since"), F.array_join("health.evidence", "; ").alias("why")), "state", "golden_id").collect()]
-    events = [tuple(r) for r in golden["maintenance"].select("event_date", "event_type", "severity", F.substring("description", 1, 120)).orderBy(kpis.rank_in(F.col("severity"), ["SAFETY", "MAJOR", "MINOR", "INFO"]), F.col("event_date").desc()).collect()]
+    triage = kpis.triage(chargers.select(F.col("health.state").alias("state"), "charger_id", "golden_id", F.col("health.since").alias("since"), F.array_join("health.evidence", "; ").alias("why")), "state", "golden_id").toLocalIterator()
+    events = golden["maintenance"].select("event_date", "event_type", "severity", F.substring("description", 1, 120)).orderBy(kpis.rank_in(F.col("severity"), ["SAFETY", "MAJOR", "MINOR", "INFO"]), F.col("event_date").desc()).toLocalIterator()
     sites = kpis.last_site(chargers.select("charger_id", F.col("address.city").alias("city"), F.col("metrics.est_uptime_pct").alias("uptime"), "first_idx"), "charger_id", "first_idx")
-    cities = kpis.city_rollup(sites, golden["session"], "charger_id", "city", "uptime", "energy_kwh").orderBy(F.desc("n_uptime"), "city").collect()
-    chronic = kpis.chronic(chargers).select(F.coalesce("charger_id", "golden_id"), F.coalesce("address.city", F.lit("-")), "metrics.fault_recurrence_count", "health.state").orderBy(F.desc("metrics.fault_recurrence_count"), "golden_id").collect()
+    cities = kpis.city_rollup(sites, golden["session"], "charger_id", "city", "uptime", "energy_kwh").orderBy(F.desc("n_uptime"), "city").toLocalIterator()
+    chronic = kpis.chronic(chargers).select(F.coalesce("charger_id", "golden_id"), F.coalesce("address.city", F.lit("-")), "metrics.fault_recurrence_count", "health.state").orderBy(F.desc("metrics.fault_recurrence_count"), "golden_id").toLocalIterator()
     said = summaries(k, states, severities, paraphrase)
     pages = {
         "compliance_report.csv": compliance_csv(k, lineage, restated),
         "compliance_report.html": _page("Compliance report", date, grid, banner, "<h2>Lineage</h2>", _table(["Stage", "Metric", "Value"], lineage, "No lineage data.")),
         "dashboard.html": _page("Operations dashboard", date, grid, fleet_map(chargers), "<h2>Anomalies</h2>", _table(["Severity", "Type", "Record", "Detail"], anomaly_feed(golden)), "<h2>Sources</h2>", league, "<h2>Reporting lag (days)</h2>", lags),
         "safety.html": _page("Safety view", date, _table(["State", "Charger", "Record", "Since", "Why"], triage), _table(["Severity", "Type", "Record", "Detail"], anomaly_feed(golden, ["SAFETY", "CRITICAL"])), _table(["Date", "Type", "Severity", "Description"], events)),
-        "customers.html": _page("Customer view", date, _table(["Location", "Chargers", "Availability", "Sessions", "Energy (kWh)"], [(r.city, r.sites, percent(r.mean_uptime), r.activities, number(float(r.amount))) for r in cities]), _table(["Charger", "Location", "Faults", "State"], [tuple(r) for r in chronic], "No site with repeated faults."), *(f"<h3>{s['title']}</h3><p>{html.escape(s['text'])}</p>" for s in said)),
+        "customers.html": _page("Customer view", date, _table(["Location", "Chargers", "Availability", "Sessions", "Energy (kWh)"], ((r.city, r.sites, percent(r.mean_uptime), r.activities, number(float(r.amount))) for r in cities)), _table(["Charger", "Location", "Faults", "State"], chronic, "No site with repeated faults."), *(f"<h3>{s['title']}</h3><p>{html.escape(s['text'])}</p>" for s in said)),
     }
-    for name, text in pages.items():
-        with open(os.path.join(out_dir, name), "w", encoding="utf-8") as f:
-            f.write(text)
+    for name, parts in pages.items():
+        write_text(chargers.sparkSession, f"{out_dir.rstrip('/')}/{name}", parts)
     chargers.unpersist()
     return {"kpis": k, "health_states": states, "anomaly_severity": severities, "pages": sorted(pages)}

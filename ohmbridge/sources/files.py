@@ -242,11 +242,15 @@ def read_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines by a set schema; blank lines are left out, anything that is not an object fails the job with its line."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    """JSON lines by a set schema; blank lines are left out, anything that is not an object fails the job with its file, line and text.
+
+    Lines count within the part of the file that one task reads, which is named if it is not the first.
+    """
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    lines = spark.read.text(path).select("value", F.concat(F.col("_metadata.file_name"), F.lit(", line "), at, F.when(F.col("_metadata.file_block_start") > 0, F.concat(F.lit(" from byte "), F.col("_metadata.file_block_start"))).otherwise(F.lit(""))).alias("at")).where(F.trim("value") != "")
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
     whole = F.when(F.col("value").rlike(r"^\s*\{") & F.expr("try_parse_json(value) is not null"), parsed)
-    checked = F.when(whole.isNull(), F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200)))).otherwise(whole)
+    checked = F.when(whole.isNull(), F.raise_error(F.concat(F.lit("not a JSON object: "), "at", F.lit(": "), F.substring("value", 1, 200)))).otherwise(whole)
     return lines.select(checked.alias("r")).select("r.*")
 
 
@@ -263,5 +267,14 @@ def read_records(spark: SparkSession, path: str, tier: str = "raw") -> dict[str,
     return out
 
 
+def unknown_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record_type, n): records of types that ``read_records`` leaves out, null for those without any."""
+    from ohmbridge import schemas
+
+    kind = F.get_json_object("value", "$.record_type")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.where(~F.coalesce(kind.isin(*schemas.TYPES), F.lit(False))).groupBy(kind.alias("record_type")).agg(F.count("*").alias("n"))
+
+
 def json_lines(text: str) -> list[dict]:
     return [json.loads(x) for x in io.StringIO(text) if x.strip()]

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ohmbridge.storage import write_text
+
 
 def without_empty(c: Column, dtype: T.DataType) -> Column:
     """A struct of which all fields are null becomes null, at any depth."""
@@ -50,5 +52,4 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_report(report: dict, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(report, f, indent=2, sort_keys=True, ensure_ascii=False)
+    write_text(SparkSession.active(), path, json.dumps(report, indent=2, sort_keys=True, ensure_ascii=False))

@@ -26,6 +26,39 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def write_text(spark: SparkSession, path: str, parts) -> None:
+    """A text, or the parts of one as they come, as one file on any file system that Spark reaches."""
+    fs, p = _file_system(spark, path)
+    # no checksum files beside it on a local disk
+    fs.setWriteChecksum(False)
+    try:
+        out = fs.create(p, True)
+    finally:
+        fs.setWriteChecksum(True)
+    try:
+        for part in [parts] if isinstance(parts, str) else parts:
+            out.write(bytearray(part.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What such a file holds; None where there is none."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    found = fs.open(p)
+    try:
+        return bytes(found.readAllBytes()).decode()
+    finally:
+        found.close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, which is deleted when the driver ends."""
     path = f"{shared_dir(spark)}/ohmbridge/{name}-{uuid.uuid4().hex}"

@@ -208,3 +208,30 @@ def test_run_is_resumable(spark, tmp_path):
     (raw / "late.csv").write_text((raw / "s.csv").read_text())
     again = run()
     assert "skipped" not in again and again["reconciliation"]["records_in"] == 2
+
+
+def test_a_run_goes_on_from_the_stage_that_changed(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "s.csv").write_text("start_date;energy_kwh\n2023-01-02T10:00:00-05:00;7.5\n")
+    made = lambda **k: pipeline.Run(spark, str(raw), str(tmp_path / "out"), SEEN, **k)
+
+    def broken(*a):
+        raise RuntimeError
+
+    monkeypatch.setattr(pipeline, "report", broken)
+    with pytest.raises(RuntimeError):
+        made(retries=0).execute()
+    monkeypatch.undo()
+    second = made()
+    out = second.execute()
+    assert [second.health[s]["skipped"] for s in ("validation", "reconciliation", "reporting")] == [True, True, False] and out["kpis"]["sessions_count"] == 1
+    # an output that is gone is made again
+    import shutil
+
+    shutil.rmtree(tmp_path / "out/golden/session")
+    third = made()
+    third.execute()
+    assert [third.health[s]["skipped"] for s in ("validation", "reconciliation", "reporting")] == [True, False, True]
+    fourth = made(rules={"stale": {"max_days": 100000}})
+    assert "skipped" not in fourth.execute() and not fourth.health["validation"]["skipped"]

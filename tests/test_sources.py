@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from ohmbridge import schemas
 from ohmbridge.operators import assemble, extract
 from ohmbridge.plans import pipeline
 from ohmbridge.sources import files, sinks
@@ -180,3 +181,11 @@ def test_many_files_of_one_shape_are_one_scan(spark, tmp_path):
     got = pipeline.ingest(spark, str(tmp_path), AT)["session"]
     assert got.count() == 60 and got.select("session_id").distinct().count() == 60
     assert got._jdf.queryExecution().toString().count("Union") <= 1
+
+
+def test_bad_lines_are_named_and_unknown_types_counted(spark, tmp_path):
+    f = tmp_path / "r.jsonl"
+    f.write_text('{"record_type": "session", "session_id": "a"}\n\n{"record_type": "pet"}\n{"x": 1}\nnot json\n')
+    assert {r.record_type: r.n for r in files.unknown_records(spark, str(f)).collect()} == {"pet": 1, None: 2}
+    with pytest.raises(Exception, match=r"r\.jsonl, line 5: not json"):
+        files.read_jsonl(spark, str(f), schemas.struct(session_id=schemas.S)).collect()
