@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ohmbridge.storage import materialize
+from ohmbridge.storage import materialize, release
 
 HEAD = 8192
 DELIMITERS = (";", ",", "\t")
@@ -172,10 +172,7 @@ def _records(lines: DataFrame, delimiter: str) -> DataFrame:
     then over the blocks of a file, so that no task reads a whole file.
     """
     apart, within = _opens(F.col("value"), delimiter), _opens(F.concat(F.lit('"'), "value"), delimiter)
-    rows = lines.withColumns({"apart": apart, "within": within})
-    if rows.where("apart").isEmpty():
-        return lines
-    rows = materialize(rows, "delimited-lines")
+    rows = materialize(lines.withColumns({"apart": apart, "within": within}), "delimited-lines")
     turn, sets = (F.col("apart") & ~F.col("within")).cast("int"), F.col("apart") == F.col("within")
     here = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("turns", F.sum(turn).over(here)).withColumn("set", F.last(F.when(sets, F.struct(F.col("apart").cast("int").alias("v"), "turns")), ignorenulls=True).over(here))
@@ -212,9 +209,12 @@ def read_delimited(spark: SparkSession, group: RawFile | list[RawFile]) -> DataF
     f = group[0]
     k = len(f.header)
     lines = _lines(spark, group).withColumn("value", F.regexp_replace("value", "^﻿|\r$", ""))
-    rows = _records(lines, f.delimiter)
-    # cells are split once, for the numbers and the columns
-    rows = materialize(rows.select("file", "block", "at", split_cells(F.col("value"), f.delimiter).alias("c")), "delimited-cells")
+    # lines are split once, for the numbers and the columns; only files with open quotes are looked at again
+    cells = ["file", "block", "at", split_cells(F.col("value"), f.delimiter).alias("c")]
+    rows = materialize(lines.select(*cells, _opens(F.col("value"), f.delimiter).alias("apart")), "delimited-cells")
+    if not rows.where("apart").isEmpty():
+        rows, once = materialize(_records(lines, f.delimiter).select(*cells), "delimited-cells"), rows
+        release(once)
     rows = rows.where(F.exists("c", lambda x: F.trim(x) != ""))
     if f.header_is_row:
         rows = rows.where(F.col("c") != F.array(*(F.lit(h) for h in f.header)))
