@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ohmbridge import schemas
 from ohmbridge.functions import text
@@ -67,9 +66,9 @@ def sessions_box(rows: DataFrame, at: str) -> DataFrame:
 def box_chargers(sessions: DataFrame) -> DataFrame:
     """A charger for each box of each file, from the first session that names it."""
     line = F.regexp_extract("provenance.raw_ref", r"(\d+)$", 1).try_cast("long")
-    w = Window.partitionBy("provenance.source_file", "charger_id").orderBy(line)
-    first = sessions.where("charger_id is not null").withColumn("__r", F.row_number().over(w)).where("__r = 1")
-    out = first.select(F.lit("charger").alias("record_type"), "charger_id", "station_id", F.lit(BOX_NETWORK).alias("network"), "station_name", "provenance", _quality(F.lit(1.0)).alias("quality"))
+    kept = F.struct("station_id", "station_name", "provenance")
+    first = sessions.where("charger_id is not null").groupBy(F.col("provenance.source_file").alias("file"), "charger_id").agg(F.min_by(kept, F.coalesce(line, F.lit(0))).alias("s"))
+    out = first.select(F.lit("charger").alias("record_type"), "charger_id", "s.station_id", F.lit(BOX_NETWORK).alias("network"), "s.station_name", "s.provenance", _quality(F.lit(1.0)).alias("quality"))
     return _shaped(out, "charger")
 
 

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ohmbridge import config
 from ohmbridge.functions import geo, text
 from ohmbridge.operators.graph import with_components
+from ohmbridge.storage import materialize
 
 # Fixed value: how texts name a charge box.
 BOX_ID = r"(?i)(?:charge\s*box|box)(?:\s*id)?\s*[:#]?\s*([A-Za-z0-9][A-Za-z0-9-]{2,})"
@@ -52,7 +52,8 @@ def station_refs(df: DataFrame, kind: str) -> DataFrame:
     if kind == "maintenance":
         said = F.concat_ws("\n", F.coalesce("description", F.lit("")), F.map_values(F.coalesce("extracted_fields", F.create_map().cast("map<string,string>"))))
         station = F.when(charger.isNull() & station.isNull(), text.filled(F.regexp_extract(said, BOX_ID, 1))).otherwise(station)
-    coord = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("double")
+    # one zero, so that equal references are equal texts too
+    coord = lambda c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if c in df.columns else F.lit(None).cast("double")
     return df.select(
         "idx", text.key_text(charger).alias("cid"), text.key_text(station).alias("sid"), name.alias("name"),
         text.normal(name).alias("name_norm"), text.normal(street).alias("street_norm"), text.normal(city).alias("city_norm"), text.normal(zip_code).alias("zip_norm"),
@@ -60,13 +61,14 @@ def station_refs(df: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def blocking_keys() -> Column:
-    """The keys of a reference, in order of strength."""
+def blocking_keys(ids: bool = True) -> Column:
+    """The keys of a reference, in order of strength; without ``ids`` those of place and name alone."""
     words = F.split("name_norm", " ")
     named = F.col("name_norm") != ""
     one = lambda c: F.format_string("%.1f", c)
+    by_id = [F.concat(F.lit("chg:"), "cid"), F.concat(F.lit("sid:"), "sid")] if ids else []
     keys = F.array(
-        F.concat(F.lit("chg:"), "cid"), F.concat(F.lit("sid:"), "sid"),
+        *by_id,
         F.when((F.col("city_norm") != "") & (F.col("zip_norm") != ""), F.concat(F.lit("cityzip:"), "city_norm", F.lit("|"), "zip_norm")),
         F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.concat(F.lit("geo:"), one(F.col("lat")), F.lit(","), one(F.col("lon")))),
         F.when(named, F.concat(F.lit("name3:"), F.array_join(F.slice(words, 1, 3), " "))),
@@ -124,12 +126,26 @@ def _needs_name() -> Column:
 
 
 def cluster_chargers(chargers: DataFrame) -> DataFrame:
-    """(idx, cluster): cluster is the least idx of the port's records."""
-    refs = station_refs(chargers, "charger")
-    pairs = blocked_pairs(refs).join(_side(refs, "x", "a"), "a").join(_side(refs, "y", "b"), "b")
-    by_id = pairs.where(~_needs_name()).withColumn("__sim", F.lit(0.0))
-    by_name = pairs.where(_needs_name()).withColumn("__sim", text.name_similarity(F.col("x_name"), F.col("y_name")))
-    links = by_id.unionByName(by_name).where(same_entity()).select("a", "b")
+    """(idx, cluster): cluster is the least idx of the port's records.
+
+    Equal charger ids, and equal station ids where a record of them has no
+    charger id, link in stars, without pairs. Two records with charger ids are
+    decided by these, so place and name pair only records without one with the
+    others of their blocks.
+    """
+    refs = materialize(station_refs(chargers, "charger"), "charger-refs")
+    loose = F.col("cid").isNull()
+
+    def star(by: str, where: Column) -> DataFrame:
+        first = refs.where(F.col(by).isNotNull()).groupBy(by).agg(F.min("idx").alias("a"), F.count("*").alias("n"), F.count_if(loose).alias("loose")).where((F.col("n") > 1) & where)
+        return refs.join(first, by).where("a < idx").select("a", F.col("idx").alias("b"))
+
+    keyed = refs.select("idx", loose.alias("loose"), F.explode(F.array_distinct(blocking_keys(ids=False))).alias("k"))
+    met = keyed.where("loose").select("k", F.col("idx").alias("i")).join(keyed.select("k", F.col("idx").alias("j")), "k").where("i <> j")
+    pairs = met.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
+    pairs = pairs.join(_side(refs, "x", "a"), "a").join(_side(refs, "y", "b"), "b").where(_needs_name())
+    by_name = pairs.withColumn("__sim", text.name_similarity(F.col("x_name"), F.col("y_name"))).where(same_entity()).select("a", "b")
+    links = star("cid", F.lit(True)).unionByName(star("sid", F.col("loose") > 0)).unionByName(by_name)
     return with_components(refs.select("idx"), links, "idx").withColumnRenamed("component", "cluster")
 
 
@@ -142,29 +158,53 @@ def match_class() -> Column:
     )
 
 
+#: Classes of equal references whose cluster (some 40 bytes each) is broadcast at most.
+BROADCAST_REFS = 500_000
+
+
+def _ref_key(refs: DataFrame) -> Column:
+    """128 bits that stand for a reference, its idx left out."""
+    return F.unhex(F.md5(F.to_json(F.struct(*(c for c in refs.columns if c != "idx"))).cast("binary")))
+
+
+def _classes(refs: DataFrame) -> DataFrame:
+    """Each distinct reference once, with the least idx that has it: combined before rows move, however often one repeats."""
+    return refs.groupBy(*(c for c in refs.columns if c != "idx")).agg(F.min("idx").alias("idx"))
+
+
 def associate(records: DataFrame, kind: str, chargers: DataFrame, clusters: DataFrame) -> DataFrame:
     """(idx, cluster) of each record's best charger; records without one are left out.
 
     The best is that of the highest class, then similarity; of equals, the one
-    found by the earlier key, then of the lower idx.
+    found by the earlier key, then of the lower idx. Records of equal references
+    have one answer, so distinct references alone are matched: by charger id, the
+    rest by station id, and only what neither decides by pairs within blocks.
     """
-    refs, charger_refs = station_refs(records, kind), station_refs(chargers, "charger")
-    mine = refs.select(F.col("idx").alias("a"), F.posexplode(blocking_keys()).alias("ord", "k"))
-    theirs = charger_refs.select(F.col("idx").alias("b"), F.explode(F.array_distinct(blocking_keys())).alias("k"))
-    pairs = mine.join(theirs, "k").groupBy("a", "b").agg(F.min("ord").alias("ord"))
-    pairs = pairs.join(_side(refs, "x", "a"), "a").join(_side(charger_refs, "y", "b"), "b")
-    by_id = (F.coalesce(F.col("x_cid") == F.col("y_cid"), F.lit(False))) | (F.coalesce(F.col("x_sid") == F.col("y_sid"), F.lit(False)))
-    scored = pairs.where(by_id).withColumn("__sim", F.lit(1.0)).unionByName(pairs.where(~by_id).withColumn("__sim", text.name_similarity(F.col("x_name"), F.col("y_name"))))
-    scored = scored.withColumn("class", match_class()).where("class >= 1")
+    refs = station_refs(records, kind)
+    mine, theirs = materialize(_classes(refs), "refs"), materialize(_classes(station_refs(chargers, "charger")), "charger-refs")
+    by_cid = mine.join(theirs.where("cid is not null").groupBy("cid").agg(F.min("idx").alias("b")), "cid").select("idx", "b")
+    rest = mine.join(by_cid, "idx", "left_anti")
+    by_sid = rest.join(theirs.where("sid is not null").groupBy("sid").agg(F.min("idx").alias("b")), "sid").select("idx", "b")
+    rest = rest.join(by_sid, "idx", "left_anti")
+    left = rest.select(F.col("idx").alias("a"), F.posexplode(blocking_keys(ids=False)).alias("ord", "k"))
+    right = theirs.select(F.col("idx").alias("b"), F.explode(F.array_distinct(blocking_keys(ids=False))).alias("k"))
+    pairs = left.join(right, "k").groupBy("a", "b").agg(F.min("ord").alias("ord"))
+    pairs = pairs.join(_side(mine, "x", "a"), "a").join(_side(theirs, "y", "b"), "b")
+    scored = pairs.withColumn("__sim", text.name_similarity(F.col("x_name"), F.col("y_name"))).withColumn("class", match_class()).where("class >= 1")
     # best by one aggregation with map-side combine
-    best = scored.groupBy("a").agg(F.max(F.struct("class", F.col("__sim").alias("sim"), (-F.col("ord")).alias("ord"), (-F.col("b")).alias("b"))).alias("m"))
-    return best.select(F.col("a").alias("idx"), (-F.col("m.b")).alias("__b")).join(clusters.select(F.col("idx").alias("__b"), "cluster"), "__b").select("idx", "cluster")
+    best = scored.groupBy("a").agg(F.max(F.struct("class", F.col("__sim").alias("sim"), (-F.col("ord")).alias("ord"), (-F.col("b")).alias("b"))).alias("m")).select(F.col("a").alias("idx"), (-F.col("m.b")).alias("b"))
+    found = by_cid.unionByName(by_sid).unionByName(best).join(clusters.select(F.col("idx").alias("b"), "cluster"), "b").join(mine, "idx")
+    found = materialize(found.select(_ref_key(refs).alias("__ref"), "cluster"), "placed-refs")
+    few = F.broadcast(found) if found.count() <= BROADCAST_REFS else found
+    return refs.select("idx", _ref_key(refs).alias("__ref")).join(few, "__ref").select("idx", "cluster")
 
 
-def survivor_order() -> list[Column]:
-    """Within a duplicate group, best first: trust, score, freshness, name, station; then the first record."""
-    return [source_rank(F.col("provenance.source")).asc(), F.coalesce("quality.score", F.lit(0.0)).desc(), F.coalesce("provenance.ingested_at", F.lit("")).desc(), F.coalesce("station_name", F.lit("")).desc(), F.coalesce("station_id", F.lit("")).desc(), F.col("idx").asc()]
+def survivor_rank() -> list[Column]:
+    """Within a duplicate group, the greatest stays: by trust, score, freshness, name, station; then the first record."""
+    return [-source_rank(F.col("provenance.source")), F.coalesce("quality.score", F.lit(0.0)), F.coalesce("provenance.ingested_at", F.lit("")), F.coalesce("station_name", F.lit("")), F.coalesce("station_id", F.lit("")), (-F.col("idx")).alias("low")]
 
 
 def with_survivor(records: DataFrame, group: str = "group") -> DataFrame:
-    return records.withColumn("survivor", F.row_number().over(Window.partitionBy(group).orderBy(*survivor_order())) == 1)
+    """``records`` with survivor; a group's is the maximum of one aggregation, joined back by idx, so that a group of any size is no single task."""
+    best = records.groupBy(group).agg(F.max(F.struct(*survivor_rank())).alias("__m")).select((-F.col("__m.low")).alias("idx"), F.lit(True).alias("__best"))
+    return records.join(best, "idx", "left").select(*records.columns, F.coalesce("__best", F.lit(False)).alias("survivor"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +135,65 @@ def test_matching_predicate(spark):
     assert clusters(spark, [{"station_name": "Alone"}]) == {0: 0}
 
 
+def mixed_rows(rng, n, sites):
+    """Records of some sites that share ids, names, places and signs of zero in every combination."""
+    pick = lambda *v: rng.choice(v)
+
+    def row(k):
+        return {
+            "charger_id": pick(None, None, f"C{k}", f"c{k} ", f"D{k}"), "station_id": pick(None, None, f"S{k}", f"s{k}"), "station_name": pick(None, f"Town Hall North {k}", f"Town Hall-North {k}", "Town Hall South"),
+            "address": pick(None, {**ADDR, "street": f"{k} Oak Ave"}, {**ADDR, "street": pick(f"{k} Oak Ave.", None)}), "lat": pick(None, 35.79 + k / 20, 35.7905 + k / 20, 0.0, -0.0), "lon": pick(None, -78.78, 0.0),
+        }
+
+    return [row(rng.randrange(sites)) for _ in range(n)]
+
+
+def side(refs, prefix):
+    return refs.select(*(F.col(c).alias({"x": "a", "y": "b"}[prefix] if c == "idx" else f"{prefix}_{c}") for c in refs.columns))
+
+
+def test_clusters_equal_those_of_all_pairs_in_blocks(spark):
+    rows = refs(spark, mixed_rows(random.Random(5), 60, 15))
+    r = matching.station_refs(rows, "charger")
+    pairs = matching.blocked_pairs(r).join(side(r, "x"), "a").join(side(r, "y"), "b")
+    links = pairs.withColumn("__sim", text.name_similarity(F.col("x_name"), F.col("y_name"))).where(matching.same_entity()).select("a", "b").collect()
+    least = list(range(60))
+    for _ in least:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert {x.idx: x.cluster for x in matching.cluster_chargers(rows).collect()} == dict(enumerate(least))
+    assert 1 < len(set(least)) < 60
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_association_equals_that_of_all_pairs_in_blocks(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(matching, "BROADCAST_REFS", 0)
+    rng = random.Random(9)
+    mine, chargers = refs(spark, mixed_rows(rng, 80, 12)), refs(spark, mixed_rows(rng, 25, 10))
+    x, y = matching.station_refs(mine, "charger"), matching.station_refs(chargers, "charger")
+    left, right = x.select(F.col("idx").alias("a"), F.posexplode(matching.blocking_keys()).alias("ord", "k")), y.select(F.col("idx").alias("b"), F.explode(matching.blocking_keys()).alias("k"))
+    pairs = left.join(right, "k").groupBy("a", "b").agg(F.min("ord").alias("ord")).join(side(x, "x"), "a").join(side(y, "y"), "b")
+    by_id = F.coalesce(F.col("x_cid") == F.col("y_cid"), F.lit(False)) | F.coalesce(F.col("x_sid") == F.col("y_sid"), F.lit(False))
+    pairs = pairs.withColumn("__sim", F.when(by_id, 1.0).otherwise(text.name_similarity(F.col("x_name"), F.col("y_name"))))
+    scored = pairs.select("a", "b", "ord", "__sim", matching.match_class().alias("c")).where("c >= 1").collect()
+    best = {}
+    for p in scored:
+        best[p.a] = max(best.get(p.a, (0,)), (p.c, p["__sim"], -p.ord, -p.b))
+    got = matching.associate(mine, "charger", chargers, chargers.select("idx", F.col("idx").alias("cluster")))
+    assert {r.idx: r.cluster for r in got.collect()} == {a: -m[3] for a, m in best.items()}
+    assert {m[0] for m in best.values()} >= {1, 3, 4, 5} and len(best) < 80
+
+
+def test_survivor_of_a_group(spark):
+    rows = [(0, "cary", 0.5, "2024", "a"), (1, "afdc", 0.5, None, None), (2, "afdc", 0.9, "2023", "a"), (3, "afdc", 0.9, "2024", "a"), (4, "afdc", 0.9, "2024", "a"), (5, None, None, None, None)]
+    df = spark.createDataFrame(rows, "idx bigint, source string, score double, at string, station_name string")
+    df = df.select("idx", F.when(F.col("idx") < 5, 1).alias("group"), "station_name", F.lit(None).cast("string").alias("station_id"), F.struct("source", F.col("at").alias("ingested_at")).alias("provenance"), F.struct("score").alias("quality"))
+    out = matching.with_survivor(df)
+    # a null group is a group
+    assert out.columns == [*df.columns, "survivor"] and {r.idx for r in out.where("survivor").collect()} == {3, 5}
+
+
 def test_name_similarity(spark):
     df = spark.createDataFrame([("Town Hall-PWH", "Town Hall PWH"), ("", None), ("a", ""), ("Cary Town Hall Parking", "TOWN OF CARY / TOWN HALL")], "a string, b string")
     got = [r.s for r in df.select(text.name_similarity(F.col("a"), F.col("b")).alias("s")).collect()]
