@@ -10,11 +10,15 @@ ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{
 _PARTS = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
 #: Patterns of date-only texts, tried in this order: dotted is day first, slashed is month first.
 DATE_PATTERNS = ("d.M.yyyy", "d.M.yy", "M/d/yyyy", "M/d/yy", "yyyy-M-d", "yyyy/M/d")
-#: Further texts with a time of day, read in the default zone unless they name an offset.
-TIME_PATTERNS = (
-    "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d'T'H:mm:ss", "yyyy-M-d'T'H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yy H:mm",
-    "M/d/yyyy h:mm a", "M/d/yy h:mm a", "M/d/yyyy h a", "M/d/yy h a", "M/d/yyyy ha", "M/d/yy ha", "M/d/yyyy H:mm:ss.SSSSSSS", "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
-)
+#: The usual texts with a time of day, read in the default zone: a quick way past the reader of all forms, to the same result.
+TIME_PATTERNS = ("M/d/yyyy H:mm:ss", "yyyy-M-d H:mm:ss", "M/d/yyyy H:mm", "yyyy-M-d H:mm", "M/d/yy H:mm:ss", "M/d/yy H:mm")
+#: Names of months; three letters, and SEPT, count too.
+MONTHS = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
+#: A time of day anywhere in a text: hour, minute, second, fraction, A or P twice (with minutes, without), offset.
+_CLOCK = r"(?:^|(?<=[\sT,]))(\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?(?:\s*([AP])\.?M\b\.?)?|\s*([AP])\.?M\b\.?)\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?(?=$|[\s,])"
+#: What says nothing about a date: weekdays, endings of ordinals, small words, the T before a time.
+_IDLE = r"\b(?:MON|TUES?|WED(?:NES)?|THU(?:RS)?|FRI|SAT(?:UR)?|SUN)(?:DAY)?\b|(?<=\d)(?:ST|ND|RD|TH)\b|\b(?:AT|ON|OF)\b|(?<=\d)T(?=\s|$)"
+_FORMS = r"^(?:\d{8}|\d{4} (?:\d{1,2}|[A-Z]{3,9}) \d{1,2}|(?:\d{1,2} \d{1,2}|[A-Z]{3,9} \d{1,2}|\d{1,2} [A-Z]{3,9}) (?:\d{4}|\d{2}))$"
 
 
 def instant(c: Column) -> Column:
@@ -79,16 +83,65 @@ def offset_text(wall: Column, zone: str) -> Column:
     return F.concat(F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+")), F.format_string("%02d:%02d", (size / 60).cast("int"), size % 60))
 
 
+def _century(y: Column) -> Column:
+    """Two-digit years lie from 1969 to 2068, whatever the day is."""
+    return F.when(F.length(y) > 2, y.try_cast("int")).otherwise(y.try_cast("int") + F.when(y > "68", 1900).otherwise(2000))
+
+
+def _date(rest: Column) -> Column:
+    """A struct y, m, d of a text without its time of day: year first, or month first where that can be; null beyond the known forms."""
+    names = F.create_map(*(F.lit(v) for k, name in enumerate(MONTHS, 1) for n in sorted({name, name[:3]} | ({"SEPT"} if k == 9 else set())) for v in (n, k)))
+
+    def read(r: Column) -> Column:
+        w = F.when(r.rlike(r"^\d{8}$"), F.array(F.substring(r, 1, 4), F.substring(r, 5, 2), F.substring(r, 7, 2))).otherwise(F.split(r, " "))
+
+        def order(w: Column) -> Column:
+            a, b, c = (F.get(w, F.lit(k)) for k in range(3))
+            first, named = a.rlike(r"^\d{4}$"), b.rlike("^[A-Z]")
+            y, m = F.when(first, a).otherwise(c), F.when(first | named, b).otherwise(a)
+            d = F.when(first, c).when(named, a).otherwise(b)
+            number = F.coalesce(F.try_element_at(names, m), m.try_cast("int"))
+            swap = m.rlike(r"^\d") & (number > 12)
+            return F.struct(_century(y).alias("y"), F.when(swap, d.try_cast("int")).otherwise(number).alias("m"), F.when(swap, number).otherwise(d.try_cast("int")).alias("d"))
+
+        return F.when(r.rlike(_FORMS), _let(w, order))
+
+    return _let(F.trim(F.regexp_replace(F.regexp_replace(rest, _IDLE, " "), r"[\s,./-]+", " ")), read)
+
+
+def _free(t: Column, zone: str) -> Column:
+    """ISO text, with an offset, of a date in figures or words and a time of day beside it; midnight without one.
+
+    Only whole dates count: what leaves out a day, month or year, or says anything
+    besides, is null. So are names of zones other than UTC and GMT.
+    """
+    cut = F.split(F.regexp_replace(t, f"^(.*?){_CLOCK}(.*)$", "$1 $9\u0001$2\u0001$3\u0001$4\u0001$5\u0001$6$7\u0001$8"), "\u0001")
+
+    def read(p: Column) -> Column:
+        part = lambda k: F.coalesce(F.get(p, F.lit(k)), F.lit(""))
+        figure = lambda k: F.when(part(k) == "", F.lit(0)).otherwise(part(k).try_cast("int"))
+        hour, half = figure(1), part(5)
+        hour = F.when(half == "", hour).when(hour <= 12, hour % 12 + F.when(half == "P", 12).otherwise(0))
+        micros = F.rpad(F.substring(part(4), 1, 6), 6, "0")
+        fraction = F.when(micros.try_cast("int") > 0, F.concat(F.lit("."), micros)).otherwise(F.lit(""))
+        wall = _let(_date(part(0)), lambda d: F.when(d.isNotNull(), F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", d["y"], d["m"], d["d"], hour, figure(2), figure(3))))
+        said = part(6)
+        given = F.when(said.isin("Z", "UTC", "GMT"), F.lit("+00:00")).when(said != "", F.concat(F.substring(said, 1, 3), F.lit(":"), F.right(said, F.lit(2))))
+        return _let(wall, lambda w: F.when(w.try_cast("timestamp_ntz").isNotNull(), F.concat(w, fraction, F.coalesce(given, offset_text(w, zone)))))
+
+    return _let(cut, read)
+
+
 def lenient(c: Column, zone: str) -> Column:
     """ISO text of a date or time in any of the known forms, null if none fits.
 
-    Date-only forms have no offset: they stay wall-clock times at midnight. Times
-    of day get the zone's offset at that time; ISO texts keep their own.
+    Date-only forms in figures have no offset: they stay wall-clock times at
+    midnight. All others get the zone's offset at that time; ISO texts keep their own.
     """
     def read(t: Column) -> Column:
         iso = F.when(has_offset(t) & instant(t).isNotNull(), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, " ", "T"), "Z$", "+00:00"), r"(T\d{2}:\d{2})([+-])", "$1:00$2"))
         timed = _let(_wall(t, TIME_PATTERNS), lambda w: F.concat(w, offset_text(w, zone)))
-        return F.coalesce(_wall(t, DATE_PATTERNS), iso, timed)
+        return F.coalesce(_wall(t, DATE_PATTERNS), iso, timed, _free(t, zone))
 
     return _let(F.upper(F.trim(c)), read)
 

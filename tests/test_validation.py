@@ -1,7 +1,12 @@
+import datetime as dt
+import random
+from zoneinfo import ZoneInfo
+
 import pytest
 from pyspark.sql import functions as F
 
 from ohmbridge import config, schemas
+from ohmbridge.functions import time
 from ohmbridge.operators import rules, standardise
 from ohmbridge.streaming import intake
 
@@ -117,3 +122,34 @@ def test_unknown_keys_of_an_override_are_named():
     bad = config.catalog({"stale_days": 3, "territory": {"min_lat": 1}, "unit_repair": {"speed": {"watts_if_above": 5, "max_plausible": 9}}, "rules": [{"id": "a", "check": "stale", "severity": "INFO", "code": "b"}]})
     assert config.problems(bad) == ["unknown key: territory.min_lat", "unknown key: stale_days", "rule a: unknown key code"]
     assert config.problems(config.catalog({"stale": {"max_days": 3}, "scoring": {"weights": {"MAJOR": 0.3}}})) == []
+
+
+def test_lenient_dates_equal_a_general_parser(spark):
+    parser = pytest.importorskip("dateutil.parser")
+    zone = ZoneInfo("America/New_York")
+    rng = random.Random(4)
+    dates = ("{d.year}-{d.month:02}-{d.day:02}", "{d.year}/{d.month}/{d.day}", "{d.month}/{d.day}/{d.year}", "{d.month}-{d.day}-{d.year}", "{d:%B} {d.day}, {d.year}", "{d:%b} {d.day} {d.year}", "{d:%b}. {d.day}, {d.year}", "{d.day} {d:%b} {d.year}", "{d.day:02}-{d:%b}-{d.year}", "{d.year} {d:%B} {d.day}", "{d:%a}, {d.day} {d:%b} {d.year}", "{d:%A} {d:%B} {d.day}th, {d.year}", "{d.day} of {d:%B} {d.year}", "{d:%Y%m%d}", "{d:%b} {d.day} {d:%y}", "{d.day}/{d.month}/{d.year}")
+    times = ("{d:%H:%M}", "{d:%H:%M:%S}", "{d:%H:%M:%S}.{d.microsecond:06}", "{d:%I:%M %p}", "{d:%I:%M:%S%p}", "{d:%I %p}", "{d:%I}pm", "{d:%H:%M:%S} UTC", "{d:%H:%M:%S}+02:00", "{d:%H:%M} -0730", "{d:%H:%M}Z")
+    said = []
+    for k, date in enumerate(dates):
+        for time_ in times:
+            d = dt.datetime(1990, 1, 1) + dt.timedelta(seconds=rng.randrange(30 * 365 * 86400), microseconds=rng.choice([0, 120000, 7]))
+            # noon or midnight would be no plain test of the halves of a day; 02:30 may not exist
+            d = d.replace(hour=rng.randrange(3, 24))
+            said.append(" ".join((date, time_)).format(d=d))
+            said.append(date.format(d=d) if k > 3 and k < 15 else f"{time_.format(d=d)} {date.format(d=d)}")
+    said += ["12:05 AM 1/2/2024", "12:05 PM 1/2/2024", "1/2/2024 0:00", "2/30/2024 10:00", "1/2/2024 25:00", "13:00 PM 1/2/2024", "Smarch 3, 2024", "Jan 5, 2024 soon", "1/2/2024 10:61", "sometime", "10:00", ""]
+
+    def plain(text):
+        try:
+            got = parser.parse(text, fuzzy=False)
+        except (ValueError, OverflowError):
+            return None
+        if text in ("", "10:00"):
+            return None  # the parser takes today's date
+        return (got if got.tzinfo else got.replace(tzinfo=zone)).isoformat()
+
+    df = spark.createDataFrame(list(enumerate(said)), "i int, t string")
+    got = {r.i: r.iso for r in df.select("i", time.lenient(F.col("t"), "America/New_York").alias("iso")).collect()}
+    assert [(t, got[i]) for i, t in enumerate(said) if got[i] != plain(t)] == []
+    assert sum(v is not None for v in got.values()) > 300
