@@ -15,7 +15,7 @@ TIME_PATTERNS = ("M/d/yyyy H:mm:ss", "yyyy-M-d H:mm:ss", "M/d/yyyy H:mm", "yyyy-
 #: Names of months; three letters, and SEPT, count too.
 MONTHS = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
 #: A time of day anywhere in a text: hour, minute, second, fraction, A or P twice (with minutes, without), offset.
-_CLOCK = r"(?:^|(?<=[\sT,]))(\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?(?:\s*([AP])\.?M\b\.?)?|\s*([AP])\.?M\b\.?)\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?(?=$|[\s,])"
+_CLOCK = r"(?:^|(?<=[\sT,]))(\d{1,2})(?::(\d{1,2})(?::(\d{1,2})(?:[.,](\d{1,9}))?)?(?:\s*([AP])\.?M\b\.?)?|\s*([AP])\.?M\b\.?)\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?(?=$|[\s,])"
 #: What says nothing about a date: weekdays, endings of ordinals, small words, the T before a time.
 _IDLE = r"\b(?:MON|TUES?|WED(?:NES)?|THU(?:RS)?|FRI|SAT(?:UR)?|SUN)(?:DAY)?\b|(?<=\d)(?:ST|ND|RD|TH)\b|\b(?:AT|ON|OF)\b|(?<=\d)T(?=\s|$)"
 _FORMS = r"^(?:\d{8}|\d{4} (?:\d{1,2}|[A-Z]{3,9}) \d{1,2}|(?:\d{1,2} \d{1,2}|[A-Z]{3,9} \d{1,2}|\d{1,2} [A-Z]{3,9}) (?:\d{4}|\d{2}))$"

@@ -6,12 +6,19 @@ generation is one narrow projection of spark.range(n).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ohmbridge.storage import write_text
+
 # Shares of degraded rows.
 BLANK, CHAOS, UNITS, EXACT, CONFLICT, LATE = 0.06, 0.35, 0.05, 0.02, 0.02, 0.04
 CONFLICT_FACTOR = 1.12
+# Degraded features of a registry: most names dropped, and shares of moved, contradicted, oddly dated, unit-less and repeated ones.
+DROPPED, MOVED, SPAN, STATUS, DATES, NO_UNITS, TWICE = 4, 0.04, 0.01, 0.03, 0.15, 0.06, 0.02
+ODD_DATES = ["2023-01-01", "1/1/23", "01.01.2023"]
 
 
 def unit(seed: int, purpose: str, *of: Column) -> Column:
@@ -57,6 +64,53 @@ def late_part(rows: DataFrame, seed: int, share: float = LATE) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.lit(10_000)) < int(share * 10_000))
 
 
+def stations(spark: SparkSession, n: int, seed: int = 1, degrade: bool = True) -> DataFrame:
+    """Registry features as the GeoJSON scan gives them (file, type, coordinates, props), with one to four ports each."""
+    i = F.col("id")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    units = text('[{"network":"N","charging_level":"2","connectors":{"J1772":{"power_kw":"7.2","port_count":', 1 + i % 4, "}}}]")
+    props = {
+        "id": text(i), "station_name": text("Garage ", i), "street_address": text(i % 900, " Oak Ave"), "city": F.lit("Cary"), "state": F.lit("NC"), "zip": F.lit("27511"), "ev_network": F.lit("N"),
+        "status_code": pick(seed, "status", ["E", "E", "E", "T"], i), "open_date": text(1_500_000_000_000 + F.floor(unit(seed, "open", i) * 2000).cast("long") * 86_400_000), "ev_connector_types": F.lit("J1772"), "ev_charging_units": units,
+    }
+    at = lambda p, base: F.format_string("%.6f", base + 2 * unit(seed, p, i))
+    rows = spark.range(n).select(F.lit("stations.geojson").alias("file"), F.lit("Point").alias("type"), F.array(at("lon", -80.0), at("lat", 35.0)).alias("coordinates"), F.create_map(*(c for k, v in props.items() for c in (F.lit(k), v))).alias("props"))
+    return degrade_features(rows, seed) if degrade else rows
+
+
+def degrade_features(features: DataFrame, seed: int = 1) -> DataFrame:
+    """Features with names dropped, points moved, the other status, dates in other forms, no units, and some repeated.
+
+    Choices hash the feature itself: equal features are degraded alike.
+    """
+    u = lambda p: unit(seed, p, F.col("__key"))
+    names = F.array_sort(F.map_keys("props"))
+    chosen = F.array_compact(F.array(*(F.when(F.floor(u("drops") * (DROPPED + 1)) > k, F.get(names, F.floor(u(f"drop{k}") * F.size(names)).cast("int"))) for k in range(DROPPED))))
+    kept = F.map_filter("props", lambda k, v: ~F.array_contains("__chosen", k) & ~((k == "ev_charging_units") & (u("units") < NO_UNITS)))
+    value = lambda k, v: (
+        F.when((k == "status_code") & v.isin("E", "T") & (u("status") < STATUS), F.when(v == "E", "T").otherwise("E"))
+        .when((k == "open_date") & (u("dates") < DATES), F.coalesce(F.nullif(pick(seed, "form", [*ODD_DATES, ""], F.col("__key")), F.lit("")), v)).otherwise(v)
+    )
+    point = (F.col("type") == "Point") & (u("moved") < MOVED) & (F.size("coordinates") >= 2)
+    moved = F.transform("coordinates", lambda c, k: F.when(k < 2, (c.try_cast("double") + SPAN * (2 * F.when(k == 0, u("x")).otherwise(u("y")) - 1)).cast("string")).otherwise(c))
+    keyed = features.withColumn("__key", F.xxhash64("file", F.to_json(F.struct("type", "coordinates", "props")))).withColumn("__chosen", chosen)
+    out = keyed.withColumns({"props": F.transform_values(kept, value), "coordinates": F.when(point, moved).otherwise(F.col("coordinates"))})
+    return out.withColumn("__copy", F.explode(F.when(u("twice") < TWICE, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).select(*features.columns)
+
+
+def write_features(features: DataFrame, path: str) -> None:
+    """One GeoJSON file, a feature a line, written as rows come; units are JSON in it, other values text."""
+    def parts():
+        yield '{"type":"FeatureCollection","features":['
+        for n, r in enumerate(features.toLocalIterator()):
+            props = {k: json.loads(v) if k == "ev_charging_units" and v else v for k, v in r.props.items()}
+            point = [float(c) for c in r.coordinates or []]
+            yield (",\n" if n else "\n") + json.dumps({"type": "Feature", "geometry": {"type": r.type, "coordinates": point}, "properties": props})
+        yield "\n]}\n"
+
+    write_text(features.sparkSession, path, parts())
+
+
 STATIONS = ["Court Square", "Bay Garage", "Town Hall", "North Deck", "River Lot"]
 FAULTS = ["breaker trip", "comms dropout", "display flicker", "cable insulation cracked", "gfci fault"]
 

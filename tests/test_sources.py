@@ -2,11 +2,12 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ohmbridge import schemas
 from ohmbridge.operators import assemble, extract
 from ohmbridge.plans import pipeline
-from ohmbridge.sources import files, sinks
+from ohmbridge.sources import files, sinks, synthetic
 
 AT = "2024-06-01T00:00:00+00:00"
 
@@ -189,3 +190,25 @@ def test_bad_lines_are_named_and_unknown_types_counted(spark, tmp_path):
     assert {r.record_type: r.n for r in files.unknown_records(spark, str(f)).collect()} == {"pet": 1, None: 2}
     with pytest.raises(Exception, match=r"r\.jsonl, line 5: not json"):
         files.read_jsonl(spark, str(f), schemas.struct(session_id=schemas.S)).collect()
+
+
+def test_generated_stations(spark, tmp_path):
+    whole, messy = synthetic.stations(spark, 2000, 7, degrade=False), synthetic.stations(spark, 2000, 7)
+    assert whole.count() == 2000 and whole.where(F.size("props") == 11).count() == 2000
+    # the same for any partitioning
+    rows = lambda df: sorted(json.dumps(r.asDict(), sort_keys=True) for r in df.collect())
+    got = rows(messy)
+    assert got == rows(synthetic.degrade_features(whole.repartition(3), 7)) and got != rows(synthetic.stations(spark, 2000, 8))
+    share = lambda c: messy.where(c).count() / 2000
+    p = lambda k: F.try_element_at("props", F.lit(k))
+    assert 1.005 < share(F.lit(True)) < 1.04 and 0.6 < share(F.size("props") < 11) < 0.95
+    assert 0.05 < share(p("open_date").isin(synthetic.ODD_DATES)) < 0.16 and 0.02 < share(F.length(F.element_at("coordinates", 2)) > 9) < 0.08
+    synthetic.write_features(messy, str(tmp_path / "s.geojson"))
+    back = files.read_geojson(spark, [str(tmp_path / "s.geojson")])
+    ports = assemble.ports(back, "2024-01-01T00:00:00+00:00")
+    # a unit's ports, or one bare record without units
+    want = sum(json.loads(u)[0]["connectors"]["J1772"]["port_count"] if u else 1 for u in (r.u for r in messy.select(p("ev_charging_units").alias("u")).collect()))
+    assert back.count() == len(got) and ports.count() == want
+    empty = tmp_path / "empty.geojson"
+    synthetic.write_features(messy.where("false"), str(empty))
+    assert files.read_geojson(spark, [str(empty)]).count() == 0 and files.sniff(empty.read_text()) == "geojson"

@@ -129,7 +129,7 @@ def test_lenient_dates_equal_a_general_parser(spark):
     zone = ZoneInfo("America/New_York")
     rng = random.Random(4)
     dates = ("{d.year}-{d.month:02}-{d.day:02}", "{d.year}/{d.month}/{d.day}", "{d.month}/{d.day}/{d.year}", "{d.month}-{d.day}-{d.year}", "{d:%B} {d.day}, {d.year}", "{d:%b} {d.day} {d.year}", "{d:%b}. {d.day}, {d.year}", "{d.day} {d:%b} {d.year}", "{d.day:02}-{d:%b}-{d.year}", "{d.year} {d:%B} {d.day}", "{d:%a}, {d.day} {d:%b} {d.year}", "{d:%A} {d:%B} {d.day}th, {d.year}", "{d.day} of {d:%B} {d.year}", "{d:%Y%m%d}", "{d:%b} {d.day} {d:%y}", "{d.day}/{d.month}/{d.year}")
-    times = ("{d:%H:%M}", "{d:%H:%M:%S}", "{d:%H:%M:%S}.{d.microsecond:06}", "{d:%I:%M %p}", "{d:%I:%M:%S%p}", "{d:%I %p}", "{d:%I}pm", "{d:%H:%M:%S} UTC", "{d:%H:%M:%S}+02:00", "{d:%H:%M} -0730", "{d:%H:%M}Z")
+    times = ("{d:%H:%M}", "{d:%H:%M:%S}", "{d:%H:%M:%S}.{d.microsecond:06}", "{d.hour}:{d.minute}:{d.second}", "{d:%I}:{d.minute}{d:%p}", "{d:%I:%M %p}", "{d:%I:%M:%S%p}", "{d:%I %p}", "{d:%I}pm", "{d:%H:%M:%S} UTC", "{d:%H:%M:%S}+02:00", "{d:%H:%M} -0730", "{d:%H:%M}Z")
     said = []
     for k, date in enumerate(dates):
         for time_ in times:
