@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ohmbridge import config
 from ohmbridge.functions import text, time
 from ohmbridge.operators.graph import with_components
-from ohmbridge.operators.matching import station_refs, with_survivor
+from ohmbridge.operators.matching import station_name, with_survivor
 
 
 def close_values(ea: Column, eb: Column, da: Column, db: Column, d: dict = config.DUPLICATE) -> Column:
@@ -40,8 +40,7 @@ def group_sessions(sessions: DataFrame, placed: DataFrame) -> DataFrame:
     name. Within a group, equal session ids, or near-equal start, energy and
     duration without conflicting identity, make one session.
     """
-    refs = station_refs(sessions, "session").select("idx", "name_norm")
-    s = sessions.join(placed, "idx", "left").join(refs, "idx")
+    s = sessions.join(placed, "idx", "left").withColumn("name_norm", text.normal(station_name(sessions)))
     start, end = time.instant(F.col("start_time")), time.instant(F.col("end_time"))
     driver, box = F.coalesce(text.key_text(F.col("driver_id")), F.lit("")), F.coalesce(text.key_text(F.col("charger_id")), F.lit(""))
     known = (driver != "") | (box != "")

@@ -39,6 +39,10 @@ def _pick(df: DataFrame, *names: str) -> Column:
     return F.coalesce(*cols) if cols else F.lit(None).cast("string")
 
 
+def station_name(df: DataFrame) -> Column:
+    return _pick(df, "station_name", "station", "name", "location_name")
+
+
 def station_refs(df: DataFrame, kind: str) -> DataFrame:
     """(idx, charger_id, station_id, name, street, city, zip, state, lat, lon and normal forms).
 
@@ -47,7 +51,7 @@ def station_refs(df: DataFrame, kind: str) -> DataFrame:
     street = _pick(df, "address.street", "address_1", "street", "street_address")
     city = _pick(df, "address.city", "city")
     zip_code = _pick(df, "address.zip", "zip_postal_code", "postal_code")
-    name = _pick(df, "station_name", "station", "name", "location_name")
+    name = station_name(df)
     charger, station = _pick(df, "charger_id"), _pick(df, "station_id")
     if kind == "maintenance":
         said = F.concat_ws("\n", F.coalesce("description", F.lit("")), F.map_values(F.coalesce("extracted_fields", F.create_map().cast("map<string,string>"))))
