@@ -15,10 +15,13 @@ SINGLE_FORMS = r"(?i)install completion report|quarterly inspection form|custome
 DIGEST_HEADER = r"(?i)fault\s+digest"
 DIGEST_ENTRY = r"(?i)^\s*(.+?)\s*::\s*(.+?)(?:\s*::\s*count=(\d+))?(?:\s*::\s*sev=([A-Za-z!]+))?\s*$"
 NOTE_LINE = r"(?im)^\s*NOTE\b.*$"
+#: The complaint line's number by itself; not within other digits, nor on a line that names a station or an address.
+LINE_311 = r"(?im)^(?!.*(?:station\s*:|site/station\.{3,}|commissioned at|location given:|addr on file:)).*?(?<!\d)311(?!\d)"
 EVENT_TYPES = [
     (r"(?i)install completion|commissioned|energized", "INSTALL"),
     (r"(?i)inspection form|insp\.", "INSPECTION"),
-    (r"(?i)complaint via 311|311", "COMPLAINT"),
+    (r"(?i)complaint via 311", "COMPLAINT"),
+    (LINE_311, "COMPLAINT"),
     (r"(?i)fault digest", "FAULT"),
     (r"(?i)breaker trip|comms dropout|overtemp|display flicker|unit resets?|ground fault|gfci|fault", "FAULT"),
     (r"(?i)latch broken|cable insulation cracked|cable too short|wont reset|won't reset|screen dead|beeping", "REPAIR"),

@@ -130,6 +130,12 @@ def test_unknown_text_gives_one_event(spark):
     assert assemble.REPORT_SOURCE == "contractor"
 
 
+def test_311_in_a_place_or_a_number_is_no_complaint(spark):
+    said = {"a": "station: Yard 311\nbreaker trip", "b": "breaker trip on unit 13110", "c": "routed from 311\nbreaker trip", "d": "station: Yard 5\nvia 311, breaker trip", "e": "site/station.... Lot 311\novertemp"}
+    found = extract.events(spark.createDataFrame(list(said.items()), "file string, text string"))
+    assert {r.file: r.event_type for r in found.collect()} == {"a": "FAULT", "b": "FAULT", "c": "COMPLAINT", "d": "COMPLAINT", "e": "FAULT"}
+
+
 def test_outside_parser_falls_back(spark):
     def parse(said, file):
         if "bad" in file:
