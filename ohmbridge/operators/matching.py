@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ohmbridge import config
 from ohmbridge.functions import geo, text
+from ohmbridge.operators import classes
 from ohmbridge.operators.graph import with_components
 from ohmbridge.storage import materialize
 
@@ -81,15 +82,22 @@ def blocking_keys(ids: bool = True) -> Column:
     return F.filter(keys, lambda k: k.isNotNull())
 
 
+def met_classes(kinds: DataFrame) -> DataFrame:
+    """(p, q) with p <= q, once for each two classes, or class and itself, that share one of their ``keys``."""
+    k = kinds.select("rep", F.explode("keys").alias("__k"))
+    left, right = k.select("__k", F.col("rep").alias("p")), k.select("__k", F.col("rep").alias("q"))
+    return left.join(right, "__k").where("p <= q").select("p", "q").distinct()
+
+
 def blocked_pairs(refs: DataFrame, id_col: str = "idx", keys: Column | None = None) -> DataFrame:
     """(a, b) with a < b, once for each pair that shares a blocking key.
 
-    Hot keys are left to the adaptive skew join: both sides are plain shuffles on
-    the key. Only ids cross the join; attributes are joined to the pairs that stay.
+    Rows of the same keys are one class: classes meet by key, once, and the pairs
+    of rows are written out from them.
     """
-    k = refs.select(F.col(id_col).alias("__i"), F.explode(F.array_distinct(keys if keys is not None else blocking_keys())).alias("__k"))
-    left, right = k.select("__k", F.col("__i").alias("a")), k.select("__k", F.col("__i").alias("b"))
-    return left.join(right, "__k").where("a < b").select("a", "b").distinct()
+    rows = refs.select(F.col(id_col).alias("idx"), F.array_sort(F.array_distinct(keys if keys is not None else blocking_keys())).alias("keys"))
+    kinds = classes.kinds_of(rows, ["keys"])
+    return classes.expand(met_classes(kinds), rows, kinds, ["keys"], [])
 
 
 def _side(refs: DataFrame, prefix: str, on: str) -> DataFrame:
