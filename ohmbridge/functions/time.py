@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
 _PARTS = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
+#: What most instants look like: they need no taking apart.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})$"
 #: Patterns of date-only texts, tried in this order: dotted is day first, slashed is month first.
 DATE_PATTERNS = ("d.M.yyyy", "d.M.yy", "M/d/yyyy", "M/d/yy", "yyyy-M-d", "yyyy/M/d")
 #: The usual texts with a time of day, read in the default zone: a quick way past the reader of all forms, to the same result.
@@ -26,7 +28,7 @@ def instant(c: Column) -> Column:
     t = F.trim(c)
     date, time, rest, offset = (F.regexp_extract(t, _PARTS, k) for k in range(1, 5))
     text = F.concat(date, F.lit("T"), F.when(time == "", F.lit("00:00")).otherwise(time), F.when(rest == "", F.lit(":00")).otherwise(rest), F.when(offset == "", F.lit("Z")).otherwise(offset))
-    return F.when(t.rlike(_PARTS), text.try_cast("timestamp"))
+    return F.when(t.rlike(_PLAIN), t.try_cast("timestamp")).when(t.rlike(_PARTS), text.try_cast("timestamp"))
 
 
 def has_offset(c: Column) -> Column:
@@ -38,13 +40,13 @@ def _wall(text: Column, patterns: tuple[str, ...]) -> Column:
     def read(p: str) -> Column:
         got = F.date_format(F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
         if "yyyy" not in p:
-            got = _let(got, lambda g: F.when(F.substring(g, 3, 2) > "68", F.concat(F.lit("19"), F.substring(g, 3, 17))).otherwise(g))
+            got = let(got, lambda g: F.when(F.substring(g, 3, 2) > "68", F.concat(F.lit("19"), F.substring(g, 3, 17))).otherwise(g))
         return F.when(text.rlike(_shape(p)), got)
 
     return F.coalesce(*(read(p) for p in patterns))
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
     return F.transform(F.array(value), body)[0]
 
@@ -104,9 +106,9 @@ def _date(rest: Column) -> Column:
             swap = m.rlike(r"^\d") & (number > 12)
             return F.struct(_century(y).alias("y"), F.when(swap, d.try_cast("int")).otherwise(number).alias("m"), F.when(swap, number).otherwise(d.try_cast("int")).alias("d"))
 
-        return F.when(r.rlike(_FORMS), _let(w, order))
+        return F.when(r.rlike(_FORMS), let(w, order))
 
-    return _let(F.trim(F.regexp_replace(F.regexp_replace(rest, _IDLE, " "), r"[\s,./-]+", " ")), read)
+    return let(F.trim(F.regexp_replace(F.regexp_replace(rest, _IDLE, " "), r"[\s,./-]+", " ")), read)
 
 
 def _free(t: Column, zone: str) -> Column:
@@ -124,12 +126,12 @@ def _free(t: Column, zone: str) -> Column:
         hour = F.when(half == "", hour).when(hour <= 12, hour % 12 + F.when(half == "P", 12).otherwise(0))
         micros = F.rpad(F.substring(part(4), 1, 6), 6, "0")
         fraction = F.when(micros.try_cast("int") > 0, F.concat(F.lit("."), micros)).otherwise(F.lit(""))
-        wall = _let(_date(part(0)), lambda d: F.when(d.isNotNull(), F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", d["y"], d["m"], d["d"], hour, figure(2), figure(3))))
+        wall = let(_date(part(0)), lambda d: F.when(d.isNotNull(), F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", d["y"], d["m"], d["d"], hour, figure(2), figure(3))))
         said = part(6)
         given = F.when(said.isin("Z", "UTC", "GMT"), F.lit("+00:00")).when(said != "", F.concat(F.substring(said, 1, 3), F.lit(":"), F.right(said, F.lit(2))))
-        return _let(wall, lambda w: F.when(w.try_cast("timestamp_ntz").isNotNull(), F.concat(w, fraction, F.coalesce(given, offset_text(w, zone)))))
+        return let(wall, lambda w: F.when(w.try_cast("timestamp_ntz").isNotNull(), F.concat(w, fraction, F.coalesce(given, offset_text(w, zone)))))
 
-    return _let(cut, read)
+    return let(cut, read)
 
 
 def lenient(c: Column, zone: str) -> Column:
@@ -140,10 +142,13 @@ def lenient(c: Column, zone: str) -> Column:
     """
     def read(t: Column) -> Column:
         iso = F.when(has_offset(t) & instant(t).isNotNull(), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, " ", "T"), "Z$", "+00:00"), r"(T\d{2}:\d{2})([+-])", "$1:00$2"))
-        timed = _let(_wall(t, TIME_PATTERNS), lambda w: F.concat(w, offset_text(w, zone)))
+        timed = let(_wall(t, TIME_PATTERNS), lambda w: F.concat(w, offset_text(w, zone)))
         return F.coalesce(_wall(t, DATE_PATTERNS), iso, timed, _free(t, zone))
 
-    return _let(F.upper(F.trim(c)), read)
+    # a plain instant keeps its text but for the Z; without a figure no form fits: neither needs the reader of all forms
+    said = F.upper(F.trim(c))
+    plain = F.when(said.rlike(_PLAIN) & said.try_cast("timestamp").isNotNull(), F.when(F.endswith(said, F.lit("Z")), F.concat(F.substr(said, F.lit(1), F.length(said) - 1), F.lit("+00:00"))).otherwise(said))
+    return F.coalesce(plain, F.when(said.rlike(r"\d"), let(said, read)))
 
 
 def minutes_between(start: Column, end: Column) -> Column:

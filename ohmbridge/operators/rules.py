@@ -107,7 +107,9 @@ def issues(cat: dict, kind: str) -> Column:
             found += CHECKS[rule["check"]](cat, rule, kind)
     if not found:
         return F.array().cast("array<string>")
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+    # joined, as a lambda's input would be interpreted, and each instant in it read again for every rule
+    said = F.concat_ws("\u0001", *found)
+    return F.when(said == "", F.array().cast("array<string>")).otherwise(F.split(said, "\u0001"))
 
 
 def severity_weights(cat: dict) -> dict[str, float]:

@@ -66,9 +66,16 @@ class _Fixes:
     def __init__(self):
         self.values: dict[str, Column] = {}
         self.notes: list[Column] = []
+        self.made: dict[str, Column] = {}
+
+    def once(self, value: Column) -> Column:
+        """A value that several others are made of: a column of a projection below, so that it is computed once for a row."""
+        name = f"__once{len(self.made)}"
+        self.made[name] = value
+        return F.col(name)
 
     def set(self, name: str, new: Column, action: str, old: Column | None = None) -> None:
-        old = F.col(name) if old is None else old
+        old, new = F.col(name) if old is None else old, self.once(new)
         self.values[name] = new
         self.note(name, old, new, action)
 
@@ -78,7 +85,7 @@ class _Fixes:
 
     def apply(self, df: DataFrame) -> DataFrame:
         notes = F.concat("__fixes", F.filter(F.array(*self.notes), lambda x: x.isNotNull())) if self.notes else F.col("__fixes")
-        return df.withColumns({**self.values, "__fixes": notes})
+        return df.withColumns(self.made).withColumns({**self.values, "__fixes": notes}).drop(*self.made)
 
 
 def _trim(df: DataFrame, kind: str) -> DataFrame:
@@ -89,13 +96,13 @@ def _trim(df: DataFrame, kind: str) -> DataFrame:
         if name in df.columns:
             fixes.set(name, keep(F.col(name)), "trim")
     if kind == "charger":
-        parts = {p: keep(F.col(f"address.{p}")) for p in ("street", "city", "state", "zip")}
+        parts = {p: fixes.once(keep(F.col(f"address.{p}"))) for p in ("street", "city", "state", "zip")}
         for p, new in parts.items():
             fixes.note(f"address.{p}", F.col(f"address.{p}"), new, "trim")
         fixes.values["address"] = F.when(F.col("address").isNotNull(), F.struct(*(new.alias(p) for p, new in parts.items())))
     if kind == "maintenance":
         fixes.set("description", F.trim(F.regexp_replace("description", r"^\s+|\s+$", "")), "trim")
-    prov = {p: text.collapse(F.col(f"provenance.{p}")) for p in ("source", "source_file", "raw_ref")}
+    prov = {p: fixes.once(text.collapse(F.col(f"provenance.{p}"))) for p in ("source", "source_file", "raw_ref")}
     for p, new in prov.items():
         fixes.note(f"provenance.{p}", F.col(f"provenance.{p}"), new, "trim")
     fixes.values["provenance"] = F.when(F.col("provenance").isNotNull(), F.struct(prov["source"].alias("source"), prov["source_file"].alias("source_file"), F.col("provenance.ingested_at").alias("ingested_at"), prov["raw_ref"].alias("raw_ref")))
@@ -106,13 +113,13 @@ def _values(df: DataFrame, kind: str, cat: dict) -> DataFrame:
     fixes = _Fixes()
     if kind == "charger":
         z, s = F.col("address.zip"), F.col("address.state")
-        new_zip = F.when(F.trim(z) != "", zip5(z)).otherwise(z)
-        new_state = state_code(s)
+        new_zip = fixes.once(F.when(F.trim(z) != "", zip5(z)).otherwise(z))
+        new_state = fixes.once(state_code(s))
         fixes.note("address.zip", z, new_zip, "zip")
         fixes.note("address.state", s, new_state, "case")
         fixes.values["address"] = F.when(F.col("address").isNotNull(), F.struct(F.col("address.street").alias("street"), F.col("address.city").alias("city"), new_state.alias("state"), new_zip.alias("zip")))
     for name in schemas.NUMBERS[kind]:
-        old, value = F.col(name), rules.number(F.col(name))
+        old, value = F.col(name), fixes.once(rules.number(F.col(name)))
         unit = cat["unit_repair"].get(name)
         new = repair_unit(value, unit) if unit else value
         # the text stays where there is no number, for the rules to flag
@@ -129,7 +136,7 @@ def _values(df: DataFrame, kind: str, cat: dict) -> DataFrame:
         old = F.col(name)
         new = F.coalesce(match_enum(old, cat["synonyms"].get(name, {})), F.lit(cat["fallbacks"].get(name)), old)
         fixes.set(name, F.when(F.trim(old) != "", new).otherwise(old), "enum")
-    seen = F.coalesce(time.lenient(F.col("provenance.ingested_at"), cat["standardize"]["default_timezone"]), F.col("provenance.ingested_at"))
+    seen = fixes.once(F.coalesce(time.lenient(F.col("provenance.ingested_at"), cat["standardize"]["default_timezone"]), F.col("provenance.ingested_at")))
     fixes.note("provenance.ingested_at", F.col("provenance.ingested_at"), seen, "date")
     fixes.values["provenance"] = F.when(F.col("provenance").isNotNull(), F.col("provenance").withField("ingested_at", seen))
     return fixes.apply(df)
@@ -143,14 +150,15 @@ def computed_minutes() -> Column:
 def _derive(df: DataFrame, kind: str, cat: dict) -> DataFrame:
     fixes = _Fixes()
     if kind == "session":
-        had, made = rules.number(F.col("duration_min")), computed_minutes()
+        df = df.withColumn("__made", computed_minutes())
+        had, made = rules.number(F.col("duration_min")), F.col("__made")
         wrong = F.abs(had - made) > cat["derive"]["duration_tolerance_min"]
         new = F.when(F.col("duration_min").isNull(), made.cast("string")).when(wrong, made.cast("string")).otherwise(F.col("duration_min"))
         fixes.set("duration_min", new, "derive")
     elif kind == "charger":
         power = rules.number(F.col("power_kw"))
         fixes.set("level", F.coalesce(F.col("level"), level_of(power, cat)), "derive")
-    return fixes.apply(df)
+    return fixes.apply(df).drop("__made")
 
 
 def _repaired(df: DataFrame, kind: str, cat: dict, repair) -> DataFrame:

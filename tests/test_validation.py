@@ -153,3 +153,22 @@ def test_lenient_dates_equal_a_general_parser(spark):
     got = {r.i: r.iso for r in df.select("i", time.lenient(F.col("t"), "America/New_York").alias("iso")).collect()}
     assert [(t, got[i]) for i, t in enumerate(said) if got[i] != plain(t)] == []
     assert sum(v is not None for v in got.values()) > 300
+
+
+def _readers(df) -> int:
+    """How often the plan reads a text by the reader of all forms."""
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    return df._jdf.queryExecution().optimizedPlan().toString().count("TUES?")
+
+
+def test_each_value_is_made_once_for_a_row(spark):
+    """The reader of dates stands in the plan once for each date of a record, however many values and notes are made of it."""
+    one = _readers(spark.createDataFrame([("1/2/2024",)], "a string").select(time.lenient(F.col("a"), "America/New_York").alias("a")))
+    raw = spark.createDataFrame([], schemas.raw("session"))
+    assert one > 0 and _readers(standardise.clean(raw, "session")) <= 3 * one
+
+
+def test_plain_instants_and_texts_without_figures(spark):
+    said = {"2024-01-02t03:04:05z": "2024-01-02T03:04:05+00:00", " 2024-01-02T03:04:05.5-05:00 ": "2024-01-02T03:04:05.5-05:00", "2024-13-02T03:04:05Z": "2024-02-13T03:04:05+00:00", "2024-02-30T03:04:05+01:00": None, "soon": None, "": None}
+    rows = spark.createDataFrame([(k,) for k in said], "a string").select("a", time.lenient(F.col("a"), "America/New_York").alias("x")).collect()
+    assert {r.a: r.x for r in rows} == said
