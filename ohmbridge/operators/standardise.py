@@ -36,7 +36,7 @@ def match_enum(value: Column, table: dict[str, list[str]]) -> Column:
         if synonyms:
             words = "|".join(re.escape(" ".join(s.lower().split())) for s in sorted(synonyms, key=len, reverse=True))
             found.append((rf"(?<![a-z0-9])(?:{words})(?![a-z0-9])", name))
-    return text.ordered_case(low, found) if found else F.lit(None).cast("string")
+    return time.let(low, lambda x: text.ordered_case(x, found)) if found else F.lit(None).cast("string")
 
 
 def repair_unit(value: Column, unit: dict) -> Column:
@@ -55,9 +55,8 @@ def zip5(value: Column) -> Column:
 
 
 def state_code(value: Column) -> Column:
-    plain = text.collapse(value)
     table = F.create_map(*(x for k, v in config.STATE_CODES.items() for x in (F.lit(k), F.lit(v))))
-    return F.coalesce(F.try_element_at(table, F.lower(plain)), F.when(plain.rlike("^[A-Za-z]{2}$"), F.upper(plain)), plain)
+    return time.let(text.collapse(value), lambda plain: F.coalesce(F.try_element_at(table, F.lower(plain)), F.when(plain.rlike("^[A-Za-z]{2}$"), F.upper(plain)), plain))
 
 
 class _Fixes:
