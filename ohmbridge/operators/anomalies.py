@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ohmbridge import config
 from ohmbridge.functions import stats, text, time
+from ohmbridge.storage import materialize
 
 A = config.ANOMALY
 
@@ -74,6 +75,8 @@ def detect(sessions: DataFrame, events: DataFrame, chargers: DataFrame) -> DataF
     """
     s = sessions.select("group", "cluster", "survivor_idx", "session_id", "session_ids", "members", "energy_kwh", "peak_kw", "fault_code", "start_time", "end_time", F.col("golden_id").alias("gid")).withColumns({"st": time.instant(F.col("start_time")), "et": time.instant(F.col("end_time"))})
     e = events.select("cluster", "survivor_idx", "event_id", "event_date", "event_type", "severity", "charger_id").withColumn("at", time.instant(F.col("event_date")))
+    # seven rules read them: their instants are read from text once
+    s, e = materialize(s, "dated-sessions"), materialize(e, "dated-events")
     c = chargers.select("cluster", F.col("golden_id").alias("cgid"), F.col("charger_id").alias("cid"), "power_kw")
     known = s.where("cluster is not null")
 
